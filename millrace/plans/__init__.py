@@ -9,6 +9,7 @@ from millrace.plans.medallion import (
 )
 from millrace.plans.reconciliation import (
     RowDifferences,
+    recon_filter,
     reconcile_counts,
     reconcile_layers,
     reconcile_rows,
@@ -18,6 +19,7 @@ __all__ = [
     "CleanseCounts",
     "IngestCounts",
     "RowDifferences",
+    "recon_filter",
     "backfill_entity",
     "cleanse",
     "ingest",

@@ -1 +1,387 @@
-QUERIES = {}
+"""Jobs that write files: raw lines, Bronze, Silver, quarantine, run log.
+
+The raw lines hold whole test tables. A batch is a month here, named by its first day, so that
+the check writes some hundred partitions instead of thousands.
+"""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.entities import ENTITIES, PAYMENTS, RATINGS, RUNS_SCHEMA, TRIPS
+from millrace.lake import Lake
+from millrace.operators.dedupe import dedupe
+from millrace.operators.rides import BATCH_LABEL, WINDOW
+from millrace.operators.stamps import with_audit
+from millrace.plans import reconcile_counts, recon_filter, run_day, run_range
+from millrace.registry import Query
+from millrace.registry.tables import RECON_SQL, SILVER_SQL
+from millrace.registry.views import load, oracle
+from millrace.session import scratch_dir
+from millrace.sinks import append_partitioned, replace_days, sample_rows, write_day_jsonl
+from millrace.sources import (
+    latest_runs,
+    list_days,
+    on_day,
+    read_days,
+    read_jsonl,
+    read_table,
+)
+
+FIRST_DAY, N_DAYS = "1995-01-01", 2_500
+ONE_DAY = "1997-03-01"
+RATINGS_DAY = "2024-01-01"
+EVENT_TIME = {"trips": "request_time", "payments": "payment_time", "ratings": "rated_at"}
+
+
+def batched(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """An entity's columns and the month it is delivered in."""
+    month = F.concat(F.substring("ingest_date", 1, 8), F.lit("01")).alias("batch_day")
+    return load(spark, sf, f"v_{name}").select(*ENTITIES[name].schema.names, month)
+
+
+def batched_sql(name: str) -> str:
+    columns = ", ".join(ENTITIES[name].schema.names)
+    return f"SELECT {columns}, substr(ingest_date, 1, 8) || '01' AS batch_day FROM {{v_{name}}}"
+
+
+def deduped_sql(name: str) -> str:
+    """One row per batch and key: the first by all other columns, nulls last."""
+    entity = ENTITIES[name]
+    order = ", ".join(f"{c} NULLS LAST" for c in entity.schema.names if c != entity.key)
+    return f"""SELECT * FROM ({batched_sql(name)}) b QUALIFY row_number() OVER (
+  PARTITION BY batch_day, {entity.key} ORDER BY {order}) = 1"""
+
+
+def passes_sql(name: str) -> str:
+    return f"coalesce({SILVER_SQL[name]}, false)"
+
+
+@cache
+def _raw_lake(app: str, sf: str) -> Lake:
+    spark = SparkSession.getActiveSession()
+    base = scratch_dir(spark, "lake")
+    lake = Lake(root=f"{base}/filled", raw=f"{base}/raw")
+    for name, time_column in EVENT_TIME.items():
+        start = F.window(time_column, WINDOW)["start"]
+        meta = F.struct(
+            F.lit("1.0").alias("schema_version"),
+            F.date_format(start, BATCH_LABEL).alias("batch_id"),
+        )
+        rows = batched(spark, sf, name).withColumn("_meta", meta)
+        write_day_jsonl(rows, lake.raw_entity(name), "batch_day")
+    return lake
+
+
+def raw_lake(spark: SparkSession, sf: str) -> Lake:
+    """Raw lines of all entities, written once per application."""
+    return _raw_lake(spark.sparkContext.applicationId, sf)
+
+
+@cache
+def _filled(app: str, sf: str) -> tuple[Lake, DataFrame]:
+    spark = SparkSession.getActiveSession()
+    lake = raw_lake(spark, sf)
+    rides_part = run_range(spark, lake, FIRST_DAY, N_DAYS, (TRIPS, PAYMENTS))
+    ratings_part = run_range(spark, lake, RATINGS_DAY, 31, (RATINGS,))
+    return lake, rides_part.unionByName(ratings_part)
+
+
+def filled_lake(spark: SparkSession, sf: str) -> tuple[Lake, DataFrame]:
+    """The lake after a backfill over every day, and the backfill's counts."""
+    return _filled(spark.sparkContext.applicationId, sf)
+
+
+def fresh(spark: SparkSession, sf: str, label: str) -> Lake:
+    """The shared raw lines, with a folder of its own for the tables."""
+    return Lake(root=scratch_dir(spark, label), raw=raw_lake(spark, sf).raw)
+
+
+# --- scans and sinks -----------------------------------------------------------------------------
+
+
+def raw_days(spark, sf):
+    return list_days(spark, raw_lake(spark, sf).raw_entity("trips"))
+
+
+def jsonl_typed(spark, sf):
+    rows = read_jsonl(spark, raw_lake(spark, sf).raw_entity("ratings"), RATINGS.schema)
+    return rows.select(
+        "rating_id",
+        F.coalesce(F.col("stars").cast("string"), F.lit("null")).alias("stars"),
+        F.coalesce("tags", F.lit("null")).alias("tags"),
+        F.date_format("rated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("rated_at"),
+    )
+
+
+def jsonl_inferred(spark, sf):
+    rows = read_jsonl(spark, raw_lake(spark, sf).raw_entity("trips"))
+    return rows.groupBy(
+        "status",
+        F.typeof("fare_vnd").alias("fare_type"),
+        F.typeof("request_time").alias("time_type"),
+        F.col("_meta.schema_version").alias("schema_version"),
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("fare_vnd").alias("fare_vnd"),
+        F.max("_meta.batch_id").alias("last_batch"),
+    )
+
+
+def bronze_roundtrip(spark, sf):
+    lake = fresh(spark, sf, "bronze")
+    raw = read_days(spark, lake.raw_entity("trips"), TRIPS.schema, "0001-01-01", "9999-12-31")
+    append_partitioned(with_audit(raw, F.col("date")).drop("date"), lake.bronze("trips"))
+    bronze = read_table(spark, lake.bronze("trips"), TRIPS.bronze_schema)
+    return bronze.groupBy("ingest_date", "_batch_id", "_source").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("_ingested_at").alias("stamped"),
+        F.count("rider_id").alias("riders"),
+        F.sum(F.col("fare_vnd").cast("bigint")).alias("fare_vnd"),
+        F.date_format(F.max("request_time"), "yyyy-MM-dd HH:mm:ss").alias("last_request"),
+    )
+
+
+def bronze_day(spark, sf):
+    lake, _ = filled_lake(spark, sf)
+    day = on_day(read_table(spark, lake.bronze("trips"), TRIPS.bronze_schema), ONE_DAY)
+    return day.select("trip_id", "status", "city", "fare_vnd", "ingest_date")
+
+
+def first_trips(spark, sf):
+    lake, _ = filled_lake(spark, sf)
+    silver = read_table(spark, lake.silver("trips"), TRIPS.silver_schema)
+    return sample_rows(silver, "trip_id", 10).select("trip_id", "status", "fare_vnd")
+
+
+def replace_idempotent(spark, sf):
+    """Three writes of all days, the last one without rows for one of them."""
+    path = scratch_dir(spark, "replace")
+    rows = dedupe(batched(spark, sf, "payments"), ["batch_day", "payment_id"])
+    rows = rows.withColumnRenamed("batch_day", "ingest_date")
+    days = [row["date"] for row in raw_day_list(spark, sf)]
+    replace_days(spark, rows, path, days)
+    replace_days(spark, rows, path, days)
+    replace_days(spark, rows.filter(F.col("ingest_date") != ONE_DAY), path, days)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return stored.groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("fare_vnd").cast("bigint")).alias("fare_vnd")
+    )
+
+
+def raw_day_list(spark, sf):
+    """One value per delivered month."""
+    return list_days(spark, raw_lake(spark, sf).raw_entity("payments")).collect()
+
+
+def newest_runs(spark, sf):
+    """A run log with one run per day of trips; the newest 20."""
+    path = scratch_dir(spark, "runs")
+    runs = (
+        load(spark, sf, "v_trips")
+        .groupBy("ingest_date")
+        .agg(F.max("request_time").cast("timestamp").alias("run_at"), F.count("*").alias("n"))
+        .select(
+            F.concat(F.lit("run-"), "ingest_date").alias("id"),
+            "run_at",
+            F.col("ingest_date").alias("target_date"),
+            F.lit("medallion_daily").alias("dag_id"),
+            F.when(F.col("n") % 5 == 0, "failed").otherwise("success").alias("status"),
+        )
+    )
+    runs.write.mode("append").parquet(path)
+    newest = latest_runs(read_table(spark, path, RUNS_SCHEMA), 20)
+    return newest.withColumn("run_at", F.date_format("run_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+# --- jobs ----------------------------------------------------------------------------------------
+
+
+def daily_run(spark, sf):
+    """Both layers for one delivered month, and the run log it leaves."""
+    lake = fresh(spark, sf, "daily")
+    done = {
+        **run_day(spark, lake, ONE_DAY, (TRIPS, PAYMENTS)),
+        **run_day(spark, lake, RATINGS_DAY, (RATINGS,)),
+    }
+    parts = None
+    for name, (landed, split) in done.items():
+        entity = ENTITIES[name]
+        silver = read_table(spark, lake.silver(name), entity.silver_schema)
+        rejected = read_table(spark, lake.quarantine(name), entity.quarantine_schema)
+        both = silver.select(
+            "_silver_at", F.lit("valid").alias("layer"), F.lit("none").alias("reason")
+        ).unionByName(
+            rejected.select(
+                "_silver_at",
+                F.lit("quarantine").alias("layer"),
+                F.col("quarantine_reason").alias("reason"),
+            )
+        )
+        counted = both.groupBy("layer", "reason").agg(
+            F.count("_silver_at").alias("n"),
+        )
+        one = counted.select(
+            F.lit(name).alias("entity"),
+            "layer",
+            "reason",
+            "n",
+            F.lit(landed.written).cast("bigint").alias("landed"),
+            F.lit(split.evaluated).cast("bigint").alias("evaluated"),
+        )
+        parts = one if parts is None else parts.unionByName(one)
+    return parts
+
+
+def backfill(spark, sf):
+    return filled_lake(spark, sf)[1]
+
+
+def _stored(name: str, layer: str):
+    def run(spark, sf):
+        lake, _ = filled_lake(spark, sf)
+        entity = ENTITIES[name]
+        if layer == "valid":
+            rows = read_table(spark, lake.silver(name), entity.silver_schema)
+        else:
+            rows = read_table(spark, lake.quarantine(name), entity.quarantine_schema)
+        return rows.select(
+            "ingest_date",
+            F.coalesce(entity.key, F.lit("null")).alias("key"),
+            F.date_format(EVENT_TIME[name], "yyyy-MM-dd HH:mm:ss").alias("at"),
+        )
+
+    return run
+
+
+def _stored_sql(name: str, layer: str) -> str:
+    return oracle(f"""SELECT batch_day AS ingest_date,
+  coalesce({ENTITIES[name].key}, 'null') AS key,
+  strftime({EVENT_TIME[name]}, '%Y-%m-%d %H:%M:%S') AS at
+FROM ({deduped_sql(name)}) d WHERE {'' if layer == 'valid' else 'NOT '}{passes_sql(name)}""")
+
+
+def medallion_flow(spark, sf):
+    """Trips from raw lines to Silver; valid trips per status."""
+    lake, _ = filled_lake(spark, sf)
+    silver = read_table(spark, lake.silver("trips"), TRIPS.silver_schema)
+    return silver.groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("fare_vnd").cast("bigint")).alias("fare_vnd")
+    )
+
+
+def recon_raw_bronze(spark, sf):
+    """Raw by the comparison rules against Bronze as it is: days with bad rows show up."""
+    lake, _ = filled_lake(spark, sf)
+    raw = read_days(
+        spark, lake.raw_entity("payments"), PAYMENTS.schema, "0001-01-01", "9999-12-31"
+    ).withColumnRenamed("date", "ingest_date")
+    bronze = read_table(spark, lake.bronze("payments"), PAYMENTS.bronze_schema)
+    return reconcile_counts(raw, bronze, raw_filter=recon_filter(PAYMENTS, "ingest_date"))
+
+
+def _backfill_sql() -> str:
+    spans = {name: (FIRST_DAY, N_DAYS) for name in ("trips", "payments")}
+    spans["ratings"] = (RATINGS_DAY, 31)
+    parts = []
+    for name, (first, n_days) in spans.items():
+        parts.append(f"""SELECT '{name}' AS entity, day AS ingest_date,
+  (SELECT count(*) FROM ({batched_sql(name)}) b WHERE b.batch_day = day) AS bronze_rows,
+  (SELECT count(*) FROM ({deduped_sql(name)}) d
+    WHERE d.batch_day = day AND {passes_sql(name)}) AS valid_rows,
+  (SELECT count(*) FROM ({deduped_sql(name)}) d
+    WHERE d.batch_day = day AND NOT {passes_sql(name)}) AS quarantine_rows
+FROM (SELECT CAST(DATE '{first}' + CAST(i AS INT) AS VARCHAR) AS day
+  FROM (SELECT unnest(range({n_days})) AS i) r) days""")
+    return oracle("\nUNION ALL\n".join(parts))
+
+
+def _daily_sql() -> str:
+    parts = []
+    for name in ENTITIES:
+        day = RATINGS_DAY if name == "ratings" else ONE_DAY
+        for layer, reason, condition in (
+            ("valid", "none", ""),
+            ("quarantine", "Failed Data Quality Checks at Silver Layer", "NOT "),
+        ):
+            parts.append(f"""SELECT '{name}' AS entity, '{layer}' AS layer, '{reason}' AS reason,
+  (SELECT count(*) FROM ({batched_sql(name)}) b WHERE batch_day = '{day}') AS landed,
+  count(*) AS evaluated, count(*) FILTER (WHERE {condition}{passes_sql(name)}) AS n
+FROM ({deduped_sql(name)}) d WHERE batch_day = '{day}'""")
+    return oracle("\nUNION ALL\n".join(parts))
+
+
+QUERIES = {
+    "medallion_flow": Query(
+        medallion_flow,
+        oracle(f"""SELECT status, count(*) AS n, CAST(sum(fare_vnd) AS BIGINT) AS fare_vnd
+FROM ({deduped_sql('trips')}) d WHERE {SILVER_SQL['trips']} GROUP BY status"""),
+    ),
+    "list_days": Query(
+        raw_days, oracle(f"SELECT DISTINCT batch_day AS date FROM ({batched_sql('trips')}) b")
+    ),
+    "jsonl_typed": Query(
+        jsonl_typed,
+        oracle("""SELECT rating_id, coalesce(CAST(stars AS VARCHAR), 'null') AS stars,
+  coalesce(tags, 'null') AS tags, strftime(rated_at, '%Y-%m-%d %H:%M:%S.%f') AS rated_at
+FROM {v_ratings}"""),
+    ),
+    "jsonl_inferred": Query(
+        jsonl_inferred,
+        oracle("""SELECT status, 'bigint' AS fare_type, 'string' AS time_type,
+  '1.0' AS schema_version, count(*) AS n, CAST(sum(fare_vnd) AS BIGINT) AS fare_vnd,
+  max(strftime(time_bucket(INTERVAL '15 minutes', request_time), '%Y%m%d_%H%M')) AS last_batch
+FROM {v_trips} GROUP BY status"""),
+    ),
+    "bronze_roundtrip": Query(
+        bronze_roundtrip,
+        oracle(f"""SELECT batch_day AS ingest_date, batch_day AS _batch_id,
+  'simulator' AS _source, count(*) AS n, count(*) AS stamped, count(rider_id) AS riders,
+  CAST(sum(fare_vnd) AS BIGINT) AS fare_vnd,
+  strftime(max(request_time), '%Y-%m-%d %H:%M:%S') AS last_request
+FROM ({batched_sql('trips')}) b GROUP BY batch_day"""),
+    ),
+    "bronze_day": Query(
+        bronze_day,
+        oracle(f"""SELECT trip_id, status, city, fare_vnd, batch_day AS ingest_date
+FROM ({batched_sql('trips')}) b WHERE batch_day = '{ONE_DAY}'"""),
+    ),
+    "sample_rows": Query(
+        first_trips,
+        oracle(f"""SELECT trip_id, status, fare_vnd FROM ({deduped_sql('trips')}) d
+WHERE {SILVER_SQL['trips']} ORDER BY trip_id LIMIT 10"""),
+    ),
+    "replace_idempotent": Query(
+        replace_idempotent,
+        oracle(f"""SELECT batch_day AS ingest_date, count(*) AS n,
+  CAST(sum(fare_vnd) AS BIGINT) AS fare_vnd
+FROM ({deduped_sql('payments')}) d WHERE batch_day <> '{ONE_DAY}' GROUP BY batch_day"""),
+    ),
+    "latest_runs": Query(
+        newest_runs,
+        oracle("""SELECT 'run-' || ingest_date AS id,
+  strftime(max(request_time), '%Y-%m-%d %H:%M:%S') AS run_at, ingest_date AS target_date,
+  'medallion_daily' AS dag_id,
+  CASE WHEN count(*) % 5 = 0 THEN 'failed' ELSE 'success' END AS status
+FROM {v_trips} GROUP BY ingest_date ORDER BY max(request_time) DESC, id LIMIT 20"""),
+    ),
+    "daily_run": Query(daily_run, _daily_sql()),
+    "backfill": Query(backfill, _backfill_sql()),
+    **{
+        f"backfill_{name}_{layer}": Query(_stored(name, layer), _stored_sql(name, layer))
+        for name in ENTITIES
+        for layer in ("valid", "quarantine")
+    },
+    "recon_raw_bronze": Query(
+        recon_raw_bronze,
+        oracle(f"""WITH r AS (SELECT batch_day, count(*) AS n FROM ({deduped_sql('payments')}) d
+  WHERE {RECON_SQL['payments']} GROUP BY batch_day),
+s AS (SELECT batch_day, count(*) AS n FROM ({batched_sql('payments')}) b GROUP BY batch_day)
+SELECT coalesce(r.batch_day, s.batch_day) AS ingest_date, coalesce(r.n, 0) AS raw_rows,
+  coalesce(s.n, 0) AS stored_rows, coalesce(r.n, 0) - coalesce(s.n, 0) AS difference
+FROM r FULL JOIN s ON r.batch_day = s.batch_day WHERE coalesce(r.n, 0) <> coalesce(s.n, 0)"""),
+    ),
+}

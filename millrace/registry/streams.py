@@ -1 +1,95 @@
-QUERIES = {}
+"""Streaming jobs over the whole raw lines, read back as tables and compared with the batch SQL."""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from millrace.entities import ENTITIES, PAYMENTS, TRIPS
+from millrace.lake import Lake
+from millrace.registry import Query
+from millrace.registry.lakes import batched_sql, fresh
+from millrace.registry.tables import SILVER_SQL
+from millrace.registry.views import oracle
+from millrace.sources import read_table
+from millrace.streaming import start_demand, start_ingest, start_silver
+
+
+@cache
+def _landed(app: str, sf: str, name: str) -> Lake:
+    spark = SparkSession.getActiveSession()
+    lake = fresh(spark, sf, "stream")
+    start_ingest(spark, lake, ENTITIES[name]).awaitTermination()
+    return lake
+
+
+def landed(spark: SparkSession, sf: str, name: str) -> Lake:
+    """A lake whose Bronze was filled by the ingest stream, once per application."""
+    return _landed(spark.sparkContext.applicationId, sf, name)
+
+
+def _verdicts(spark, lake, entity):
+    silver = read_table(spark, lake.silver(entity.name), entity.silver_schema)
+    rejected = read_table(spark, lake.quarantine(entity.name), entity.quarantine_schema)
+    return silver.select(entity.key, F.lit("valid").alias("layer")).unionByName(
+        rejected.select(entity.key, F.lit("quarantine").alias("layer"))
+    )
+
+
+def stream_ingest(spark, sf):
+    lake = landed(spark, sf, "payments")
+    bronze = read_table(spark, lake.bronze("payments"), PAYMENTS.bronze_schema)
+    return bronze.groupBy("ingest_date", "_batch_id", "_source").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("_ingested_at").alias("stamped"),
+        F.sum(F.col("fare_vnd").cast("bigint")).alias("fare_vnd"),
+    )
+
+
+def stream_silver(spark, sf):
+    lake = landed(spark, sf, "trips")
+    start_silver(spark, lake, TRIPS).awaitTermination()
+    return _verdicts(spark, lake, TRIPS)
+
+
+def stream_dedupe(spark, sf):
+    lake = landed(spark, sf, "payments")
+    start_silver(spark, lake, PAYMENTS).awaitTermination()
+    return _verdicts(spark, lake, PAYMENTS).select("payment_id")
+
+
+def stream_demand(spark, sf):
+    """Windows that closed; those of the last hour are still open when the input ends."""
+    lake = landed(spark, sf, "trips")
+    start_demand(spark, lake).awaitTermination()
+    counted = spark.read.parquet(f"{lake.root}/demand")
+    return counted.select("batch_id", "city", "status", "n")
+
+
+QUERIES = {
+    "stream_ingest": Query(
+        stream_ingest,
+        oracle(f"""SELECT batch_day AS ingest_date, batch_day AS _batch_id,
+  'simulator' AS _source, count(*) AS n, count(*) AS stamped,
+  CAST(sum(fare_vnd) AS BIGINT) AS fare_vnd
+FROM ({batched_sql('payments')}) b GROUP BY batch_day"""),
+    ),
+    "stream_silver": Query(
+        stream_silver,
+        oracle(f"""SELECT trip_id, CASE WHEN coalesce({SILVER_SQL['trips']}, false)
+  THEN 'valid' ELSE 'quarantine' END AS layer FROM {{v_trips}}"""),
+    ),
+    "stream_dedupe": Query(
+        stream_dedupe, oracle("SELECT DISTINCT payment_id FROM {v_payments}")
+    ),
+    "stream_demand": Query(
+        stream_demand,
+        oracle("""SELECT strftime(w, '%Y%m%d_%H%M') AS batch_id, city, status, count(*) AS n
+FROM (SELECT time_bucket(INTERVAL '15 minutes', request_time) AS w, city, status FROM {v_trips}) t
+WHERE w + INTERVAL '15 minutes' <=
+  (SELECT date_trunc('millisecond', max(request_time)) - INTERVAL '1 hour' FROM {v_trips})
+GROUP BY ALL"""),
+    ),
+}
