@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.lake import checked_day
-from millrace.sources.tables import LOG_FORMATS, read_table
+from millrace.sources.partitions import partition_values
+from millrace.sources.tables import LOG_FORMATS
 
 DAY = "ingest_date"
 MICRO_BATCH = "_micro_batch"
@@ -78,9 +79,9 @@ def _clear_days(spark, df, path, unwritten: set[str], fmt) -> None:
     """A dynamic overwrite leaves days without new rows as they were; empty those that exist."""
     if not unwritten:
         return
-    stored = read_table(spark, path, df.schema, fmt, missing_ok=True)
     span = F.col(DAY).between(min(unwritten), max(unwritten))
-    stale = {row[DAY] for row in stored.filter(span).select(DAY).distinct().toLocalIterator()}
+    stored = partition_values(spark, path, DAY).filter(span)
+    stale = {row[DAY] for row in stored.toLocalIterator()}
     for day in sorted(stale & unwritten):
         replace_day(df.limit(0), path, day, fmt)
 

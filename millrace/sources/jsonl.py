@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from millrace.sources.partitions import partition_values
+
 RAW_DAY = "date"
 
 
@@ -28,12 +30,5 @@ def read_days(
 
 
 def list_days(spark: SparkSession, root: str) -> DataFrame:
-    """The days that have a folder below ``root``, ascending.
-
-    The binary reader makes one row per file and opens no file when only the partition column is
-    asked for, so no line is parsed to learn the days.
-    """
-    files = spark.read.format("binaryFile").load(root)
-    return (
-        files.select(F.col(RAW_DAY).cast("string").alias(RAW_DAY)).distinct().orderBy(RAW_DAY)
-    )
+    """The days that have a folder with data below ``root``, ascending."""
+    return partition_values(spark, root, RAW_DAY).orderBy(RAW_DAY)
