@@ -16,4 +16,4 @@ def haversine_km(lat1: str, lng1: str, lat2: str, lng2: str) -> Column:
         F.radians(F.col(lat2))
     ) * F.pow(F.sin(half_lng), F.lit(2.0))
     # Rounding can push the chord of two opposite points just above 1.
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.when(chord > 1.0, 1.0).otherwise(chord)))

@@ -35,6 +35,11 @@ def _seconds(start: str, end: str) -> Column:
     return F.timestamp_diff("SECOND", F.col(start), F.col(end))
 
 
+def _no_less(value: Column, lowest: float) -> Column:
+    """``value``, but never below ``lowest``. Unlike ``greatest``, null stays null."""
+    return F.when(value < lowest, F.lit(lowest)).otherwise(value)
+
+
 def _is(status: str) -> Column:
     return F.col("status") == status
 
@@ -44,9 +49,7 @@ def distance_rules(tolerance_km: float = 0.01) -> tuple[Rule, ...]:
 
     def plausible() -> Column:
         direct = haversine_km("pickup_lat", "pickup_lng", "dropoff_lat", "dropoff_lng")
-        low, high = (
-            F.greatest(direct * factor, F.lit(SHORTEST_TRIP_KM)) for factor in DETOUR_FACTORS
-        )
+        low, high = (_no_less(direct * factor, SHORTEST_TRIP_KM) for factor in DETOUR_FACTORS)
         return F.col("distance_km").between(low - tolerance_km, high + tolerance_km)
 
     return (Rule("distance_plausible", plausible),)
@@ -87,9 +90,7 @@ def fare_rules() -> tuple[Rule, ...]:
         surge = F.when(F.hour("request_time").isin(list(SURGE_HOURS)), SURGE_FACTOR).otherwise(1.0)
         middle = (BASE_FARE + F.col("distance_km") * FARE_PER_KM) * surge
         low, high = (
-            F.greatest(
-                F.bround(middle * factor / FARE_STEP) * FARE_STEP, F.lit(float(LOWEST_FARE))
-            )
+            _no_less(F.bround(middle * factor / FARE_STEP) * FARE_STEP, float(LOWEST_FARE))
             for factor in FARE_SPREAD
         )
         fare = F.col("fare_vnd")
@@ -118,7 +119,7 @@ def payment_rules(rates: Mapping[str, float] = PROMO_RATES) -> tuple[Rule, ...]:
         return F.col("discount_vnd") == cut(F.col("fare_vnd") * discount_rate(rates=rates))
 
     def final() -> Column:
-        due = F.greatest(F.col("fare_vnd") - F.col("discount_vnd"), F.lit(LOWEST_FINAL_AMOUNT))
+        due = _no_less(F.col("fare_vnd") - F.col("discount_vnd"), LOWEST_FINAL_AMOUNT)
         amount = F.col("final_amount_vnd")
         return F.when(F.col("payment_status") == "success", amount == due).otherwise(amount == 0)
 

@@ -60,11 +60,12 @@ def replace_days(
         writer = rows.write.option("replaceWhere", span)
         writer.format(fmt).mode("overwrite").partitionBy(DAY).save(path)
         return
-    written = Observation()
-    # At most one value per requested day, so the observed set stays as small as the request.
-    rows = rows.observe(written, F.collect_set(DAY).alias("days"))
     if gather:
         rows = rows.hint("rebalance", F.col(DAY))
+    # Observed above the exchange: below it, AQE drops the metrics along with an empty input. At
+    # most one value per requested day, so the set stays as small as the request.
+    written = Observation()
+    rows = rows.observe(written, F.collect_set(DAY).alias("days"))
     (
         rows.write.format(fmt)
         .mode("overwrite")
@@ -72,7 +73,7 @@ def replace_days(
         .partitionBy(DAY)
         .save(path)
     )
-    _clear_days(spark, rows, path, set(days) - set(written.get.get("days") or ()), fmt)
+    _clear_days(spark, rows, path, set(days) - set(written.get["days"]), fmt)
 
 
 def _clear_days(spark, df, path, unwritten: set[str], fmt) -> None:

@@ -13,4 +13,6 @@ def partition_values(spark: SparkSession, root: str, column: str) -> DataFrame:
     asked for, so neither lines nor footers are read.
     """
     files = spark.read.format("binaryFile").load(root)
+    if column not in files.columns:  # the folder exists, but holds no partition yet
+        return spark.createDataFrame([], f"{column} string")
     return files.select(F.col(column).cast("string").alias(column)).distinct()

@@ -1,0 +1,293 @@
+from __future__ import annotations
+
+import math
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import tuples
+from millrace.functions.geo import haversine_km
+from millrace.operators import rides
+from millrace.operators.quality import audit
+
+NOON = datetime(2026, 3, 21, 12, 0, 0)
+
+
+def failed(df, rules):
+    return {r.id: list(r.failed_rules) for r in audit(df, rules).collect()}
+
+
+def direct(lat1, lng1, lat2, lng2):
+    p1, p2 = math.radians(lat1), math.radians(lat2)
+    cosine = math.sin(p1) * math.sin(p2) + math.cos(p1) * math.cos(p2) * math.cos(
+        math.radians(lng2 - lng1)
+    )
+    return 6371.0 * math.acos(max(-1.0, min(1.0, cosine)))
+
+
+def test_haversine_against_the_law_of_cosines(spark):
+    points = [
+        (10.7769, 106.7009, 21.0285, 105.8542),
+        (0.0, 0.0, 0.0, 180.0),
+        (90.0, 0.0, -90.0, 0.0),
+        (10.0, 20.0, 10.0, 20.0),
+        (-33.9, 151.2, 51.5, -0.1),
+    ]
+    df = spark.createDataFrame(points, "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(haversine_km("a", "b", "c", "d")).collect()]
+    # The law of cosines itself is off by some centimetres for equal points.
+    assert got == pytest.approx([direct(*p) for p in points], abs=1e-3)
+    assert got[3] == 0.0
+    empty = spark.createDataFrame([(None, 1.0, 1.0, 1.0)], df.schema)
+    assert empty.select(haversine_km("a", "b", "c", "d")).first()[0] is None
+
+
+def test_distance_band(spark):
+    km = direct(10.70, 106.60, 10.75, 106.65)
+    rows = [
+        ("low", 0.05, round(1.3 * km, 2)),
+        ("high", 0.05, round(1.5 * km, 2)),
+        ("below", 0.05, 1.3 * km - 0.02),
+        ("above", 0.05, 1.5 * km + 0.02),
+        ("floor", 0.0, 0.5),
+        ("under floor", 0.0, 0.4),
+        ("null", 0.05, None),
+        ("nan", 0.05, float("nan")),
+        ("no place", None, 0.5),
+    ]
+    df = spark.createDataFrame(rows, "id string, d double, distance_km double").withColumns(
+        {
+            "pickup_lat": F.lit(10.70),
+            "pickup_lng": F.lit(106.60),
+            "dropoff_lat": 10.70 + F.col("d"),
+            "dropoff_lng": 106.60 + F.col("d"),
+        }
+    )
+    assert set(failed(df, rides.distance_rules())) == {
+        "below",
+        "above",
+        "under floor",
+        "null",
+        "nan",
+        "no place",
+    }
+
+
+def trip(name, status, driver="D", wait=100, ride=10, duration=10):
+    pickup = None if wait is None else NOON + timedelta(seconds=wait)
+    dropoff = None if ride is None else pickup + timedelta(minutes=ride)
+    return (name, status, driver, NOON, pickup, dropoff, duration)
+
+
+TRIP = (
+    "id string, status string, driver_id string, request_time timestamp, pickup_time timestamp, "
+    "dropoff_time timestamp, duration_min int"
+)
+
+
+def test_lifecycle(spark):
+    rows = [
+        trip("completed", "completed"),
+        trip("edge", "completed", wait=480),
+        trip("too early", "completed", wait=89),
+        trip("too late", "completed", wait=481),
+        trip("wrong duration", "completed", ride=11),
+        trip("no driver id", "completed", driver=None),
+        trip("cancelled", "cancelled", wait=30, ride=None, duration=None),
+        trip("cancelled late", "cancelled", wait=181, ride=None, duration=None),
+        trip("cancelled but driven", "cancelled", ride=5, duration=5),
+        trip("nobody", "no_driver", driver=None, wait=None, ride=None, duration=None),
+        trip("nobody picked up", "no_driver", driver=None, ride=None, duration=None),
+        trip("unknown", "odd", driver=None, wait=None, ride=None, duration=None),
+        trip("null", None, driver=None, wait=None, ride=None, duration=None),
+    ]
+    got = failed(spark.createDataFrame(rows, TRIP), rides.lifecycle_rules())
+    assert {k: v for k, v in got.items() if k != "null"} == {
+        "too early": ["wait_in_band"],
+        "too late": ["wait_in_band"],
+        "wrong duration": ["ride_takes_duration"],
+        "no driver id": ["driver_fits_status"],
+        "cancelled late": ["wait_in_band"],
+        "cancelled but driven": ["dropoff_fits_status", "duration_fits_status"],
+        "nobody picked up": ["pickup_fits_status"],
+        "unknown": ["status_known", "driver_fits_status", "pickup_fits_status", "wait_in_band"],
+    }
+    assert "status_known" in got["null"]
+
+
+def test_lifecycle_on_zone_less_times(spark):
+    rows = [trip("completed", "completed"), trip("too late", "completed", wait=481)]
+    df = spark.createDataFrame(rows, TRIP)
+    for column in ("request_time", "pickup_time", "dropoff_time"):
+        df = df.withColumn(column, F.col(column).cast("timestamp_ntz"))
+    assert set(failed(df, rides.lifecycle_rules())) == {"too late"}
+
+
+def fare(name, km, amount, hour=12, status="completed"):
+    return (name, status, NOON.replace(hour=hour), km, amount)
+
+
+def test_fare_band(spark):
+    rows = [
+        # 10 km: 67,000, so 60.3 and 73.7 thousand round to 60 and 74 thousand.
+        fare("low", 10.0, 60_000),
+        fare("high", 10.0, 74_000),
+        fare("below", 10.0, 59_000),
+        fare("above", 10.0, 75_000),
+        # The same trip in a surge hour: 87,100, so 78 to 96 thousand.
+        fare("surge", 10.0, 96_000, hour=17),
+        fare("surge low", 10.0, 74_000, hour=7),
+        fare("after surge", 10.0, 96_000, hour=20),
+        # 0.5 km: 14,750; both ends lie below or near the lowest fare.
+        fare("lowest", 0.5, 15_000),
+        fare("under lowest", 0.5, 14_000),
+        fare("negated", 10.0, -67_000),
+        fare("free", 10.0, 0, status="cancelled"),
+        fare("not free", 10.0, 1, status="cancelled"),
+        fare("no distance", None, 15_000),
+    ]
+    schema = "id string, status string, request_time timestamp, distance_km double, fare_vnd int"
+    assert set(failed(spark.createDataFrame(rows, schema), rides.fare_rules())) == {
+        "below",
+        "above",
+        "surge low",
+        "after surge",
+        "under lowest",
+        "negated",
+        "not free",
+        "no distance",
+    }
+
+
+def test_fare_band_rounds_half_to_even(spark):
+    # 25,000 times 0.9 is 22.5 thousand: the lower end is 22, where rounding half up gives 23.
+    km = (25_000 - 12_000) / 5_500
+    assert (12_000 + km * 5_500) * 0.9 / 1_000 == 22.5
+    schema = "id string, status string, request_time timestamp, distance_km double, fare_vnd int"
+    rows = [fare("low", km, 22_000), fare("below", km, 21_000)]
+    assert set(failed(spark.createDataFrame(rows, schema), rides.fare_rules())) == {"below"}
+
+
+PAYMENT = (
+    "id string, fare_vnd int, promo_code string, discount_vnd int, final_amount_vnd int, "
+    "payment_status string, platform_fee_vnd int, driver_earning_vnd int"
+)
+
+
+def test_payment_arithmetic(spark):
+    rows = [
+        ("plain", 50_001, None, 0, 50_001, "success", 10_000, 40_000),
+        ("ride10", 33_333, "RIDE10", 3_333, 30_000, "success", 6_000, 24_000),
+        ("grab20", 50_000, "GRAB20", 10_000, 40_000, "success", 8_000, 32_000),
+        ("newuser30", 50_000, "NEWUSER30", 15_000, 35_000, "success", 7_000, 28_000),
+        ("other code", 50_000, "OTHER", 0, 50_000, "success", 10_000, 40_000),
+        ("least", 15_000, "NEWUSER30", 4_500, 10_500, "success", 2_100, 8_400),
+        ("negative fare", -15_000, "RIDE10", -1_500, 10_000, "success", 2_000, 8_000),
+        ("refunded", 50_000, None, 0, 0, "refunded", 0, 0),
+        ("negated", 50_000, None, 0, -50_001, "success", -10_000, -40_000),
+        ("wrong discount", 50_000, "RIDE10", 5_001, 44_999, "success", 8_999, 35_999),
+        ("paid refund", 50_000, None, 0, 50_000, "refunded", 10_000, 40_000),
+        ("wrong shares", 50_000, None, 0, 50_000, "success", 10_001, 39_999),
+        ("null", None, None, None, None, None, None, None),
+        ("no discount", 50_000, None, None, 10_000, "success", 2_000, 8_000),
+    ]
+    got = failed(spark.createDataFrame(rows, PAYMENT), rides.payment_rules())
+    assert got == {
+        "negated": ["final_follows_fare"],
+        "wrong discount": ["discount_follows_promo"],
+        "paid refund": ["final_follows_fare"],
+        "wrong shares": ["fee_is_share", "earning_is_share"],
+        "no discount": ["discount_follows_promo", "final_follows_fare"],
+        "null": [
+            "discount_follows_promo",
+            "final_follows_fare",
+            "fee_is_share",
+            "earning_is_share",
+        ],
+    }
+
+
+def test_other_promo_rates(spark):
+    df = spark.createDataFrame([("A",), ("B",), (None,)], "promo_code string")
+    rates = [r[0] for r in df.select(rides.discount_rate(rates={"A": 0.5})).collect()]
+    assert rates == [0.5, 0.0, 0.0]
+    assert [r[0] for r in df.select(rides.discount_rate(rates={})).collect()] == [0.0] * 3
+
+
+def test_time_bounds_with_repeated_trips(spark):
+    end = NOON
+    trips = spark.createDataFrame(
+        [("t1", end), ("t1", end), ("t2", None), (None, end)],
+        "trip_id string, dropoff_time timestamp",
+    )
+    paid = spark.createDataFrame(
+        [
+            (i, trip_id, end + timedelta(seconds=s))
+            for i, (trip_id, s) in enumerate(
+                [("t1", 2), ("t1", 30), ("t1", 1), ("t1", 31), ("t2", 99), (None, 99), ("t9", 99)]
+            )
+        ],
+        "id int, trip_id string, payment_time timestamp",
+    )
+    late = rides.audit_against_trips(paid, trips, rides.payment_time_rules())
+    assert tuples(late, "id") == [(2,), (3,)]
+    rated = spark.createDataFrame(
+        [
+            (i, "t1", rater, end + timedelta(seconds=s))
+            for i, (rater, s) in enumerate(
+                [
+                    ("rider", 60),
+                    ("rider", 1_800),
+                    ("rider", 1_801),
+                    ("driver", 3_600),
+                    ("driver", 3_601),
+                    ("driver", 59),
+                    ("system", 60),
+                ]
+            )
+        ],
+        "id int, trip_id string, rater_type string, rated_at timestamp",
+    )
+    late = rides.audit_against_trips(rated, trips, rides.rating_time_rules())
+    assert tuples(late, "id") == [(2,), (4,), (5,), (6,)]
+
+
+def test_tags(spark):
+    df = spark.createDataFrame(
+        [("a|b", 5), ("a", 4), ("a", 3), (None, 5), ("b", None)], "tags string, stars int"
+    )
+    assert tuples(rides.tag_counts(df)) == [
+        ("a", False, 1),
+        ("a", True, 2),
+        ("b", None, 1),
+        ("b", True, 1),
+    ]
+
+
+def test_demand_windows(spark):
+    times = [NOON, NOON + timedelta(minutes=14, seconds=59), NOON + timedelta(minutes=15)]
+    df = spark.createDataFrame(
+        [(t, "HCMC", "completed") for t in times], "at timestamp, city string, status string"
+    )
+    assert tuples(rides.demand(df, "at"), "batch_id", "n") == [
+        ("20260321_1200", 2),
+        ("20260321_1215", 1),
+    ]
+    assert tuples(rides.demand(df, "at", by=()), "n") == [(1,), (2,)]
+
+
+def test_supply(spark):
+    flags = [1 if h in (0, 23) else 0 for h in range(24)]
+    df = spark.createDataFrame(
+        [("HCMC", True, flags), ("HCMC", True, [1] * 24), ("HCMC", False, [1] * 24)],
+        "city string, is_active boolean, online_hours array<int>",
+    )
+    supply = {r.hour: r.n_drivers for r in rides.supply_by_hour(df).collect()}
+    assert supply == {h: 2 if h in (0, 23) else 1 for h in range(24)}
+
+
+def test_daily_volumes(spark):
+    day = spark.createDataFrame([("d1",), ("d1",), ("d2",)], "ingest_date string")
+    volumes = rides.daily_volumes({"trips": day, "payments": day.limit(0)})
+    assert tuples(volumes) == [("trips", "d1", 2), ("trips", "d2", 1)]
