@@ -53,5 +53,9 @@ def passes(rules: Sequence[Rule]) -> Column:
 
 
 def failed_rules(rules: Sequence[Rule]) -> Column:
-    """Names of the rules a row breaks, in rule order."""
-    return F.array_compact(F.array(*[F.when(~holds(r), F.lit(r.name)) for r in rules]))
+    """Names of the rules a row breaks, in rule order.
+
+    Joined and split again, as dropping nulls from an array would take the stage out of codegen.
+    """
+    broken = F.concat_ws(",", *[F.when(~holds(r), F.lit(r.name)) for r in rules])
+    return F.when(broken == "", F.array().cast("array<string>")).otherwise(F.split(broken, ","))

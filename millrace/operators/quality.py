@@ -52,5 +52,8 @@ def violation_profile(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def audit(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """The rows that break a rule, with the names of the rules they break."""
-    return df.withColumn("failed_rules", failed_rules(rules)).filter(F.size("failed_rules") > 0)
+    """The rows that break a rule, with the names of the rules they break.
+
+    Filtered by the plain verdict first, so that names are made for failing rows only.
+    """
+    return df.filter(~passes(rules)).withColumn("failed_rules", failed_rules(rules))

@@ -6,8 +6,6 @@ the check writes some hundred partitions instead of thousands.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ from millrace.operators.stamps import with_audit
 from millrace.plans import reconcile_counts, recon_filter, run_day, run_range
 from millrace.registry import Query
 from millrace.registry.tables import RECON_SQL, SILVER_SQL
-from millrace.registry.views import load, oracle
+from millrace.registry.views import load, once, oracle
 from millrace.session import scratch_dir
 from millrace.sinks import append_partitioned, replace_days, sample_rows, write_day_jsonl
 from millrace.sources import (
@@ -60,9 +58,8 @@ def passes_sql(name: str) -> str:
     return f"coalesce({SILVER_SQL[name]}, false)"
 
 
-@cache
-def _raw_lake(app: str, sf: str) -> Lake:
-    spark = SparkSession.getActiveSession()
+def raw_lake(spark: SparkSession, sf: str) -> Lake:
+    """Raw lines of all entities."""
     base = scratch_dir(spark, "lake")
     lake = Lake(root=f"{base}/filled", raw=f"{base}/raw")
     for name, time_column in EVENT_TIME.items():
@@ -76,39 +73,28 @@ def _raw_lake(app: str, sf: str) -> Lake:
     return lake
 
 
-def raw_lake(spark: SparkSession, sf: str) -> Lake:
-    """Raw lines of all entities, written once per application."""
-    return _raw_lake(spark.sparkContext.applicationId, sf)
-
-
-@cache
-def _filled(app: str, sf: str) -> tuple[Lake, DataFrame]:
-    spark = SparkSession.getActiveSession()
-    lake = raw_lake(spark, sf)
+def filled_lake(spark: SparkSession, sf: str) -> tuple[Lake, DataFrame]:
+    """The lake after a backfill over every day, and the backfill's counts."""
+    lake = once(raw_lake, spark, sf)
     rides_part = run_range(spark, lake, FIRST_DAY, N_DAYS, (TRIPS, PAYMENTS))
     ratings_part = run_range(spark, lake, RATINGS_DAY, 31, (RATINGS,))
     return lake, rides_part.unionByName(ratings_part)
 
 
-def filled_lake(spark: SparkSession, sf: str) -> tuple[Lake, DataFrame]:
-    """The lake after a backfill over every day, and the backfill's counts."""
-    return _filled(spark.sparkContext.applicationId, sf)
-
-
 def fresh(spark: SparkSession, sf: str, label: str) -> Lake:
     """The shared raw lines, with a folder of its own for the tables."""
-    return Lake(root=scratch_dir(spark, label), raw=raw_lake(spark, sf).raw)
+    return Lake(root=scratch_dir(spark, label), raw=once(raw_lake, spark, sf).raw)
 
 
 # --- scans and sinks -----------------------------------------------------------------------------
 
 
 def raw_days(spark, sf):
-    return list_days(spark, raw_lake(spark, sf).raw_entity("trips"))
+    return list_days(spark, once(raw_lake, spark, sf).raw_entity("trips"))
 
 
 def jsonl_typed(spark, sf):
-    rows = read_jsonl(spark, raw_lake(spark, sf).raw_entity("ratings"), RATINGS.schema)
+    rows = read_jsonl(spark, once(raw_lake, spark, sf).raw_entity("ratings"), RATINGS.schema)
     return rows.select(
         "rating_id",
         F.coalesce(F.col("stars").cast("string"), F.lit("null")).alias("stars"),
@@ -118,7 +104,7 @@ def jsonl_typed(spark, sf):
 
 
 def jsonl_inferred(spark, sf):
-    rows = read_jsonl(spark, raw_lake(spark, sf).raw_entity("trips"))
+    rows = read_jsonl(spark, once(raw_lake, spark, sf).raw_entity("trips"))
     return rows.groupBy(
         "status",
         F.typeof("fare_vnd").alias("fare_type"),
@@ -146,13 +132,13 @@ def bronze_roundtrip(spark, sf):
 
 
 def bronze_day(spark, sf):
-    lake, _ = filled_lake(spark, sf)
+    lake, _ = once(filled_lake, spark, sf)
     day = on_day(read_table(spark, lake.bronze("trips"), TRIPS.bronze_schema), ONE_DAY)
     return day.select("trip_id", "status", "city", "fare_vnd", "ingest_date")
 
 
 def first_trips(spark, sf):
-    lake, _ = filled_lake(spark, sf)
+    lake, _ = once(filled_lake, spark, sf)
     silver = read_table(spark, lake.silver("trips"), TRIPS.silver_schema)
     return sample_rows(silver, "trip_id", 10).select("trip_id", "status", "fare_vnd")
 
@@ -174,7 +160,7 @@ def replace_idempotent(spark, sf):
 
 def raw_day_list(spark, sf):
     """One value per delivered month."""
-    return list_days(spark, raw_lake(spark, sf).raw_entity("payments")).collect()
+    return list_days(spark, once(raw_lake, spark, sf).raw_entity("payments")).collect()
 
 
 def newest_runs(spark, sf):
@@ -237,12 +223,12 @@ def daily_run(spark, sf):
 
 
 def backfill(spark, sf):
-    return filled_lake(spark, sf)[1]
+    return once(filled_lake, spark, sf)[1]
 
 
 def _stored(name: str, layer: str):
     def run(spark, sf):
-        lake, _ = filled_lake(spark, sf)
+        lake, _ = once(filled_lake, spark, sf)
         entity = ENTITIES[name]
         if layer == "valid":
             rows = read_table(spark, lake.silver(name), entity.silver_schema)
@@ -266,7 +252,7 @@ FROM ({deduped_sql(name)}) d WHERE {'' if layer == 'valid' else 'NOT '}{passes_s
 
 def medallion_flow(spark, sf):
     """Trips from raw lines to Silver; valid trips per status."""
-    lake, _ = filled_lake(spark, sf)
+    lake, _ = once(filled_lake, spark, sf)
     silver = read_table(spark, lake.silver("trips"), TRIPS.silver_schema)
     return silver.groupBy("status").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("fare_vnd").cast("bigint")).alias("fare_vnd")
@@ -275,7 +261,7 @@ def medallion_flow(spark, sf):
 
 def recon_raw_bronze(spark, sf):
     """Raw by the comparison rules against Bronze as it is: days with bad rows show up."""
-    lake, _ = filled_lake(spark, sf)
+    lake, _ = once(filled_lake, spark, sf)
     raw = read_days(
         spark, lake.raw_entity("payments"), PAYMENTS.schema, "0001-01-01", "9999-12-31"
     ).withColumnRenamed("date", "ingest_date")

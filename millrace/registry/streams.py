@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -12,24 +10,18 @@ from millrace.lake import Lake
 from millrace.registry import Query
 from millrace.registry.lakes import batched_sql, fresh
 from millrace.registry.tables import SILVER_SQL
-from millrace.registry.views import oracle
+from millrace.registry.views import once, oracle
 from millrace.sources import read_table
 from millrace.streaming import start_demand, start_ingest, start_silver
 
 
-@cache
-def _landed(app: str, sf: str, name: str) -> Lake:
-    spark = SparkSession.getActiveSession()
+def landed(spark: SparkSession, sf: str, name: str) -> Lake:
+    """A lake whose Bronze was filled by the ingest stream."""
     lake = fresh(spark, sf, "stream")
     start_ingest(spark, lake, ENTITIES[name]).awaitTermination()
     return lake
 
 
-def landed(spark: SparkSession, sf: str, name: str) -> Lake:
-    """A lake whose Bronze was filled by the ingest stream, once per application."""
-    return _landed(spark.sparkContext.applicationId, sf, name)
-
-
 def _verdicts(spark, lake, entity):
     silver = read_table(spark, lake.silver(entity.name), entity.silver_schema)
     rejected = read_table(spark, lake.quarantine(entity.name), entity.quarantine_schema)
@@ -39,7 +31,7 @@ def _verdicts(spark, lake, entity):
 
 
 def stream_ingest(spark, sf):
-    lake = landed(spark, sf, "payments")
+    lake = once(landed, spark, sf, "payments")
     bronze = read_table(spark, lake.bronze("payments"), PAYMENTS.bronze_schema)
     return bronze.groupBy("ingest_date", "_batch_id", "_source").agg(
         F.count(F.lit(1)).alias("n"),
@@ -49,20 +41,20 @@ def stream_ingest(spark, sf):
 
 
 def stream_silver(spark, sf):
-    lake = landed(spark, sf, "trips")
+    lake = once(landed, spark, sf, "trips")
     start_silver(spark, lake, TRIPS).awaitTermination()
     return _verdicts(spark, lake, TRIPS)
 
 
 def stream_dedupe(spark, sf):
-    lake = landed(spark, sf, "payments")
+    lake = once(landed, spark, sf, "payments")
     start_silver(spark, lake, PAYMENTS).awaitTermination()
     return _verdicts(spark, lake, PAYMENTS).select("payment_id")
 
 
 def stream_demand(spark, sf):
     """Windows that closed; those of the last hour are still open when the input ends."""
-    lake = landed(spark, sf, "trips")
+    lake = once(landed, spark, sf, "trips")
     start_demand(spark, lake).awaitTermination()
     counted = spark.read.parquet(f"{lake.root}/demand")
     return counted.select("batch_id", "city", "status", "n")

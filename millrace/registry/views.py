@@ -7,9 +7,12 @@ events. Faults are spread by modulus. ``{name}`` stands for a table or another v
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.session import scratch_dir
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -132,16 +135,45 @@ FROM {supplier}""",
 }
 
 
+_BUILT: dict[tuple, object] = {}
+
+
 def _needs(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", text)))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table or a derived view."""
+    """A test table, or a derived view as a table of its own."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(once(_stage, spark, sf_dir, name))
+
+
+def once(build: Callable, spark: SparkSession, sf_dir: str, *args):
+    """``build(spark, sf_dir, *args)``, called once per application."""
+    key = (build, spark.sparkContext.applicationId, sf_dir, *args)
+    if key not in _BUILT:
+        _BUILT[key] = build(spark, sf_dir, *args)
+    return _BUILT[key]
+
+
+def _stage(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Write a view as a table, as the operators expect plain columns.
+
+    Each test table is one file with a single row group, which one task reads alone; the staged
+    table is spread over all cores, as a table of any size would be.
+    """
+    path = f"{scratch_dir(spark, 'views')}/{name}"
+    rows = _derived(spark, sf_dir, name)
+    rows.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    return path
+
+
+def _derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name in TABLES:
+        return load(spark, sf_dir, name)
     text = VIEWS[name]
-    return spark.sql(text, **{need: load(spark, sf_dir, need) for need in _needs(text)})
+    return spark.sql(text, **{need: _derived(spark, sf_dir, need) for need in _needs(text)})
 
 
 def oracle(body: str) -> str:
