@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -205,7 +206,4 @@ def daily_volumes(tables: Mapping[str, DataFrame]) -> DataFrame:
         .select(F.lit(name).alias("entity"), "ingest_date", "n")
         for name, df in tables.items()
     ]
-    volumes = counted[0]
-    for more in counted[1:]:
-        volumes = volumes.unionByName(more)
-    return volumes
+    return reduce(DataFrame.unionByName, counted)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -100,7 +102,7 @@ def cleanse(
     bronze = read_table_day(
         spark, lake.bronze(entity.name), entity.bronze_schema, day, lake.fmt
     )
-    judged = checked_rows(bronze, entity).persist(StorageLevel.MEMORY_AND_DISK)
+    judged = checked_rows(bronze, entity).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         counted = Observation()
         observed = judged.observe(
@@ -128,6 +130,28 @@ def cleanse(
         judged.unpersist()
 
 
+def _for_each(spark: SparkSession, entities: Iterable[Entity], work: Callable) -> dict:
+    """``work(entity)`` for all entities side by side; one that fails does not stop the others."""
+    entities = list(entities)
+    with ThreadPoolExecutor(max_workers=len(entities)) as pool:
+        started = {
+            entity.name: pool.submit(inheritable_thread_target(spark)(work), entity)
+            for entity in entities
+        }
+    return {name: future.result() for name, future in started.items()}
+
+
+@contextmanager
+def _logged(spark: SparkSession, lake: Lake, target: str, job: str):
+    """Log the run as it ended, ``failed`` when it raised."""
+    status = "failed"
+    try:
+        yield
+        status = "success"
+    finally:
+        log_run(spark, lake.runs, target, job, status, lake.fmt)
+
+
 def run_day(
     spark: SparkSession,
     lake: Lake,
@@ -136,25 +160,13 @@ def run_day(
     mode: str = REPLACE,
     job: str = "medallion_daily",
 ) -> dict[str, tuple[IngestCounts, CleanseCounts]]:
-    """Bronze, then Silver, for every entity; entities do not wait for each other.
-
-    The run is logged as it ended: ``failed`` when any entity failed, whose error is then raised.
-    """
+    """Bronze, then Silver, for every entity; entities do not wait for each other."""
 
     def both(entity: Entity):
         return ingest(spark, lake, entity, day, mode), cleanse(spark, lake, entity, day, mode)
 
-    entities = list(entities)
-    with ThreadPoolExecutor(max_workers=len(entities)) as pool:
-        started = {
-            entity.name: pool.submit(inheritable_thread_target(spark)(both), entity)
-            for entity in entities
-        }
-    errors = [future.exception() for future in started.values() if future.exception()]
-    log_run(spark, lake.runs, day, job, "failed" if errors else "success", lake.fmt)
-    if errors:
-        raise errors[0]
-    return {name: future.result() for name, future in started.items()}
+    with _logged(spark, lake, day, job):
+        return _for_each(spark, entities, both)
 
 
 def backfill_entity(
@@ -174,7 +186,7 @@ def backfill_entity(
     bronze = read_table(spark, lake.bronze(entity.name), entity.bronze_schema, lake.fmt).filter(
         F.col("ingest_date").between(days[0], days[-1])
     )
-    judged = checked_rows(bronze, entity, per_day=True).persist(StorageLevel.MEMORY_AND_DISK)
+    judged = checked_rows(bronze, entity, per_day=True).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         valid = with_silver_stamp(valid_rows(judged), at)
         invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(judged), at))
@@ -226,14 +238,11 @@ def run_range(
     days = day_range(start, n_days)
     if not days:
         raise ValueError("a backfill needs at least one day")
-    status, span = "failed", f"{days[0]}/{days[-1]}"
-    counts = None
-    try:
-        for entity in entities:
-            backfill_entity(spark, lake, entity, days)
-            one = range_counts(spark, lake, entity, days)
-            counts = one if counts is None else counts.unionByName(one)
-        status = "success"
-    finally:
-        log_run(spark, lake.runs, span, job, status, lake.fmt)
-    return counts
+
+    def load(entity: Entity) -> DataFrame:
+        backfill_entity(spark, lake, entity, days)
+        return range_counts(spark, lake, entity, days)
+
+    with _logged(spark, lake, f"{days[0]}/{days[-1]}", job):
+        counts = _for_each(spark, entities, load)
+    return reduce(DataFrame.unionByName, counts.values())
