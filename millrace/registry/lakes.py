@@ -6,6 +6,8 @@ the check writes some hundred partitions instead of thousands.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +31,14 @@ from millrace.sources import (
     read_table,
 )
 
-FIRST_DAY, N_DAYS = "1995-01-01", 2_500
 ONE_DAY = "1997-03-01"
 RATINGS_DAY = "2024-01-01"
+# First day and number of days that hold all rows of an entity.
+SPANS = {
+    "trips": ("1995-01-01", 2_500),
+    "payments": ("1995-01-01", 2_500),
+    "ratings": (RATINGS_DAY, 31),
+}
 EVENT_TIME = {"trips": "request_time", "payments": "payment_time", "ratings": "rated_at"}
 
 
@@ -58,43 +65,55 @@ def passes_sql(name: str) -> str:
     return f"coalesce({SILVER_SQL[name]}, false)"
 
 
-def raw_lake(spark: SparkSession, sf: str) -> Lake:
-    """Raw lines of all entities."""
+def _base(spark: SparkSession, sf: str) -> Lake:
     base = scratch_dir(spark, "lake")
-    lake = Lake(root=f"{base}/filled", raw=f"{base}/raw")
-    for name, time_column in EVENT_TIME.items():
-        start = F.window(time_column, WINDOW)["start"]
-        meta = F.struct(
-            F.lit("1.0").alias("schema_version"),
-            F.date_format(start, BATCH_LABEL).alias("batch_id"),
-        )
-        rows = batched(spark, sf, name).withColumn("_meta", meta)
-        write_day_jsonl(rows, lake.raw_entity(name), "batch_day")
+    return Lake(root=f"{base}/filled", raw=f"{base}/raw")
+
+
+def _raw_lines(spark: SparkSession, sf: str, name: str) -> Lake:
+    lake = once(_base, spark, sf)
+    start = F.window(EVENT_TIME[name], WINDOW)["start"]
+    meta = F.struct(
+        F.lit("1.0").alias("schema_version"),
+        F.date_format(start, BATCH_LABEL).alias("batch_id"),
+    )
+    rows = batched(spark, sf, name).withColumn("_meta", meta)
+    write_day_jsonl(rows, lake.raw_entity(name), "batch_day")
+    return lake
+
+
+def raw_lake(spark: SparkSession, sf: str, *names: str) -> Lake:
+    """A lake with the raw lines of the named entities."""
+    for name in names:
+        lake = once(_raw_lines, spark, sf, name)
     return lake
 
 
-def filled_lake(spark: SparkSession, sf: str) -> tuple[Lake, DataFrame]:
-    """The lake after a backfill over every day, and the backfill's counts."""
-    lake = once(raw_lake, spark, sf)
-    rides_part = run_range(spark, lake, FIRST_DAY, N_DAYS, (TRIPS, PAYMENTS))
-    ratings_part = run_range(spark, lake, RATINGS_DAY, 31, (RATINGS,))
-    return lake, rides_part.unionByName(ratings_part)
+def _filled(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    lake = raw_lake(spark, sf, name)
+    return run_range(spark, lake, *SPANS[name], (ENTITIES[name],))
+
+
+def filled_lake(spark: SparkSession, sf: str, name: str) -> tuple[Lake, DataFrame]:
+    """The lake after a backfill of one entity over all its days, and the backfill's counts."""
+    totals = once(_filled, spark, sf, name)
+    return raw_lake(spark, sf, name), totals
 
 
-def fresh(spark: SparkSession, sf: str, label: str) -> Lake:
+def fresh(spark: SparkSession, sf: str, label: str, *names: str) -> Lake:
     """The shared raw lines, with a folder of its own for the tables."""
-    return Lake(root=scratch_dir(spark, label), raw=once(raw_lake, spark, sf).raw)
+    return Lake(root=scratch_dir(spark, label), raw=raw_lake(spark, sf, *names).raw)
 
 
 # --- scans and sinks -----------------------------------------------------------------------------
 
 
 def raw_days(spark, sf):
-    return list_days(spark, once(raw_lake, spark, sf).raw_entity("trips"))
+    return list_days(spark, raw_lake(spark, sf, "trips").raw_entity("trips"))
 
 
 def jsonl_typed(spark, sf):
-    rows = read_jsonl(spark, once(raw_lake, spark, sf).raw_entity("ratings"), RATINGS.schema)
+    rows = read_jsonl(spark, raw_lake(spark, sf, "ratings").raw_entity("ratings"), RATINGS.schema)
     return rows.select(
         "rating_id",
         F.coalesce(F.col("stars").cast("string"), F.lit("null")).alias("stars"),
@@ -104,7 +123,7 @@ def jsonl_typed(spark, sf):
 
 
 def jsonl_inferred(spark, sf):
-    rows = read_jsonl(spark, once(raw_lake, spark, sf).raw_entity("trips"))
+    rows = read_jsonl(spark, raw_lake(spark, sf, "trips").raw_entity("trips"))
     return rows.groupBy(
         "status",
         F.typeof("fare_vnd").alias("fare_type"),
@@ -118,7 +137,7 @@ def jsonl_inferred(spark, sf):
 
 
 def bronze_roundtrip(spark, sf):
-    lake = fresh(spark, sf, "bronze")
+    lake = fresh(spark, sf, "bronze", "trips")
     raw = read_days(spark, lake.raw_entity("trips"), TRIPS.schema, "0001-01-01", "9999-12-31")
     append_partitioned(with_audit(raw, F.col("date")).drop("date"), lake.bronze("trips"))
     bronze = read_table(spark, lake.bronze("trips"), TRIPS.bronze_schema)
@@ -132,13 +151,13 @@ def bronze_roundtrip(spark, sf):
 
 
 def bronze_day(spark, sf):
-    lake, _ = once(filled_lake, spark, sf)
+    lake, _ = filled_lake(spark, sf, "trips")
     day = on_day(read_table(spark, lake.bronze("trips"), TRIPS.bronze_schema), ONE_DAY)
     return day.select("trip_id", "status", "city", "fare_vnd", "ingest_date")
 
 
 def first_trips(spark, sf):
-    lake, _ = once(filled_lake, spark, sf)
+    lake, _ = filled_lake(spark, sf, "trips")
     silver = read_table(spark, lake.silver("trips"), TRIPS.silver_schema)
     return sample_rows(silver, "trip_id", 10).select("trip_id", "status", "fare_vnd")
 
@@ -160,7 +179,7 @@ def replace_idempotent(spark, sf):
 
 def raw_day_list(spark, sf):
     """One value per delivered month."""
-    return list_days(spark, once(raw_lake, spark, sf).raw_entity("payments")).collect()
+    return list_days(spark, raw_lake(spark, sf, "payments").raw_entity("payments")).collect()
 
 
 def newest_runs(spark, sf):
@@ -188,12 +207,12 @@ def newest_runs(spark, sf):
 
 def daily_run(spark, sf):
     """Both layers for one delivered month, and the run log it leaves."""
-    lake = fresh(spark, sf, "daily")
+    lake = fresh(spark, sf, "daily", *ENTITIES)
     done = {
         **run_day(spark, lake, ONE_DAY, (TRIPS, PAYMENTS)),
         **run_day(spark, lake, RATINGS_DAY, (RATINGS,)),
     }
-    parts = None
+    parts = []
     for name, (landed, split) in done.items():
         entity = ENTITIES[name]
         silver = read_table(spark, lake.silver(name), entity.silver_schema)
@@ -207,28 +226,28 @@ def daily_run(spark, sf):
                 F.col("quarantine_reason").alias("reason"),
             )
         )
-        counted = both.groupBy("layer", "reason").agg(
-            F.count("_silver_at").alias("n"),
-        )
-        one = counted.select(
-            F.lit(name).alias("entity"),
-            "layer",
-            "reason",
-            "n",
-            F.lit(landed.written).cast("bigint").alias("landed"),
-            F.lit(split.evaluated).cast("bigint").alias("evaluated"),
+        counted = both.groupBy("layer", "reason").agg(F.count("_silver_at").alias("n"))
+        parts.append(
+            counted.select(
+                F.lit(name).alias("entity"),
+                "layer",
+                "reason",
+                "n",
+                F.lit(landed.written).cast("bigint").alias("landed"),
+                F.lit(split.evaluated).cast("bigint").alias("evaluated"),
+            )
         )
-        parts = one if parts is None else parts.unionByName(one)
-    return parts
+    return reduce(DataFrame.unionByName, parts)
 
 
 def backfill(spark, sf):
-    return once(filled_lake, spark, sf)[1]
+    totals = [filled_lake(spark, sf, name)[1] for name in ENTITIES]
+    return reduce(DataFrame.unionByName, totals)
 
 
 def _stored(name: str, layer: str):
     def run(spark, sf):
-        lake, _ = once(filled_lake, spark, sf)
+        lake, _ = filled_lake(spark, sf, name)
         entity = ENTITIES[name]
         if layer == "valid":
             rows = read_table(spark, lake.silver(name), entity.silver_schema)
@@ -252,7 +271,7 @@ FROM ({deduped_sql(name)}) d WHERE {'' if layer == 'valid' else 'NOT '}{passes_s
 
 def medallion_flow(spark, sf):
     """Trips from raw lines to Silver; valid trips per status."""
-    lake, _ = once(filled_lake, spark, sf)
+    lake, _ = filled_lake(spark, sf, "trips")
     silver = read_table(spark, lake.silver("trips"), TRIPS.silver_schema)
     return silver.groupBy("status").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("fare_vnd").cast("bigint")).alias("fare_vnd")
@@ -261,7 +280,7 @@ def medallion_flow(spark, sf):
 
 def recon_raw_bronze(spark, sf):
     """Raw by the comparison rules against Bronze as it is: days with bad rows show up."""
-    lake, _ = once(filled_lake, spark, sf)
+    lake, _ = filled_lake(spark, sf, "payments")
     raw = read_days(
         spark, lake.raw_entity("payments"), PAYMENTS.schema, "0001-01-01", "9999-12-31"
     ).withColumnRenamed("date", "ingest_date")
@@ -270,10 +289,8 @@ def recon_raw_bronze(spark, sf):
 
 
 def _backfill_sql() -> str:
-    spans = {name: (FIRST_DAY, N_DAYS) for name in ("trips", "payments")}
-    spans["ratings"] = (RATINGS_DAY, 31)
     parts = []
-    for name, (first, n_days) in spans.items():
+    for name, (first, n_days) in SPANS.items():
         parts.append(f"""SELECT '{name}' AS entity, day AS ingest_date,
   (SELECT count(*) FROM ({batched_sql(name)}) b WHERE b.batch_day = day) AS bronze_rows,
   (SELECT count(*) FROM ({deduped_sql(name)}) d

@@ -17,7 +17,7 @@ from millrace.streaming import start_demand, start_ingest, start_silver
 
 def landed(spark: SparkSession, sf: str, name: str) -> Lake:
     """A lake whose Bronze was filled by the ingest stream."""
-    lake = fresh(spark, sf, "stream")
+    lake = fresh(spark, sf, "stream", name)
     start_ingest(spark, lake, ENTITIES[name]).awaitTermination()
     return lake
 

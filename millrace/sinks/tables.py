@@ -90,7 +90,8 @@ def _clear_days(spark, df, path, unwritten: set[str], fmt) -> None:
 def replace_micro_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Make ``df`` the only content of one micro-batch, so that a replay changes nothing."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", F.col(DAY))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(DAY)
         .parquet(f"{path}/{MICRO_BATCH}={batch_id}")
