@@ -8,9 +8,17 @@ from __future__ import annotations
 import argparse
 import sys
 
-from millrace.entities import ENTITIES, RUNS_SCHEMA
+from millrace.entities import ENTITIES, RUNS_SCHEMA, Entity
 from millrace.lake import Lake
-from millrace.plans import cleanse, ingest, reconcile_layers, run_day, run_range
+from millrace.plans import (
+    cleanse,
+    ingest,
+    reconcile_layers,
+    reconcile_raw,
+    reconcile_raw_rows,
+    run_day,
+    run_range,
+)
 from millrace.session import build_session
 from millrace.sources import latest_runs, read_table
 from millrace.streaming import start_demand, start_ingest, start_silver
@@ -31,7 +39,8 @@ def parser() -> argparse.ArgumentParser:
     backfill = jobs.add_parser("backfill")
     backfill.add_argument("--start", required=True)
     backfill.add_argument("--days", type=int, required=True)
-    jobs.add_parser("reconcile")
+    reconcile = jobs.add_parser("reconcile")
+    reconcile.add_argument("--day", help="show the keys behind one day's difference")
     jobs.add_parser("stream")
     jobs.add_parser("runs")
     return top
@@ -52,8 +61,7 @@ def execute(spark, args) -> None:
         totals.groupBy("entity").sum("bronze_rows", "valid_rows", "quarantine_rows").show()
     elif args.job == "reconcile":
         for entity in entities:
-            print(entity.name)
-            reconcile_layers(spark, lake, entity).orderBy("ingest_date").show(truncate=False)
+            show_differences(spark, lake, entity, args.day)
     elif args.job == "stream":
         for entity in entities:
             start_ingest(spark, lake, entity).awaitTermination()
@@ -65,6 +73,22 @@ def execute(spark, args) -> None:
         latest_runs(runs).show(truncate=False)
 
 
+def show_differences(spark, lake: Lake, entity: Entity, day: str | None) -> None:
+    if day:
+        found = reconcile_raw_rows(spark, lake, entity, day)
+        for side, rows in (("not in Bronze", found.lost_rows), ("not in raw", found.extra_rows)):
+            print(f"{entity.name}: {side}")
+            rows.show(truncate=False)
+        return
+    layers = {
+        "raw and Bronze": reconcile_raw(spark, lake, entity),
+        "Bronze and Silver with quarantine": reconcile_layers(spark, lake, entity),
+    }
+    for name, days in layers.items():
+        print(f"{entity.name}: days on which {name} differ")
+        days.orderBy("ingest_date").show(truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = build_session(f"millrace-{args.job}", master=args.master)

@@ -12,6 +12,8 @@ from millrace.plans.reconciliation import (
     recon_filter,
     reconcile_counts,
     reconcile_layers,
+    reconcile_raw,
+    reconcile_raw_rows,
     reconcile_rows,
 )
 
@@ -25,6 +27,8 @@ __all__ = [
     "ingest",
     "reconcile_counts",
     "reconcile_layers",
+    "reconcile_raw",
+    "reconcile_raw_rows",
     "reconcile_rows",
     "run_day",
     "run_range",

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from millrace.entities import Entity
 from millrace.functions.predicates import passes
-from millrace.lake import Lake
+from millrace.lake import Lake, day_path
 from millrace.operators.dedupe import dedupe
 from millrace.operators.integrity import rows_with_keys
 from millrace.operators.reconcile import compare_counts, extra_keys, lost_keys
 from millrace.sinks.tables import sample_rows
-from millrace.sources.tables import read_table
+from millrace.sources.jsonl import RAW_DAY, read_days, read_jsonl
+from millrace.sources.tables import read_table, read_table_day
 
 Filter = Callable[[DataFrame], DataFrame]
 
@@ -71,6 +72,23 @@ def reconcile_layers(spark: SparkSession, lake: Lake, entity: Entity) -> DataFra
     )
 
 
+def reconcile_raw(
+    spark: SparkSession,
+    lake: Lake,
+    entity: Entity,
+    raw_filter: Filter = as_is,
+    stored_filter: Filter = as_is,
+) -> DataFrame:
+    """Days on which raw and Bronze differ in their filtered row counts."""
+    raw = read_days(spark, lake.raw_entity(entity.name), entity.schema)
+    bronze = read_table(
+        spark, lake.bronze(entity.name), entity.bronze_schema, lake.fmt, missing_ok=True
+    )
+    return reconcile_counts(
+        raw.withColumnRenamed(RAW_DAY, "ingest_date"), bronze, raw_filter, stored_filter
+    )
+
+
 @dataclass(frozen=True)
 class RowDifferences:
     lost_keys: DataFrame
@@ -109,3 +127,20 @@ def reconcile_rows(
         extra_keys=extra,
         extra_rows=sample_rows(rows_with_keys(theirs, extra, key), key, sample),
     )
+
+
+def reconcile_raw_rows(
+    spark: SparkSession,
+    lake: Lake,
+    entity: Entity,
+    day: str,
+    raw_filter: Filter = as_is,
+    stored_filter: Filter = as_is,
+    sample: int = 10,
+) -> RowDifferences:
+    """The keys behind one day's difference between raw and Bronze."""
+    raw = read_jsonl(spark, day_path(lake.raw, entity.name, day), entity.schema)
+    bronze = read_table_day(
+        spark, lake.bronze(entity.name), entity.bronze_schema, day, lake.fmt
+    )
+    return reconcile_rows(raw, bronze, entity.key, raw_filter, stored_filter, sample)

@@ -16,7 +16,13 @@ from millrace.lake import Lake
 from millrace.operators.dedupe import dedupe
 from millrace.operators.rides import BATCH_LABEL, WINDOW
 from millrace.operators.stamps import with_audit
-from millrace.plans import reconcile_counts, recon_filter, run_day, run_range
+from millrace.plans import (
+    recon_filter,
+    reconcile_raw,
+    reconcile_raw_rows,
+    run_day,
+    run_range,
+)
 from millrace.registry import Query
 from millrace.registry.tables import RECON_SQL, SILVER_SQL
 from millrace.registry.views import load, once, oracle
@@ -138,7 +144,7 @@ def jsonl_inferred(spark, sf):
 
 def bronze_roundtrip(spark, sf):
     lake = fresh(spark, sf, "bronze", "trips")
-    raw = read_days(spark, lake.raw_entity("trips"), TRIPS.schema, "0001-01-01", "9999-12-31")
+    raw = read_days(spark, lake.raw_entity("trips"), TRIPS.schema)
     append_partitioned(with_audit(raw, F.col("date")).drop("date"), lake.bronze("trips"))
     bronze = read_table(spark, lake.bronze("trips"), TRIPS.bronze_schema)
     return bronze.groupBy("ingest_date", "_batch_id", "_source").agg(
@@ -281,11 +287,15 @@ def medallion_flow(spark, sf):
 def recon_raw_bronze(spark, sf):
     """Raw by the comparison rules against Bronze as it is: days with bad rows show up."""
     lake, _ = filled_lake(spark, sf, "payments")
-    raw = read_days(
-        spark, lake.raw_entity("payments"), PAYMENTS.schema, "0001-01-01", "9999-12-31"
-    ).withColumnRenamed("date", "ingest_date")
-    bronze = read_table(spark, lake.bronze("payments"), PAYMENTS.bronze_schema)
-    return reconcile_counts(raw, bronze, raw_filter=recon_filter(PAYMENTS, "ingest_date"))
+    return reconcile_raw(spark, lake, PAYMENTS, recon_filter(PAYMENTS, "ingest_date"))
+
+
+def recon_raw_rows(spark, sf):
+    """One day of the same comparison by key."""
+    lake, _ = filled_lake(spark, sf, "trips")
+    found = reconcile_raw_rows(spark, lake, TRIPS, ONE_DAY, recon_filter(TRIPS))
+    lost = found.lost_keys.select(F.lit("lost").alias("side"), "trip_id")
+    return lost.unionByName(found.extra_keys.select(F.lit("extra").alias("side"), "trip_id"))
 
 
 def _backfill_sql() -> str:
@@ -378,6 +388,11 @@ FROM {v_trips} GROUP BY ingest_date ORDER BY max(request_time) DESC, id LIMIT 20
         for name in ENTITIES
         for layer in ("valid", "quarantine")
     },
+    "recon_raw_rows": Query(
+        recon_raw_rows,
+        oracle(f"""SELECT 'extra' AS side, trip_id FROM ({batched_sql('trips')}) b
+WHERE batch_day = '{ONE_DAY}' AND NOT coalesce({RECON_SQL['trips']}, false)"""),
+    ),
     "recon_raw_bronze": Query(
         recon_raw_bronze,
         oracle(f"""WITH r AS (SELECT batch_day, count(*) AS n FROM ({deduped_sql('payments')}) d

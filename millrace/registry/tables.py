@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.entities import ENTITIES, PAYMENTS, RATINGS, TRIPS
+from millrace.entities import ENTITIES, TRIPS
 from millrace.functions.geo import haversine_km
 from millrace.operators.dedupe import dedupe, distinct_keys, repeated_keys
 from millrace.operators.integrity import orphans, rows_with_keys

@@ -22,11 +22,20 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def read_days(
-    spark: SparkSession, root: str, schema: StructType, first: str, last: str
+    spark: SparkSession,
+    root: str,
+    schema: StructType,
+    first: str | None = None,
+    last: str | None = None,
 ) -> DataFrame:
-    """All raw rows of the days ``first``..``last``, with the folder's day as string ``date``."""
+    """Raw rows of all days, or from ``first`` to ``last``, with the folder's day as ``date``."""
     with_day = StructType(schema.fields + [StructField(RAW_DAY, StringType(), True)])
-    return read_jsonl(spark, root, with_day).filter(F.col(RAW_DAY).between(first, last))
+    rows = read_jsonl(spark, root, with_day)
+    if first is not None:
+        rows = rows.filter(F.col(RAW_DAY) >= first)
+    if last is not None:
+        rows = rows.filter(F.col(RAW_DAY) <= last)
+    return rows
 
 
 def list_days(spark: SparkSession, root: str) -> DataFrame:

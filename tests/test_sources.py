@@ -144,7 +144,8 @@ def test_days_are_checked_before_they_become_paths():
         with pytest.raises(ValueError):
             checked_day(bad)
     assert day_range("2024-02-28", 3) == ["2024-02-28", "2024-02-29", "2024-03-01"]
-    assert Lake("s3a://b/l", "s3a://b/raw").quarantine("trips") == "s3a://b/l/silver/quarantine/trips"
+    lake = Lake("s3a://b/l", "s3a://b/raw")
+    assert lake.quarantine("trips") == "s3a://b/l/silver/quarantine/trips"
 
 
 def test_key_scan_reads_one_column(spark, tmp_path):
