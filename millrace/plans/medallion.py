@@ -112,7 +112,10 @@ def cleanse(
         )
         at = _now()
         valid = with_silver_stamp(valid_rows(observed), at)
-        invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(judged), at))
+        # Few rows out of every partition: brought together, or each would become a tiny file.
+        invalid = with_quarantine_reason(
+            with_silver_stamp(invalid_rows(judged).hint("rebalance"), at)
+        )
         if _checked_mode(mode) == APPEND:
             append_partitioned(valid, lake.silver(entity.name), lake.fmt)
             append_partitioned(invalid, lake.quarantine(entity.name), lake.fmt)

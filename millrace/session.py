@@ -15,12 +15,14 @@ def settings(input_bytes: int | None = None) -> dict[str, str]:
     """Settings every job wants; ``input_bytes`` sizes the first shuffle of one run.
 
     AQE merges small shuffle partitions and splits hot ones, so the first number only has to be
-    large enough that a partition fits in an executor core's share of memory.
+    large enough that a partition fits in an executor core's share of memory. It may do so in
+    cached plans too; otherwise a day would be written in as many files as the shuffle has parts.
     """
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES // 2),
