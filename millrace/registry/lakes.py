@@ -291,11 +291,11 @@ def recon_raw_bronze(spark, sf):
 
 
 def recon_raw_rows(spark, sf):
-    """One day of the same comparison by key."""
-    lake, _ = filled_lake(spark, sf, "trips")
-    found = reconcile_raw_rows(spark, lake, TRIPS, ONE_DAY, recon_filter(TRIPS))
-    lost = found.lost_keys.select(F.lit("lost").alias("side"), "trip_id")
-    return lost.unionByName(found.extra_keys.select(F.lit("extra").alias("side"), "trip_id"))
+    """The same comparison by key, for the month that holds all ratings."""
+    lake, _ = filled_lake(spark, sf, "ratings")
+    found = reconcile_raw_rows(spark, lake, RATINGS, RATINGS_DAY, recon_filter(RATINGS))
+    lost = found.lost_keys.select(F.lit("lost").alias("side"), "rating_id")
+    return lost.unionByName(found.extra_keys.select(F.lit("extra").alias("side"), "rating_id"))
 
 
 def _backfill_sql() -> str:
@@ -390,8 +390,8 @@ FROM {v_trips} GROUP BY ingest_date ORDER BY max(request_time) DESC, id LIMIT 20
     },
     "recon_raw_rows": Query(
         recon_raw_rows,
-        oracle(f"""SELECT 'extra' AS side, trip_id FROM ({batched_sql('trips')}) b
-WHERE batch_day = '{ONE_DAY}' AND NOT coalesce({RECON_SQL['trips']}, false)"""),
+        oracle(f"""SELECT 'extra' AS side, rating_id FROM ({batched_sql('ratings')}) b
+WHERE batch_day = '{RATINGS_DAY}' AND NOT coalesce({RECON_SQL['ratings']}, false)"""),
     ),
     "recon_raw_bronze": Query(
         recon_raw_bronze,
