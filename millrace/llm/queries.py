@@ -4,8 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
+from millrace.llm.byte_bpe import decode, digest, encode, token_bytes
 from millrace.llm.common import read
+from millrace.llm.decontaminate import find_overlaps
 from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.licenses import scan_licenses
+from millrace.llm.minhash import link_near_copies
+from millrace.llm.quality import score_quality
+from millrace.llm.toxicity import score_toxicity
 from millrace.llm.url_filter import Rule, filter_urls
 from millrace.registry import Query
 
@@ -80,7 +88,39 @@ SELECT page_id, host, path, rule,
   coalesce(verdict, CASE WHEN id IN (SELECT id FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM own
 """
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return digest(decode(encoded, token_bytes(spark, ranks)))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_near_copies(read(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": Query(op2_exact_dedup, OP2_SQL),
     "op3_url_filter": Query(op3_url_filter, OP3_SQL),
+    "op4_byte_bpe": Query(op4_byte_bpe),
+    "op5_toxicity": Query(op5_toxicity),
+    "op6_minhash_dedup": Query(op6_minhash_dedup),
+    "op8_decontaminate": Query(op8_decontaminate),
+    "op9_quality": Query(op9_quality),
+    "op10_license_scan": Query(op10_license_scan),
 }
