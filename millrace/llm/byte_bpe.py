@@ -1,14 +1,15 @@
 """Byte-level BPE by a global shuffle of distinct words: every distinct pre-token is encoded once.
 
 Documents are cut into pre-tokens in blocks. Within a block the positions of pre-tokens are numbers of the block's own
-distinct words, so that what goes into the shuffle is one row for each distinct word of a block, not one for each
-occurrence. These rows meet by word over all blocks, each word is encoded once, its ids go back to the blocks, and each
-block puts its documents together again by position. Decoding joins ids with the token-byte table.
+distinct words, so that each distinct word of a block goes into the shuffle once, not each occurrence. Words meet by
+parts of their hash over all blocks, each is encoded once, its ids go back to the blocks, and each block puts its
+documents together again by position. Decoding joins ids with the token-byte table.
 """
 
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,6 +23,10 @@ from pyspark.sql import types as T
 BLOCK_BYTES = 32_000_000
 #: Chunks between spaces that a worker remembers with their pre-tokens before it starts anew.
 CHUNKS = 2_000_000
+#: Parts that the words of all blocks are divided into by hash; a block sends the words of one part in one row.
+WORD_PARTS = 512
+#: Documents whose word numbers travel together.
+PACK = 500
 
 
 @lru_cache(maxsize=2)
@@ -60,31 +65,69 @@ class Pretokens:
         return out
 
 
+def _pack(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.compress(data, 3)
+
+
+def _unpack(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.decompress(bytes(data))
+
+
+def _join_words(words: list[str]) -> bytes:
+    """Lengths first, then the words: any character may be in a word."""
+    lengths = np.array([len(words), *map(len, words)], "<u4")
+    return lengths.tobytes() + "".join(words).encode("utf-8", "surrogatepass")
+
+
+def _split_words(data: bytes) -> list[str]:
+    n = int(np.frombuffer(data[:4], "<u4")[0])
+    ends = np.cumsum(np.frombuffer(data[4 : 4 + 4 * n], "<u4")).tolist()
+    text = data[4 + 4 * n :].decode("utf-8", "surrogatepass")
+    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _parts(words: list[str]) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_PARTS for w in words), np.int64, len(words))
+
+
 def _blocks(pattern: str, want_words: bool):
-    """Blocks of documents: their distinct words, or their documents as word numbers. Both come from the same walk over
-    the same rows, so a block has the same number and the same words in either."""
+    """Blocks of documents: their distinct words by part, or their documents as word numbers. Both come from the same
+    walk over the same rows, so a block has the same number and the same words in either."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        part, serial = TaskContext.get().partitionId(), 0
+        task, serial = TaskContext.get().partitionId(), 0
         cutter, size, ids, codes = Pretokens(pattern), 0, [], []
 
         def close() -> Iterator[pd.DataFrame]:
             nonlocal cutter, size, ids, codes, serial
-            block = (part << 24) + serial
+            block, words = (task << 24) + serial, list(cutter.words)
+            part = _parts(words)
+            order = np.argsort(part, kind="stable")  # a word's place in this order is its number in the block
             if want_words:
-                words = list(cutter.words)
-                for at in range(0, len(words), 50_000):
-                    some = words[at : at + 50_000]
-                    yield pd.DataFrame({"block": block, "slot": np.arange(at, at + len(some), dtype=np.int32), "word": some})
-            elif ids:
-                kind = np.uint16 if len(cutter.words) < 65_536 else np.uint32
-                for at in range(0, len(ids), 500):
-                    yield pd.DataFrame({
-                        "block": block, "doc_id": pd.array(ids[at : at + 500], "Int64"), "width": np.dtype(kind).itemsize,
-                        "codes": [c.astype(kind).tobytes() for c in codes[at : at + 500]],
-                    })
+                ends = np.searchsorted(part[order], np.arange(WORD_PARTS + 1))
+                rows = [
+                    (block, p, _pack(_join_words([words[k] for k in order[a:b]])))
+                    for p, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if b > a
+                ]
+                if rows:
+                    yield pd.DataFrame(rows, columns=["block", "part", "words"])
+            else:
+                place = np.empty(len(words), np.uint32)
+                place[order] = np.arange(len(words))
+                kind = np.uint16 if len(words) <= 65_536 else np.uint32
+                rows = []
+                for at in range(0, len(ids), PACK):
+                    some = codes[at : at + PACK]
+                    flat = place[np.concatenate(some)].astype(kind) if sum(map(len, some)) else np.zeros(0, kind)
+                    rows.append((block, len(words), flat.itemsize, ids[at : at + PACK], [len(c) for c in some], _pack(flat.tobytes())))
+                if rows:
+                    yield pd.DataFrame(rows, columns=["block", "n_words", "width", "doc_ids", "lengths", "codes"])
             cutter, size, ids, codes, serial = Pretokens(pattern), 0, [], [], serial + 1
 
         for batch in batches:
@@ -103,37 +146,55 @@ def _blocks(pattern: str, want_words: bool):
 
 
 def _encode_words(path: str, pattern: str):
+    """The ids of the words of each row, and how many each word has; a word that came before is not encoded again."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
 
         encode = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={}).encode_ordinary
+        known: dict[str, list[int]] = {}
         for batch in batches:
-            ids = [np.array(encode(w), np.uint16 if len(load_ranks(path)) <= 65_536 else np.uint32).tobytes() for w in batch["word"]]
-            yield batch[["word"]].assign(ids=ids)
+            rows = []
+            for block, part, packed in zip(batch["block"], batch["part"], batch["words"], strict=True):
+                if len(known) > CHUNKS:
+                    known.clear()
+                found = []
+                for word in _split_words(_unpack(packed)):
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = encode(word)
+                    found.append(ids)
+                n = np.array([len(x) for x in found], np.uint32)
+                flat = np.array([i for x in found for i in x], np.uint32)
+                rows.append((block, part, _pack(n.tobytes()), _pack(flat.tobytes())))
+            if rows:
+                yield pd.DataFrame(rows, columns=["block", "part", "counts", "ids"])
 
     return run
 
 
-def _reassemble(id_width: int):
-    """All ids of each document of a block, from the block's word table and the documents as word numbers."""
-    kind = np.dtype(f"<u{id_width}")
-
-    def run(key, words: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
-        words = words.sort_values("slot")
-        lengths = np.array([len(x) for x in words["ids"]], np.int64) // id_width
-        flat = np.frombuffer(b"".join(words["ids"]), kind)
-        starts = np.cumsum(lengths) - lengths
-        out = []
-        for codes, width in zip(docs["codes"], docs["width"], strict=True):
-            code = np.frombuffer(codes, f"<u{width}")
+def _reassemble(key, words: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
+    """All ids of each document of a block, from the ids of its words by part and its documents as word numbers."""
+    words = words.sort_values("part")
+    join = lambda column: np.frombuffer(b"".join(_unpack(x) for x in words[column]), np.uint32)
+    lengths, flat = join("counts").astype(np.int64), join("ids")
+    starts = np.cumsum(lengths) - lengths
+    doc_ids, out = [], []
+    for row in docs.itertuples(index=False):
+        if row.n_words != len(lengths):
+            raise ValueError("the input was cut into blocks in two ways; write it to storage first")
+        codes = np.frombuffer(_unpack(row.codes), f"<u{row.width}")
+        at = 0
+        for doc_id, size in zip(row.doc_ids, row.lengths, strict=True):
+            code = codes[at : at + size]
+            at += size
             n = lengths[code]
             ends = np.cumsum(n)
-            total = int(ends[-1]) if len(n) else 0
-            at = np.arange(total) + np.repeat(starts[code] - (ends - n), n)
-            out.append(flat[at].astype("<u4").tobytes() if total else b"")
-        return pd.DataFrame({"doc_id": docs["doc_id"].array, "ids": out})
-
-    return run
+            total = int(ends[-1]) if size else 0
+            place = np.arange(total) + np.repeat(starts[code] - (ends - n), n)
+            doc_ids.append(None if doc_id is None or doc_id != doc_id else int(doc_id))
+            out.append(flat[place].astype("<u4").tobytes() if total else b"")
+    return pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "ids": out})
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -141,15 +202,17 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     Every match of ``pattern`` is encoded separately by the ranks in ``path``, without special tokens. Null and empty
     texts have no ids. Repeated rows and rows without doc_id get a row each; an empty table gives an empty result.
-    A block holds ``BLOCK_BYTES`` of text or one longer text, and its words, whatever the size of the table.
+    A block holds ``BLOCK_BYTES`` of text or one longer text, and its words, whatever the size of the table. The input
+    is walked twice, so it has to be a stored table or a narrow derivation of one; a result of shuffles is to be written
+    first, or the blocks may differ, which raises.
     """
     narrow = docs.select("doc_id", "text")
-    words = narrow.mapInPandas(_blocks(pattern, True), "block long, slot int, word string")
-    codes = narrow.mapInPandas(_blocks(pattern, False), "block long, doc_id long, width int, codes binary")
-    width = 2 if len(load_ranks(path)) <= 65_536 else 4
-    distinct = words.select("word").distinct().mapInPandas(_encode_words(path, pattern), "word string, ids binary")
-    table = words.join(distinct, "word").select("block", "slot", "ids")
-    return table.groupBy("block").cogroup(codes.groupBy("block")).applyInPandas(_reassemble(width), "doc_id long, ids binary")
+    words = narrow.mapInPandas(_blocks(pattern, True), "block long, part int, words binary")
+    codes = narrow.mapInPandas(
+        _blocks(pattern, False), "block long, n_words long, width int, doc_ids array<long>, lengths array<int>, codes binary"
+    )
+    encoded = words.repartition("part").mapInPandas(_encode_words(path, pattern), "block long, part int, counts binary, ids binary")
+    return encoded.groupBy("block").cogroup(codes.groupBy("block")).applyInPandas(_reassemble, "doc_id long, ids binary")
 
 
 def token_bytes(spark: SparkSession, path: str) -> DataFrame:

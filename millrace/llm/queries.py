@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
@@ -10,12 +11,18 @@ from millrace.llm.byte_bpe import decode, digest, encode, token_bytes
 from millrace.llm.common import read
 from millrace.llm.decontaminate import find_overlaps
 from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.html_extract import extract_pages
 from millrace.llm.licenses import scan_licenses
 from millrace.llm.minhash import link_near_copies
 from millrace.llm.quality import score_quality
+from millrace.llm.token_file import read_token_files, write_token_files
 from millrace.llm.toxicity import score_toxicity
 from millrace.llm.url_filter import Rule, filter_urls
 from millrace.registry import Query
+from millrace.session import scratch_dir
+
+#: Fixed by the contract of op1: the id after each document.
+END_ID = 2
 
 #: Fixed by the contract of op3: verdict, host, path.
 RULES = (
@@ -27,6 +34,13 @@ RULES = (
 )
 
 
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    write_token_files(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return read_token_files(spark, path).select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), digest_all=True)
 
@@ -102,6 +116,10 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_near_copies(read(spark, sf_dir, "documents"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read(spark, sf_dir, "pages"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -115,11 +133,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_ids": Query(op1_token_ids),
     "op2_exact_dedup": Query(op2_exact_dedup, OP2_SQL),
     "op3_url_filter": Query(op3_url_filter, OP3_SQL),
     "op4_byte_bpe": Query(op4_byte_bpe),
     "op5_toxicity": Query(op5_toxicity),
     "op6_minhash_dedup": Query(op6_minhash_dedup),
+    "op7_html_extract": Query(op7_html_extract),
     "op8_decontaminate": Query(op8_decontaminate),
     "op9_quality": Query(op9_quality),
     "op10_license_scan": Query(op10_license_scan),
