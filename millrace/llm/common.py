@@ -68,11 +68,11 @@ def without_ids(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
     Only rows that hit the bitmap of dropped ids go through a shuffle, the rest passes by.
     """
-    columns = docs.columns
-    marked = with_hit(docs, bitmap(dropped, "doc_id"), F.col("doc_id"))
-    passed = marked.where(~F.col("_hit")).select(*columns)
-    doubtful = marked.where("_hit").select(*columns).join(dropped.select("doc_id").distinct(), "doc_id", "left_anti")
-    return passed.unionByName(doubtful.select(*columns))
+    packed = docs.select("doc_id", F.struct("*").alias("_doc"))  # no name in docs can clash
+    marked = with_hit(packed, bitmap(dropped, "doc_id"), F.col("doc_id"))
+    passed = marked.where(~F.col("_hit"))
+    doubtful = marked.where("_hit").join(dropped.select("doc_id").distinct(), "doc_id", "left_anti")
+    return passed.select("_doc.*").unionAll(doubtful.select("_doc.*"))
 
 
 class WordHashes(dict):

@@ -25,6 +25,8 @@ SPAN = len(MASKS[0])
 SIMILARITY = 0.8
 #: ... and it has so many words, or the whole item if that is shorter.
 MIN_WORDS = 13
+#: Each seed sets three bits of the bitmap, from these places of its hash on.
+BIT_SHIFTS = (0, 20, 41)
 WORD = re.compile(r"\w+")
 
 
@@ -88,8 +90,13 @@ def _item_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     return each_batch(batches, batch)
 
 
-def _bit_of(seed: np.ndarray) -> np.ndarray:
-    return (seed >> np.uint64(7)) & np.uint64(BITMAP_BITS - 1)
+def _held(bits: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Places of the seeds whose bits are all set."""
+    place = np.arange(len(seed))
+    for shift in BIT_SHIFTS:
+        bit = (seed[place] >> np.uint64(shift)) & np.uint64(BITMAP_BITS - 1)
+        place = place[(bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return place
 
 
 def _hit_regions(bits: np.ndarray, longest: int, short: np.ndarray):
@@ -100,11 +107,10 @@ def _hit_regions(bits: np.ndarray, longest: int, short: np.ndarray):
         found += [(np.arange(len(h)), h) for _, h in _short_seeds(words, short)]
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        found = [(at[held], seed[held]) for at, seed in found for held in (_held(bits, seed),)]
         at, seed = (np.concatenate(x) for x in zip(*found, strict=True))
-        bit = _bit_of(seed)
-        held = (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        order = np.argsort(at[held], kind="stable")
-        return at[held][order], seed[held][order]
+        order = np.argsort(at, kind="stable")
+        return at[order], seed[order]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = _Numbers()
@@ -176,8 +182,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     sizes = items.groupBy("n_words").agg(F.count("*").alias("n")).toPandas()  # at most one row for each item length
     longest = max([SPAN, *sizes["n_words"]])
     short = np.array(sorted(n for n in sizes["n_words"] if n < SPAN), np.int64)
-    at = F.shiftrightunsigned("seed", 7).bitwiseAND(F.lit(BITMAP_BITS - 1)) + 1  # Spark numbers bits from 1
-    rows = items.groupBy(F.bitmap_bucket_number(at).alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    bit = lambda shift: F.shiftrightunsigned("seed", shift).bitwiseAND(F.lit(BITMAP_BITS - 1)) + 1  # noqa: E731  from 1
+    at = F.col("bit")
+    rows = items.select(F.explode(F.array(*map(bit, BIT_SHIFTS))).alias("bit")).groupBy(F.bitmap_bucket_number(at).alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     bits = np.zeros(BITMAP_BITS // 8, np.uint8)
     for row, part in rows.collect():  # at most BITMAP_BITS / ROW_BITS rows of 4 KiB
         bits[(row - 1) * ROW_BITS // 8 : row * ROW_BITS // 8] = np.frombuffer(bytes(part), np.uint8)

@@ -80,7 +80,11 @@ def pieces(page: str) -> tuple[list[Piece], list[tuple[str, frozenset[str]]]]:
     at = 0
 
     def text(until: int) -> None:
-        if until > at and (found := page[at:until]) and not found.isspace():
+        if until <= at:
+            return
+        found = page[at:until]
+        # white space alone only parts texts of one block
+        if not found.isspace() or (out and out[-1].tag.lstrip("/") not in BLOCK):
             out.append(Piece("", found, frozenset(), tuple(stack)))
 
     def close(names: tuple[str, ...], stop: frozenset[str]) -> None:
@@ -207,7 +211,7 @@ def main_text(page: str | None, template: frozenset[int]) -> str:
             kept = kept and not (not inside and any(elements[e][0] == "header" for e in own))
             kept = kept and not any(aside[e] for e in path[: path.index(inside[0])]) if inside else kept
             last = path
-        if kept and (inside or token not in template):
+        if kept and (inside or piece.text.isspace() or token not in template):
             blocks[-1].append(piece.text)
     lines = (" ".join(markup.unescape("".join(b)).split()) for b in blocks)
     return "\n".join(line for line in lines if line)

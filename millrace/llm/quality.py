@@ -175,6 +175,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
 def drop_low_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that the classifier rejects. All columns stay."""
     model = fit(training_sample(docs, labels, "quality", sample_rows))
-    name = "_quality_score"
-    return docs.withColumn(name, score_column(model)(docs)).where(F.col(name) >= threshold).drop(name)
+    return docs.where(score_column(model)(docs) >= threshold)
 

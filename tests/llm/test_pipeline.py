@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+import corpus_pipeline
+
+
+def test_stages_keep_columns_and_leave_no_copies(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, sf)
+        assert kept.columns == docs.columns
+    rows = {r.doc_id: r.text for r in kept.collect()}
+    result = {r.doc_id: r for r in corpus_pipeline.run(spark, sf).collect()}
+    assert set(result) == set(rows) and 0 < len(rows) < docs.count()
+    assert len({t.lower() for t in rows.values()}) == len(rows)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    clean = [i for i, q in labels.items() if q == 1]
+    assert sum(i in rows for i in clean) > 0.7 * len(clean)
+
+
+def test_stages_on_an_empty_table(spark):
+    sf = "/root/testdata/sf0.001"
+    empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf).count() == 0
