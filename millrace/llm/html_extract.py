@@ -2,8 +2,9 @@
 
 Pages of one host come from a few templates. A token (a tag or a piece of text, told apart by the tags around it) has an
 occurrence vector: how often it stands on each page of the host. Tokens that share their vector form an equivalence
-class; classes that many pages have and whose tokens nest on every page make up the host's template. What the template
-leaves open are its slots: the article's slots are kept, those inside navigation, notices and the like are not.
+class; classes of several tokens that many pages have, equally often on each, make up the host's template, nested as
+their elements are. What the template leaves open are its slots: the article's slots are kept, those inside navigation,
+notices and the like are not.
 """
 
 from __future__ import annotations
@@ -139,20 +140,15 @@ def token_ids(found: list[Piece], elements: list[tuple[str, frozenset[str]]]) ->
 
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each host of a batch and token: pages, occurrences, and the sum of a hash of page and count, which is the
-    same for tokens with equal vectors. First place and last place are summed too, to tell whether tokens nest."""
+    same for tokens with equal vectors."""
     import xxhash
 
     for batch in batches:
         sums: dict[tuple[str, int], list[int]] = {}
         for host, page_id, page in zip(batch["host"], batch["page_id"], batch["html"], strict=True):
             found, elements = pieces(page)
-            places: dict[int, int] = {}
-            ids = token_ids(found, elements).tolist()
-            counts = Counter(ids)
-            for place, token in enumerate(ids):
-                places.setdefault(token, place)
-            for token, n in counts.items():
-                vector = xxhash.xxh64_intdigest(f"{page_id}\0{n}") >> 24  # sums stay below 2^63 for 2^23 pages
+            for token, n in Counter(token_ids(found, elements).tolist()).items():
+                vector = xxhash.xxh64_intdigest(f"{page_id}\0{n}") >> 24  # a batch's sum stays far below 2^63
                 row = sums.setdefault((host, token), [0, 0, 0])
                 row[0] += 1
                 row[1] += n
@@ -167,7 +163,7 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     A template has only tokens of at least ``MIN_SHARE`` of the host's pages, so its size is bounded by that of a page.
     """
     seen = pages.mapInPandas(_occurrences, "host string, token long, pages long, total long, vector long")
-    tokens = seen.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("vector").alias("vector"))
+    tokens = seen.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum(F.col("vector").cast("decimal(20,0)")).alias("vector"))
     hosts = pages.groupBy("host").agg(F.count("*").alias("n_pages"))
     often = join_split(tokens.where(F.col("pages") >= MIN_PAGES), hosts, ["host"]).where(F.col("pages") >= MIN_SHARE * F.col("n_pages"))
     classes = often.groupBy("host", "vector", "pages", "total").agg(F.collect_list("token").alias("tokens"))
