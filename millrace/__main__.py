@@ -19,7 +19,7 @@ from millrace.plans import (
     run_day,
     run_range,
 )
-from millrace.session import build_session
+from millrace.session import build_session, size_shuffles
 from millrace.sources import latest_runs, read_table
 from millrace.streaming import start_demand, start_ingest, start_silver
 
@@ -41,7 +41,8 @@ def parser() -> argparse.ArgumentParser:
     backfill.add_argument("--days", type=int, required=True)
     reconcile = jobs.add_parser("reconcile")
     reconcile.add_argument("--day", help="show the keys behind one day's difference")
-    jobs.add_parser("stream")
+    stream = jobs.add_parser("stream")
+    stream.add_argument("--files-per-batch", type=int, help="most new files of a micro-batch")
     jobs.add_parser("runs")
     return top
 
@@ -64,20 +65,23 @@ def execute(spark, args) -> None:
             show_differences(spark, lake, entity, args.day)
     elif args.job == "stream":
         for entity in entities:
-            start_ingest(spark, lake, entity).awaitTermination()
-            start_silver(spark, lake, entity).awaitTermination()
+            start_ingest(spark, lake, entity, files_per_batch=args.files_per_batch).awaitTermination()
+            start_silver(spark, lake, entity, files_per_batch=args.files_per_batch).awaitTermination()
         if ENTITIES["trips"] in entities:
-            start_demand(spark, lake).awaitTermination()
+            start_demand(spark, lake, files_per_batch=args.files_per_batch).awaitTermination()
     else:
         runs = read_table(spark, lake.runs, RUNS_SCHEMA, lake.fmt, missing_ok=True)
         latest_runs(runs).show(truncate=False)
 
 
 def show_differences(spark, lake: Lake, entity: Entity, day: str | None) -> None:
+    size_shuffles(spark, lake.raw_entity(entity.name), lake.bronze(entity.name))
     if day:
         found = reconcile_raw_rows(spark, lake, entity, day)
-        for side, rows in (("not in Bronze", found.lost_rows), ("not in raw", found.extra_rows)):
-            print(f"{entity.name}: {side}")
+        counts = found.counts().first()
+        sides = (("not in Bronze", "lost", found.lost_rows), ("not in raw", "extra", found.extra_rows))
+        for side, name, rows in sides:
+            print(f"{entity.name}: {counts[name]} keys {side}; the first rows with a key:")
             rows.show(truncate=False)
         return
     layers = {
@@ -86,7 +90,10 @@ def show_differences(spark, lake: Lake, entity: Entity, day: str | None) -> None
     }
     for name, days in layers.items():
         print(f"{entity.name}: days on which {name} differ")
-        days.orderBy("ingest_date").show(truncate=False)
+        found = 0
+        for found, row in enumerate(days.orderBy("ingest_date").toLocalIterator(), 1):
+            print("  ", *row)
+        print(f"{entity.name}: {found} days differ" if found else f"{entity.name}: all days match")
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -95,6 +95,7 @@ class Entity:
     schema: StructType
     rules: tuple[Rule, ...]
     recon_rules: tuple[Rule, ...]
+    newest: str | None = None  # of copies of a key, the row with the largest value stays
 
     @property
     def bronze_schema(self) -> StructType:
@@ -130,6 +131,7 @@ TRIPS = Entity(
     schema=TRIPS_SCHEMA,
     rules=_TRIP_BASE + (at_least("fare_vnd", 0), at_least("distance_km", 0.0)),
     recon_rules=_TRIP_BASE,
+    newest="request_time",
 )
 PAYMENTS = Entity(
     name="payments",
@@ -138,6 +140,7 @@ PAYMENTS = Entity(
     rules=_PAYMENT_BASE
     + (at_least("final_amount_vnd", 0), one_of("payment_method", PAYMENT_METHODS)),
     recon_rules=_PAYMENT_BASE,
+    newest="payment_time",
 )
 RATINGS = Entity(
     name="ratings",
@@ -145,5 +148,6 @@ RATINGS = Entity(
     schema=RATINGS_SCHEMA,
     rules=_RATING_BASE + (one_of("rater_type", RATER_TYPES),),
     recon_rules=_RATING_BASE,
+    newest="rated_at",
 )
 ENTITIES = {entity.name: entity for entity in (TRIPS, PAYMENTS, RATINGS)}

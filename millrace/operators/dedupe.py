@@ -16,10 +16,11 @@ def dedupe(
     key: str | Sequence[str],
     order_by: Sequence[str] = (),
     null_keys: str = "collapse",
+    newest: str | None = None,
 ) -> DataFrame:
     """One row per key, the same row on every run.
 
-    The first row by ``order_by`` survives, nulls last; all other columns follow as tie-breaks,
+    The row with the largest ``newest`` survives, then the first by ``order_by``, nulls last; all other columns follow as tie-breaks,
     so rows that still tie are equal. Spark keeps only the first row per key of each map task
     before the shuffle, so a key with very many copies never gathers in one task.
 
@@ -33,10 +34,12 @@ def dedupe(
         has_key = F.lit(True)
         for name in keys:
             has_key = has_key & F.col(name).isNotNull()
-        return dedupe(df.filter(has_key), keys, order_by).unionByName(df.filter(~has_key))
+        return dedupe(df.filter(has_key), keys, order_by, newest=newest).unionByName(df.filter(~has_key))
     unordered = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
-    rest = [c for c in df.columns if c not in {*keys, *order_by, *unordered}]
-    order = [F.col(c).asc_nulls_last() for c in (*order_by, *rest)] or [F.lit(1)]
+    rest = [c for c in df.columns if c not in {*keys, *order_by, *unordered, newest}]
+    latest = [F.col(newest).desc_nulls_last()] if newest else []
+    order = latest + [F.col(c).asc_nulls_last() for c in (*order_by, *rest)]
+    order = order or [F.lit(1)]
     ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 
 def _tallied(raw: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
@@ -49,10 +50,23 @@ def compare_counts(raw: DataFrame, stored: DataFrame, by: str | Sequence[str]) -
     )
 
 
-def metric_diff(raw: DataFrame, stored: DataFrame, metric: str) -> DataFrame:
-    """The metric's total on both sides, and raw minus stored; one row."""
-    value = F.col(metric).cast("bigint")
-    nothing = F.lit(None).cast("bigint")
+def metric_diff(
+    raw: DataFrame, stored: DataFrame, metric: str, tolerance: float = 0.0
+) -> DataFrame:
+    """The metric's total on both sides, and raw minus stored; one row.
+
+    Integers are summed as bigint, decimals as they are, all else as double, whose last digits
+    depend on the order of summing: a difference of at most ``tolerance`` counts as none.
+    """
+    kinds = [df.schema[metric].dataType for df in (raw, stored)]
+    if all(isinstance(kind, IntegralType) for kind in kinds):
+        kind = "bigint"
+    elif all(isinstance(kind, (IntegralType, DecimalType)) for kind in kinds):
+        kind = next(k for k in kinds if isinstance(k, DecimalType)).simpleString()
+    else:
+        kind = "double"
+    value = F.col(metric).cast(kind)
+    nothing = F.lit(None).cast(kind)
     both = raw.select(value.alias("raw"), nothing.alias("stored")).unionByName(
         stored.select(nothing.alias("raw"), value.alias("stored"))
     )
@@ -60,4 +74,7 @@ def metric_diff(raw: DataFrame, stored: DataFrame, metric: str) -> DataFrame:
         F.coalesce(F.sum("raw"), F.lit(0)).alias("raw_total"),
         F.coalesce(F.sum("stored"), F.lit(0)).alias("stored_total"),
     )
-    return totals.withColumn("difference", F.col("raw_total") - F.col("stored_total"))
+    difference = F.col("raw_total") - F.col("stored_total")
+    if tolerance:
+        difference = F.when(F.abs(difference) <= tolerance, F.lit(0.0)).otherwise(difference)
+    return totals.withColumn("difference", difference)

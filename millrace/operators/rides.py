@@ -71,7 +71,7 @@ def lifecycle_rules() -> tuple[Rule, ...]:
 
     def ride_takes_duration() -> Column:
         ride = _seconds("pickup_time", "dropoff_time")
-        return F.when(_is("completed"), ride == F.col("duration_min") * 60).otherwise(True)
+        return F.when(_is("completed"), ride == F.col("duration_min").cast("bigint") * 60).otherwise(True)
 
     return (
         one_of("status", STATUSES),
@@ -120,7 +120,7 @@ def payment_rules(rates: Mapping[str, float] = PROMO_RATES) -> tuple[Rule, ...]:
         return F.col("discount_vnd") == cut(F.col("fare_vnd") * discount_rate(rates=rates))
 
     def final() -> Column:
-        due = _no_less(F.col("fare_vnd") - F.col("discount_vnd"), LOWEST_FINAL_AMOUNT)
+        due = _no_less(F.col("fare_vnd").cast("bigint") - F.col("discount_vnd"), LOWEST_FINAL_AMOUNT)
         amount = F.col("final_amount_vnd")
         return F.when(F.col("payment_status") == "success", amount == due).otherwise(amount == 0)
 

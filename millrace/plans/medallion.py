@@ -20,8 +20,9 @@ from millrace.operators.quality import PASSES, invalid_rows, judge, valid_rows
 from millrace.operators.stamps import with_audit, with_quarantine_reason, with_silver_stamp
 from millrace.sinks.runlog import log_run
 from millrace.sinks.tables import append_partitioned, replace_day, replace_days
-from millrace.sources.jsonl import RAW_DAY, read_days, read_jsonl
-from millrace.sources.tables import read_table, read_table_day
+from millrace.session import size_shuffles
+from millrace.sources.jsonl import RAW_DAY, list_days, read_days, read_jsonl
+from millrace.sources.tables import LOG_FORMATS, read_table, read_table_day
 
 REPLACE, APPEND = "replace", "append"
 
@@ -63,32 +64,37 @@ def ingest(
     day: str,
     mode: str = REPLACE,
     source: str = DEFAULT_SOURCE,
+    validate: Callable[[DataFrame], DataFrame] | None = None,
 ) -> IngestCounts:
-    """Land one raw day in Bronze as it is, bad rows included.
+    """Land one raw day in Bronze as it is, bad rows included, or what ``validate`` leaves of it.
 
-    The rows are counted by the write itself. A missing raw day raises PATH_NOT_FOUND.
+    Rows are counted as they are read and as they are written, by the write itself. A missing raw
+    day raises PATH_NOT_FOUND, a folder without a file FileNotFoundError; the tables stay.
     """
-    raw = read_jsonl(spark, day_path(lake.raw, entity.name, day), entity.schema)
+    folder = day_path(lake.raw, entity.name, day)
+    raw = read_jsonl(spark, folder, entity.schema)
+    if not raw.inputFiles():
+        raise FileNotFoundError(f"no raw file in {folder}")
     if _checked_mode(mode) == APPEND and raw.isEmpty():
         return IngestCounts(read=0, written=0)
-    counted = Observation()
-    rows = with_audit(
-        raw.observe(counted, F.count(F.lit(1)).alias("rows")), day, source, at=_now()
-    )
+    found, kept = Observation(), Observation()
+    read = raw.observe(found, F.count(F.lit(1)).alias("rows"))
+    checked = validate(read) if validate else read
+    rows = with_audit(checked, day, source, at=_now())
+    rows = rows.observe(kept, F.count(F.lit(1)).alias("rows"))
     if mode == APPEND:
         rows.write.format(lake.fmt).mode("append").partitionBy("ingest_date").save(
             lake.bronze(entity.name)
         )
     else:
         replace_day(rows, lake.bronze(entity.name), day, lake.fmt)
-    n_rows = counted.get["rows"]
-    return IngestCounts(read=n_rows, written=n_rows)
+    return IngestCounts(read=found.get["rows"], written=kept.get["rows"])
 
 
 def checked_rows(bronze: DataFrame, entity: Entity, per_day: bool = False) -> DataFrame:
     """One row per key with its verdict. Copies on different days are no copies."""
     key = ["ingest_date", entity.key] if per_day else entity.key
-    return judge(dedupe(bronze, key), entity.rules)
+    return judge(dedupe(bronze, key, newest=entity.newest), entity.rules)
 
 
 def cleanse(
@@ -102,6 +108,8 @@ def cleanse(
     bronze = read_table_day(
         spark, lake.bronze(entity.name), entity.bronze_schema, day, lake.fmt
     )
+    if lake.fmt not in LOG_FORMATS and not bronze.inputFiles():
+        return CleanseCounts(evaluated=0, valid=0)  # never ingested: nothing to replace Silver by
     judged = checked_rows(bronze, entity).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         counted = Observation()
@@ -146,13 +154,20 @@ def _for_each(spark: SparkSession, entities: Iterable[Entity], work: Callable) -
 
 @contextmanager
 def _logged(spark: SparkSession, lake: Lake, target: str, job: str):
-    """Log the run as it ended, ``failed`` when it raised."""
-    status = "failed"
+    """Log the run as it ended: ``success``, the status that the job set, or ``failed`` when it raised.
+
+    The job's own error is raised even if its log entry can't be written.
+    """
+    run = {"status": "success"}
     try:
-        yield
-        status = "success"
-    finally:
-        log_run(spark, lake.runs, target, job, status, lake.fmt)
+        yield run
+    except Exception as error:
+        try:
+            log_run(spark, lake.runs, target, job, "failed", lake.fmt)
+        except Exception as unlogged:  # noqa: BLE001 - the first error is the one to report
+            error.add_note(f"the run could not be logged: {unlogged}")
+        raise
+    log_run(spark, lake.runs, target, job, run["status"], lake.fmt)
 
 
 def run_day(
@@ -168,7 +183,9 @@ def run_day(
     def both(entity: Entity):
         return ingest(spark, lake, entity, day, mode), cleanse(spark, lake, entity, day, mode)
 
+    entities = list(entities)
     with _logged(spark, lake, day, job):
+        size_shuffles(spark, *(day_path(lake.raw, e.name, day) for e in entities))
         return _for_each(spark, entities, both)
 
 
@@ -178,25 +195,38 @@ def backfill_entity(
     entity: Entity,
     days: list[str],
     source: str = DEFAULT_SOURCE,
-) -> None:
-    """Load a range of days in one pass per layer, each day as if run alone."""
-    raw = read_days(spark, lake.raw_entity(entity.name), entity.schema, days[0], days[-1])
+) -> list[str]:
+    """Load a range of days in one pass per layer, each day as if run alone.
+
+    Returns the days without a raw file; their tables stay as they are. If no day has one, that
+    raises FileNotFoundError. The judged rows are written to shared storage once and both tables
+    are made from there, so the range needs no cache and a lost executor costs its tasks only.
+    """
+    root = lake.raw_entity(entity.name)
+    listed = list_days(spark, root).filter(F.col(RAW_DAY).isin(days))
+    present = sorted(row[RAW_DAY] for row in listed.collect())  # at most the days asked for
+    missing = sorted(set(days) - set(present))
+    if not present:
+        raise FileNotFoundError(f"no raw file in {root} from {days[0]} to {days[-1]}")
+    days = present
+    raw = read_days(spark, root, entity.schema, days[0], days[-1])
+    raw = raw.filter(F.col(RAW_DAY).isin(days))
     at = _now()
     landed = with_audit(raw, F.col(RAW_DAY), source, at).drop(RAW_DAY)
     # Raw splits lie within a day, so the Bronze write needs no shuffle to keep files few.
     replace_days(spark, landed, lake.bronze(entity.name), days, lake.fmt, gather=False)
 
     bronze = read_table(spark, lake.bronze(entity.name), entity.bronze_schema, lake.fmt).filter(
-        F.col("ingest_date").between(days[0], days[-1])
+        F.col("ingest_date").isin(days)
     )
-    judged = checked_rows(bronze, entity, per_day=True).persist(StorageLevel.MEMORY_AND_DISK_DESER)
-    try:
-        valid = with_silver_stamp(valid_rows(judged), at)
-        invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(judged), at))
-        replace_days(spark, valid, lake.silver(entity.name), days, lake.fmt)
-        replace_days(spark, invalid, lake.quarantine(entity.name), days, lake.fmt)
-    finally:
-        judged.unpersist()
+    checked, staged = checked_rows(bronze, entity, per_day=True), f"{lake.staging(entity.name)}-range"
+    checked.write.mode("overwrite").parquet(staged)
+    judged = spark.read.schema(checked.schema).parquet(staged)
+    valid = with_silver_stamp(valid_rows(judged), at)
+    invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(judged), at))
+    replace_days(spark, valid, lake.silver(entity.name), days, lake.fmt)
+    replace_days(spark, invalid, lake.quarantine(entity.name), days, lake.fmt)
+    return missing
 
 
 def range_counts(spark: SparkSession, lake: Lake, entity: Entity, days: list[str]) -> DataFrame:
@@ -237,15 +267,24 @@ def run_range(
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
     job: str = "medallion_backfill",
 ) -> DataFrame:
-    """Backfill ``n_days`` days from ``start``; returns the rows per entity, day and layer."""
+    """Backfill ``n_days`` days from ``start``; returns the rows per entity, day and layer.
+
+    Days without a raw file keep the tables they have, and the run is logged as ``incomplete``.
+    """
     days = day_range(start, n_days)
     if not days:
         raise ValueError("a backfill needs at least one day")
 
-    def load(entity: Entity) -> DataFrame:
-        backfill_entity(spark, lake, entity, days)
-        return range_counts(spark, lake, entity, days)
+    entities = list(entities)
+
+    def load(entity: Entity) -> tuple[list[str], DataFrame]:
+        missing = backfill_entity(spark, lake, entity, days)
+        return missing, range_counts(spark, lake, entity, days)
 
-    with _logged(spark, lake, f"{days[0]}/{days[-1]}", job):
-        counts = _for_each(spark, entities, load)
+    with _logged(spark, lake, f"{days[0]}/{days[-1]}", job) as run:
+        size_shuffles(spark, *(lake.raw_entity(e.name) for e in entities))
+        loaded = _for_each(spark, entities, load)
+        if any(missing for missing, _ in loaded.values()):
+            run["status"] = "incomplete"
+    counts = {name: table for name, (_, table) in loaded.items()}
     return reduce(DataFrame.unionByName, counts.values())

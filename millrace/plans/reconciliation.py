@@ -13,7 +13,7 @@ from millrace.functions.predicates import passes
 from millrace.lake import Lake, day_path
 from millrace.operators.dedupe import dedupe
 from millrace.operators.integrity import rows_with_keys
-from millrace.operators.reconcile import compare_counts, extra_keys, lost_keys
+from millrace.operators.reconcile import compare_counts, compare_keys
 from millrace.sinks.tables import sample_rows
 from millrace.sources.jsonl import RAW_DAY, read_days, read_jsonl
 from millrace.sources.tables import read_table, read_table_day
@@ -91,19 +91,17 @@ def reconcile_raw(
 
 @dataclass(frozen=True)
 class RowDifferences:
+    compared: DataFrame
     lost_keys: DataFrame
     lost_rows: DataFrame
     extra_keys: DataFrame
     extra_rows: DataFrame
 
     def counts(self) -> DataFrame:
-        """Both differences as one row of numbers."""
-        sides = self.lost_keys.select(F.lit(1).alias("lost"), F.lit(0).alias("extra")).unionByName(
-            self.extra_keys.select(F.lit(0).alias("lost"), F.lit(1).alias("extra"))
-        )
-        return sides.agg(
-            F.coalesce(F.sum("lost"), F.lit(0)).alias("lost"),
-            F.coalesce(F.sum("extra"), F.lit(0)).alias("extra"),
+        """Both differences as one row of numbers, from one tally of the keys; null is a key."""
+        return self.compared.agg(
+            F.count_if(F.col("stored_rows") == 0).alias("lost"),
+            F.count_if(F.col("raw_rows") == 0).alias("extra"),
         )
 
 
@@ -120,8 +118,11 @@ def reconcile_rows(
     A null key is reported as a key but has no rows, as null equals nothing in a join.
     """
     ours, theirs = raw.transform(raw_filter), stored.transform(stored_filter)
-    lost, extra = lost_keys(ours, theirs, key), extra_keys(ours, theirs, key)
+    compared = compare_keys(ours, theirs, key)
+    lost = compared.filter(F.col("stored_rows") == 0).select(key)
+    extra = compared.filter(F.col("raw_rows") == 0).select(key)
     return RowDifferences(
+        compared=compared,
         lost_keys=lost,
         lost_rows=sample_rows(rows_with_keys(ours, lost, key), key, sample),
         extra_keys=extra,

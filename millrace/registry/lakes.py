@@ -60,9 +60,10 @@ def batched_sql(name: str) -> str:
 
 
 def deduped_sql(name: str) -> str:
-    """One row per batch and key: the first by all other columns, nulls last."""
+    """One row per batch and key: the newest, then the first by all other columns, nulls last."""
     entity = ENTITIES[name]
-    order = ", ".join(f"{c} NULLS LAST" for c in entity.schema.names if c != entity.key)
+    rest = [c for c in entity.schema.names if c not in (entity.key, entity.newest)]
+    order = ", ".join([f"{entity.newest} DESC NULLS LAST", *(f"{c} NULLS LAST" for c in rest)])
     return f"""SELECT * FROM ({batched_sql(name)}) b QUALIFY row_number() OVER (
   PARTITION BY batch_day, {entity.key} ORDER BY {order}) = 1"""
 
@@ -171,7 +172,7 @@ def first_trips(spark, sf):
 def replace_idempotent(spark, sf):
     """Three writes of all days, the last one without rows for one of them."""
     path = scratch_dir(spark, "replace")
-    rows = dedupe(batched(spark, sf, "payments"), ["batch_day", "payment_id"])
+    rows = dedupe(batched(spark, sf, "payments"), ["batch_day", "payment_id"], newest=PAYMENTS.newest)
     rows = rows.withColumnRenamed("batch_day", "ingest_date")
     days = [row["date"] for row in raw_day_list(spark, sf)]
     replace_days(spark, rows, path, days)

@@ -25,8 +25,8 @@ def landed(spark: SparkSession, sf: str, name: str) -> Lake:
 def _verdicts(spark, lake, entity):
     silver = read_table(spark, lake.silver(entity.name), entity.silver_schema)
     rejected = read_table(spark, lake.quarantine(entity.name), entity.quarantine_schema)
-    return silver.select(entity.key, F.lit("valid").alias("layer")).unionByName(
-        rejected.select(entity.key, F.lit("quarantine").alias("layer"))
+    return silver.select("ingest_date", entity.key, F.lit("valid").alias("layer")).unionByName(
+        rejected.select("ingest_date", entity.key, F.lit("quarantine").alias("layer"))
     )
 
 
@@ -43,13 +43,13 @@ def stream_ingest(spark, sf):
 def stream_silver(spark, sf):
     lake = once(landed, spark, sf, "trips")
     start_silver(spark, lake, TRIPS).awaitTermination()
-    return _verdicts(spark, lake, TRIPS)
+    return _verdicts(spark, lake, TRIPS).drop("ingest_date")
 
 
 def stream_dedupe(spark, sf):
     lake = once(landed, spark, sf, "payments")
     start_silver(spark, lake, PAYMENTS).awaitTermination()
-    return _verdicts(spark, lake, PAYMENTS).select("payment_id")
+    return _verdicts(spark, lake, PAYMENTS).select("ingest_date", "payment_id")
 
 
 def stream_demand(spark, sf):
@@ -74,7 +74,8 @@ FROM ({batched_sql('payments')}) b GROUP BY batch_day"""),
   THEN 'valid' ELSE 'quarantine' END AS layer FROM {{v_trips}}"""),
     ),
     "stream_dedupe": Query(
-        stream_dedupe, oracle("SELECT DISTINCT payment_id FROM {v_payments}")
+        stream_dedupe,
+        oracle(f"SELECT DISTINCT batch_day AS ingest_date, payment_id FROM ({batched_sql('payments')}) b"),
     ),
     "stream_demand": Query(
         stream_demand,

@@ -243,6 +243,12 @@ def fare_metric(spark, sf):
     return metric_diff(payments, _deduped(spark, sf, "payments"), "fare_vnd")
 
 
+def km_metric(spark, sf):
+    trips = load(spark, sf, "v_trips")
+    totals = metric_diff(trips, trips.filter("status = 'completed'"), "distance_km", 1e-6)
+    return totals.select(*[F.round(c, 3).alias(c) for c in totals.columns])
+
+
 def _recon_days(name: str):
     def run(spark, sf):
         entity = ENTITIES[name]
@@ -521,6 +527,12 @@ GROUP BY trip_id HAVING count(*) > 1
 UNION ALL
 SELECT trip_id, rater_type, count(*) FROM {v_ratings} WHERE trip_id IS NOT NULL
 GROUP BY trip_id, rater_type HAVING count(*) > 1"""),
+    ),
+    "metric_diff_km": Query(
+        km_metric,
+        oracle("""SELECT round(sum(distance_km), 3) AS raw_total,
+  round(sum(distance_km) FILTER (status = 'completed'), 3) AS stored_total,
+  round(sum(distance_km) - sum(distance_km) FILTER (status = 'completed'), 3) AS difference FROM {v_trips}"""),
     ),
     "metric_diff": Query(
         fare_metric,

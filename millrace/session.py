@@ -5,10 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_INITIAL_PARTITIONS = 40_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def settings(input_bytes: int | None = None) -> dict[str, str]:
@@ -33,13 +35,33 @@ def settings(input_bytes: int | None = None) -> dict[str, str]:
         "spark.ui.enabled": "false",
     }
     if input_bytes is not None:
-        wanted = -(-input_bytes // PARTITION_BYTES)
-        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
-            max(8, min(MAX_INITIAL_PARTITIONS, wanted))
-        )
+        conf[INITIAL_PARTITIONS] = str(initial_partitions(input_bytes))
     return conf
 
 
+def initial_partitions(input_bytes: int) -> int:
+    """Partitions of the first shuffle of an input: each of ``PARTITION_BYTES``, 8 at least."""
+    return max(8, -(-input_bytes // PARTITION_BYTES))
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> None:
+    """Size the session's first shuffles by the files below ``paths``; absent ones count as empty.
+
+    Only names and lengths are listed. A larger size that was set before, for jobs that run
+    beside this one, stays.
+    """
+    total = 0
+    for path in paths:
+        try:
+            files = spark.read.format("binaryFile").load(path)
+            total += files.agg(F.sum("length")).first()[0] or 0
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    wanted = max(initial_partitions(total), int(spark.conf.get(INITIAL_PARTITIONS, "1")))
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+
+
 def build_session(
     app_name: str,
     master: str | None = None,

@@ -38,6 +38,11 @@ def replace_day(df: DataFrame, path: str, day: str, fmt: str = "parquet") -> Non
         df.drop(DAY).write.format(fmt).mode("overwrite").save(f"{path}/{DAY}={day}")
 
 
+def days_predicate(days: Sequence[str]) -> str:
+    """The rows of exactly these days, as SQL."""
+    return f"{DAY} IN ({', '.join(repr(checked_day(day)) for day in sorted(set(days)))})"
+
+
 def replace_days(
     spark: SparkSession,
     df: DataFrame,
@@ -46,7 +51,7 @@ def replace_days(
     fmt: str = "parquet",
     gather: bool = True,
 ) -> None:
-    """Make ``df`` the only content of the given days; other days stay.
+    """Make ``df`` the only content of the given days; other days stay, whatever ``df`` holds.
 
     ``gather`` brings each day's rows together before the write, so that a shuffled input does
     not leave one file per task and day. AQE splits days that are too big for a task.
@@ -54,10 +59,9 @@ def replace_days(
     days = sorted({checked_day(day) for day in days})
     if not days:
         return
-    rows = df.filter(F.col(DAY).between(days[0], days[-1]))
+    rows = df.filter(F.col(DAY).isin(days))
     if fmt in LOG_FORMATS:
-        span = f"{DAY} >= '{days[0]}' AND {DAY} <= '{days[-1]}'"
-        writer = rows.write.option("replaceWhere", span)
+        writer = rows.write.option("replaceWhere", days_predicate(days))
         writer.format(fmt).mode("overwrite").partitionBy(DAY).save(path)
         return
     if gather:
@@ -87,15 +91,31 @@ def _clear_days(spark, df, path, unwritten: set[str], fmt) -> None:
         replace_day(df.limit(0), path, day, fmt)
 
 
-def replace_micro_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Make ``df`` the only content of one micro-batch, so that a replay changes nothing."""
+def replace_micro_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+    """Make ``df`` the only content of one micro-batch, so that a replay changes nothing.
+
+    The day lies above the micro-batch, so a day is read from its own folder.
+    """
+    spark = df.sparkSession
+    written = Observation()
+    rows = df.hint("rebalance", F.col(DAY)).withColumn(MICRO_BATCH, F.lit(batch_id))
+    rows = rows.observe(written, F.collect_set(DAY).alias("days"))
     (
-        df.hint("rebalance", F.col(DAY))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(DAY)
-        .parquet(f"{path}/{MICRO_BATCH}={batch_id}")
+        rows.write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY, MICRO_BATCH)
+        .save(path)
     )
+    here = spark.read.format("binaryFile").load(path)
+    if MICRO_BATCH not in here.columns:
+        return
+    before = here.filter(F.col(MICRO_BATCH) == batch_id).select(F.col(DAY).cast("string")).distinct()
+    for day in sorted({row[DAY] for row in before.toLocalIterator()} - set(written.get["days"])):
+        # an earlier try had rows on this day
+        df.drop(DAY).limit(0).write.format(fmt).mode("overwrite").save(
+            f"{path}/{DAY}={day}/{MICRO_BATCH}={batch_id}"
+        )
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 10) -> DataFrame:

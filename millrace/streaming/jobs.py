@@ -1,7 +1,7 @@
 """The same jobs on streams: ingest of new files, Silver, and demand.
 
 A lake is filled either by these or by the batch jobs: Bronze written here carries the file
-sink's log, and Silver is partitioned by micro-batch above the day.
+sink's log, and Silver is partitioned by day, then micro-batch.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def start_ingest(
     """Land all new raw files in Bronze, each exactly once, then stop."""
     return (
         ingest_stream(spark, lake, entity, source, files_per_batch)
-        .writeStream.format("parquet")
+        .writeStream.format(lake.fmt)
         .outputMode("append")
         .option("checkpointLocation", lake.checkpoint(f"ingest-{entity.name}"))
         .partitionBy("ingest_date")
@@ -69,21 +69,23 @@ def silver_stream(
     entity: Entity,
     delay: str = "2 hours",
     files_per_batch: int | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Bronze rows, one per key seen within ``delay``, with their verdict.
+    """Bronze rows, one per day and key seen within ``delay``, with their verdict.
 
     Event time is the arrival stamp, so no row comes late and every bad row reaches quarantine.
     The first dedupe is salted by input partition: copies of a very frequent key shrink to one
-    per salt in many tasks before the second one brings the key together.
+    per salt in many tasks before the second one brings the key together; ``salts`` is the most
+    tasks that share one key.
     """
     reader = _limited(spark.readStream.schema(entity.bronze_schema), files_per_batch)
-    arrived = reader.parquet(lake.bronze(entity.name)).withWatermark(ARRIVAL, delay)
+    arrived = reader.format(lake.fmt).load(lake.bronze(entity.name)).withWatermark(ARRIVAL, delay)
     thinned = (
-        arrived.withColumn(_SALT, F.spark_partition_id() % SALTS)
-        .dropDuplicatesWithinWatermark([entity.key, _SALT])
+        arrived.withColumn(_SALT, F.spark_partition_id() % salts)
+        .dropDuplicatesWithinWatermark(["ingest_date", entity.key, _SALT])
         .drop(_SALT)
     )
-    return judge(thinned.dropDuplicatesWithinWatermark([entity.key]), entity.rules)
+    return judge(thinned.dropDuplicatesWithinWatermark(["ingest_date", entity.key]), entity.rules)
 
 
 def start_silver(
@@ -106,8 +108,8 @@ def start_silver(
         at = datetime.now(timezone.utc)
         valid = with_silver_stamp(valid_rows(judged), at)
         invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(judged), at))
-        replace_micro_batch(valid, lake.silver(entity.name), batch_id)
-        replace_micro_batch(invalid, lake.quarantine(entity.name), batch_id)
+        replace_micro_batch(valid, lake.silver(entity.name), batch_id, lake.fmt)
+        replace_micro_batch(invalid, lake.quarantine(entity.name), batch_id, lake.fmt)
 
     return (
         silver_stream(spark, lake, entity, delay, files_per_batch)
@@ -126,7 +128,7 @@ def demand_stream(
 ) -> DataFrame:
     """Trips per 15 minutes, city and status by request time; later rows than ``delay`` drop."""
     reader = _limited(spark.readStream.schema(TRIPS.bronze_schema), files_per_batch)
-    trips = reader.parquet(lake.bronze(TRIPS.name))
+    trips = reader.format(lake.fmt).load(lake.bronze(TRIPS.name))
     return demand(trips.withWatermark("request_time", delay), "request_time")
 
 
@@ -139,7 +141,7 @@ def start_demand(
     """Append every window that can no longer change to ``<root>/demand``, then stop."""
     return (
         demand_stream(spark, lake, delay, files_per_batch)
-        .writeStream.format("parquet")
+        .writeStream.format(lake.fmt)
         .outputMode("append")
         .option("checkpointLocation", lake.checkpoint("demand"))
         .trigger(availableNow=True)

@@ -114,3 +114,12 @@ def test_hot_key_is_split_in_the_joins(skewed):
         assert n_rows == plain.count()
     unmatched = orphans(child, parent, "k")
     assert unmatched.count() == 300_000 - 200_000 - 30_000
+
+
+def test_metric_of_doubles_is_not_cut(spark):
+    from millrace.operators.reconcile import metric_diff
+
+    raw = spark.createDataFrame([(0.9,), (0.9,)], "km double")
+    row = metric_diff(raw, spark.createDataFrame([(0.1,)], "km double"), "km").first()
+    assert (round(row.raw_total, 9), round(row.stored_total, 9), round(row.difference, 9)) == (1.8, 0.1, 1.7)
+    assert metric_diff(raw, raw, "km", 1e-9).first().difference == 0

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -218,7 +219,8 @@ def test_range_is_the_same_as_its_days(spark, lake, tmp_path):
         ("2026-03-23", 3, 1, 1),
     ]
     runs = read_table(spark, lake.runs, RUNS_SCHEMA)
-    assert tuples(runs, "target_date", "status") == [("2026-03-20/2026-03-23", "success")] * 2
+    # a day of the range has no raw file
+    assert tuples(runs, "target_date", "status") == [("2026-03-20/2026-03-23", "incomplete")] * 2
 
 
 def test_range_failure_is_logged(spark, lake):
@@ -312,3 +314,39 @@ def test_verdict_columns_stay_out_of_the_tables(spark, lake):
     files = spark.read.parquet(lake.silver("payments"))
     assert set(files.columns) == set(PAYMENTS.silver_schema.names)
     assert files.filter(F.col("_silver_at").isNull()).count() == 0
+
+
+def test_days_without_input_keep_their_tables(spark, lake):
+    write_lines(lake, "trips", "2026-03-20", [trip(1)])
+    write_lines(lake, "trips", "2026-03-21", [trip(2), trip(3, city=None)])
+    run_range(spark, lake, "2026-03-20", 2, [TRIPS])
+    (Path(lake.raw) / "trips" / "date=2026-03-21" / "data.jsonl").unlink()
+    before = {name: keys(spark, lake, TRIPS, name) for name in ("bronze", "silver", "quarantine")}
+    run_range(spark, lake, "2026-03-20", 2, [TRIPS])
+    with pytest.raises(FileNotFoundError):
+        ingest(spark, lake, TRIPS, "2026-03-21")
+    with pytest.raises(FileNotFoundError):
+        run_range(spark, lake, "2026-03-21", 1, [TRIPS])
+    assert {name: keys(spark, lake, TRIPS, name) for name in before} == before
+    runs = spark.read.parquet(lake.runs).orderBy("run_at").select("status")
+    assert [r.status for r in runs.collect()] == ["success", "incomplete", "failed"]
+
+
+def test_cleanse_without_bronze_writes_nothing(spark, lake, tmp_path):
+    write_lines(lake, "trips", DAY, [trip(1)])
+    run_range(spark, lake, DAY, 1, [TRIPS])
+    moved = Lake(root=lake.root, raw=lake.raw)
+    counts = cleanse(spark, moved, TRIPS, "2026-03-25")
+    assert (counts.evaluated, counts.valid) == (0, 0)
+    assert layer(spark, lake, TRIPS, "silver").count() == 1
+
+
+def test_newest_copy_stays_and_dropped_rows_are_counted(spark, lake):
+    write_lines(lake, "payments", DAY, [
+        payment(1, payment_time="2026-03-21T10:00:00", fare_vnd=1), payment(1, payment_time="2026-03-21T12:00:00", fare_vnd=9),
+        payment(2),
+    ])
+    counts = ingest(spark, lake, PAYMENTS, DAY, validate=lambda df: df.filter("payment_id <> 'PAY00000002'"))
+    assert (counts.read, counts.written, counts.dropped) == (3, 2, 1)
+    cleanse(spark, lake, PAYMENTS, DAY)
+    assert [r.fare_vnd for r in layer(spark, lake, PAYMENTS, "silver").collect()] == [9]

@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import tuples
 from millrace.functions.predicates import (
+    Rule,
+    at_least,
+    failed_rules,
+    one_of,
     all_hold,
     at_least,
     failed_rules,
@@ -113,3 +118,11 @@ def test_counts_profile_and_audit_agree(spark):
 def test_a_rule_without_violations_is_listed_with_zero(spark):
     df = spark.createDataFrame([("k", "a", 1.0, 1)], SCHEMA)
     assert {r.violations for r in violation_profile(df, RULES).collect()} == {0}
+
+
+def test_names_tell_rules_apart():
+    assert at_least("x", 1_000_001).name != at_least("x", 1_000_002).name
+    with pytest.raises(ValueError, match="share a name"):
+        failed_rules([one_of("x", ["a"]), one_of("x", ["b"])])
+    with pytest.raises(ValueError, match="comma"):
+        Rule("a,b", lambda: None)

@@ -291,3 +291,15 @@ def test_daily_volumes(spark):
     day = spark.createDataFrame([("d1",), ("d1",), ("d2",)], "ingest_date string")
     volumes = rides.daily_volumes({"trips": day, "payments": day.limit(0)})
     assert tuples(volumes) == [("trips", "d1", 2), ("trips", "d2", 1)]
+
+
+def test_extreme_integers_fail_their_rule_instead_of_the_job(spark):
+    from millrace.operators.quality import violation_profile
+
+    top = 2**31 - 1
+    paid = spark.createDataFrame(
+        [(top, None, -top, 0, "success", 0, 0)],
+        "fare_vnd int, promo_code string, discount_vnd int, final_amount_vnd int, payment_status string,"
+        " platform_fee_vnd int, driver_earning_vnd int",
+    )
+    assert violation_profile(paid, rides.payment_rules()).count() > 0

@@ -19,6 +19,7 @@ from millrace.sinks import (
     sample_rows,
     write_day_jsonl,
 )
+from millrace.sinks.tables import days_predicate, replace_days
 from millrace.sources import latest_runs, read_table
 
 SCHEMA = "k string, ingest_date string"
@@ -162,4 +163,13 @@ def test_first_shuffle_is_sized_by_the_input():
     assert key not in settings()
     assert settings(1)[key] == "8"
     assert settings(300 * 1024**3)[key] == "1200"
-    assert settings(100 * 1024**4)[key] == "40000"
+    assert settings(100 * 1024**4)[key] == str(100 * 1024**4 // (256 * 1024**2))
+
+
+def test_only_listed_days_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "listed")
+    old = spark.createDataFrame([(1, "2026-01-01"), (2, "2026-01-02"), (3, "2026-01-03")], "n int, ingest_date string")
+    replace_days(spark, old, path, ["2026-01-01", "2026-01-02", "2026-01-03"])
+    replace_days(spark, old.withColumn("n", old.n * 10), path, ["2026-01-01", "2026-01-03"])
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == [2, 10, 30]
+    assert days_predicate(["2026-01-03", "2026-01-01"]) == "ingest_date IN ('2026-01-01', '2026-01-03')"

@@ -117,3 +117,18 @@ def test_stream_tables_read_like_batch_tables(spark, lake):
     rows = read_table(spark, lake.silver("trips"), TRIPS.silver_schema)
     assert set(TRIPS.silver_schema.names) <= set(rows.columns)
     assert dict(rows.dtypes)["ingest_date"] == "string"
+
+
+def test_a_key_on_two_days_and_another_format(spark, tmp_path):
+    from millrace.plans import reconcile_layers
+    from millrace.sources import read_table_day
+
+    lake = Lake(root=str(tmp_path / "lake"), raw=str(tmp_path / "raw"), fmt="orc")
+    for day in (DAY, "2026-03-22"):
+        write_lines(lake, "trips", day, [trip(1), trip(2), "{broken"])
+    ingest(spark, lake)
+    silver(spark, lake)
+    assert read_table(spark, lake.silver("trips"), TRIPS.silver_schema, "orc").count() == 4
+    assert read_table(spark, lake.quarantine("trips"), TRIPS.quarantine_schema, "orc").count() == 2
+    assert reconcile_layers(spark, lake, TRIPS).count() == 0
+    assert read_table_day(spark, lake.silver("trips"), TRIPS.silver_schema, DAY, "orc").count() == 2
