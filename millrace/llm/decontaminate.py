@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from fractions import Fraction
 from functools import reduce
 
 import numpy as np
@@ -27,6 +28,8 @@ SIMILARITY = 0.8
 MIN_WORDS = 13
 #: Each seed sets three bits of the bitmap, from these places of its hash on.
 BIT_SHIFTS = (0, 20, 41)
+#: Texts are hashed together up to about so many words, as many short array steps would cost more than the work.
+GROUP_WORDS = 16_384
 WORD = re.compile(r"\w+")
 
 
@@ -99,32 +102,57 @@ def _held(bits: np.ndarray, seed: np.ndarray) -> np.ndarray:
     return place
 
 
+def _seeds_of_many(words: np.ndarray, ends: np.ndarray, bits: np.ndarray, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and seeds that the bitmap may hold, in order, of texts laid end to end; ``ends`` is where each place's text
+    ends. Windows that reach into the next text are left out."""
+    found = [(SPAN, h) for h in (seeds(words) if len(words) >= SPAN else [])] + _short_seeds(words, short)
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    places, hashes = [], []
+    for size, h in found:
+        at = _held(bits, h)
+        at = at[at + size <= ends[at]]
+        places.append(at)
+        hashes.append(h[at])
+    at, seed = np.concatenate(places), np.concatenate(hashes)
+    order = np.argsort(at, kind="stable")
+    return at[order], seed[order]
+
+
+def _groups(docs: pd.DataFrame, numbers: _Numbers) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Documents and their words, some ``GROUP_WORDS`` words at a time."""
+    group, size = [], 0
+    for doc_id, text in zip(docs["doc_id"], docs["text"], strict=True):
+        group.append((doc_id, word_hashes(text, numbers)))
+        size += len(group[-1][1])
+        if size >= GROUP_WORDS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def _hit_regions(bits: np.ndarray, longest: int, short: np.ndarray):
     """Stretches of a document around seeds that the benchmark may hold: their words, and the seeds with their places."""
 
-    def hits(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = [(np.arange(len(h)), h) for h in (seeds(words) if len(words) >= SPAN else [])]
-        found += [(np.arange(len(h)), h) for _, h in _short_seeds(words, short)]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        found = [(at[held], seed[held]) for at, seed in found for held in (_held(bits, seed),)]
-        at, seed = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(at, kind="stable")
-        return at[order], seed[order]
+    def regions(group: list[tuple[int, np.ndarray]]) -> Iterator[tuple]:
+        lengths = np.array([len(words) for _, words in group])
+        ends = np.cumsum(lengths)
+        at, seed = _seeds_of_many(np.concatenate([words for _, words in group]), np.repeat(ends, lengths), bits, short)
+        if not len(at):
+            return
+        owner = np.searchsorted(ends, at, side="right")
+        breaks = np.flatnonzero((np.diff(at) > 2 * longest) | (np.diff(owner) > 0)) + 1
+        for where, what, who in zip(np.split(at, breaks), np.split(seed, breaks), owner[np.concatenate([[0], breaks])], strict=True):
+            doc_id, words = group[who]
+            where = where - (ends[who] - lengths[who])
+            low, high = max(0, int(where[0]) - longest), int(where[-1]) + longest
+            yield doc_id, low, words[low:high].view(np.int64), (where - low).astype(np.int32), what.view(np.int64)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = _Numbers()
         for docs in batches:
-            rows = []
-            for doc_id, text in zip(docs["doc_id"], docs["text"], strict=True):
-                words = word_hashes(text, numbers)
-                at, seed = hits(words)
-                if not len(at):
-                    continue
-                breaks = np.flatnonzero(np.diff(at) > 2 * longest) + 1
-                for where, what in zip(np.split(at, breaks), np.split(seed, breaks), strict=True):
-                    low, high = max(0, int(where[0]) - longest), int(where[-1]) + longest
-                    rows.append((doc_id, low, words[low:high].view(np.int64), (where - low).astype(np.int32), what.view(np.int64)))
+            rows = [row for group in _groups(docs, numbers) for row in regions(group)]
             if rows:
                 yield pd.DataFrame(rows, columns=["doc_id", "region", "words", "at", "seed"])
 
@@ -139,13 +167,17 @@ def _best_overlap(item: np.ndarray, region: np.ndarray, start: int, similarity:
     places = np.flatnonzero(same)
     if not len(places):
         return 0, 0, 0
-    agree = np.concatenate([[0], np.cumsum(same)])
-    length = places[None, :] - places[:, None] + 1
-    good = (agree[places + 1][None, :] - agree[places][:, None] >= similarity * length) & (length >= min(min_words, len(item)))
-    if not good.any():
+    # agree >= similarity * length in whole numbers: a stretch from a to b will do if after[b] >= before[a]
+    ratio = Fraction(similarity).limit_denominator(1000)
+    rank = np.arange(len(places))
+    before, after = (ratio.denominator * (rank + k) - ratio.numerator * (places + k) for k in (0, 1))
+    best_after = np.maximum.accumulate(after[::-1])[::-1]  # never rises, so each start's farthest end is found by bisection
+    last = np.searchsorted(-best_after, -before, side="right") - 1
+    length = np.where(last >= rank, places[last] - places + 1, 0)
+    a = int(np.argmax(length))
+    if length[a] < min(min_words, len(item)):
         return 0, 0, 0
-    a, b = np.unravel_index(np.argmax(np.where(good, length, 0)), length.shape)
-    return int(places[a] + low), int(length[a, b]), int(agree[places[b] + 1] - agree[places[a]])
+    return int(places[a] + low), int(length[a]), int(last[a] - a + 1)
 
 
 def _verify(similarity: float, min_words: int):
