@@ -39,12 +39,6 @@ from millrace.sources import (
 
 ONE_DAY = "1997-03-01"
 RATINGS_DAY = "2024-01-01"
-# First day and number of days that hold all rows of an entity.
-SPANS = {
-    "trips": ("1995-01-01", 2_500),
-    "payments": ("1995-01-01", 2_500),
-    "ratings": (RATINGS_DAY, 31),
-}
 EVENT_TIME = {"trips": "request_time", "payments": "payment_time", "ratings": "rated_at"}
 
 
@@ -96,9 +90,15 @@ def raw_lake(spark: SparkSession, sf: str, *names: str) -> Lake:
     return lake
 
 
+def raw_span(spark: SparkSession, lake: Lake, name: str) -> tuple[str, int]:
+    """The first day that has raw lines, and the number of days up to the last one."""
+    days = list_days(spark, lake.raw_entity(name)).agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    return days.select("a", (F.datediff("b", "a") + 1).alias("n")).first()
+
+
 def _filled(spark: SparkSession, sf: str, name: str) -> DataFrame:
     lake = raw_lake(spark, sf, name)
-    return run_range(spark, lake, *SPANS[name], (ENTITIES[name],))
+    return run_range(spark, lake, *raw_span(spark, lake, name), (ENTITIES[name],))
 
 
 def filled_lake(spark: SparkSession, sf: str, name: str) -> tuple[Lake, DataFrame]:
@@ -184,6 +184,21 @@ def replace_idempotent(spark, sf):
     )
 
 
+def replace_listed_days(spark, sf):
+    """All days are offered again with an added mark; only the listed ones, of odd months, are replaced."""
+    path = scratch_dir(spark, "listed")
+    rows = batched(spark, sf, "trips").select(
+        "trip_id", F.lit(0).alias("mark"), F.col("batch_day").alias("ingest_date")
+    )
+    days = [row["date"] for row in list_days(spark, raw_lake(spark, sf, "trips").raw_entity("trips")).collect()]
+    replace_days(spark, rows, path, days)
+    replace_days(spark, rows.withColumn("mark", F.lit(1)), path, [day for day in days if int(day[6]) % 2])
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return stored.groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("mark").alias("marked")
+    )
+
+
 def raw_day_list(spark, sf):
     """One value per delivered month."""
     return list_days(spark, raw_lake(spark, sf, "payments").raw_entity("payments")).collect()
@@ -213,7 +228,7 @@ def newest_runs(spark, sf):
 
 
 def daily_run(spark, sf):
-    """Both layers for one delivered month, and the run log it leaves."""
+    """Both layers for one delivered month, and the tables it leaves."""
     lake = fresh(spark, sf, "daily", *ENTITIES)
     done = {
         **run_day(spark, lake, ONE_DAY, (TRIPS, PAYMENTS)),
@@ -252,6 +267,21 @@ def backfill(spark, sf):
     return reduce(DataFrame.unionByName, totals)
 
 
+def backfill_missing_day(spark, sf):
+    """All trips, then a backfill from raw lines that lack a day and the trips without a driver.
+
+    The day that is missing keeps the rows of the first run.
+    """
+    lake = fresh(spark, sf, "missing", "trips")
+    run_range(spark, lake, *raw_span(spark, lake, "trips"), (TRIPS,))
+    later = Lake(root=lake.root, raw=scratch_dir(spark, "missing-raw"))
+    rows = batched(spark, sf, "trips").filter((F.col("batch_day") != ONE_DAY) & F.col("driver_id").isNotNull())
+    write_day_jsonl(rows, later.raw_entity("trips"), "batch_day")
+    totals = run_range(spark, later, *raw_span(spark, lake, "trips"), (TRIPS,))
+    status = latest_runs(read_table(spark, lake.runs, RUNS_SCHEMA), 1).first()["status"]
+    return totals.drop("entity").filter("bronze_rows > 0").withColumn("status", F.lit(status))
+
+
 def _stored(name: str, layer: str):
     def run(spark, sf):
         lake, _ = filled_lake(spark, sf, name)
@@ -301,15 +331,15 @@ def recon_raw_rows(spark, sf):
 
 def _backfill_sql() -> str:
     parts = []
-    for name, (first, n_days) in SPANS.items():
+    for name in ENTITIES:
         parts.append(f"""SELECT '{name}' AS entity, day AS ingest_date,
   (SELECT count(*) FROM ({batched_sql(name)}) b WHERE b.batch_day = day) AS bronze_rows,
   (SELECT count(*) FROM ({deduped_sql(name)}) d
     WHERE d.batch_day = day AND {passes_sql(name)}) AS valid_rows,
   (SELECT count(*) FROM ({deduped_sql(name)}) d
     WHERE d.batch_day = day AND NOT {passes_sql(name)}) AS quarantine_rows
-FROM (SELECT CAST(DATE '{first}' + CAST(i AS INT) AS VARCHAR) AS day
-  FROM (SELECT unnest(range({n_days})) AS i) r) days""")
+FROM (SELECT CAST(CAST(unnest(generate_series(min(CAST(batch_day AS DATE)), max(CAST(batch_day AS DATE)),
+  INTERVAL '1' DAY)) AS DATE) AS VARCHAR) AS day FROM ({batched_sql(name)}) b) days""")
     return oracle("\nUNION ALL\n".join(parts))
 
 
@@ -373,6 +403,19 @@ WHERE {SILVER_SQL['trips']} ORDER BY trip_id LIMIT 10"""),
         oracle(f"""SELECT batch_day AS ingest_date, count(*) AS n,
   CAST(sum(fare_vnd) AS BIGINT) AS fare_vnd
 FROM ({deduped_sql('payments')}) d WHERE batch_day <> '{ONE_DAY}' GROUP BY batch_day"""),
+    ),
+    "replace_listed_days": Query(
+        replace_listed_days,
+        oracle(f"""SELECT batch_day AS ingest_date, count(*) AS n,
+  CAST(sum(CAST(substr(batch_day, 7, 1) AS INT) % 2) AS BIGINT) AS marked
+FROM ({batched_sql('trips')}) b GROUP BY batch_day"""),
+    ),
+    "backfill_missing_day": Query(
+        backfill_missing_day,
+        oracle(f"""SELECT batch_day AS ingest_date, count(*) AS bronze_rows,
+  count(*) FILTER (WHERE {passes_sql('trips')}) AS valid_rows,
+  count(*) FILTER (WHERE NOT {passes_sql('trips')}) AS quarantine_rows, 'incomplete' AS status
+FROM ({batched_sql('trips')}) b WHERE batch_day = '{ONE_DAY}' OR driver_id IS NOT NULL GROUP BY batch_day"""),
     ),
     "latest_runs": Query(
         newest_runs,

@@ -574,7 +574,12 @@ WHERE coalesce(p.n, 0) <> coalesce(t.n, 0)"""),
     ),
     "haversine": Query(
         haversine,
-        oracle(f"SELECT trip_id, round({DIRECT_KM}, 6) AS direct_km FROM {{v_trips}}"),
+        # By the chord between two points of the unit sphere, not by the text that the views use.
+        oracle("""SELECT trip_id, round(1.2742e4 * asin(sqrt(
+  power(cos(b1) * cos(l1) - cos(b2) * cos(l2), 2) + power(cos(b1) * sin(l1) - cos(b2) * sin(l2), 2)
+  + power(sin(b1) - sin(b2), 2)) / 2e0), 6) AS direct_km
+FROM (SELECT trip_id, radians(pickup_lat) AS b1, radians(pickup_lng) AS l1,
+  radians(dropoff_lat) AS b2, radians(dropoff_lng) AS l2 FROM {v_trips}) r"""),
     ),
     "distance_audit": Query(
         distance_audit, oracle(audit_sql("{v_trips}", DISTANCE_SQL, "trip_id"))
