@@ -204,6 +204,23 @@ def test_decontamination_tolerates_replaced_words(spark):
     assert sorted((r.doc_id for r in left.collect()), key=repr) == [10, 4, 5, 6, 9, None]
 
 
+def test_longest_overlap_against_all_stretches():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        item, region = rng.integers(0, 3, rng.integers(1, 30)), rng.integers(0, 3, rng.integers(1, 60))
+        start = int(rng.integers(1 - len(item), len(region)))
+        low, high = max(0, -start), min(len(item), len(region) - start)
+        same = item[low:high] == region[start + low : start + high]
+        best = (0, 0, 0)
+        for a, b in itertools.combinations(range(len(same) + 1), 2):
+            agree, length = int(same[a:b].sum()), b - a
+            if same[a] and same[b - 1] and 10 * agree >= 8 * length and length >= min(5, len(item)) and length > best[1]:
+                best = (a + low, length, agree)
+        assert decontaminate._best_overlap(item, region, start, 0.8, 5) == best
+    long = np.arange(60_000)
+    assert decontaminate._best_overlap(long, long, 0, 0.8, 13) == (0, 60_000, 60_000)
+
+
 def labelled(spark, n, label, bad):
     rng = random.Random(5)
     rows, labels = [], []
