@@ -28,12 +28,20 @@ def rows_with_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return join_reduced(df, keys.select(key), key, "inner").select(df.columns)
 
 
+def rows_without_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Full rows whose key ``other`` lacks, copies included; a null key has no rows.
+
+    The other side is reduced to its distinct keys before the join, so none of them is hot.
+    """
+    known = other.select(key).filter(F.col(key).isNotNull()).distinct()
+    keyed = df.filter(F.col(key).isNotNull())
+    return join_reduced(keyed, known, key, "left_anti").select(df.columns)
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows without a parent, copies included; a null reference has no parent.
 
-    Null references skip the join, and parent keys are reduced before it.
+    Null references skip the join.
     """
-    parent_keys = parent.select(key).filter(F.col(key).isNotNull()).distinct()
-    referring = child.filter(F.col(key).isNotNull())
-    unmatched = join_reduced(referring, parent_keys, key, "left_anti").select(child.columns)
+    unmatched = rows_without_keys(child, parent, key)
     return unmatched.unionByName(child.filter(F.col(key).isNull()))

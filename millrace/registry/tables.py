@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.entities import ENTITIES, TRIPS
 from millrace.functions.geo import haversine_km
 from millrace.operators.dedupe import dedupe, distinct_keys, repeated_keys
-from millrace.operators.integrity import orphans, rows_with_keys
+from millrace.operators.integrity import orphans, rows_with_keys, rows_without_keys
 from millrace.operators.quality import audit, split_by_rules, verdict_counts, violation_profile
 from millrace.operators.reconcile import compare_counts, extra_keys, lost_keys, metric_diff
 from millrace.operators import rides
@@ -192,16 +192,19 @@ def missing_rows(spark, sf):
     return rows_with_keys(trips, lost, "trip_id").select("trip_id", "status", "city", "fare_vnd")
 
 
+def _valid_completed(trips: DataFrame) -> DataFrame:
+    return trips.transform(recon_filter(TRIPS)).filter(F.col("status") == "completed")
+
+
 def extra_trip_keys(spark, sf):
     trips, lines = _order_keys(spark, sf)
-    valid = trips.transform(recon_filter(TRIPS)).filter(F.col("status") == "completed")
-    return extra_keys(valid, lines, "trip_id")
+    return extra_keys(_valid_completed(trips), lines, "trip_id")
 
 
 def extra_rows(spark, sf):
     trips, lines = _order_keys(spark, sf)
-    extra = extra_trip_keys(spark, sf)
-    return rows_with_keys(lines, extra, "trip_id").select("trip_id", "payment_id", "l_partkey")
+    extra = rows_without_keys(lines, _valid_completed(trips), "trip_id")
+    return extra.select("trip_id", "payment_id", "l_partkey")
 
 
 def orphan_payments(spark, sf):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, tuples
-from millrace.operators.integrity import join_reduced, orphans, rows_with_keys
+from millrace.operators.integrity import join_reduced, orphans, rows_with_keys, rows_without_keys
 from millrace.operators.reconcile import (
     compare_counts,
     compare_keys,
@@ -55,6 +55,13 @@ def test_null_key_is_reported_but_has_no_rows(raw, stored):
     assert tuples(found.counts()) == [(2, 1)]
 
 
+def test_rows_without_keys_keeps_copies_and_joins_once(raw, stored, spark):
+    assert tuples(rows_without_keys(stored, raw, "k")) == [("c", 7), ("c", 8)]
+    assert tuples(rows_without_keys(raw, stored, "k")) == [("b", 3)]
+    assert tuples(rows_without_keys(raw, stored.limit(0), "k")) == [("a", 1), ("a", 2), ("b", 3), ("d", 6)]
+    assert plan(rows_without_keys(stored, raw, "k")).count("Join") == 1
+
+
 def test_rows_with_keys_keeps_copies(raw, spark):
     keys = spark.createDataFrame([("a",), (None,)], "k string")
     assert tuples(rows_with_keys(raw, keys, "k")) == [("a", 1), ("a", 2)]
