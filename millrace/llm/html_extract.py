@@ -13,6 +13,7 @@ import html as markup
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -46,6 +47,11 @@ ASIDE_WORDS = frozenset(
     " skip social sponsor sponsored subscribe toolbar widget".split()
 )
 CONTENT_WORDS = frozenset("article content entry main post story".split())
+#: Where the search for an open ``p`` or ``li`` to end stops.
+AROUND_P, AROUND_LI = BLOCK - {"p"}, frozenset(("ul", "ol", "menu"))
+
+#: Attributes up to this length are remembered with their marks.
+SHORT_ATTRIBUTES = 200
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[!?/A-Za-z][^<>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -64,6 +70,13 @@ class Piece(NamedTuple):
         return f"<{self.tag} {' '.join(sorted(self.marks))}>" if self.tag else self.text
 
 
+@lru_cache(maxsize=10_000)
+def _marks(attributes: str) -> frozenset[str]:
+    """The words of an element's class, id and role."""
+    values = {a.lower(): (b or c or d).lower() for a, b, c, d in ATTRIBUTE.findall(attributes)}
+    return frozenset(w for key in ("class", "id", "role") for w in re.split(r"[^a-z]+", values.get(key, "")) if w)
+
+
 def _raw_end(page: str, tag: str, at: int) -> int:
     found = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, at)
     return found.start() if found else len(page)
@@ -112,12 +125,11 @@ def pieces(page: str) -> tuple[list[Piece], list[tuple[str, frozenset[str]]]]:
             continue
         if tag in RAW:
             at = _raw_end(page, tag, at) if tag != "head" else at
-        marks = {a.lower(): (b or c or d).lower() for a, b, c, d in ATTRIBUTE.findall(found[3])}
-        words = frozenset(w for key in ("class", "id", "role") for w in re.split(r"[^a-z]+", marks.get(key, "")) if w)
+        words = (_marks if len(found[3]) <= SHORT_ATTRIBUTES else _marks.__wrapped__)(found[3])
         if tag in BLOCK:
-            close(("p",), BLOCK - {"p"})
+            close(("p",), AROUND_P)
         if tag == "li":
-            close(("li",), frozenset(("ul", "ol", "menu")))
+            close(("li",), AROUND_LI)
         out.append(Piece(tag, "", words, tuple(stack)))
         if tag not in VOID:
             elements.append((tag, words))
@@ -130,12 +142,12 @@ def token_ids(found: list[Piece], elements: list[tuple[str, frozenset[str]]]) ->
     import xxhash
 
     context: dict[tuple[int, ...], str] = {}
-    out = np.zeros(len(found), np.int64)
-    for k, piece in enumerate(found):
+    out = []
+    for piece in found:
         if piece.path not in context:
             context[piece.path] = "/".join(elements[e][0] for e in piece.path)
-        out[k] = np.uint64(xxhash.xxh64_intdigest(f"{context[piece.path]}\0{piece.name}".encode("utf-8", "surrogatepass"))).view(np.int64)
-    return out
+        out.append(xxhash.xxh64_intdigest(f"{context[piece.path]}\0{piece.name}".encode("utf-8", "surrogatepass")))
+    return np.array(out, np.uint64).view(np.int64)
 
 
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
