@@ -40,6 +40,7 @@ BLOCK = frozenset(
 )
 ASIDE = frozenset("nav header footer aside form menu dialog button label fieldset search".split())
 CONTENT = frozenset(("article", "main"))
+EMPHASIS = frozenset("b cite em i mark q s small strong sub sup u".split())
 #: Words of class, id and role that mark what is not the article.
 ASIDE_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus"
@@ -187,12 +188,37 @@ def _is_aside(tag: str, words: frozenset[str]) -> bool:
     return tag in ASIDE or tag in RAW or bool(words & ASIDE_WORDS)
 
 
+class _Block:
+    """The texts of a block. It is constant if it lies in an article and the template has all its texts; several texts
+    that all are emphasised are taken as a sentence of the article."""
+
+    def __init__(self) -> None:
+        self.texts: list[str] = []
+        self.n, self.constant, self.emphasised = 0, True, True
+
+    def add(self, text: str, constant: bool, emphasised: bool) -> None:
+        self.texts.append(text)
+        if not text.isspace():
+            self.n += 1
+            self.constant &= constant
+            self.emphasised &= emphasised
+
+    @property
+    def line(self) -> str:
+        return " ".join(markup.unescape("".join(self.texts)).split())
+
+    @property
+    def is_constant(self) -> bool:
+        return self.constant and not (self.n > 1 and self.emphasised)
+
+
 def main_text(page: str | None, template: frozenset[int]) -> str:
     """Text of the article: its blocks in order, joined by a line feed.
 
     Slots of the template that lie in article or main elements count (in elements so named by class or id if there are
     none, else all slots), except those inside elements that are not the article. A text that is itself part of the
-    template is no slot, unless it lies inside an article.
+    template is no slot; inside an article, where labels and data share blocks, that goes for whole blocks. A template
+    leaves a slot open: if it has all text of an article, that is a copy and stays.
     """
     found, elements = pieces(page or "")
     if not found:
@@ -201,14 +227,14 @@ def main_text(page: str | None, template: frozenset[int]) -> str:
     aside = [_is_aside(*e) for e in elements]
     strong = any(tag in CONTENT for tag, _ in elements)
     named = not strong and any(w & CONTENT_WORDS and not a for (_, w), a in zip(elements, aside, strict=True))
-    blocks: list[list[str]] = [[]]
+    blocks = [_Block()]
     last: tuple[int, ...] | None = None
     for piece, token in zip(found, ids.tolist(), strict=True):
         if piece.tag:
             if piece.tag.lstrip("/") in BLOCK:
-                blocks.append([])
+                blocks.append(_Block())
             elif piece.tag == "br":
-                blocks[-1].append(" ")
+                blocks[-1].add(" ", False, False)
             continue
         path = piece.path
         if path != last:
@@ -220,9 +246,9 @@ def main_text(page: str | None, template: frozenset[int]) -> str:
             kept = kept and not any(aside[e] for e in path[: path.index(inside[0])]) if inside else kept
             last = path
         if kept and (inside or piece.text.isspace() or token not in template):
-            blocks[-1].append(piece.text)
-    lines = (" ".join(markup.unescape("".join(b)).split()) for b in blocks)
-    return "\n".join(line for line in lines if line)
+            blocks[-1].add(piece.text, bool(inside) and token in template, bool(path) and elements[path[-1]][0] in EMPHASIS)
+    lines = [(line, b.is_constant) for b in blocks if (line := b.line)]
+    return "\n".join([line for line, constant in lines if not constant] or [line for line, _ in lines])
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

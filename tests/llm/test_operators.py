@@ -280,6 +280,14 @@ def test_html_template_of_one_host_leaves_repeated_text_out(spark):
     assert {r.text for r in html_extract.extract_pages(pages).collect()} == {f"Own words {k}" for k in range(6)}
 
 
+def test_html_template_decides_inside_articles(spark):
+    body = "<article><h1>Title {0}</h1><p>By <b>our staff</b></p><p>Own words {0}</p><p>Score: <b>{0}</b></p><div>Read <a href=/>more</a></div><p>All rights kept</p></article>"
+    rows = [(k, f"http://h.org/{k}", page(k, body.format(k))) for k in range(6)] + [(10 + k, f"http://copies.org/{k}", page(k, body.format(1))) for k in range(6)]
+    got = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    whole = "Title 1\nBy our staff\nOwn words 1\nScore: 1\nRead more\nAll rights kept"
+    assert got == {k: f"Title {k}\nOwn words {k}\nScore: {k}" for k in range(6)} | {10 + k: whole for k in range(6)}
+
+
 def test_patience_alignment_and_licenses(spark):
     a, b = "x a b c y d e z".split(), "a b q c d e".split()
     assert [(a[p], b[q]) for p, q in licenses.align(a, b)] == [(w, w) for w in "abcde"]
