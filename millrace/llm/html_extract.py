@@ -38,8 +38,11 @@ BLOCK = frozenset(
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot"
     " th thead tr ul".split()
 )
+#: Raw elements that may end themselves, by ``/>``.
+FOREIGN = frozenset(("svg", "math"))
 ASIDE = frozenset("nav header footer aside form menu dialog button label fieldset search".split())
 CONTENT = frozenset(("article", "main"))
+WHOLE = frozenset(("html", "body"))
 EMPHASIS = frozenset("b cite em i mark q s small strong sub sup u".split())
 #: Words of class, id and role that mark what is not the article.
 ASIDE_WORDS = frozenset(
@@ -47,6 +50,8 @@ ASIDE_WORDS = frozenset(
     " footer header menu modal nav navbar navigation newsletter notice popup promo related respond share sharing sidebar"
     " skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: A class name with one of these words tells how the page is laid out, not what the element is.
+STATE_WORDS = frozenset("has no not with without".split())
 CONTENT_WORDS = frozenset("article content entry main post story".split())
 #: Where the search for an open ``p`` or ``li`` to end stops.
 AROUND_P, AROUND_LI = BLOCK - {"p"}, frozenset(("ul", "ol", "menu"))
@@ -71,26 +76,57 @@ class Piece(NamedTuple):
         return f"<{self.tag} {' '.join(sorted(self.marks))}>" if self.tag else self.text
 
 
+class Marks(NamedTuple):
+    """The words of an element's class, id and role. ``aside`` and ``content`` tell whether they mark what is not the
+    article, or what is; ``named_aside`` whether a whole name does."""
+
+    words: frozenset[str]
+    aside: bool
+    content: bool
+    named_aside: bool
+
+
+class Element(NamedTuple):
+    """``parents`` are the open elements around it."""
+
+    tag: str
+    marks: Marks
+    parents: tuple[int, ...]
+
+    @property
+    def is_aside(self) -> bool:
+        return self.tag not in WHOLE and (self.tag in ASIDE or self.tag in RAW or self.marks.aside)
+
+    @property
+    def holds_no_article(self) -> bool:
+        """Whether an article inside it is none of the page: by tag or whole names, as a word of a name around the
+        article often tells of the layout. Some servers wrap the whole page in a form."""
+        return self.tag not in WHOLE and (self.tag in RAW or (self.tag in ASIDE and self.tag != "form") or self.marks.named_aside)
+
+
 @lru_cache(maxsize=10_000)
-def _marks(attributes: str) -> frozenset[str]:
-    """The words of an element's class, id and role."""
+def _marks(attributes: str) -> Marks:
     values = {a.lower(): (b or c or d).lower() for a, b, c, d in ATTRIBUTE.findall(attributes)}
-    return frozenset(w for key in ("class", "id", "role") for w in re.split(r"[^a-z]+", values.get(key, "")) if w)
+    names = [name for key in ("class", "id", "role") for name in values.get(key, "").split()]
+    split = [frozenset(w for w in re.split(r"[^a-z]+", name) if w) for name in names]
+    telling = frozenset().union(*(words for words in split if not words & STATE_WORDS))
+    return Marks(frozenset().union(*split), bool(telling & ASIDE_WORDS), bool(telling & CONTENT_WORDS), not ASIDE_WORDS.isdisjoint(names))
 
 
 def _raw_end(page: str, tag: str, at: int) -> int:
+    """Where the content of a raw element ends; an svg or math element without an end has none."""
     found = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, at)
-    return found.start() if found else len(page)
+    return found.start() if found else at if tag in FOREIGN else len(page)
 
 
-def pieces(page: str) -> tuple[list[Piece], list[tuple[str, frozenset[str]]]]:
-    """The tags and texts of a page in order, and its elements (tag, marks) by number.
+def pieces(page: str) -> tuple[list[Piece], list[Element]]:
+    """The tags and texts of a page in order, and its elements by number.
 
     An end tag closes all open elements down to its own; one without an open element is ignored. ``p`` and ``li`` end
     where the next of their kind begins, and a block ends an open ``p``. Content of raw elements and comments is skipped.
     """
     out: list[Piece] = []
-    elements: list[tuple[str, frozenset[str]]] = []
+    elements: list[Element] = []
     stack: list[int] = []
     at = 0
 
@@ -104,10 +140,10 @@ def pieces(page: str) -> tuple[list[Piece], list[tuple[str, frozenset[str]]]]:
 
     def close(names: tuple[str, ...], stop: frozenset[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
-            if elements[stack[k]][0] in names:
+            if elements[stack[k]].tag in names:
                 del stack[k:]
                 return
-            if elements[stack[k]][0] in stop:
+            if elements[stack[k]].tag in stop:
                 return
 
     while at < len(page):
@@ -124,21 +160,24 @@ def pieces(page: str) -> tuple[list[Piece], list[tuple[str, frozenset[str]]]]:
             close((tag,), frozenset())
             out.append(Piece(f"/{tag}", "", frozenset(), tuple(stack)))
             continue
-        if tag in RAW:
-            at = _raw_end(page, tag, at) if tag != "head" else at
-        words = (_marks if len(found[3]) <= SHORT_ATTRIBUTES else _marks.__wrapped__)(found[3])
+        empty = tag in VOID or (tag in FOREIGN and found[3].endswith("/"))
+        if tag in RAW and tag != "head" and not empty:
+            end = _raw_end(page, tag, at)
+            empty = tag in FOREIGN and end == at
+            at = end
+        marks = (_marks if len(found[3]) <= SHORT_ATTRIBUTES else _marks.__wrapped__)(found[3])
         if tag in BLOCK:
             close(("p",), AROUND_P)
         if tag == "li":
             close(("li",), AROUND_LI)
-        out.append(Piece(tag, "", words, tuple(stack)))
-        if tag not in VOID:
-            elements.append((tag, words))
+        out.append(Piece(tag, "", marks.words, tuple(stack)))
+        if not empty:
+            elements.append(Element(tag, marks, tuple(stack)))
             stack.append(len(elements) - 1)
     return out, elements
 
 
-def token_ids(found: list[Piece], elements: list[tuple[str, frozenset[str]]]) -> np.ndarray:
+def token_ids(found: list[Piece], elements: list[Element]) -> np.ndarray:
     """64-bit numbers of the tokens: the piece and the tags around it."""
     import xxhash
 
@@ -146,7 +185,7 @@ def token_ids(found: list[Piece], elements: list[tuple[str, frozenset[str]]]) ->
     out = []
     for piece in found:
         if piece.path not in context:
-            context[piece.path] = "/".join(elements[e][0] for e in piece.path)
+            context[piece.path] = "/".join(elements[e].tag for e in piece.path)
         out.append(xxhash.xxh64_intdigest(f"{context[piece.path]}\0{piece.name}".encode("utf-8", "surrogatepass")))
     return np.array(out, np.uint64).view(np.int64)
 
@@ -184,10 +223,6 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     return valid.groupBy("host").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("template"))
 
 
-def _is_aside(tag: str, words: frozenset[str]) -> bool:
-    return tag in ASIDE or tag in RAW or bool(words & ASIDE_WORDS)
-
-
 class _Block:
     """The texts of a block. It is constant if it lies in an article and the template has all its texts; several texts
     that all are emphasised are taken as a sentence of the article."""
@@ -224,9 +259,12 @@ def main_text(page: str | None, template: frozenset[int]) -> str:
     if not found:
         return ""
     ids = token_ids(found, elements) if template else np.zeros(len(found), np.int64)
-    aside = [_is_aside(*e) for e in elements]
-    strong = any(tag in CONTENT for tag, _ in elements)
-    named = not strong and any(w & CONTENT_WORDS and not a for (_, w), a in zip(elements, aside, strict=True))
+    aside = [e.is_aside for e in elements]
+    barred = [e.holds_no_article for e in elements]
+    strong = any(e.tag in CONTENT and not any(barred[p] for p in e.parents) for e in elements)
+    named = not strong and any(
+        e.marks.content and not a and not any(barred[p] for p in e.parents) for e, a in zip(elements, aside, strict=True)
+    )
     blocks = [_Block()]
     last: tuple[int, ...] | None = None
     for piece, token in zip(found, ids.tolist(), strict=True):
@@ -238,15 +276,14 @@ def main_text(page: str | None, template: frozenset[int]) -> str:
             continue
         path = piece.path
         if path != last:
-            inside = [e for e in path if elements[e][0] in CONTENT or (named and elements[e][1] & CONTENT_WORDS)]
+            inside = [e for e in path if elements[e].tag in CONTENT or (named and elements[e].marks.content and not aside[e])]
             # a header of the article itself is part of it, a site's header is not
             own = path[path.index(inside[-1]) + 1 :] if inside else path
-            kept = (bool(inside) or not (strong or named)) and not any(aside[e] and elements[e][0] != "header" for e in own)
-            kept = kept and not (not inside and any(elements[e][0] == "header" for e in own))
-            kept = kept and not any(aside[e] for e in path[: path.index(inside[0])]) if inside else kept
+            kept = (bool(inside) or not (strong or named)) and not any(aside[e] and (not inside or elements[e].tag != "header") for e in own)
+            kept = kept and not (inside and any(barred[e] for e in path[: path.index(inside[-1])]))
             last = path
         if kept and (inside or piece.text.isspace() or token not in template):
-            blocks[-1].add(piece.text, bool(inside) and token in template, bool(path) and elements[path[-1]][0] in EMPHASIS)
+            blocks[-1].add(piece.text, bool(inside) and token in template, bool(path) and elements[path[-1]].tag in EMPHASIS)
     lines = [(line, b.is_constant) for b in blocks if (line := b.line)]
     return "\n".join([line for line, constant in lines if not constant] or [line for line, _ in lines])
 

@@ -288,6 +288,24 @@ def test_html_template_decides_inside_articles(spark):
     assert got == {k: f"Title {k}\nOwn words {k}\nScore: {k}" for k in range(6)} | {10 + k: whole for k in range(6)}
 
 
+@pytest.mark.parametrize("body", [
+    '<body class="no-sidebar"><article><p>Whole text</p></article>',
+    '<body class="has-header-image sidebar"><main><p>Whole text</p></main>',
+    '<div class="content-with-sidebar"><article><p>Whole text</p></article></div>',
+    '<form id="aspnetForm"><article><p>Whole text</p></article></form>',
+    '<article><div class="text no-comments"><p>Whole text</p></div><div class="comment-list">nay</div></article>',
+    '<aside><article>Teaser</article></aside><div id=content><p>Whole text</p></div>',
+    '<div class="sidebar"><article>Teaser</article></div><div id=content><p>Whole text</p></div>',
+    '<body class="sidebar"><p>Whole text</p>',
+    '<main><p>Whole text</p><aside><article>Teaser</article></aside></main>',
+    '<article><p>Whole <svg/>text</p></article>',
+    '<article><p>Whole <math display="block" />text</p></article><svg><text>no</text></svg>',
+    '<article><p>Whole <svg viewBox="0">text</p></article>',
+])
+def test_html_keeps_whole_articles(body):
+    assert html_extract.main_text(body, frozenset()) == "Whole text"
+
+
 def test_patience_alignment_and_licenses(spark):
     a, b = "x a b c y d e z".split(), "a b q c d e".split()
     assert [(a[p], b[q]) for p, q in licenses.align(a, b)] == [(w, w) for w in "abcde"]
