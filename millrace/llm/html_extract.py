@@ -2,9 +2,9 @@
 
 Pages of one host come from a few templates. A token (a tag or a piece of text, told apart by the tags around it) has an
 occurrence vector: how often it stands on each page of the host. Tokens that share their vector form an equivalence
-class; classes of several tokens that many pages have, equally often on each, make up the host's template, nested as
-their elements are. What the template leaves open are its slots: the article's slots are kept, those inside navigation,
-notices and the like are not.
+class; classes of several tokens that several pages have, equally often on each, make up the host's templates, nested as
+their elements are. A page's template has the classes that the page holds. What it leaves open are its slots: the
+article's slots are kept, those inside navigation, notices and the like are not.
 """
 
 from __future__ import annotations
@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from millrace.llm.common import cut, join_split
 from millrace.llm.url_filter import split_url
 
-#: A class belongs to the template if it is on so many of the host's pages ...
+#: A class belongs to a template if it is on so many pages, of whatever share of the host, has so many tokens ...
 MIN_PAGES = 3
-MIN_SHARE = 0.5
-#: ... and has so many tokens.
 MIN_TOKENS = 2
+#: ... and has a slot between its tokens. A class without one may be a passage that pages share; it must be on this share
+#: of the host's pages or on so many of them.
+MIN_SHARE = 0.5
+SURE_PAGES = 10
 
 # Fixed values of HTML: elements by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -191,36 +193,64 @@ def token_ids(found: list[Piece], elements: list[Element]) -> np.ndarray:
 
 
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each host of a batch and token: pages, occurrences, and the sum of a hash of page and count, which is the
-    same for tokens with equal vectors."""
-    import xxhash
-
+    """For each page its distinct tokens in the order of their first place: how often they occur, whether they are texts,
+    and the texts before the first and after the last occurrence."""
     for batch in batches:
-        sums: dict[tuple[str, int], list[int]] = {}
-        for host, page_id, page in zip(batch["host"], batch["page_id"], batch["html"], strict=True):
+        rows = []
+        for host, number, page in zip(batch["host"], batch["page"], batch["html"], strict=True):
             found, elements = pieces(page)
-            for token, n in Counter(token_ids(found, elements).tolist()).items():
-                vector = xxhash.xxh64_intdigest(f"{page_id}\0{n}") >> 24  # a batch's sum stays far below 2^63
-                row = sums.setdefault((host, token), [0, 0, 0])
-                row[0] += 1
-                row[1] += n
-                row[2] += vector
-        if sums:
-            yield pd.DataFrame([(*k, *v) for k, v in sums.items()], columns=["host", "token", "pages", "total", "vector"])
+            ids = token_ids(found, elements).tolist()
+            is_text = [not p.tag and not p.text.isspace() for p in found]
+            before: dict[int, int] = {}
+            near = 0
+            for token, text in zip(ids, is_text, strict=True):
+                before.setdefault(token, near)
+                near = token if text else near
+            after: dict[int, int] = {}
+            near = 0
+            for token, text in zip(reversed(ids), reversed(is_text), strict=True):
+                after.setdefault(token, near)
+                near = token if text else near
+            texts = {token for token, text in zip(ids, is_text, strict=True) if text}
+            n = Counter(ids)
+            rows.append((host, number, [*before], [n[t] for t in before], [t in texts for t in before], [*before.values()], [after[t] for t in before]))
+        if rows:
+            yield pd.DataFrame(rows, columns=["host", "page", "token", "n", "is_text", "before", "after"])
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """(host, template): the tokens of the host's template classes as an array, from ``pages`` (host, page_id, html).
+    """(host, page, template): the texts of the template classes that a page holds, from ``pages`` (host, page, html).
 
-    A template has only tokens of at least ``MIN_SHARE`` of the host's pages, so its size is bounded by that of a page.
+    ``page`` is a hash of html. A template has only tokens of its page, so its size is bounded by that of the page; pages
+    without a template have no row.
     """
-    seen = pages.mapInPandas(_occurrences, "host string, token long, pages long, total long, vector long")
-    tokens = seen.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum(F.col("vector").cast("decimal(20,0)")).alias("vector"))
-    hosts = pages.groupBy("host").agg(F.count("*").alias("n_pages"))
-    often = join_split(tokens.where(F.col("pages") >= MIN_PAGES), hosts, ["host"]).where(F.col("pages") >= MIN_SHARE * F.col("n_pages"))
-    classes = often.groupBy("host", "vector", "pages", "total").agg(F.collect_list("token").alias("tokens"))
-    valid = classes.where((F.size("tokens") >= MIN_TOKENS) & (F.col("total") % F.col("pages") == 0))
-    return valid.groupBy("host").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("template"))
+    kind = "host string, page long, token array<long>, n array<int>, is_text array<boolean>, before array<long>, after array<long>"
+    seen = cut(pages.mapInPandas(_occurrences, kind), "page-tokens")
+    zipped = F.arrays_zip("token", "n", "is_text", "before", "after")
+    each = seen.select("host", "page", F.posexplode(zipped).alias("at", "t")).select("host", "page", "at", "t.*")
+    vector = F.shiftrightunsigned(F.xxhash64("page", "n"), 24).cast("decimal(20,0)")
+    tokens = each.groupBy("host", "token").agg(
+        F.count("*").alias("pages"), F.sum("n").alias("total"), F.sum(vector).alias("vector"), F.max("is_text").alias("is_text"),
+        F.min(F.struct("page", "at")).alias("first"), F.max("page").alias("last_page"),
+        (F.min("before") != F.max("before")).alias("opens"), (F.min("after") != F.max("after")).alias("closes"),
+    )
+    hosts = seen.groupBy("host").agg(F.count("*").alias("n_pages"))
+    often = join_split(tokens.where((F.col("pages") >= MIN_PAGES) & (F.col("first.page") != F.col("last_page"))), hosts, ["host"])
+    # the first places are those on one page, as tokens of a class share their pages
+    once = F.col("total") == F.col("pages")
+    classes = often.groupBy("host", "vector", "pages", "total", "n_pages").agg(
+        F.count("*").alias("n_tokens"), F.collect_list(F.when(F.col("is_text"), F.col("token"))).alias("texts"),
+        F.min(F.when(once & F.col("closes"), F.col("first.at"))).alias("slot_from"),
+        F.max(F.when(once & F.col("opens"), F.col("first.at"))).alias("slot_to"),
+    )
+    has_slot = F.coalesce(F.col("slot_from") < F.col("slot_to"), F.lit(False))
+    valid = classes.where(
+        (F.col("n_tokens") >= MIN_TOKENS) & (F.col("total") % F.col("pages") == 0)
+        & (has_slot | (F.col("pages") >= MIN_SHARE * F.col("n_pages")) | (F.col("pages") >= SURE_PAGES))
+    )
+    constant = valid.select("host", F.explode("texts").alias("token"))
+    held = join_split(each.where("is_text").select("host", "page", "token"), constant, ["host", "token"])
+    return held.groupBy("host", "page").agg(F.collect_set("token").alias("template"))
 
 
 class _Block:
@@ -299,21 +329,15 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """
     host, _, _ = split_url(F.col("url"))
     hosted = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    counted = hosted.where("html <> '' and host <> ''").select("host", F.coalesce("page_id", F.lit(-1)).alias("page_id"), "html")
+    hosted = hosted.withColumn("page", F.xxhash64("html"))
+    counted = hosted.where("html <> '' and host <> ''").select("host", "page", "html")
     templates = cut(deduce_templates(counted), "templates")
-    met = join_split(hosted, templates, ["host"], "left").select("page_id", "url", "html", "template")
+    met = join_split(hosted, templates, ["host", "page"], "left").select("page_id", "url", "html", "template")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict[bytes, frozenset[int]] = {}
         for batch in batches:
-            texts = []
-            for page, template in zip(batch["html"], batch["template"], strict=True):
-                key = b"" if template is None else np.asarray(template, np.int64).tobytes()
-                if key not in kept:
-                    if len(kept) > 1000:
-                        kept.clear()
-                    kept[key] = frozenset(np.frombuffer(key, np.int64).tolist())
-                texts.append(main_text(page, kept[key]))
+            templates = (frozenset() if t is None else frozenset(t.tolist()) for t in batch["template"])
+            texts = [main_text(page, template) for page, template in zip(batch["html"], templates, strict=True)]
             yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     return met.mapInPandas(run, "page_id long, url string, text string, n_chars long")

@@ -288,6 +288,18 @@ def test_html_template_decides_inside_articles(spark):
     assert got == {k: f"Title {k}\nOwn words {k}\nScore: {k}" for k in range(6)} | {10 + k: whole for k in range(6)}
 
 
+def test_html_templates_of_one_host(spark):
+    """Three kinds of pages on a host, and a passage and an article that a few pages share."""
+    kinds = [f"<div>{kind} of the day</div><div><p>Own words {{0}}</p></div><div>About {kind}</div>" for kind in ("Articles", "Lists", "Goods")]
+    rows = [(k, f"http://h.org/{k}", f"<div>Welcome</div>{kinds[k % 3].format(k)}<div>All rights kept</div>") for k in range(24)]
+    shared = "<div>Shared one</div><div>Shared two</div>"
+    rows += [(100 + k, f"http://h.org/{100 + k}", f"<div>Welcome</div><p>Before {k}</p>{shared}<p>After {k}</p><div>All rights kept</div>") for k in range(3)]
+    rows += [(200 + k, f"http://h.org/{200 + k}", "<h1>Copy</h1><p>One</p><p>Two</p>") for k in range(4)]
+    got = {r.page_id: r.text for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {k: f"Own words {k}" for k in range(24)} | {100 + k: f"Before {k}\nShared one\nShared two\nAfter {k}" for k in range(3)}
+    assert got == want | {200 + k: "Copy\nOne\nTwo" for k in range(4)}
+
+
 @pytest.mark.parametrize("body", [
     '<body class="no-sidebar"><article><p>Whole text</p></article>',
     '<body class="has-header-image sidebar"><main><p>Whole text</p></main>',
