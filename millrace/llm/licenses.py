@@ -95,12 +95,14 @@ class Scanner:
         self.coverage, self.stretch = coverage, stretch
         self.templates = {name: found for name, text in sorted(templates.items()) if (found := words(text))}
         common = Counter(w for t in self.templates.values() for w in set(t))
-        self.keys: dict[str, list[str]] = {}
+        #: For each key word its templates and its places there.
+        self.keys: dict[str, dict[str, list[int]]] = {}
         for name, t in self.templates.items():
-            distinct = sorted(set(t), key=lambda w: (common[w], len(w) < 4, w))
+            times = Counter(t)
+            distinct = sorted(times, key=lambda w: (times[w], common[w], len(w) < 4, w))
             missing = len(t) - self._needed(t)
             for w in distinct[: missing + 1]:
-                self.keys.setdefault(w, []).append(name)
+                self.keys.setdefault(w, {})[name] = [q for q, v in enumerate(t) if v == w]
 
     def _needed(self, template: list[str]) -> int:
         return max(1, -int(-self.coverage * len(template) // 1))
@@ -118,25 +120,39 @@ class Scanner:
         out = []
         for name, places in sorted(spots.items()):
             template = self.templates[name]
-            reach, taken = int(len(template) * self.stretch) + 1, -1
+            taken = -1
             for k in places:
                 if k <= taken:
                     continue
-                low = max(taken + 1, k - reach)
-                pairs = align(found[low : k + reach + 1], template)
-                pairs = self._densest([(p + low, q) for p, q in pairs], reach)
-                if len(pairs) >= self._needed(template) and pairs[0][0] <= k <= pairs[-1][0]:
+                tries = (self._around(found, k, template, q, taken + 1) for q in self.keys[found[k]][name])
+                pairs = max(tries, key=len)
+                if len(pairs) >= self._needed(template):
                     taken = pairs[-1][0]
                     out.append((name, pairs[0][0], taken, len(pairs), len(pairs) / len(template)))
         return sorted(out, key=lambda x: (x[1], x[0]))
 
+    def _around(self, found: list[str], k: int, template: list[str], q: int, low: int) -> list[tuple[int, int]]:
+        """Aligned places with word ``k`` of the text on word ``q`` of the template, from ``low`` on.
+
+        Both sides are aligned on their own, so that a copy before or after does not make the words of this one repeat.
+        """
+        reach = int(len(template) * self.stretch) + 1
+        spare = max(0, reach - len(template))
+        first, last = max(low, k - q - spare), k + len(template) - q + spare
+        before = [(p + first, b) for p, b in align(found[first:k], template[:q])]
+        after = [(p + k + 1, b + q + 1) for p, b in align(found[k + 1 : last], template[q + 1 :])]
+        return self._densest([*before, (k, q), *after], len(before), reach)
+
     @staticmethod
-    def _densest(pairs: list[tuple[int, int]], reach: int) -> list[tuple[int, int]]:
-        """The stretch of at most ``reach`` words of the text that holds most aligned words; the first of equals."""
-        best, low = (0, 0), 0
-        for high in range(len(pairs)):
+    def _densest(pairs: list[tuple[int, int]], key: int, reach: int) -> list[tuple[int, int]]:
+        """The stretch of at most ``reach`` words of the text that holds most aligned words, among them that at ``key``;
+        the first of equals."""
+        best, low = (key, key + 1), 0
+        for high in range(key, len(pairs)):
             while pairs[high][0] - pairs[low][0] >= reach:
                 low += 1
+            if low > key:
+                break
             if high + 1 - low > best[1] - best[0]:
                 best = (low, high + 1)
         return pairs[best[0] : best[1]]

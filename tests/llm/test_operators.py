@@ -330,6 +330,17 @@ def test_patience_alignment_and_licenses(spark):
     assert licenses.scan_licenses(table(spark, [])).count() == 0
 
 
+def test_license_notices_that_are_repeated():
+    for name, gap, n in itertools.product(("Apache-2.0", "MIT-grant", "GPL-3.0-notice"), (0, 1, 5), (1, 2, 3, 7)):
+        notice = licenses.words(licenses.TEMPLATES[name])
+        scanner = licenses.Scanner({name: licenses.TEMPLATES[name]}, licenses.COVERAGE, licenses.STRETCH)
+        text, want = words(20, 1).split(), []
+        for k in range(n):
+            want.append((name, len(text), len(text) + len(notice) - 1, len(notice), 1.0))
+            text += notice + [f"gap{k}"] * gap
+        assert scanner.scan(" ".join(text + words(20, 2).split())) == want
+
+
 def test_registered_queries_over_whole_tables(spark):
     """Rows of the queries that SQL can't express, on the smallest tables, by brute force."""
     from millrace.llm.queries import QUERIES
