@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from importlib import resources
+from itertools import accumulate, combinations
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
@@ -16,8 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Notices as their publishers word them (short forms; full license texts may be passed as well).
-TEMPLATES = {
+#: Notices as their publishers word them.
+NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in'
     " compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -29,9 +31,58 @@ TEMPLATES = {
     " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any"
     " later version.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
-    " the following conditions are met",
+    "BSD-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
+    " that the following conditions are met",
+    "MIT-line": "Licensed under the MIT License",
+    "Apache-2.0-line": "Licensed under the Apache License 2.0",
+    "BSD-line": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was"
+    " not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "EPL-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+    " 2.0 which is available at",
+    "BSL-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "CC0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to"
+    " this work",
 }
+GNU = {"GPL": "", "LGPL": "Lesser ", "AGPL": "Affero "}
+GNU_VERSIONS = ("GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")  # those of GPL-3.0 are above
+CREATIVE_COMMONS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+SPDX = (
+    "0BSD AGPL-3.0 Apache-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC0-1.0 EPL-2.0 GPL-2.0 GPL-3.0"
+    " ISC LGPL-2.1 LGPL-3.0 MIT MPL-2.0 Unlicense Zlib"
+).split()
+
+
+def _templates() -> dict[str, str]:
+    """The notices, their forms for other versions, SPDX lines, and the full texts of the package's ``license_texts``."""
+    out = dict(NOTICES)
+    for name in GNU_VERSIONS:
+        kind, version = name.split("-")
+        version = version.removesuffix(".0")
+        title = f"GNU {GNU[kind]}General Public License"
+        out[name] = f"This work is licensed under the {title}, version {version}."
+        out[f"{name}-notice"] = (
+            f"This program is free software: you can redistribute it and/or modify it under the terms of the {title} as published"
+            f" by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+        )
+    for short, title in CREATIVE_COMMONS.items():
+        out[f"CC-{short}-4.0"] = f"Licensed under CC {short} 4.0."
+        for version in ("4.0 International", "3.0 Unported"):
+            out[f"CC-{short}-{version[:3]}-notice"] = f"This work is licensed under a Creative Commons {title} {version} License"
+    out |= {f"{name}-spdx": f"SPDX-License-Identifier: {name}" for name in SPDX}
+    for file in resources.files("millrace.llm.license_texts").iterdir():
+        if file.name.endswith(".txt"):
+            out[f"{file.name.removesuffix('.txt')}-text"] = file.read_text("utf-8")
+    return out
+
+
+TEMPLATES = _templates()
+#: Templates of which one has so large a share of the other's words, in order, are rivals: of their occurrences at one
+#: place the better counts.
+RIVAL = 0.7
 #: Share of a template's words that an occurrence must align, in order.
 COVERAGE = 0.9
 #: An occurrence may stretch over so many times the template's words, so that scattered common words are no notice.
@@ -88,7 +139,8 @@ class Scanner:
     """Occurrences of templates in a text.
 
     Candidate stretches of the text are found from the rarest words of a template: an occurrence that aligns ``coverage``
-    of the template's ``n`` distinct words holds one of any ``n - ceil(coverage * n) + 1`` of them.
+    of the template's ``n`` distinct words holds one of any ``n - ceil(coverage * n) + 1`` of them, and all but
+    ``n - ceil(coverage * n)`` of all.
     """
 
     def __init__(self, templates: Mapping[str, str], coverage: float, stretch: float) -> None:
@@ -103,42 +155,75 @@ class Scanner:
             missing = len(t) - self._needed(t)
             for w in distinct[: missing + 1]:
                 self.keys.setdefault(w, {})[name] = [q for q, v in enumerate(t) if v == w]
+        self.vocabularies = {name: frozenset(t) for name, t in self.templates.items()}
+        #: Pairs of rivals, and whether the second has nearly all of the first.
+        self.rivals: dict[tuple[str, str], bool] = {}
+        for (x, a), (y, b) in combinations(self.templates.items(), 2):
+            least = RIVAL * max(len(a), len(b))
+            if min(len(a), len(b)) >= least and len(self.vocabularies[x] & self.vocabularies[y]) >= RIVAL * len(self.vocabularies[x]) / 2:
+                n = len(align(a, b))
+                if n >= least:
+                    self.rivals[x, y], self.rivals[y, x] = n >= coverage * len(a), n >= coverage * len(b)
 
     def _needed(self, template: list[str]) -> int:
         return max(1, -int(-self.coverage * len(template) // 1))
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, int, float]]:
         """(license, first word, last word, aligned words, coverage) of the occurrences, in order of their place."""
-        lower = (text or "").lower()
-        if not any(w in lower for w in self.keys):
-            return []
         found = words(text)
-        spots: dict[str, list[int]] = {}
+        distinct = frozenset(found)
+        possible = []
+        for name, t in self.templates.items():
+            missing, vocabulary = len(t) - self._needed(t), self.vocabularies[name]
+            if len(found) >= len(t) - missing and len(vocabulary & distinct) >= len(vocabulary) - missing:
+                possible.append(name)
+        if not possible:
+            return []
+        spots: dict[str, list[int]] = {name: [] for name in possible}
         for k, w in enumerate(found):
             for name in self.keys.get(w, ()):
-                spots.setdefault(name, []).append(k)
+                if name in spots:
+                    spots[name].append(k)
         out = []
-        for name, places in sorted(spots.items()):
+        for name, places in spots.items():
             template = self.templates[name]
+            spare = self._spare(template)
+            known = [0, *accumulate(w in self.vocabularies[name] for w in found)]
             taken = -1
             for k in places:
                 if k <= taken:
                     continue
-                tries = (self._around(found, k, template, q, taken + 1) for q in self.keys[found[k]][name])
-                pairs = max(tries, key=len)
+                pairs: list[tuple[int, int]] = []
+                for q in self.keys[found[k]][name]:
+                    first, last = max(taken + 1, k - q - spare), min(len(found), k + len(template) - q + spare)
+                    if known[last] - known[first] >= self._needed(template):
+                        pairs = max(pairs, self._around(found, k, template, q, first, last), key=len)
                 if len(pairs) >= self._needed(template):
                     taken = pairs[-1][0]
                     out.append((name, pairs[0][0], taken, len(pairs), len(pairs) / len(template)))
-        return sorted(out, key=lambda x: (x[1], x[0]))
+        return sorted(self._best(out), key=lambda x: (x[1], x[0]))
+
+    def _best(self, hits: list[tuple[str, int, int, int, float]]) -> list[tuple[str, int, int, int, float]]:
+        """``hits`` without those that overlap a better one of a rival."""
+        kept: dict[str, list[tuple[str, int, int, int, float]]] = {}
+        for hit in sorted(hits, key=lambda x: (-x[3], -x[4], x[0], x[1])):
+            name, first, last, _, coverage = hit
+            if not any(
+                other[1] <= last and first <= other[2] and (coverage < other[4] or self.rivals[name, rival])
+                for rival, others in kept.items() if (name, rival) in self.rivals for other in others
+            ):
+                kept.setdefault(name, []).append(hit)
+        return [hit for some in kept.values() for hit in some]
+
+    def _spare(self, template: list[str]) -> int:
+        return max(0, int(len(template) * self.stretch) + 1 - len(template))
 
-    def _around(self, found: list[str], k: int, template: list[str], q: int, low: int) -> list[tuple[int, int]]:
-        """Aligned places with word ``k`` of the text on word ``q`` of the template, from ``low`` on.
+    def _around(self, found: list[str], k: int, template: list[str], q: int, first: int, last: int) -> list[tuple[int, int]]:
+        """Aligned places of words ``first`` to ``last`` with word ``k`` of the text on word ``q`` of the template.
 
         Both sides are aligned on their own, so that a copy before or after does not make the words of this one repeat.
         """
         reach = int(len(template) * self.stretch) + 1
-        spare = max(0, reach - len(template))
-        first, last = max(low, k - q - spare), k + len(template) - q + spare
         before = [(p + first, b) for p, b in align(found[first:k], template[:q])]
         after = [(p + k + 1, b + q + 1) for p, b in align(found[k + 1 : last], template[q + 1 :])]
         return self._densest([*before, (k, q), *after], len(before), reach)
@@ -163,7 +248,8 @@ def scan_licenses(
 ) -> DataFrame:
     """Occurrences of license texts in ``docs`` (doc_id, text): doc_id, license, first_word, last_word, n_aligned, coverage.
 
-    One row per occurrence; a document without one has no row. Words are runs of letters and digits in lower case. An
+    One row per occurrence; a document without one has no row. Where texts of nearly the same words meet, as versions of
+    a license do, the best aligned one counts. Words are runs of letters and digits in lower case. An
     occurrence aligns ``coverage`` of the template's words within ``stretch`` times its length, around one of the
     template's key words; occurrences of one license do not overlap, and of two that could begin at the same key word
     the first counts. Null and empty texts have none. Repeated rows give repeated occurrences, a null doc_id stays

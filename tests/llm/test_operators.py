@@ -341,6 +341,24 @@ def test_license_notices_that_are_repeated():
         assert scanner.scan(" ".join(text + words(20, 2).split())) == want
 
 
+def test_license_texts_whole_and_altered():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE, licenses.STRETCH)
+    full = [name for name in licenses.TEMPLATES if name.endswith("-text")]
+    assert len(full) >= 16 and {"GPL-2.0-text", "MPL-2.0-text", "BSD-2-Clause-text", "ISC-text", "Unlicense-text"} <= {*full}
+    rng = random.Random(8)
+    for name, text in licenses.TEMPLATES.items():
+        found = licenses.words(text)
+        around = words(30, 1).split(), words(30, 2).split()
+        assert (name, 30, 29 + len(found), len(found), 1.0) in scanner.scan(" ".join([*around[0], *found, *around[1]]))
+        if len(found) > 90:  # 4 % of the words replaced
+            altered = [w if rng.random() > 0.04 else "other" for w in found]
+            hits = scanner.scan(" ".join([*around[0], *altered, *around[1]]))
+            assert [h[0] for h in hits if h[0].endswith("-text")] == [name]
+    for name in ("GPL-2.0-notice", "GPL-3.0-notice", "LGPL-3.0-notice", "CC-BY-4.0-notice", "CC-BY-NC-SA-4.0", "CC-BY-NC-4.0-notice", "MIT-spdx"):
+        assert [h[0] for h in scanner.scan(f"a b c {licenses.TEMPLATES[name]} d e f")] == [name]
+    assert [h[0] for h in scanner.scan("SPDX-License-Identifier: MIT OR ISC")] == ["ISC-spdx", "MIT-spdx"]
+
+
 def test_registered_queries_over_whole_tables(spark):
     """Rows of the queries that SQL can't express, on the smallest tables, by brute force."""
     from millrace.llm.queries import QUERIES
