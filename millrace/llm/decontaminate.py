@@ -10,7 +10,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import reduce
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -19,8 +20,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import BITMAP_BITS, HASH_TABLE_SIZE, ROW_BITS, cut, each_batch, join_split, mix, without_ids
 
-#: Windows of 11 words of which a mask reads those marked 1. Fixed masks.
-MASKS = ("11101001101", "11010110011", "10110011101", "11001101011", "10111100011")
+#: Windows of 11 words of which a mask reads those marked 1. Fixed masks: wherever a fifth of the words of a stretch of 13 or
+#: more were replaced, or of a whole item of 11 or 12, one of them reads a window without replaced words.
+MASKS = (
+    "11101001101", "11010110011", "10110011101", "11001101011", "10111100011", "10001011111", "11110101001", "11100111010",
+    "11111000011", "11001110101", "10111111000",
+)
 SPAN = len(MASKS[0])
 #: An overlap counts if so many of its words agree ...
 SIMILARITY = 0.8
@@ -49,11 +54,20 @@ def word_hashes(text: str | None, numbers: _Numbers) -> np.ndarray:
     return np.fromiter(map(numbers.__getitem__, words), np.uint64, len(words))
 
 
+@lru_cache(maxsize=SPAN)
+def short_masks(size: int) -> list[list[int]]:
+    """The words that each mask of a run of ``size`` words below a window reads. A fifth of the words may be replaced, not
+    the first or last: the inner words are put in twice as many groups as that, and each mask ignores half of the groups."""
+    replaced = size // 5
+    groups = [set(range(1 + g, size - 1, 2 * replaced)) for g in range(2 * replaced)]
+    ignored = [set().union(*some) for some in combinations(groups, replaced)]
+    return [[k for k in range(size) if k not in some] for some in ignored]
+
+
 def seeds(words: np.ndarray) -> list[np.ndarray]:
-    """For each mask the hash of every window. A text shorter than a window has one seed: its whole word sequence."""
+    """For each mask the hash of every window. A text shorter than a window has seeds of its whole length."""
     if 0 < len(words) < SPAN:
-        whole = reduce(lambda h, w: h * np.uint64(0x5851F42D4C957F2D) + w, words, np.uint64(len(words)))
-        return [mix(np.array([whole], np.uint64))]
+        return [h for _, h in _short_seeds(words, np.array([len(words)]))]
     n = len(words) - SPAN + 1
     out = []
     for number, mask in enumerate(MASKS):
@@ -67,15 +81,15 @@ def seeds(words: np.ndarray) -> list[np.ndarray]:
 
 
 def _short_seeds(words: np.ndarray, lengths: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Hashes of the runs that may equal a whole short item, by run length."""
+    """Hashes of the runs that may agree with a whole short item, by run length."""
     out = []
-    for size in lengths:
+    for size in map(int, lengths):
         n = len(words) - size + 1
-        if n > 0:
-            h = np.full(n, size, np.uint64)
-            for k in range(size):
+        for number, mask in enumerate(short_masks(size) if n > 0 else []):
+            h = np.full(n, size + 64 * number, np.uint64)
+            for k in mask:
                 h = h * np.uint64(0x5851F42D4C957F2D) + words[k : k + n]
-            out.append((int(size), mix(h)))
+            out.append((size, mix(h)))
     return out
 
 
@@ -197,8 +211,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
 
     A document overlaps an item where the two, laid on each other without gaps, agree in ``similarity`` or more of the
     words of a stretch of ``min_words`` words, or of the whole item if that is shorter. Words are runs of letters and
-    digits in lower case. Replaced words are tolerated as far as one of ``MASKS`` still reads only words that agree;
-    items shorter than a window must occur word by word. Ties go to the first place. Null and empty texts overlap
+    digits in lower case. Wherever the replaced words stand, one of the masks reads only words that agree. Ties go to the first place. Null and empty texts overlap
     nothing, null ids neither; repeated rows count once. Empty tables give an empty result.
 
     Seeds of the documents leave the scan only if their bit is set in a bitmap of the benchmark's seeds, which has the

@@ -204,6 +204,30 @@ def test_decontamination_tolerates_replaced_words(spark):
     assert sorted((r.doc_id for r in left.collect()), key=repr) == [10, 4, 5, 6, 9, None]
 
 
+@pytest.mark.parametrize(("size", "replaced"), [(11, 2), (12, 2), (13, 2), (14, 2), (15, 3), (20, 4), (25, 5)])
+def test_masks_meet_every_stretch(size, replaced):
+    """Longer stretches are made up of some of 15, 20 and 25 words, one of which has its share of replaced words at most."""
+    places = range(size) if size >= 13 else range(1, size - 1)  # a whole short item begins and ends with agreeing words
+    patterns = np.array([sum(1 << x for x in some) for some in itertools.combinations(places, replaced)])
+    met = np.zeros(len(patterns), bool)
+    for mask in decontaminate.MASKS:
+        for at in range(size - decontaminate.SPAN + 1):
+            met |= patterns & (int(mask[::-1], 2) << at) == 0
+    assert met.all()
+
+
+def test_decontamination_meets_every_pattern(spark):
+    rows, items, want = [], [], set()
+    for size, replaced in ((5, 1), (7, 1), (10, 2), (13, 2)):
+        item = [f"s{size}w{k}" for k in range(size)]
+        items.append((size, " ".join(item)))
+        for some in itertools.combinations(range(1, size - 1), replaced):
+            rows.append((len(rows), " ".join(["a", *(w if k not in some else "changed" for k, w in enumerate(item)), "z"])))
+            want.add((rows[-1][0], size, size, size - replaced))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id, r.n_overlap, r.n_agree) for r in decontaminate.find_overlaps(table(spark, rows), bench).collect()} == want
+
+
 def test_longest_overlap_against_all_stretches():
     rng = np.random.default_rng(6)
     for _ in range(200):
