@@ -140,39 +140,48 @@ def build_tree(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return runs, cut(nodes, "nodes")
 
 
-#: The children of ``n`` with or without the hash at ``place``; a digest has 32 bytes.
-_LEFT, _RIGHT = "substring({c}, 1, 32 * {p})", "substring({c}, 32 * {p} + 33)"
+#: Children without the hash at a place, left and right of it; a digest has 32 bytes.
+_LEFT, _RIGHT = "substring({0}, 1, 32 * {1})", "substring({0}, 32 * {1} + 33)"
+
+
+def _siblings(children: str, place: str) -> tuple[str, str]:
+    return _LEFT.format(children, place), _RIGHT.format(children, place)
 
 
 def _fold(children: str, place: str, own: str) -> str:
-    left, right = (part.format(c=children, p=place) for part in (_LEFT, _RIGHT))
+    left, right = _siblings(children, place)
     return f"unhex(sha2(lower(hex(concat({left}, {own}, {right}))), 256))"
 
 
+#: What a leaf, as sent or tampered with, becomes among its siblings; the leaf itself if it has none.
+_FIRST_FOLD = f"""transform(members, x -> CASE WHEN children IS NULL THEN coalesce(x.tampered, x.hash)
+  ELSE {_fold('children', f'cast(x.at % {FANOUT} as int)', 'coalesce(x.tampered, x.hash)')} END)"""
+
+
 def climb(runs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Per run of leaves what its way to the root has gathered: members with their folded hash, siblings, subroot, root.
+    """One row per run of leaves and step to the root: tree, idx, step, folds, siblings, subroot, root.
 
-    A recursive query: each level joins the parent's row, folds every leaf's hash into the parent's and appends the
-    siblings met there. Leaves of a run share all siblings above the run, so they climb together in one row whose size
-    grows with the levels only. Joins with the few nodes near the root rest on AQE to split their hot keys.
+    A recursive query: each level joins the parent's row, folds every leaf's hash into the parent's and sends out the
+    siblings met there. Leaves of a run share all siblings above the run, so they climb together; ``folds`` holds each
+    of their hashes once, as all leaves that were left alone have the same. It is null but for the last step, subroot
+    but for the step that reaches it. Joins with the few nodes near the root rest on AQE to split their hot keys.
     """
-    own = _fold("children", f"cast(x.at % {FANOUT} as int)", "coalesce(x.tampered, x.hash)")
+    up = "up_tree, up_level, up_idx, place"
+    left, right = _siblings("n.children", "w.place")
     with _unlimited(runs.sparkSession):
         return cut(
             runs.sparkSession.sql(
                 f"""
-                WITH RECURSIVE way(members, siblings, subroot, root, up_tree, up_level, up_idx, place) AS (
-                  SELECT transform(members, x -> named_struct('doc_id', x.doc_id, 'leaf', x.hash, 'fold',
-                      CASE WHEN children IS NULL THEN coalesce(x.tampered, x.hash) ELSE {own} END)),
-                    X'', CASE WHEN n = 1 THEN hash END, hash, up_tree, up_level, up_idx, place
+                WITH RECURSIVE way(tree, idx, step, folds, siblings, subroot, root, {up}) AS (
+                  SELECT tree, idx, 0, array_distinct({_FIRST_FOLD}), X'', CASE WHEN n = 1 THEN hash END, hash, {up}
                   FROM {{runs}}
                   UNION ALL
-                  SELECT transform(w.members, x -> named_struct('doc_id', x.doc_id, 'leaf', x.leaf, 'fold',
-                      {_fold('n.children', 'w.place', 'x.fold')})),
-                    concat(w.siblings, {_LEFT.format(c='n.children', p='w.place')}, {_RIGHT.format(c='n.children', p='w.place')}),
-                    coalesce(w.subroot, CASE WHEN n.n = 1 THEN n.hash END), n.hash, n.up_tree, n.up_level, n.up_idx, n.place
+                  SELECT w.tree, w.idx, w.step + 1, transform(w.folds, x -> {_fold('n.children', 'w.place', 'x')}),
+                    concat({left}, {right}), CASE WHEN n.n = 1 AND n.tree <> '{TOP}' THEN n.hash END, n.hash,
+                    n.up_tree, n.up_level, n.up_idx, n.place
                   FROM way w JOIN {{nodes}} n ON w.up_tree = n.tree AND w.up_level = n.level AND w.up_idx = n.idx)
-                SELECT members, siblings, subroot, root FROM way WHERE up_tree IS NULL""",
+                SELECT tree, idx, step, CASE WHEN up_tree IS NULL THEN folds END AS folds, siblings, subroot,
+                  CASE WHEN up_tree IS NULL THEN root END AS root FROM way""",
                 runs=runs,
                 nodes=nodes,
             ),
@@ -188,12 +197,20 @@ def manifest(docs: DataFrame) -> DataFrame:
     null doc_id comes first and is not tampered with. A lone row is its own root and has no siblings, an empty table an
     empty result.
     """
-    ways = climb(*build_tree(docs))
-    rows = ways.selectExpr(
+    runs, nodes = build_tree(docs)
+    steps = F.sort_array(F.collect_list(F.struct("step", "siblings")))  # one for each level
+    ways = climb(runs, nodes).groupBy("tree", "idx").agg(
+        F.max("folds").alias("folds"), F.max("subroot").alias("subroot"), F.max("root").alias("root"), steps.alias("steps")
+    )
+    above = F.array_join(F.transform("steps", lambda s: F.hex(s["siblings"])), "")
+    found = runs.select("tree", "idx", "members", F.expr(_FIRST_FOLD).alias("first")).join(ways, ["tree", "idx"])
+    found = found.withColumn("above", F.lower(above)).withColumn("slots", F.array_distinct("first"))
+    rows = found.selectExpr(
         "subroot", "root",
-        """inline(transform(members, (x, i) -> named_struct('doc_id', x.doc_id, 'leaf', x.leaf, 'fold', x.fold,
-          'proof_sha256', sha2(concat(array_join(transform(filter(members, (y, k) -> k <> i), y -> lower(hex(y.leaf))), ''),
-            lower(hex(siblings))), 256))))""",
+        """inline(transform(members, (x, i) -> named_struct('doc_id', x.doc_id, 'leaf', x.hash,
+          'fold', folds[array_position(slots, first[i]) - 1],
+          'proof_sha256', sha2(concat(array_join(transform(filter(members, (y, k) -> k <> i), y -> lower(hex(y.hash))), ''),
+            above), 256))))""",
     )
     return rows.select(
         "doc_id", _hex("leaf").alias("leaf"), _hex("subroot").alias("subroot"), _hex("root").alias("root"), "proof_sha256",
