@@ -3,7 +3,7 @@
 Documents are cut into pre-tokens in blocks. Within a block the positions of pre-tokens are numbers of the block's own
 distinct words, so that each distinct word of a block goes into the shuffle once, not each occurrence. Words meet by
 parts of their hash over all blocks, each is encoded once, its ids go back to the blocks, and each block puts its
-documents together again by position. Decoding joins ids with the token-byte table.
+documents together again by position. Decoding looks ids up in the token-byte table, which every worker has.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text after which a block is closed; a longer text is a block of its own.
-BLOCK_BYTES = 32_000_000
-#: Chunks between spaces that a worker remembers with their pre-tokens before it starts anew.
-CHUNKS = 2_000_000
-#: Parts that the words of all blocks are divided into by hash; a block sends the words of one part in one row.
-WORD_PARTS = 512
+BLOCK_BYTES = 6_000_000
+#: Chunks between spaces that a block remembers with their pre-tokens before it is closed.
+CHUNKS = 300_000
+#: Parts that the words of all blocks are divided into by hash, for each split of the input, and at least; a block sends
+#: the words of one part in one row.
+PARTS_PER_SPLIT, LEAST_PARTS = 2, 64
 #: Documents whose word numbers travel together.
 PACK = 500
 
@@ -90,13 +91,20 @@ def _split_words(data: bytes) -> list[str]:
     return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def _parts(words: list[str]) -> np.ndarray:
-    return np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_PARTS for w in words), np.int64, len(words))
+def _parts(words: list[str], parts: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % parts for w in words), np.int64, len(words))
 
 
-def _blocks(pattern: str, want_words: bool):
+def _digest(words: list[str]) -> int:
+    """A number for the words in their order."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(_join_words(words)) - (1 << 63)
+
+
+def _blocks(pattern: str, parts: int, want_words: bool):
     """Blocks of documents: their distinct words by part, or their documents as word numbers. Both come from the same
-    walk over the same rows, so a block has the same number and the same words in either."""
+    walk over the same rows, so a block has the same number and the same words in either; a digest tells if not."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -107,16 +115,16 @@ def _blocks(pattern: str, want_words: bool):
         def close() -> Iterator[pd.DataFrame]:
             nonlocal cutter, size, ids, codes, serial
             block, words = (task << 24) + serial, list(cutter.words)
-            part = _parts(words)
+            part, digest = _parts(words, parts), _digest(words)
             order = np.argsort(part, kind="stable")  # a word's place in this order is its number in the block
             if want_words:
-                ends = np.searchsorted(part[order], np.arange(WORD_PARTS + 1))
+                ends = np.searchsorted(part[order], np.arange(parts + 1))
                 rows = [
-                    (block, p, _pack(_join_words([words[k] for k in order[a:b]])))
+                    (block, p, digest, _pack(_join_words([words[k] for k in order[a:b]])))
                     for p, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if b > a
                 ]
                 if rows:
-                    yield pd.DataFrame(rows, columns=["block", "part", "words"])
+                    yield pd.DataFrame(rows, columns=["block", "part", "digest", "words"])
             else:
                 place = np.empty(len(words), np.uint32)
                 place[order] = np.arange(len(words))
@@ -125,9 +133,9 @@ def _blocks(pattern: str, want_words: bool):
                 for at in range(0, len(ids), PACK):
                     some = codes[at : at + PACK]
                     flat = place[np.concatenate(some)].astype(kind) if sum(map(len, some)) else np.zeros(0, kind)
-                    rows.append((block, len(words), flat.itemsize, ids[at : at + PACK], [len(c) for c in some], _pack(flat.tobytes())))
+                    rows.append((block, digest if words else None, flat.itemsize, ids[at : at + PACK], [len(c) for c in some], _pack(flat.tobytes())))
                 if rows:
-                    yield pd.DataFrame(rows, columns=["block", "n_words", "width", "doc_ids", "lengths", "codes"])
+                    yield pd.DataFrame(rows, columns=["block", "digest", "width", "doc_ids", "lengths", "codes"])
             cutter, size, ids, codes, serial = Pretokens(pattern), 0, [], [], serial + 1
 
         for batch in batches:
@@ -146,18 +154,21 @@ def _blocks(pattern: str, want_words: bool):
 
 
 def _encode_words(path: str, pattern: str):
-    """The ids of the words of each row, and how many each word has; a word that came before is not encoded again."""
+    """The ids of the words of each row, and how many each word has. The rows of a part come one after another, so every
+    word is encoded once over all blocks and only one part's words are remembered."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
 
         encode = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={}).encode_ordinary
         known: dict[str, list[int]] = {}
+        of = None
         for batch in batches:
             rows = []
-            for block, part, packed in zip(batch["block"], batch["part"], batch["words"], strict=True):
-                if len(known) > CHUNKS:
+            for block, part, digest, packed in zip(batch["block"], batch["part"], batch["digest"], batch["words"], strict=True):
+                if part != of:
                     known.clear()
+                    of = part
                 found = []
                 for word in _split_words(_unpack(packed)):
                     ids = known.get(word)
@@ -166,9 +177,9 @@ def _encode_words(path: str, pattern: str):
                     found.append(ids)
                 n = np.array([len(x) for x in found], np.uint32)
                 flat = np.array([i for x in found for i in x], np.uint32)
-                rows.append((block, part, _pack(n.tobytes()), _pack(flat.tobytes())))
+                rows.append((block, part, digest, _pack(n.tobytes()), _pack(flat.tobytes())))
             if rows:
-                yield pd.DataFrame(rows, columns=["block", "part", "counts", "ids"])
+                yield pd.DataFrame(rows, columns=["block", "part", "digest", "counts", "ids"])
 
     return run
 
@@ -181,7 +192,7 @@ def _reassemble(key, words: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
     starts = np.cumsum(lengths) - lengths
     doc_ids, out = [], []
     for row in docs.itertuples(index=False):
-        if row.n_words != len(lengths):
+        if set(words["digest"]) != ({row.digest} if row.digest == row.digest else set()):
             raise ValueError("the input was cut into blocks in two ways; write it to storage first")
         codes = np.frombuffer(_unpack(row.codes), f"<u{row.width}")
         at = 0
@@ -204,14 +215,17 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     texts have no ids. Repeated rows and rows without doc_id get a row each; an empty table gives an empty result.
     A block holds ``BLOCK_BYTES`` of text or one longer text, and its words, whatever the size of the table. The input
     is walked twice, so it has to be a stored table or a narrow derivation of one; a result of shuffles is to be written
-    first, or the blocks may differ, which raises.
+    first, or the blocks may differ, which raises. A part's words are those of some splits of the input.
     """
     narrow = docs.select("doc_id", "text")
-    words = narrow.mapInPandas(_blocks(pattern, True), "block long, part int, words binary")
+    parts = max(LEAST_PARTS, PARTS_PER_SPLIT * narrow.rdd.getNumPartitions())
+    words = narrow.mapInPandas(_blocks(pattern, parts, True), "block long, part int, digest long, words binary")
     codes = narrow.mapInPandas(
-        _blocks(pattern, False), "block long, n_words long, width int, doc_ids array<long>, lengths array<int>, codes binary"
+        _blocks(pattern, parts, False), "block long, digest long, width int, doc_ids array<long>, lengths array<int>, codes binary"
+    )
+    encoded = words.repartition("part").sortWithinPartitions("part").mapInPandas(
+        _encode_words(path, pattern), "block long, part int, digest long, counts binary, ids binary"
     )
-    encoded = words.repartition("part").mapInPandas(_encode_words(path, pattern), "block long, part int, counts binary, ids binary")
     return encoded.groupBy("block").cogroup(codes.groupBy("block")).applyInPandas(_reassemble, "doc_id long, ids binary")
 
 

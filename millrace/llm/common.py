@@ -16,7 +16,7 @@ BITMAP_BITS = 1 << 23
 #: Bits that one row of a bitmap table holds; fixed by Spark's bitmap functions.
 ROW_BITS = 32768
 #: A word hash table is emptied at this size, so that a worker's memory is bounded.
-HASH_TABLE_SIZE = 1_000_000
+HASH_TABLE_SIZE = 100_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

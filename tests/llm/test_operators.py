@@ -401,3 +401,48 @@ def test_registered_queries_over_whole_tables(spark):
     for r in sorted(QUERIES["op1_token_ids"].run(spark, sf).collect()):
         assert r.start == start and 0 <= r.ids_crc32 < 2**32
         start += r.n_tokens
+
+
+def test_byte_bpe_encodes_each_word_once_and_tells_two_walks_apart(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", 2_000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [r.text or "" for r in docs.collect()]
+    import pandas as pd
+    import regex
+    import tiktoken
+
+    find, seen = regex.compile(public_tokenizers.PATTERN).findall, []
+    blocks = [texts[k : k + 9] for k in range(0, len(texts), 9)]
+    rows = []
+    for number, block in enumerate(blocks):
+        words = list(dict.fromkeys(w for t in block for w in find(t)))
+        parts = byte_bpe._parts(words, 7)
+        rows += [(number, p, 1, byte_bpe._pack(byte_bpe._join_words([w for w, q in zip(words, parts, strict=True) if q == p]))) for p in range(7)]
+    rows.sort(key=lambda r: r[1])
+
+    class Counting(tiktoken.Encoding):
+        def encode_ordinary(self, text):
+            seen.append(text)
+            return super().encode_ordinary(text)
+
+    monkeypatch.setattr(tiktoken, "Encoding", Counting)
+    batch = pd.DataFrame(rows, columns=["block", "part", "digest", "words"])
+    list(byte_bpe._encode_words(RANKS, public_tokenizers.PATTERN)(iter([batch.iloc[:20], batch.iloc[20:]])))
+    assert len(seen) == len(set(seen)) and set(seen) == {w for t in texts for w in find(t)}
+
+    class Docs:  # a table whose second walk comes in another order
+        def __init__(self):
+            self.orders = iter([docs, docs.orderBy("doc_id"), docs.orderBy("text")])
+
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, fn, schema):
+            return next(self.orders).select("doc_id", "text").mapInPandas(fn, schema)
+
+        @property
+        def rdd(self):
+            return next(self.orders).rdd
+
+    with pytest.raises(Exception, match="in two ways"):
+        byte_bpe.encode(Docs(), RANKS, public_tokenizers.PATTERN).count()
