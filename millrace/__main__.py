@@ -9,7 +9,7 @@ import argparse
 import sys
 
 from millrace.entities import ENTITIES, RUNS_SCHEMA, Entity
-from millrace.lake import Lake
+from millrace.lake import Lake, day_path
 from millrace.plans import (
     cleanse,
     ingest,
@@ -21,7 +21,7 @@ from millrace.plans import (
 )
 from millrace.session import build_session, size_shuffles
 from millrace.sources import latest_runs, read_table
-from millrace.streaming import start_demand, start_ingest, start_silver
+from millrace.streaming import start_closed_days, start_demand, start_ingest, start_silver
 
 
 def parser() -> argparse.ArgumentParser:
@@ -43,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     reconcile.add_argument("--day", help="show the keys behind one day's difference")
     stream = jobs.add_parser("stream")
     stream.add_argument("--files-per-batch", type=int, help="most new files of a micro-batch")
+    stream.add_argument("--keep-days", type=int, help="days whose survivors stay in the state; older ones are cleansed whole")
     jobs.add_parser("runs")
     return top
 
@@ -53,6 +54,8 @@ def execute(spark, args) -> None:
     if args.job in ("ingest", "cleanse"):
         job = {"ingest": ingest, "cleanse": cleanse}[args.job]
         for entity in entities:
+            day_folder = {"ingest": day_path(lake.raw, entity.name, args.day), "cleanse": f"{lake.bronze(entity.name)}/ingest_date={args.day}"}
+            size_shuffles(spark, day_folder[args.job])
             print(entity.name, job(spark, lake, entity, args.day, args.mode))
     elif args.job == "run":
         for name, counts in run_day(spark, lake, args.day, entities, args.mode).items():
@@ -64,9 +67,12 @@ def execute(spark, args) -> None:
         for entity in entities:
             show_differences(spark, lake, entity, args.day)
     elif args.job == "stream":
+        size_shuffles(spark, *(lake.raw_entity(entity.name) for entity in entities))
         for entity in entities:
             start_ingest(spark, lake, entity, files_per_batch=args.files_per_batch).awaitTermination()
-            start_silver(spark, lake, entity, files_per_batch=args.files_per_batch).awaitTermination()
+            start_silver(spark, lake, entity, args.keep_days, args.files_per_batch).awaitTermination()
+            if args.keep_days is not None:
+                start_closed_days(spark, lake, entity, args.keep_days, args.files_per_batch).awaitTermination()
         if ENTITIES["trips"] in entities:
             start_demand(spark, lake, files_per_batch=args.files_per_batch).awaitTermination()
     else:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import MapType, NumericType, TimestampType
 
 _RANK = "_rank"
 
@@ -44,6 +44,40 @@ def dedupe(
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def survivor(df: DataFrame, keys: Sequence[str], newest: str | None = None, last: Sequence[str] = ()) -> Column:
+    """The row that ``dedupe`` would keep, as an aggregate: the least struct of all columns in the same order.
+
+    For streams, where no window function runs. ``last`` names columns that decide after all others. Unpacked again by
+    ``unpacked``.
+    """
+    parts = []
+    if newest:
+        kind = df.schema[newest].dataType
+        if not isinstance(kind, (TimestampType, NumericType)):
+            raise TypeError(f"the newest row is told by a timestamp or a number, not by {kind.simpleString()}")
+        number = F.unix_micros(newest) if isinstance(kind, TimestampType) else F.col(newest)
+        parts += [F.isnull(newest).alias("_no_newest"), (-number).alias("_newest")]
+    rest = [c for c in df.columns if c not in {*keys, newest, *last}]
+    for name in (*rest, *last):
+        parts += [F.isnull(name).alias(f"_no_{name}"), F.col(name)]
+    return F.min(F.struct(*parts))
+
+
+def unpacked(df: DataFrame, packed: str, like: DataFrame, keys: Sequence[str], newest: str | None = None) -> list[Column]:
+    """The columns of ``like`` from the keys and the struct ``packed`` that ``survivor`` made."""
+
+    def column(name: str) -> Column:
+        if name in keys:
+            return F.col(name)
+        if name != newest:
+            return F.col(f"{packed}.{name}").alias(name)
+        number = -F.col(f"{packed}._newest")
+        kind = like.schema[name].dataType
+        return (F.timestamp_micros(number) if isinstance(kind, TimestampType) else number.cast(kind)).alias(name)
+
+    return [column(name) for name in like.columns]
+
+
 def distinct_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Only the keys, once each; reads no other column."""
     return df.select(key if isinstance(key, str) else list(key)).distinct()

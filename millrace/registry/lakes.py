@@ -270,7 +270,7 @@ def backfill(spark, sf):
 def backfill_missing_day(spark, sf):
     """All trips, then a backfill from raw lines that lack a day and the trips without a driver.
 
-    The day that is missing keeps the rows of the first run.
+    The day that is missing keeps the rows of the first run, and so do those of which no trip is left.
     """
     lake = fresh(spark, sf, "missing", "trips")
     run_range(spark, lake, *raw_span(spark, lake, "trips"), (TRIPS,))
@@ -415,7 +415,8 @@ FROM ({batched_sql('trips')}) b GROUP BY batch_day"""),
         oracle(f"""SELECT batch_day AS ingest_date, count(*) AS bronze_rows,
   count(*) FILTER (WHERE {passes_sql('trips')}) AS valid_rows,
   count(*) FILTER (WHERE NOT {passes_sql('trips')}) AS quarantine_rows, 'incomplete' AS status
-FROM ({batched_sql('trips')}) b WHERE batch_day = '{ONE_DAY}' OR driver_id IS NOT NULL GROUP BY batch_day"""),
+FROM (SELECT *, count(driver_id) OVER (PARTITION BY batch_day) AS drivers FROM ({batched_sql('trips')}) b) b
+WHERE batch_day = '{ONE_DAY}' OR drivers = 0 OR driver_id IS NOT NULL GROUP BY batch_day"""),
     ),
     "latest_runs": Query(
         newest_runs,

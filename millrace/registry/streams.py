@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from millrace.entities import ENTITIES, PAYMENTS, TRIPS
 from millrace.lake import Lake
 from millrace.registry import Query
-from millrace.registry.lakes import batched_sql, fresh
+from millrace.registry.lakes import batched, batched_sql, deduped_sql, fresh, passes_sql
 from millrace.registry.tables import SILVER_SQL
 from millrace.registry.views import once, oracle
+from millrace.session import scratch_dir
+from millrace.sinks import write_day_jsonl
 from millrace.sources import read_table
 from millrace.streaming import start_demand, start_ingest, start_silver
 
@@ -47,9 +49,24 @@ def stream_silver(spark, sf):
 
 
 def stream_dedupe(spark, sf):
-    lake = once(landed, spark, sf, "payments")
-    start_silver(spark, lake, PAYMENTS).awaitTermination()
-    return _verdicts(spark, lake, PAYMENTS).select("ingest_date", "payment_id")
+    """Payments in three deliveries, each a micro-batch: copies meet older ones and take their place if they are newer."""
+    lake = Lake(root=scratch_dir(spark, "stream-copies"), raw=scratch_dir(spark, "stream-copies-raw"))
+    rows = batched(spark, sf, "payments")
+    for turn in range(3):
+        part = F.pmod(F.crc32(F.concat_ws("-", "fare_vnd", "payment_time").cast("binary")), F.lit(3)) == turn
+        write_day_jsonl(rows.filter(part), lake.raw_entity("payments"), "batch_day", mode="append")
+        start_ingest(spark, lake, PAYMENTS).awaitTermination()
+        start_silver(spark, lake, PAYMENTS).awaitTermination()
+    kept = []
+    for layer, path, schema in (
+        ("valid", lake.silver("payments"), PAYMENTS.silver_schema),
+        ("quarantine", lake.quarantine("payments"), PAYMENTS.quarantine_schema),
+    ):
+        kept.append(read_table(spark, path, schema).select(
+            "ingest_date", "payment_id", F.lit(layer).alias("layer"),
+            F.date_format("payment_time", "yyyy-MM-dd HH:mm:ss").alias("paid_at"), "fare_vnd", "rider_id",
+        ))
+    return kept[0].unionByName(kept[1])
 
 
 def stream_demand(spark, sf):
@@ -75,7 +92,10 @@ FROM ({batched_sql('payments')}) b GROUP BY batch_day"""),
     ),
     "stream_dedupe": Query(
         stream_dedupe,
-        oracle(f"SELECT DISTINCT batch_day AS ingest_date, payment_id FROM ({batched_sql('payments')}) b"),
+        oracle(f"""SELECT batch_day AS ingest_date, payment_id,
+  CASE WHEN {passes_sql('payments')} THEN 'valid' ELSE 'quarantine' END AS layer,
+  strftime(payment_time, '%Y-%m-%d %H:%M:%S') AS paid_at, fare_vnd, rider_id
+FROM ({deduped_sql('payments')}) d"""),
     ),
     "stream_demand": Query(
         stream_demand,

@@ -6,6 +6,7 @@ from millrace.sinks.tables import (
     replace_days,
     replace_micro_batch,
     sample_rows,
+    withdraw_rows,
 )
 
 __all__ = [
@@ -15,5 +16,6 @@ __all__ = [
     "replace_days",
     "replace_micro_batch",
     "sample_rows",
+    "withdraw_rows",
     "write_day_jsonl",
 ]

@@ -11,15 +11,15 @@ from millrace.sources.jsonl import RAW_DAY
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def write_day_jsonl(df: DataFrame, root: str, day_column: str) -> None:
-    """Replace the raw lines of every day in ``df`` below ``root``; other days stay.
+def write_day_jsonl(df: DataFrame, root: str, day_column: str, mode: str = "overwrite") -> None:
+    """Replace the raw lines of every day in ``df`` below ``root``; other days stay. Mode ``append`` adds files instead.
 
     The rebalance gathers each day into few files and still splits a day too big for one task.
     """
     (
         df.withColumnRenamed(day_column, RAW_DAY)
         .hint("rebalance", F.col(RAW_DAY))
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(RAW_DAY)
         .option("timestampFormat", ISO_MICROS)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from millrace.files import delete, is_written, matching
 from millrace.lake import checked_day
 from millrace.sources.partitions import partition_values
 from millrace.sources.tables import LOG_FORMATS
@@ -91,14 +94,17 @@ def _clear_days(spark, df, path, unwritten: set[str], fmt) -> None:
         replace_day(df.limit(0), path, day, fmt)
 
 
-def replace_micro_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+def replace_micro_batch(
+    df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", replayed: bool = False
+) -> None:
     """Make ``df`` the only content of one micro-batch, so that a replay changes nothing.
 
-    The day lies above the micro-batch, so a day is read from its own folder.
+    The day lies above the micro-batch, so a day is read from its own folder. Only a micro-batch that is ``replayed``
+    can have left rows on a day that it has no more; the folders of its own number are looked for then.
     """
     spark = df.sparkSession
     written = Observation()
-    rows = df.hint("rebalance", F.col(DAY)).withColumn(MICRO_BATCH, F.lit(batch_id))
+    rows = df.hint("rebalance", F.col(DAY)).withColumn(MICRO_BATCH, F.lit(batch_id).cast("long"))
     rows = rows.observe(written, F.collect_set(DAY).alias("days"))
     (
         rows.write.format(fmt)
@@ -107,15 +113,57 @@ def replace_micro_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "par
         .partitionBy(DAY, MICRO_BATCH)
         .save(path)
     )
-    here = spark.read.format("binaryFile").load(path)
-    if MICRO_BATCH not in here.columns:
+    if not replayed:
         return
-    before = here.filter(F.col(MICRO_BATCH) == batch_id).select(F.col(DAY).cast("string")).distinct()
-    for day in sorted({row[DAY] for row in before.toLocalIterator()} - set(written.get["days"])):
-        # an earlier try had rows on this day
-        df.drop(DAY).limit(0).write.format(fmt).mode("overwrite").save(
-            f"{path}/{DAY}={day}/{MICRO_BATCH}={batch_id}"
-        )
+    days = written.get["days"]
+    for folder in matching(spark, f"{path}/{DAY}=*/{MICRO_BATCH}={batch_id}"):
+        if folder.split(f"{DAY}=")[-1].split("/")[0] not in days:
+            delete(spark, folder)
+
+
+def withdraw_rows(
+    keys: DataFrame, path: str, schema: StructType, batch_id: int, staged: str, fmt: str = "parquet"
+) -> int:
+    """Take the rows of ``keys`` (day and key) out of the micro-batches before ``batch_id``; the number of parts rewritten.
+
+    Only the days of ``keys`` are read, first by their keys alone, and only the parts that hold one are written again.
+    What stays of those goes to ``staged`` first: if the job ends half-way, the next try finds it there and goes on.
+    """
+    spark = keys.sparkSession
+    days = [row[DAY] for row in keys.select(DAY).distinct().collect()]  # at most the days of a micro-batch
+    if not days:
+        return 0
+    stored = StructType([*schema.fields, StructField(MICRO_BATCH, LongType(), True)])
+
+    def earlier() -> DataFrame:  # listed anew each time, as files come and go
+        rows = spark.read.format(fmt).schema(stored).load(path)
+        return rows.filter(F.col(DAY).isin(days) & (F.col(MICRO_BATCH) < batch_id))
+
+    part = F.concat_ws("/", DAY, MICRO_BATCH)
+    wanted = keys.select(*[F.col(c).alias(f"_{c}") for c in keys.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys.columns])
+
+    def touched() -> list[str]:
+        found = earlier().select(*keys.columns, part.alias("part")).join(wanted, same, "left_semi").select("part").distinct()
+        return sorted(row["part"] for row in found.collect())  # folders of the days of one micro-batch
+
+    parts = touched()
+    if not is_written(spark, staged):
+        if not parts:
+            return 0
+        earlier().filter(part.isin(parts)).join(wanted, same, "left_anti").write.format(fmt).mode("overwrite").save(staged)
+    (
+        spark.read.format(fmt).schema(stored).load(staged).hint("rebalance", F.col(DAY))
+        .write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY, MICRO_BATCH)
+        .save(path)
+    )
+    for left in touched():  # parts of which nothing stays
+        day, number = left.split("/")
+        delete(spark, f"{path}/{DAY}={day}/{MICRO_BATCH}={number}")
+    return len(parts)
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 10) -> DataFrame:

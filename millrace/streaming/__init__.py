@@ -2,6 +2,7 @@ from millrace.streaming.jobs import (
     demand_stream,
     ingest_stream,
     silver_stream,
+    start_closed_days,
     start_demand,
     start_ingest,
     start_silver,
@@ -11,6 +12,7 @@ __all__ = [
     "demand_stream",
     "ingest_stream",
     "silver_stream",
+    "start_closed_days",
     "start_demand",
     "start_ingest",
     "start_silver",

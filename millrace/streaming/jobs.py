@@ -14,16 +14,19 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.entities import DEFAULT_SOURCE, TRIPS, Entity
+from millrace.files import delete, exists
 from millrace.lake import Lake
+from millrace.operators.dedupe import dedupe, survivor, unpacked
 from millrace.operators.quality import invalid_rows, judge, valid_rows
 from millrace.operators.rides import demand
 from millrace.operators.stamps import with_audit, with_quarantine_reason, with_silver_stamp
-from millrace.sinks.tables import replace_micro_batch
+from millrace.sinks.tables import DAY, MICRO_BATCH, replace_micro_batch, withdraw_rows
 from millrace.sources.jsonl import RAW_DAY
+from millrace.sources.tables import read_table
 
-ARRIVAL = "_ingested_at"
-SALTS = 64
-_SALT = "_salt"
+#: The micro-batch of days that are cleansed as a whole.
+CLOSED = -1
+_SEEN, _CORRECTS, _DAY_TIME = "_seen_at", "_corrects", "_day_time"
 
 
 def _limited(reader, files_per_batch: int | None):
@@ -67,59 +70,129 @@ def silver_stream(
     spark: SparkSession,
     lake: Lake,
     entity: Entity,
-    delay: str = "2 hours",
+    keep_days: int | None = None,
     files_per_batch: int | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Bronze rows, one per day and key seen within ``delay``, with their verdict.
+    """For each micro-batch the rows that became the survivor of their day and key, with their verdict.
 
-    Event time is the arrival stamp, so no row comes late and every bad row reaches quarantine.
-    The first dedupe is salted by input partition: copies of a very frequent key shrink to one
-    per salt in many tasks before the second one brings the key together; ``salts`` is the most
-    tasks that share one key.
+    A stateful aggregate holds the best row of each day and key, by the order of the batch dedupe, in Spark's state
+    store; copies shrink to one per map task before they meet it, so a hot key is no hot task. A row goes out in the
+    micro-batch that made it the best one; ``_corrects`` tells that an earlier micro-batch has sent out another.
+    ``keep_days`` ends the state of older days; rows of days outside it, also of days to come, are left to
+    ``start_closed_days``, so the watermark drops none. Without it the state holds all days.
     """
     reader = _limited(spark.readStream.schema(entity.bronze_schema), files_per_batch)
-    arrived = reader.format(lake.fmt).load(lake.bronze(entity.name)).withWatermark(ARRIVAL, delay)
-    thinned = (
-        arrived.withColumn(_SALT, F.spark_partition_id() % salts)
-        .dropDuplicatesWithinWatermark(["ingest_date", entity.key, _SALT])
-        .drop(_SALT)
+    arrived = reader.format(lake.fmt).load(lake.bronze(entity.name))
+    rows = arrived.withColumn(_SEEN, F.current_timestamp())  # the micro-batch's time, the same when it is replayed
+    keys = [DAY, entity.key]
+    groups = list(keys)
+    if keep_days is not None:
+        rows = rows.filter(_is_open(keep_days)).withColumn(_DAY_TIME, F.to_timestamp(DAY))
+        rows = rows.withWatermark(_DAY_TIME, f"{keep_days + 3} days")
+        groups.append(_DAY_TIME)
+    plain = rows.drop(_DAY_TIME)
+    best = rows.groupBy(*groups).agg(
+        survivor(plain, keys, entity.newest, last=[_SEEN]).alias("_best"),
+        (F.min(_SEEN) != F.max(_SEEN)).alias(_CORRECTS),
     )
-    return judge(thinned.dropDuplicatesWithinWatermark(["ingest_date", entity.key]), entity.rules)
+    changed = best.select(*unpacked(best, "_best", plain, keys, entity.newest), _CORRECTS)
+    changed = changed.filter(F.col(_SEEN) == F.current_timestamp()).drop(_SEEN)
+    return judge(changed, entity.rules)
+
+
+def _is_open(keep_days: int):
+    """Days from ``keep_days`` before today to tomorrow."""
+    day = F.to_date(DAY)
+    return F.coalesce(day.between(F.date_sub(F.current_date(), keep_days), F.date_add(F.current_date(), 1)), F.lit(False))
 
 
 def start_silver(
     spark: SparkSession,
     lake: Lake,
     entity: Entity,
-    delay: str = "2 hours",
+    keep_days: int | None = None,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Split all new Bronze rows into Silver and quarantine, then stop.
+    """Split all new Bronze rows into Silver and quarantine, then stop; the newest copy of a key stays.
 
-    Which copy of a key survives may change when Spark computes a micro-batch again. The judged
-    rows are therefore written down once, and both tables are made from what was written.
+    Each micro-batch is written down once and both tables are made from that. If a newer copy comes with a later
+    micro-batch, its row is written first and the older one is then taken out of the part that holds it. A replay
+    after a crash finds what was written down and goes on from there.
     """
-    staged = lake.staging(entity.name)
+    staging = lake.staging(entity.name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(staged)
-        judged = batch.sparkSession.read.schema(batch.schema).parquet(staged)
+        session, staged = batch.sparkSession, f"{staging}/stream/batch={batch_id}"
+        replayed = exists(session, staged)
+        batch.write.mode("overwrite").parquet(f"{staged}/judged")
+        judged = session.read.schema(batch.schema).parquet(f"{staged}/judged")
         at = datetime.now(timezone.utc)
-        valid = with_silver_stamp(valid_rows(judged), at)
-        invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(judged), at))
-        replace_micro_batch(valid, lake.silver(entity.name), batch_id, lake.fmt)
-        replace_micro_batch(invalid, lake.quarantine(entity.name), batch_id, lake.fmt)
+        rows = judged.drop(_CORRECTS)
+        valid = with_silver_stamp(valid_rows(rows), at)
+        invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(rows), at))
+        older = judged.filter(_CORRECTS).select(DAY, entity.key)
+        tables = (
+            ("silver", lake.silver(entity.name), entity.silver_schema, valid),
+            ("quarantine", lake.quarantine(entity.name), entity.quarantine_schema, invalid),
+        )
+        for _, path, _, new in tables:
+            replace_micro_batch(new, path, batch_id, lake.fmt, replayed)
+        for name, path, schema, _ in tables:
+            withdraw_rows(older, path, schema, batch_id, f"{staged}/{name}", lake.fmt)
+        delete(session, staged)
 
     return (
-        silver_stream(spark, lake, entity, delay, files_per_batch)
+        silver_stream(spark, lake, entity, keep_days, files_per_batch)
         .writeStream.foreachBatch(write)
+        .outputMode("update")
         .option("checkpointLocation", lake.checkpoint(f"silver-{entity.name}"))
         .trigger(availableNow=True)
         .start()
     )
 
 
+def start_closed_days(
+    spark: SparkSession,
+    lake: Lake,
+    entity: Entity,
+    keep_days: int,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Cleanse the days again that got new Bronze rows but whose state ``start_silver`` does not keep, then stop.
+
+    Such a day is judged from all its Bronze rows, as the batch job does, and replaces its whole folder.
+    """
+    staging = lake.staging(entity.name)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session, staged = batch.sparkSession, f"{staging}/closed/batch={batch_id}"
+        days = sorted(row[DAY] for row in batch.select(DAY).distinct().collect())
+        if not days:
+            return
+        bronze = read_table(session, lake.bronze(entity.name), entity.bronze_schema, lake.fmt)
+        best = dedupe(bronze.filter(F.col(DAY).isin(days)), [DAY, entity.key], newest=entity.newest)
+        judged = judge(best, entity.rules)
+        judged.write.mode("overwrite").parquet(staged)
+        rows, at = session.read.schema(judged.schema).parquet(staged), datetime.now(timezone.utc)
+        valid = with_silver_stamp(valid_rows(rows), at)
+        invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(rows), at))
+        for path, new in ((lake.silver(entity.name), valid), (lake.quarantine(entity.name), invalid)):
+            for day in days:
+                of_day = new.filter(F.col(DAY) == day).drop(DAY).withColumn(MICRO_BATCH, F.lit(CLOSED).cast("long"))
+                of_day.hint("rebalance").write.format(lake.fmt).mode("overwrite").partitionBy(MICRO_BATCH).save(f"{path}/{DAY}={day}")
+        delete(session, staged)
+
+    reader = _limited(spark.readStream.schema(entity.bronze_schema), files_per_batch)
+    arrived = reader.format(lake.fmt).load(lake.bronze(entity.name))
+    return (
+        arrived.filter(~_is_open(keep_days) & F.col(DAY).isNotNull())
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", lake.checkpoint(f"closed-{entity.name}"))
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def demand_stream(
     spark: SparkSession,
     lake: Lake,

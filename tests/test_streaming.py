@@ -7,7 +7,10 @@ from millrace.entities import PAYMENTS, TRIPS
 from millrace.lake import Lake
 from millrace.plans import run_range
 from millrace.sources import read_table
-from millrace.streaming import start_demand, start_ingest, start_silver
+from millrace.files import exists
+from millrace.operators.dedupe import dedupe, survivor, unpacked
+from millrace.sinks import tables
+from millrace.streaming import jobs, start_closed_days, start_demand, start_ingest, start_silver
 from test_medallion import BAD_TRIPS, DAY, fill, keys, layer, payment, trip
 
 
@@ -62,6 +65,134 @@ def test_copies_in_later_micro_batches_are_dropped(spark, lake):
     assert parts.count() == 1  # the second micro-batch had no valid row left
 
 
+def deliver(spark, lake, lines, name, day=DAY, entity=PAYMENTS):
+    write_lines(lake, entity.name, day, lines, name)
+    ingest(spark, lake, entity)
+    silver(spark, lake, entity)
+
+
+def paid(number, clock, **changes):
+    return payment(number, payment_time=f"{DAY}T{clock}" if clock else None, **changes)
+
+
+def stored(spark, lake, name):
+    return tuples(layer(spark, lake, PAYMENTS, name), "payment_id", "fare_vnd")
+
+
+def test_a_newer_copy_in_a_later_micro_batch_takes_the_place_of_the_older(spark, lake):
+    deliver(spark, lake, [paid(1, "08:00:00", fare_vnd=1), paid(2, "08:00:00", fare_vnd=2), paid(3, None, fare_vnd=3)], "a.jsonl")
+    deliver(spark, lake, [paid(1, "09:00:00", fare_vnd=10, final_amount_vnd=-5), paid(2, "07:00:00", fare_vnd=20), paid(3, "01:00:00", fare_vnd=30)], "b.jsonl")
+    assert stored(spark, lake, "silver") == [("PAY00000002", 2), ("PAY00000003", 30)]
+    assert stored(spark, lake, "quarantine") == [("PAY00000001", 10)]
+    deliver(spark, lake, [paid(1, "10:00:00", fare_vnd=100), paid(4, "10:00:00", fare_vnd=4)], "c.jsonl")
+    assert stored(spark, lake, "silver") == [("PAY00000001", 100), ("PAY00000002", 2), ("PAY00000003", 30), ("PAY00000004", 4)]
+    assert stored(spark, lake, "quarantine") == []
+    parts = {int(r[0]) for r in spark.read.parquet(lake.silver("payments")).select("_micro_batch").distinct().collect()}
+    assert parts == {0, 1, 2} and not exists(spark, f"{lake.staging('payments')}/stream/batch=2")
+
+
+def test_copies_over_many_micro_batches_end_as_the_batch_job_does(spark, lake, tmp_path):
+    import random
+
+    rng = random.Random(11)
+    days = [DAY, "2026-03-22", "2026-03-23"]
+    for part in range(9):
+        for day in days:
+            lines = [
+                payment(rng.randrange(25), payment_time=rng.choice([None, f"{day}T0{rng.randrange(8)}:00:00"]), fare_vnd=rng.randrange(50),
+                        final_amount_vnd=rng.choice([-1, 5, None, 9]))
+                for _ in range(12)
+            ] + ["{broken"]
+            write_lines(lake, "payments", day, lines, f"part-{part}.jsonl")
+    batch = Lake(root=str(tmp_path / "batch"), raw=lake.raw)
+    run_range(spark, batch, DAY, 3, [PAYMENTS])
+    ingest(spark, lake, PAYMENTS, files_per_batch=4)
+    silver(spark, lake, PAYMENTS, files_per_batch=3)
+    columns = ["ingest_date", *PAYMENTS.schema.names]
+    for name in ("silver", "quarantine"):
+        ours, theirs = (tuples(layer(spark, where, PAYMENTS, name), *columns) for where in (lake, batch))
+        assert ours == theirs and ours
+
+
+def test_a_crash_between_two_writes_of_a_correction_is_mended(spark, lake, monkeypatch):
+    """The job ends at each of its writes in turn; the next start has the same outcome as an undisturbed one."""
+    first = [paid(1, "08:00:00", fare_vnd=1), paid(2, "08:00:00", fare_vnd=2), paid(5, "08:00:00", fare_vnd=5)]
+    second = [paid(1, "09:00:00", fare_vnd=10), paid(2, "09:00:00", final_amount_vnd=-1, fare_vnd=20)]
+    steps = ["replace_micro_batch", "withdraw_rows"]
+    for number, (step, after) in enumerate((s, n) for s in steps for n in (0, 1)):
+        here = Lake(root=f"{lake.root}-{number}", raw=f"{lake.raw}-{number}")
+        deliver(spark, here, first, "a.jsonl")
+        write_lines(here, "payments", DAY, second, "b.jsonl")
+        ingest(spark, here, PAYMENTS)
+        real, calls = getattr(jobs, step), []
+
+        def failing(*args, real=real, calls=calls, after=after):
+            if len(calls) == after:
+                raise RuntimeError("executor room on fire")
+            calls.append(real(*args))
+            return calls[-1]
+
+        with monkeypatch.context() as patched:
+            patched.setattr(jobs, step, failing)
+            try:
+                silver(spark, here, PAYMENTS)
+            except Exception as error:
+                assert "on fire" in str(error)
+        silver(spark, here, PAYMENTS)
+        assert stored(spark, here, "silver") == [("PAY00000001", 10), ("PAY00000005", 5)]
+        assert stored(spark, here, "quarantine") == [("PAY00000002", 20)]
+
+
+def test_a_part_deleted_by_a_crash_comes_back_from_what_was_written_down(spark, lake, monkeypatch):
+    """The worst moment: the old part is gone and the new one is not there yet."""
+    deliver(spark, lake, [paid(1, "08:00:00", fare_vnd=1), paid(2, "08:00:00", fare_vnd=2)], "a.jsonl")
+    write_lines(lake, "payments", DAY, [paid(1, "09:00:00", fare_vnd=10)], "b.jsonl")
+    ingest(spark, lake, PAYMENTS)
+    path = lake.silver("payments")
+
+    def crash(spark, path):
+        raise RuntimeError("gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "delete", crash)  # what was written down stays, the micro-batch is not committed
+        try:
+            silver(spark, lake, PAYMENTS)
+        except Exception as error:
+            assert "gone" in str(error)
+    tables.delete(spark, f"{path}/ingest_date={DAY}/_micro_batch=0")
+    silver(spark, lake, PAYMENTS)
+    assert stored(spark, lake, "silver") == [("PAY00000001", 10), ("PAY00000002", 2)]
+
+
+def test_closed_days_are_cleansed_whole_and_open_days_by_the_state(spark, lake):
+    from datetime import date, timedelta
+
+    today, old = date.today().isoformat(), (date.today() - timedelta(days=40)).isoformat()
+    for turn, amount in enumerate((5, -5)):
+        for day in (today, old):
+            lines = [payment(1, payment_time=f"{day}T0{turn}:00:00", final_amount_vnd=amount), payment(10 + turn, payment_time=f"{day}T00:00:00")]
+            write_lines(lake, "payments", day, lines, f"{turn}.jsonl")
+        ingest(spark, lake, PAYMENTS)
+        silver(spark, lake, PAYMENTS, keep_days=7)
+        start_closed_days(spark, lake, PAYMENTS, keep_days=7).awaitTermination()
+    for day in (today, old):
+        for name, want in (("silver", ["PAY00000010", "PAY00000011"]), ("quarantine", ["PAY00000001"])):
+            found = layer(spark, lake, PAYMENTS, name).filter(F.col("ingest_date") == day)
+            assert [k for (k,) in tuples(found, "payment_id")] == want
+
+
+def test_the_survivor_of_an_aggregate_is_that_of_the_window(spark):
+    rows = spark.sql(
+        """SELECT id % 7 AS k, CASE WHEN id % 5 > 0 THEN timestamp_seconds(id * 7919 % 13) END AS t,
+        CASE WHEN id % 3 > 0 THEN string(id * 31 % 17) END AS a, CASE WHEN id % 4 > 0 THEN id * 17 % 11 / 4 END AS b, id AS c
+        FROM range(400)"""
+    )
+    for newest in ("t", "b", None):
+        want = dedupe(rows, "k", newest=newest)
+        best = rows.groupBy("k").agg(survivor(rows, ["k"], newest).alias("best"))
+        assert tuples(best.select(*unpacked(best, "best", rows, ["k"], newest))) == tuples(want)
+
+
 def test_hot_key_over_many_files(spark, lake):
     """A third of the rows are copies of one payment, spread over all files and micro-batches."""
     for part in range(12):
