@@ -8,11 +8,14 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
 from millrace.entities import ENTITIES, RUNS_SCHEMA, Entity
 from millrace.lake import Lake, day_path
 from millrace.plans import (
     cleanse,
     ingest,
+    reconcile_digests,
     reconcile_layers,
     reconcile_raw,
     reconcile_raw_rows,
@@ -41,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     backfill.add_argument("--days", type=int, required=True)
     reconcile = jobs.add_parser("reconcile")
     reconcile.add_argument("--day", help="show the keys behind one day's difference")
+    reconcile.add_argument("--keys", action="store_true", help="count the keys that differ on every day, by digests")
     stream = jobs.add_parser("stream")
     stream.add_argument("--files-per-batch", type=int, help="most new files of a micro-batch")
     stream.add_argument("--keep-days", type=int, help="days whose survivors stay in the state; older ones are cleansed whole")
@@ -65,7 +69,7 @@ def execute(spark, args) -> None:
         totals.groupBy("entity").sum("bronze_rows", "valid_rows", "quarantine_rows").show()
     elif args.job == "reconcile":
         for entity in entities:
-            show_differences(spark, lake, entity, args.day)
+            show_differences(spark, lake, entity, args.day, args.keys)
     elif args.job == "stream":
         size_shuffles(spark, *(lake.raw_entity(entity.name) for entity in entities))
         for entity in entities:
@@ -80,8 +84,14 @@ def execute(spark, args) -> None:
         latest_runs(runs).show(truncate=False)
 
 
-def show_differences(spark, lake: Lake, entity: Entity, day: str | None) -> None:
+def show_differences(spark, lake: Lake, entity: Entity, day: str | None, keys: bool = False) -> None:
     size_shuffles(spark, lake.raw_entity(entity.name), lake.bronze(entity.name))
+    if keys:
+        print(f"{entity.name}: keys that raw or Bronze lacks")
+        found = reconcile_digests(spark, lake, entity)
+        lacking = [F.count_if(F.col(c) == 0).alias(name) for c, name in (("stored_rows", "not in Bronze"), ("raw_rows", "not in raw"))]
+        found.groupBy("ingest_date").agg(*lacking).orderBy("ingest_date").show(10_000, truncate=False)
+        return
     if day:
         found = reconcile_raw_rows(spark, lake, entity, day)
         counts = found.counts().first()

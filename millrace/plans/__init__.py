@@ -11,6 +11,7 @@ from millrace.plans.reconciliation import (
     RowDifferences,
     recon_filter,
     reconcile_counts,
+    reconcile_digests,
     reconcile_layers,
     reconcile_raw,
     reconcile_raw_rows,
@@ -26,6 +27,7 @@ __all__ = [
     "cleanse",
     "ingest",
     "reconcile_counts",
+    "reconcile_digests",
     "reconcile_layers",
     "reconcile_raw",
     "reconcile_raw_rows",

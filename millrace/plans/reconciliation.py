@@ -12,7 +12,7 @@ from millrace.entities import Entity
 from millrace.functions.predicates import passes
 from millrace.lake import Lake, day_path
 from millrace.operators.dedupe import dedupe
-from millrace.operators.integrity import rows_with_keys
+from millrace.operators.digests import compare_keys_by_digest
 from millrace.operators.reconcile import compare_counts, compare_keys
 from millrace.sinks.tables import sample_rows
 from millrace.sources.jsonl import RAW_DAY, read_days, read_jsonl
@@ -115,18 +115,44 @@ def reconcile_rows(
 ) -> RowDifferences:
     """Keys on one side only, with the first rows behind them.
 
-    A null key is reported as a key but has no rows, as null equals nothing in a join.
+    A null key is reported as a key but has no rows, as null equals nothing in a join. The first rows belong to the
+    first keys, so a sample reads the rows of ``sample`` keys and filters those alone: a filter has to judge every key
+    by its own rows, as ``recon_filter`` does.
     """
-    ours, theirs = raw.transform(raw_filter), stored.transform(stored_filter)
-    compared = compare_keys(ours, theirs, key)
+    compared = compare_keys(raw.transform(raw_filter), stored.transform(stored_filter), key)
     lost = compared.filter(F.col("stored_rows") == 0).select(key)
     extra = compared.filter(F.col("raw_rows") == 0).select(key)
+
+    def first_rows(df: DataFrame, keep: Filter, keys: DataFrame) -> DataFrame:
+        first = keys.filter(F.col(key).isNotNull()).orderBy(key).limit(sample)
+        return sample_rows(df.join(F.broadcast(first), key, "left_semi").transform(keep), key, sample)
+
     return RowDifferences(
         compared=compared,
         lost_keys=lost,
-        lost_rows=sample_rows(rows_with_keys(ours, lost, key), key, sample),
+        lost_rows=first_rows(raw, raw_filter, lost),
         extra_keys=extra,
-        extra_rows=sample_rows(rows_with_keys(theirs, extra, key), key, sample),
+        extra_rows=first_rows(stored, stored_filter, extra),
+    )
+
+
+def reconcile_digests(
+    spark: SparkSession,
+    lake: Lake,
+    entity: Entity,
+    raw_filter: Filter = as_is,
+    stored_filter: Filter = as_is,
+) -> DataFrame:
+    """Keys that raw or Bronze lacks, for all days at once: ingest_date, the key, raw_rows, stored_rows.
+
+    Days and key buckets are compared by digests first, so layers that agree exchange digests only.
+    """
+    raw = read_days(spark, lake.raw_entity(entity.name), entity.schema).withColumnRenamed(RAW_DAY, "ingest_date")
+    bronze = read_table(
+        spark, lake.bronze(entity.name), entity.bronze_schema, lake.fmt, missing_ok=True
+    )
+    return compare_keys_by_digest(
+        raw.transform(raw_filter), bronze.transform(stored_filter), entity.key, ["ingest_date"]
     )
 
 

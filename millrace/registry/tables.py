@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.entities import ENTITIES, TRIPS
 from millrace.functions.geo import haversine_km
 from millrace.operators.dedupe import dedupe, distinct_keys, repeated_keys
+from millrace.operators.digests import compare_keys_by_digest
 from millrace.operators.integrity import orphans, rows_with_keys, rows_without_keys
 from millrace.operators.quality import audit, split_by_rules, verdict_counts, violation_profile
 from millrace.operators.reconcile import compare_counts, extra_keys, lost_keys, metric_diff
@@ -248,8 +249,29 @@ def fare_metric(spark, sf):
 
 def km_metric(spark, sf):
     trips = load(spark, sf, "v_trips")
-    totals = metric_diff(trips, trips.filter("status = 'completed'"), "distance_km", 1e-6)
-    return totals.select(*[F.round(c, 3).alias(c) for c in totals.columns])
+    return metric_diff(trips, trips.filter("status = 'completed'"), "distance_km")
+
+
+def _scaled(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Prices in cents against discounted prices in millionths."""
+    lines = load(spark, sf, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(10,2)")
+    cut = (price * (1 - F.col("l_discount").cast("decimal(4,2)")) / 3).cast("decimal(20,6)")
+    return lines.select(price.alias("price")), lines.select(cut.alias("price"))
+
+
+def decimal_metric(spark, sf):
+    totals = metric_diff(*_scaled(spark, sf), "price")
+    return totals.select(*[F.col(c).cast("string").alias(c) for c in totals.columns])
+
+
+def recon_digest(spark, sf):
+    """Payments against a copy that lacks some and has others; most buckets of most days agree."""
+    payments = load(spark, sf, "v_payments").select("ingest_date", "payment_id", "trip_id", "l_partkey", "l_suppkey")
+    other = payments.filter("l_partkey % 701 <> 0 OR l_suppkey % 5 = 0").withColumn(
+        "payment_id", F.expr("CASE WHEN l_partkey % 997 = 1 THEN payment_id || 'x' ELSE payment_id END")
+    )
+    return compare_keys_by_digest(payments, other, "payment_id", ["ingest_date"])
 
 
 def _recon_days(name: str):
@@ -533,9 +555,29 @@ GROUP BY trip_id, rater_type HAVING count(*) > 1"""),
     ),
     "metric_diff_km": Query(
         km_metric,
-        oracle("""SELECT round(sum(distance_km), 3) AS raw_total,
-  round(sum(distance_km) FILTER (status = 'completed'), 3) AS stored_total,
-  round(sum(distance_km) - sum(distance_km) FILTER (status = 'completed'), 3) AS difference FROM {v_trips}"""),
+        oracle("""SELECT CAST(r AS DOUBLE) AS raw_total, CAST(s AS DOUBLE) AS stored_total, CAST(r - s AS DOUBLE) AS difference
+FROM (SELECT sum(km) AS r, sum(km) FILTER (status = 'completed') AS s
+  FROM (SELECT CAST(distance_km AS DECIMAL(38,9)) AS km, status FROM {v_trips}) t) u"""),
+    ),
+    "metric_diff_decimal": Query(
+        decimal_metric,
+        """WITH p AS (SELECT CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
+  CAST(l_discount AS DECIMAL(4,2)) AS off FROM lineitem),
+c AS (SELECT CAST(price AS DECIMAL(20,6)) AS price, CAST(round(CAST(price * 100 AS BIGINT) * CAST((1 - off) * 100 AS BIGINT)
+  * 100.0::DECIMAL(18,1) / 3, 0) AS HUGEINT) AS micro FROM p)
+SELECT CAST(CAST(sum(price) AS DECIMAL(38,6)) AS VARCHAR) AS raw_total,
+  CAST(CAST(CAST(sum(micro) AS DECIMAL(38,0)) / 1000000 AS DECIMAL(38,6)) AS VARCHAR) AS stored_total,
+  CAST(CAST(sum(price) AS DECIMAL(38,6)) - CAST(CAST(sum(micro) AS DECIMAL(38,0)) / 1000000 AS DECIMAL(38,6)) AS VARCHAR) AS difference FROM c""",
+    ),
+    "recon_digest": Query(
+        recon_digest,
+        oracle("""WITH o AS (SELECT ingest_date,
+  CASE WHEN l_partkey % 997 = 1 THEN payment_id || 'x' ELSE payment_id END AS payment_id
+  FROM {v_payments} WHERE l_partkey % 701 <> 0 OR l_suppkey % 5 = 0),
+r AS (SELECT ingest_date, payment_id, count(*) AS n FROM {v_payments} GROUP BY ALL),
+s AS (SELECT ingest_date, payment_id, count(*) AS n FROM o GROUP BY ALL)
+SELECT ingest_date, payment_id, coalesce(r.n, 0) AS raw_rows, coalesce(s.n, 0) AS stored_rows
+FROM r FULL JOIN s USING (ingest_date, payment_id) WHERE r.n IS NULL OR s.n IS NULL"""),
     ),
     "metric_diff": Query(
         fare_metric,
