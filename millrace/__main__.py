@@ -60,10 +60,13 @@ def execute(spark, args) -> None:
         for entity in entities:
             day_folder = {"ingest": day_path(lake.raw, entity.name, args.day), "cleanse": f"{lake.bronze(entity.name)}/ingest_date={args.day}"}
             size_shuffles(spark, day_folder[args.job])
-            print(entity.name, job(spark, lake, entity, args.day, args.mode))
+            counts = job(spark, lake, entity, args.day, args.mode)
+            print(entity.name, counts)
+            show_bad_lines(lake, entity.name, counts)
     elif args.job == "run":
         for name, counts in run_day(spark, lake, args.day, entities, args.mode).items():
             print(name, *counts)
+            show_bad_lines(lake, name, counts[0])
     elif args.job == "backfill":
         totals = run_range(spark, lake, args.start, args.days, entities)
         totals.groupBy("entity").sum("bronze_rows", "valid_rows", "quarantine_rows").show()
@@ -84,6 +87,12 @@ def execute(spark, args) -> None:
         latest_runs(runs).show(truncate=False)
 
 
+def show_bad_lines(lake: Lake, name: str, counts) -> None:
+    broken, damaged = getattr(counts, "broken", 0), getattr(counts, "damaged", 0)
+    if broken or damaged:
+        print(f"{name}: {broken} broken and {damaged} damaged lines, kept in {lake.bad_lines(name)}")
+
+
 def show_differences(spark, lake: Lake, entity: Entity, day: str | None, keys: bool = False) -> None:
     size_shuffles(spark, lake.raw_entity(entity.name), lake.bronze(entity.name))
     if keys:

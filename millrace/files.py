@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+#: Folders that are asked at a time whether they hold a file.
+REQUESTS = 16
+
 
 def _opened(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -34,6 +39,25 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(found.getPath().getName() for found in files.listStatus(target) if found.isDirectory())
 
 
+def has_file(spark: SparkSession, path: str) -> bool:
+    """Whether a file with a visible name lies right in ``path``; stops at the first one."""
+    files, target = _opened(spark, path)
+    if not files.exists(target):
+        return False
+    listed = files.listStatusIterator(target)
+    while listed.hasNext():
+        found = listed.next()
+        if found.isFile() and not found.getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def filled(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of ``paths`` that hold a file, asked some at a time."""
+    with ThreadPoolExecutor(REQUESTS) as pool:
+        return [path for path, full in zip(paths, pool.map(lambda p: has_file(spark, p), paths), strict=True) if full]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or a folder with all it holds; nothing happens if it is missing."""
     files, target = _opened(spark, path)

@@ -41,12 +41,18 @@ class Lake:
     def quarantine(self, entity: str) -> str:
         return f"{self.root}/silver/quarantine/{entity}"
 
+    def bad_lines(self, entity: str) -> str:
+        return f"{self.root}/bronze/_bad_lines/{entity}"
+
     def staging(self, entity: str) -> str:
         return f"{self.root}/_staging/{entity}"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
+    def day_runs(self, entity: str) -> str:
+        return f"{self.root}/pipeline_days/{entity}"
+
     @property
     def runs(self) -> str:
         return f"{self.root}/pipeline_runs"

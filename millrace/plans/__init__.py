@@ -4,6 +4,7 @@ from millrace.plans.medallion import (
     backfill_entity,
     cleanse,
     ingest,
+    line_counts,
     run_day,
     run_range,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "backfill_entity",
     "cleanse",
     "ingest",
+    "line_counts",
     "reconcile_counts",
     "reconcile_digests",
     "reconcile_layers",

@@ -2,35 +2,43 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.entities import DEFAULT_SOURCE, ENTITIES, Entity
-from millrace.lake import Lake, day_path, day_range
+from millrace.entities import DEFAULT_SOURCE, ENTITIES, RUNS_SCHEMA, Entity
+from millrace.files import delete
+from millrace.lake import Lake, checked_day, day_path, day_range
 from millrace.operators.dedupe import dedupe
 from millrace.operators.quality import PASSES, invalid_rows, judge, valid_rows
 from millrace.operators.stamps import with_audit, with_quarantine_reason, with_silver_stamp
-from millrace.sinks.runlog import log_run
+from millrace.sinks.runlog import days_done, log_run, log_runs
 from millrace.sinks.tables import append_partitioned, replace_day, replace_days
 from millrace.session import size_shuffles
-from millrace.sources.jsonl import RAW_DAY, list_days, read_days, read_jsonl
+from millrace.sources.jsonl import BAD_LINE, RAW_DAY, is_broken, is_damaged, raw_days, read_days, read_jsonl
 from millrace.sources.tables import LOG_FORMATS, read_table, read_table_day
 
 REPLACE, APPEND = "replace", "append"
+#: Days of a backfill that go through the layers together; what a run that breaks off has to do again at most.
+DAYS_PER_PASS = 90
 
 
 @dataclass(frozen=True)
 class IngestCounts:
+    """Lines read, and rows written; of the lines, those that are no JSON object, and those with fields of another type."""
+
     read: int
     written: int
+    broken: int = field(default=0, compare=False, repr=False)
+    damaged: int = field(default=0, compare=False, repr=False)
 
     @property
     def dropped(self) -> int:
@@ -68,17 +76,24 @@ def ingest(
 ) -> IngestCounts:
     """Land one raw day in Bronze as it is, bad rows included, or what ``validate`` leaves of it.
 
-    Rows are counted as they are read and as they are written, by the write itself. A missing raw
-    day raises PATH_NOT_FOUND, a folder without a file FileNotFoundError; the tables stay.
+    Rows are counted as they are read and as they are written, by the write itself, and so are the
+    lines that could not be read; their texts go to ``lake.bad_lines``. A missing raw day raises
+    PATH_NOT_FOUND, a folder without a file FileNotFoundError; the tables stay.
     """
     folder = day_path(lake.raw, entity.name, day)
-    raw = read_jsonl(spark, folder, entity.schema)
+    raw = read_jsonl(spark, folder, entity.schema, bad_lines=True)
     if not raw.inputFiles():
         raise FileNotFoundError(f"no raw file in {folder}")
     if _checked_mode(mode) == APPEND and raw.isEmpty():
         return IngestCounts(read=0, written=0)
     found, kept = Observation(), Observation()
-    read = raw.observe(found, F.count(F.lit(1)).alias("rows"))
+    names = entity.schema.names
+    read = raw.observe(
+        found,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(is_broken(names)).alias("broken"),
+        F.count_if(is_damaged(names)).alias("damaged"),
+    ).drop(BAD_LINE)
     checked = validate(read) if validate else read
     rows = with_audit(checked, day, source, at=_now())
     rows = rows.observe(kept, F.count(F.lit(1)).alias("rows"))
@@ -88,7 +103,31 @@ def ingest(
         )
     else:
         replace_day(rows, lake.bronze(entity.name), day, lake.fmt)
-    return IngestCounts(read=found.get["rows"], written=kept.get["rows"])
+    seen = found.get
+    if seen["broken"] or seen["damaged"]:
+        replace_day(bad_lines(raw, names, F.lit(day)), lake.bad_lines(entity.name), day, lake.fmt)
+    elif lake.fmt not in LOG_FORMATS:
+        delete(spark, f"{lake.bad_lines(entity.name)}/ingest_date={checked_day(day)}")  # those of an earlier try
+    return IngestCounts(seen["rows"], kept.get["rows"], seen["broken"], seen["damaged"])
+
+
+def bad_lines(raw: DataFrame, columns: list[str], day: Column) -> DataFrame:
+    """The texts of lines that could not be read as they should: ingest_date, fault, line."""
+    fault = F.when(is_broken(columns), "broken").otherwise("damaged")
+    return raw.filter(F.col(BAD_LINE).isNotNull()).select(
+        day.alias("ingest_date"), fault.alias("fault"), F.col(BAD_LINE).alias("line")
+    )
+
+
+def line_counts(spark: SparkSession, lake: Lake, entity: Entity) -> DataFrame:
+    """Raw lines per day, and how many of them are broken or damaged, in one scan of all days."""
+    raw = read_days(spark, lake.raw_entity(entity.name), entity.schema, bad_lines=True)
+    names = entity.schema.names
+    return raw.groupBy(F.col(RAW_DAY).alias("ingest_date")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(is_broken(names)).alias("broken"),
+        F.count_if(is_damaged(names)).alias("damaged"),
+    )
 
 
 def checked_rows(bronze: DataFrame, entity: Entity, per_day: bool = False) -> DataFrame:
@@ -195,37 +234,41 @@ def backfill_entity(
     entity: Entity,
     days: list[str],
     source: str = DEFAULT_SOURCE,
+    validate: Callable[[DataFrame], DataFrame] | None = None,
 ) -> list[str]:
     """Load a range of days in one pass per layer, each day as if run alone.
 
     Returns the days without a raw file; their tables stay as they are. If no day has one, that
-    raises FileNotFoundError. The judged rows are written to shared storage once and both tables
-    are made from there, so the range needs no cache and a lost executor costs its tasks only.
+    raises FileNotFoundError. The judged rows are written to shared storage once, in a folder of this
+    run, and both tables are made from there, so the range needs no cache, a lost executor costs its
+    tasks only and runs side by side do not meet.
     """
     root = lake.raw_entity(entity.name)
-    listed = list_days(spark, root).filter(F.col(RAW_DAY).isin(days))
-    present = sorted(row[RAW_DAY] for row in listed.collect())  # at most the days asked for
+    present = raw_days(spark, root, days)
     missing = sorted(set(days) - set(present))
     if not present:
         raise FileNotFoundError(f"no raw file in {root} from {days[0]} to {days[-1]}")
-    days = present
-    raw = read_days(spark, root, entity.schema, days[0], days[-1])
-    raw = raw.filter(F.col(RAW_DAY).isin(days))
+    raw = read_days(spark, root, entity.schema, present[0], present[-1])
+    raw = raw.filter(F.col(RAW_DAY).isin(present))
     at = _now()
-    landed = with_audit(raw, F.col(RAW_DAY), source, at).drop(RAW_DAY)
+    checked = validate(raw) if validate else raw
+    landed = with_audit(checked, F.col(RAW_DAY), source, at).drop(RAW_DAY)
     # Raw splits lie within a day, so the Bronze write needs no shuffle to keep files few.
-    replace_days(spark, landed, lake.bronze(entity.name), days, lake.fmt, gather=False)
+    replace_days(spark, landed, lake.bronze(entity.name), present, lake.fmt, gather=False)
 
     bronze = read_table(spark, lake.bronze(entity.name), entity.bronze_schema, lake.fmt).filter(
-        F.col("ingest_date").isin(days)
+        F.col("ingest_date").isin(present)
     )
-    checked, staged = checked_rows(bronze, entity, per_day=True), f"{lake.staging(entity.name)}-range"
-    checked.write.mode("overwrite").parquet(staged)
-    judged = spark.read.schema(checked.schema).parquet(staged)
-    valid = with_silver_stamp(valid_rows(judged), at)
-    invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(judged), at))
-    replace_days(spark, valid, lake.silver(entity.name), days, lake.fmt)
-    replace_days(spark, invalid, lake.quarantine(entity.name), days, lake.fmt)
+    best, staged = checked_rows(bronze, entity, per_day=True), f"{lake.staging(entity.name)}/range-{uuid.uuid4().hex}"
+    try:
+        best.write.parquet(staged)
+        judged = spark.read.schema(best.schema).parquet(staged)
+        valid = with_silver_stamp(valid_rows(judged), at)
+        invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(judged), at))
+        replace_days(spark, valid, lake.silver(entity.name), present, lake.fmt)
+        replace_days(spark, invalid, lake.quarantine(entity.name), present, lake.fmt)
+    finally:
+        delete(spark, staged)
     return missing
 
 
@@ -266,22 +309,40 @@ def run_range(
     n_days: int,
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
     job: str = "medallion_backfill",
+    days_per_pass: int = DAYS_PER_PASS,
+    resume: bool = True,
+    validate: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Backfill ``n_days`` days from ``start``; returns the rows per entity, day and layer.
 
-    Days without a raw file keep the tables they have, and the run is logged as ``incomplete``.
+    Days without a raw file keep the tables they have, and the run is logged as ``incomplete``. The days
+    that have one go through in passes of ``days_per_pass``, and the entity's log of days gets a row for each
+    day of a finished pass. If a run breaks off, the next one of the same range and job leaves those days out, unless
+    ``resume`` is off; a range that came to its end is done anew as a whole.
     """
     days = day_range(start, n_days)
     if not days:
         raise ValueError("a backfill needs at least one day")
-
+    target = f"{days[0]}/{days[-1]}"
     entities = list(entities)
 
     def load(entity: Entity) -> tuple[list[str], DataFrame]:
-        missing = backfill_entity(spark, lake, entity, days)
-        return missing, range_counts(spark, lake, entity, days)
-
-    with _logged(spark, lake, f"{days[0]}/{days[-1]}", job) as run:
+        root = lake.raw_entity(entity.name)
+        present = raw_days(spark, root, days)
+        if not present:
+            raise FileNotFoundError(f"no raw file in {root} from {days[0]} to {days[-1]}")
+        done = set()
+        if resume:
+            runs, passed = (read_table(spark, path, RUNS_SCHEMA, lake.fmt, missing_ok=True) for path in (lake.runs, lake.day_runs(entity.name)))
+            done = {row["target_date"] for row in days_done(runs, passed, target, job).collect()}  # days of the range
+        left = [day for day in present if day not in done]
+        for at in range(0, len(left), days_per_pass):
+            some = left[at : at + days_per_pass]
+            backfill_entity(spark, lake, entity, some, validate=validate)
+            log_runs(spark, lake.day_runs(entity.name), some, job, "success", lake.fmt)
+        return sorted(set(days) - set(present)), range_counts(spark, lake, entity, days)
+
+    with _logged(spark, lake, target, job) as run:
         size_shuffles(spark, *(lake.raw_entity(e.name) for e in entities))
         loaded = _for_each(spark, entities, load)
         if any(missing for missing, _ in loaded.values()):

@@ -17,6 +17,7 @@ from millrace.operators.dedupe import dedupe
 from millrace.operators.rides import BATCH_LABEL, WINDOW
 from millrace.operators.stamps import with_audit
 from millrace.plans import (
+    line_counts,
     recon_filter,
     reconcile_raw,
     reconcile_raw_rows,
@@ -129,6 +130,23 @@ def jsonl_typed(spark, sf):
     )
 
 
+def malformed_lines(spark, sf):
+    """All trips as raw lines, some cut off and some with a fare that is no number, counted by day in one scan."""
+    lake = Lake(root=scratch_dir(spark, "malformed"), raw=scratch_dir(spark, "malformed-raw"))
+    rows = batched(spark, sf, "trips")
+    line = F.to_json(F.struct(*TRIPS.schema.names))
+    number = F.substring("trip_id", 4, 8).cast("int")
+    spoilt = (
+        F.when(number % 89 == 0, F.expr("substr(line, 1, length(line) - 9)"))
+        .when(number % 97 == 0, F.regexp_replace("line", '"fare_vnd":-?[0-9]+', '"fare_vnd":"free"'))
+        .when(number % 101 == 0, F.lit("{}"))
+        .otherwise(F.col("line"))
+    )
+    lines = rows.select("trip_id", "batch_day", line.alias("line")).select(spoilt.alias("value"), F.col("batch_day").alias("date"))
+    lines.hint("rebalance", F.col("date")).write.partitionBy("date").text(lake.raw_entity("trips"))
+    return line_counts(spark, lake, TRIPS)
+
+
 def jsonl_inferred(spark, sf):
     rows = read_jsonl(spark, raw_lake(spark, sf, "trips").raw_entity("trips"))
     return rows.groupBy(
@@ -372,6 +390,12 @@ FROM ({deduped_sql('trips')}) d WHERE {SILVER_SQL['trips']} GROUP BY status"""),
         oracle("""SELECT rating_id, coalesce(CAST(stars AS VARCHAR), 'null') AS stars,
   coalesce(tags, 'null') AS tags, strftime(rated_at, '%Y-%m-%d %H:%M:%S.%f') AS rated_at
 FROM {v_ratings}"""),
+    ),
+    "malformed_lines": Query(
+        malformed_lines,
+        oracle(f"""SELECT batch_day AS ingest_date, count(*) AS lines, count(*) FILTER (n % 89 = 0) AS broken,
+  count(*) FILTER (n % 89 <> 0 AND n % 97 = 0) AS damaged
+FROM (SELECT batch_day, CAST(substr(trip_id, 4) AS INT) AS n FROM ({batched_sql('trips')}) b) t GROUP BY batch_day"""),
     ),
     "jsonl_inferred": Query(
         jsonl_inferred,

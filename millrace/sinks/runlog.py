@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,13 +18,25 @@ def log_run(
     fmt: str = "parquet",
 ) -> str:
     """Append one run, creating the table on first use; returns the run's id."""
-    run_id = uuid.uuid4().hex
+    return log_runs(spark, path, [target_date], job, status, fmt)[0]
+
+
+def log_runs(
+    spark: SparkSession,
+    path: str,
+    target_dates: Sequence[str],
+    job: str,
+    status: str,
+    fmt: str = "parquet",
+) -> list[str]:
+    """Append a run for each of the dates in one write; returns their ids."""
+    ids = [uuid.uuid4().hex for _ in target_dates]
     (
-        spark.range(1)
+        spark.createDataFrame(list(zip(ids, target_dates, strict=True)), "id string, target_date string")
         .select(
-            F.lit(run_id).alias("id"),
+            "id",
             F.current_timestamp().alias("run_at"),
-            F.lit(target_date).alias("target_date"),
+            "target_date",
             F.lit(job).alias("dag_id"),
             F.lit(status).alias("status"),
         )
@@ -32,4 +45,15 @@ def log_run(
         .mode("append")
         .save(path)
     )
-    return run_id
+    return ids
+
+
+def days_done(runs: DataFrame, days: DataFrame, target: str, job: str) -> DataFrame:
+    """The days that ``job`` has logged in ``days`` since, by ``runs``, it last came to the end of ``target``: what a
+    range that broke off need not do again."""
+    ended = runs.filter(
+        (F.col("dag_id") == job) & (F.col("target_date") == target) & F.col("status").isin("success", "incomplete")
+    ).agg(F.max("run_at").alias("ended"))  # one row
+    passed = days.filter((F.col("dag_id") == job) & (F.col("status") == "success"))
+    later = F.col("ended").isNull() | (F.col("run_at") > F.col("ended"))
+    return passed.join(F.broadcast(ended), later).select("target_date").distinct()

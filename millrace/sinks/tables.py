@@ -80,26 +80,23 @@ def replace_days(
         .partitionBy(DAY)
         .save(path)
     )
-    _clear_days(spark, rows, path, set(days) - set(written.get["days"]), fmt)
+    _clear_days(spark, path, set(days) - set(written.get["days"]))
 
 
-def _clear_days(spark, df, path, unwritten: set[str], fmt) -> None:
-    """A dynamic overwrite leaves days without new rows as they were; empty those that exist."""
+def _clear_days(spark: SparkSession, path: str, unwritten: set[str]) -> None:
+    """A dynamic overwrite leaves days without new rows as they were; their folders go, by one request each and no job."""
     if not unwritten:
         return
-    span = F.col(DAY).between(min(unwritten), max(unwritten))
-    stored = partition_values(spark, path, DAY).filter(span)
-    stale = {row[DAY] for row in stored.toLocalIterator()}
-    for day in sorted(stale & unwritten):
-        replace_day(df.limit(0), path, day, fmt)
+    for day in sorted(unwritten & set(partition_values(spark, path, DAY))):
+        delete(spark, f"{path}/{DAY}={day}")
 
 
 def replace_micro_batch(
-    df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", replayed: bool = False
+    df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", replayed: bool = True
 ) -> None:
     """Make ``df`` the only content of one micro-batch, so that a replay changes nothing.
 
-    The day lies above the micro-batch, so a day is read from its own folder. Only a micro-batch that is ``replayed``
+    The day lies above the micro-batch, so a day is read from its own folder. Only a micro-batch that may be ``replayed``
     can have left rows on a day that it has no more; the folders of its own number are looked for then.
     """
     spark = df.sparkSession

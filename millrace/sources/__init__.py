@@ -1,4 +1,4 @@
-from millrace.sources.jsonl import list_days, read_days, read_jsonl
+from millrace.sources.jsonl import list_days, raw_days, read_days, read_jsonl
 from millrace.sources.tables import empty_table, latest_runs, on_day, read_table, read_table_day
 
 __all__ = [
@@ -6,6 +6,7 @@ __all__ = [
     "latest_runs",
     "list_days",
     "on_day",
+    "raw_days",
     "read_days",
     "read_jsonl",
     "read_table",

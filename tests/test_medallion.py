@@ -16,6 +16,7 @@ from millrace.plans import (
     IngestCounts,
     cleanse,
     ingest,
+    line_counts,
     recon_filter,
     reconcile_counts,
     reconcile_layers,
@@ -223,6 +224,58 @@ def test_range_is_the_same_as_its_days(spark, lake, tmp_path):
     assert tuples(runs, "target_date", "status") == [("2026-03-20/2026-03-23", "incomplete")] * 2
 
 
+def test_a_range_that_broke_off_goes_on_where_it_was(spark, lake):
+    days = [f"2026-03-{n}" for n in range(20, 25)]
+    for day in days:
+        fill(lake, day)
+    passes = []
+
+    def failing(df):
+        passes.append(df)
+        if len(passes) == 3:
+            raise RuntimeError("raw storage is away")
+        return df
+
+    with pytest.raises(RuntimeError):
+        run_range(spark, lake, days[0], 5, [TRIPS], days_per_pass=2, validate=failing)
+    assert layer(spark, lake, TRIPS, "silver").select("ingest_date").distinct().count() == 4
+
+    def stamps():
+        return dict(tuples(layer(spark, lake, TRIPS, "bronze").groupBy("ingest_date").agg(F.max("_ingested_at"))))
+
+    before, seen = stamps(), []
+
+    def watched(df):
+        seen.extend(row["date"] for row in df.select("date").distinct().collect())
+        return df
+
+    run_range(spark, lake, days[0], 5, [TRIPS], days_per_pass=2, validate=watched)
+    after = stamps()
+    assert seen == [days[4]] and len(after) == 5 and all(after[day] == before[day] for day in days[:4])
+    runs = read_table(spark, lake.runs, RUNS_SCHEMA)
+    assert [r.status for r in runs.orderBy("run_at").collect()] == ["failed", "success"]
+    # a range that came to its end is done anew, and so is one that is told to
+    run_range(spark, lake, days[0], 5, [TRIPS], days_per_pass=2)
+    assert all(at > after[day] for day, at in stamps().items())
+    run_range(spark, lake, days[0], 5, [TRIPS], days_per_pass=2, resume=False)
+    assert not list(Path(lake.root).glob("_staging/trips/range-*"))
+
+
+def test_bad_lines_are_told_from_null_rows_counted_and_kept(spark, lake):
+    lines = [trip(1), trip(2, fare_vnd="free"), "{broken", "{}", "[1, 2]", trip(3), '{"trip_id":null}', '{"other":1}', "", "null"]
+    write_lines(lake, "trips", DAY, lines)
+    write_lines(lake, "trips", "2026-03-22", [trip(4)])
+    counts = ingest(spark, lake, TRIPS, DAY)
+    assert (counts.read, counts.written, counts.broken, counts.damaged) == (9, 9, 3, 1)
+    assert layer(spark, lake, TRIPS, "bronze").columns == TRIPS.bronze_schema.names
+    kept = spark.read.parquet(lake.bad_lines("trips"))
+    assert tuples(kept, "fault", "line") == sorted([("broken", "{broken"), ("broken", "[1, 2]"), ("broken", "null"), ("damaged", lines[1])], key=repr)
+    assert tuples(line_counts(spark, lake, TRIPS)) == [(DAY, 9, 3, 1), ("2026-03-22", 1, 0, 0)]
+    write_lines(lake, "trips", DAY, [trip(1)])
+    assert ingest(spark, lake, TRIPS, DAY).broken == 0
+    assert not (Path(lake.bad_lines("trips")) / f"ingest_date={DAY}").exists()
+
+
 def test_range_failure_is_logged(spark, lake):
     with pytest.raises(AnalysisException):
         run_range(spark, lake, DAY, 1)

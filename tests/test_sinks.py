@@ -173,3 +173,18 @@ def test_only_listed_days_are_replaced(spark, tmp_path):
     replace_days(spark, old.withColumn("n", old.n * 10), path, ["2026-01-01", "2026-01-03"])
     assert sorted(r.n for r in spark.read.parquet(path).collect()) == [2, 10, 30]
     assert days_predicate(["2026-01-03", "2026-01-01"]) == "ingest_date IN ('2026-01-01', '2026-01-03')"
+
+
+def test_stale_days_are_cleared_without_a_job_each(spark, tmp_path):
+    days = [f"2026-01-{n:02}" for n in range(1, 31)]
+
+    def jobs(n):
+        path = str(tmp_path / f"t{n}")
+        replace_days(spark, frame(spark, *[("a", day) for day in days]), path, days)
+        spark.sparkContext.setJobGroup(f"stale-{n}", "")
+        replace_days(spark, frame(spark, *[("b", day) for day in days[n:]]), path, days)
+        spark.sparkContext._jsc.clearJobGroup()
+        assert stored(spark, path) == [("b", day) for day in days[n:]]
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"stale-{n}"))
+
+    assert jobs(2) == jobs(29)
