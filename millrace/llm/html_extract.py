@@ -5,6 +5,9 @@ occurrence vector: how often it stands on each page of the host. Tokens that sha
 class; classes of several tokens that several pages have, equally often on each, make up the host's templates, nested as
 their elements are. A page's template has the classes that the page holds. What it leaves open are its slots: the
 article's slots are kept, those inside navigation, notices and the like are not.
+
+Each page is parsed once. What its elements leave of it, cut into blocks, is written down with the numbers of its tokens;
+the template then decides on these blocks, so no html is shuffled, and no block of a page without a template.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, join_split
+from millrace.llm.common import bitmap, cut, join_split, with_hit
 from millrace.llm.url_filter import split_url
 
 #: A class belongs to a template if it is on so many pages, of whatever share of the host, has so many tokens ...
@@ -31,6 +34,10 @@ MIN_TOKENS = 2
 #: of the host's pages or on so many of them.
 MIN_SHARE = 0.5
 SURE_PAGES = 10
+#: Inside articles a class is a frame only if it has a slot, is on so many pages, and of the other texts that their
+#: articles hold this share is on one page only: near copies of an article share much besides what all have in common.
+FRAME_PAGES = 5
+OWN_TEXTS = 0.9
 
 # Fixed values of HTML: elements by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,6 +61,12 @@ ASIDE_WORDS = frozenset(
 )
 #: A class name with one of these words tells how the page is laid out, not what the element is.
 STATE_WORDS = frozenset("has no not with without".split())
+#: Words that add nothing to the name of what is not the article. Inside an article a name counts if it has no others.
+PLAIN_WORDS = frozenset(
+    "area bar block bottom box button buttons container content form group item items link links list panel post posts"
+    " section signup slot text title top unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT_WORDS = frozenset("article content entry main post story".split())
 #: Where the search for an open ``p`` or ``li`` to end stops.
 AROUND_P, AROUND_LI = BLOCK - {"p"}, frozenset(("ul", "ol", "menu"))
@@ -80,12 +93,13 @@ class Piece(NamedTuple):
 
 class Marks(NamedTuple):
     """The words of an element's class, id and role. ``aside`` and ``content`` tell whether they mark what is not the
-    article, or what is; ``named_aside`` whether a whole name does."""
+    article, or what is; ``named_aside`` whether a whole name does, ``own_aside`` whether a name has no other words."""
 
     words: frozenset[str]
     aside: bool
     content: bool
     named_aside: bool
+    own_aside: bool
 
 
 class Element(NamedTuple):
@@ -99,6 +113,10 @@ class Element(NamedTuple):
     def is_aside(self) -> bool:
         return self.tag not in WHOLE and (self.tag in ASIDE or self.tag in RAW or self.marks.aside)
 
+    @property
+    def is_aside_in_article(self) -> bool:
+        return self.tag in ASIDE or self.tag in RAW or self.marks.own_aside
+
     @property
     def holds_no_article(self) -> bool:
         """Whether an article inside it is none of the page: by tag or whole names, as a word of a name around the
@@ -112,7 +130,10 @@ def _marks(attributes: str) -> Marks:
     names = [name for key in ("class", "id", "role") for name in values.get(key, "").split()]
     split = [frozenset(w for w in re.split(r"[^a-z]+", name) if w) for name in names]
     telling = frozenset().union(*(words for words in split if not words & STATE_WORDS))
-    return Marks(frozenset().union(*split), bool(telling & ASIDE_WORDS), bool(telling & CONTENT_WORDS), not ASIDE_WORDS.isdisjoint(names))
+    own = any(words & ASIDE_WORDS and words <= ASIDE_WORDS | PLAIN_WORDS for words in split)
+    return Marks(
+        frozenset().union(*split), bool(telling & ASIDE_WORDS), bool(telling & CONTENT_WORDS), not ASIDE_WORDS.isdisjoint(names), own
+    )
 
 
 def _raw_end(page: str, tag: str, at: int) -> int:
@@ -192,14 +213,112 @@ def token_ids(found: list[Piece], elements: list[Element]) -> np.ndarray:
     return np.array(out, np.uint64).view(np.int64)
 
 
-def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each page its distinct tokens in the order of their first place: how often they occur, whether they are texts,
-    and the texts before the first and after the last occurrence."""
+#: Where a text that may be part of the article stands.
+OUTSIDE, INSIDE = 1, 2
+
+
+class Text(NamedTuple):
+    """A text that the elements around it leave in: the number of its block, whether an article holds it (``where``),
+    whether it is emphasised, and whether its block is a heading."""
+
+    block: int
+    text: str
+    token: int
+    where: int
+    emphasised: bool
+    heading: bool
+
+
+def candidates(found: list[Piece], elements: list[Element], ids: np.ndarray) -> list[Text]:
+    """Texts that lie in article or main elements (in elements so named by class or id if there are none, else all texts),
+    except those inside elements that are not the article."""
+    aside = [e.is_aside for e in elements]
+    own_aside = [e.is_aside_in_article for e in elements]
+    barred = [e.holds_no_article for e in elements]
+    strong = any(e.tag in CONTENT and not any(barred[p] for p in e.parents) for e in elements)
+    named = not strong and any(
+        e.marks.content and not a and not any(barred[p] for p in e.parents) for e, a in zip(elements, aside, strict=True)
+    )
+    out: list[Text] = []
+    block, last, kept, where = 0, None, False, OUTSIDE
+    for piece, token in zip(found, ids.tolist(), strict=True):
+        if piece.tag:
+            if piece.tag.lstrip("/") in BLOCK:
+                block += 1
+            elif piece.tag == "br":
+                out.append(Text(block, " ", 0, OUTSIDE, False, False))
+            continue
+        path = piece.path
+        if path != last:
+            inside = [e for e in path if elements[e].tag in CONTENT or (named and elements[e].marks.content and not aside[e])]
+            # a header of the article itself is part of it, a site's header is not
+            if inside:
+                own = path[path.index(inside[-1]) + 1 :]
+                kept = not any(own_aside[e] and elements[e].tag != "header" for e in own)
+                kept = kept and not any(barred[e] for e in path[: path.index(inside[-1])])
+            else:
+                kept = not (strong or named) and not any(aside[e] for e in path)
+            where = INSIDE if inside else OUTSIDE
+            tags = [elements[e].tag for e in path]
+            emphasised, heading = bool(tags) and tags[-1] in EMPHASIS, not HEADINGS.isdisjoint(tags)
+            last = path
+        if kept:
+            out.append(Text(block, piece.text, 0 if piece.text.isspace() else token, where, emphasised, heading))
+    return out
+
+
+def assemble(texts: list[Text], template: frozenset[int]) -> str:
+    """Blocks of ``texts`` in order, joined by a line feed, without what belongs to the template.
+
+    Outside articles that goes text by text; inside, where labels and data share blocks, by whole blocks, and headings
+    and blocks of several texts that are all emphasised stay. A template leaves a slot open: if it has all text of an
+    article, that is a copy and stays.
+    """
+    lines: list[tuple[str, bool]] = []
+    at = 0
+    while at < len(texts):
+        end = at
+        while end < len(texts) and texts[end].block == texts[at].block:
+            end += 1
+        block = [t for t in texts[at:end] if not (t.token and t.where == OUTSIDE and t.token in template)]
+        at = end
+        line = " ".join(markup.unescape("".join(t.text for t in block)).split())
+        if not line:
+            continue
+        words = [t for t in block if t.token]
+        constant = all(t.where == INSIDE and t.token in template and not t.heading for t in words)
+        lines.append((line, bool(words) and constant and not (len(words) > 1 and all(t.emphasised for t in words))))
+    return "\n".join([line for line, constant in lines if not constant] or [line for line, _ in lines])
+
+
+def main_text(page: str | None, template: frozenset[int]) -> str:
+    """Text of the article of one page, given the texts of its template."""
+    found, elements = pieces(page or "")
+    return assemble(candidates(found, elements, token_ids(found, elements)), template) if found else ""
+
+
+PARSED = (
+    "page_id string, url string, host long, page long, block array<int>, text array<string>, text_token array<long>, text_kind array<int>,"
+    " token array<long>, n array<int>, wanted array<int>, before array<long>, after array<long>"
+)
+
+
+def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What is kept of each page: the texts that may be the article's; and for pages of a host the distinct tokens in the
+    order of their first place, how often they occur, where they are such a text, and the texts before the first and
+    after the last occurrence."""
     for batch in batches:
         rows = []
-        for host, number, page in zip(batch["host"], batch["page"], batch["html"], strict=True):
+        for page_id, url, host, number, page in batch[["page_id", "url", "host", "page", "html"]].itertuples(index=False, name=None):
             found, elements = pieces(page)
-            ids = token_ids(found, elements).tolist()
+            numbers = token_ids(found, elements)
+            texts = candidates(found, elements, numbers)
+            kinds = [t.where + 4 * t.emphasised + 8 * t.heading for t in texts]
+            row = (page_id, url, host, number, [t.block for t in texts], [t.text for t in texts], [t.token for t in texts], kinds)
+            if not host or not found:
+                rows.append((*row, [], [], [], [], []))
+                continue
+            ids = numbers.tolist()
             is_text = [not p.tag and not p.text.isspace() for p in found]
             before: dict[int, int] = {}
             near = 0
@@ -211,111 +330,64 @@ def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for token, text in zip(reversed(ids), reversed(is_text), strict=True):
                 after.setdefault(token, near)
                 near = token if text else near
-            texts = {token for token, text in zip(ids, is_text, strict=True) if text}
+            wanted = {t.token: t.where for t in texts}
             n = Counter(ids)
-            rows.append((host, number, [*before], [n[t] for t in before], [t in texts for t in before], [*before.values()], [after[t] for t in before]))
+            rows.append((*row, [*before], [n[t] for t in before], [wanted.get(t, 0) for t in before], [*before.values()], [after[t] for t in before]))
         if rows:
-            yield pd.DataFrame(rows, columns=["host", "page", "token", "n", "is_text", "before", "after"])
+            yield pd.DataFrame(rows, columns=[field.split()[0] for field in PARSED.split(", ")])
 
 
-def deduce_templates(pages: DataFrame) -> DataFrame:
-    """(host, page, template): the texts of the template classes that a page holds, from ``pages`` (host, page, html).
+def deduce_templates(parsed: DataFrame) -> DataFrame:
+    """(host, page, template): the texts of a page that its template classes hold, of ``parsed`` pages.
 
-    ``page`` is a hash of html. A template has only tokens of its page, so its size is bounded by that of the page; pages
-    without a template have no row.
+    ``page`` is a hash of html, so pages that are equal count once. Outside articles every valid class counts, inside
+    articles frames alone. A template has only texts of its page, so its size is bounded by that of the page; pages that
+    hold none have no row.
     """
-    kind = "host string, page long, token array<long>, n array<int>, is_text array<boolean>, before array<long>, after array<long>"
-    seen = cut(pages.mapInPandas(_occurrences, kind), "page-tokens")
-    zipped = F.arrays_zip("token", "n", "is_text", "before", "after")
+    seen = parsed.where("size(token) > 0").dropDuplicates(["host", "page"])
+    zipped = F.arrays_zip("token", "n", "wanted", "before", "after")
     each = seen.select("host", "page", F.posexplode(zipped).alias("at", "t")).select("host", "page", "at", "t.*")
+    each = cut(each, "page-tokens")
     vector = F.shiftrightunsigned(F.xxhash64("page", "n"), 24).cast("decimal(20,0)")
-    tokens = each.groupBy("host", "token").agg(
-        F.count("*").alias("pages"), F.sum("n").alias("total"), F.sum(vector).alias("vector"), F.max("is_text").alias("is_text"),
+    often = each.groupBy("host", "token").agg(F.count("*").alias("pages")).where(F.col("pages") >= MIN_PAGES).drop("pages")
+    tokens = join_split(each, often, ["host", "token"]).groupBy("host", "token").agg(
+        F.count("*").alias("pages"), F.sum("n").alias("total"), F.sum(vector).alias("vector"), F.max("wanted").alias("wanted"),
         F.min(F.struct("page", "at")).alias("first"), F.max("page").alias("last_page"),
         (F.min("before") != F.max("before")).alias("opens"), (F.min("after") != F.max("after")).alias("closes"),
     )
-    hosts = seen.groupBy("host").agg(F.count("*").alias("n_pages"))
-    often = join_split(tokens.where((F.col("pages") >= MIN_PAGES) & (F.col("first.page") != F.col("last_page"))), hosts, ["host"])
+    hosts = each.where("at = 0").groupBy("host").agg(F.count("*").alias("n_pages"))
+    shared = join_split(tokens.where(F.col("first.page") != F.col("last_page")), hosts, ["host"])
     # the first places are those on one page, as tokens of a class share their pages
     once = F.col("total") == F.col("pages")
-    classes = often.groupBy("host", "vector", "pages", "total", "n_pages").agg(
-        F.count("*").alias("n_tokens"), F.collect_list(F.when(F.col("is_text"), F.col("token"))).alias("texts"),
+    classes = shared.groupBy("host", "vector", "pages", "total", "n_pages").agg(
+        F.count("*").alias("n_tokens"), F.max("wanted").alias("wanted"), F.min("token").alias("sign"),
+        F.collect_list(F.when(F.col("wanted") > 0, F.col("token"))).alias("texts"),
         F.min(F.when(once & F.col("closes"), F.col("first.at"))).alias("slot_from"),
         F.max(F.when(once & F.col("opens"), F.col("first.at"))).alias("slot_to"),
     )
     has_slot = F.coalesce(F.col("slot_from") < F.col("slot_to"), F.lit(False))
     valid = classes.where(
-        (F.col("n_tokens") >= MIN_TOKENS) & (F.col("total") % F.col("pages") == 0)
+        (F.col("n_tokens") >= MIN_TOKENS) & (F.col("total") % F.col("pages") == 0) & (F.col("wanted") > 0)
         & (has_slot | (F.col("pages") >= MIN_SHARE * F.col("n_pages")) | (F.col("pages") >= SURE_PAGES))
     )
-    constant = valid.select("host", F.explode("texts").alias("token"))
-    held = join_split(each.where("is_text").select("host", "page", "token"), constant, ["host", "token"])
+    valid = cut(valid.select("host", "sign", "pages", "wanted", "texts", has_slot.alias("has_slot")), "classes")
+    frames = _frames(each, valid).withColumn("is_frame", F.lit(True))
+    constant = valid.join(frames, ["host", "sign"], "left").select("host", F.explode("texts").alias("token"), "is_frame")
+    held = join_split(each.where("wanted > 0").select("host", "page", "token", "wanted"), constant, ["host", "token"])
+    held = held.where((F.col("wanted") == OUTSIDE) | F.col("is_frame"))
     return held.groupBy("host", "page").agg(F.collect_set("token").alias("template"))
 
 
-class _Block:
-    """The texts of a block. It is constant if it lies in an article and the template has all its texts; several texts
-    that all are emphasised are taken as a sentence of the article."""
-
-    def __init__(self) -> None:
-        self.texts: list[str] = []
-        self.n, self.constant, self.emphasised = 0, True, True
-
-    def add(self, text: str, constant: bool, emphasised: bool) -> None:
-        self.texts.append(text)
-        if not text.isspace():
-            self.n += 1
-            self.constant &= constant
-            self.emphasised &= emphasised
-
-    @property
-    def line(self) -> str:
-        return " ".join(markup.unescape("".join(self.texts)).split())
-
-    @property
-    def is_constant(self) -> bool:
-        return self.constant and not (self.n > 1 and self.emphasised)
-
-
-def main_text(page: str | None, template: frozenset[int]) -> str:
-    """Text of the article: its blocks in order, joined by a line feed.
-
-    Slots of the template that lie in article or main elements count (in elements so named by class or id if there are
-    none, else all slots), except those inside elements that are not the article. A text that is itself part of the
-    template is no slot; inside an article, where labels and data share blocks, that goes for whole blocks. A template
-    leaves a slot open: if it has all text of an article, that is a copy and stays.
-    """
-    found, elements = pieces(page or "")
-    if not found:
-        return ""
-    ids = token_ids(found, elements) if template else np.zeros(len(found), np.int64)
-    aside = [e.is_aside for e in elements]
-    barred = [e.holds_no_article for e in elements]
-    strong = any(e.tag in CONTENT and not any(barred[p] for p in e.parents) for e in elements)
-    named = not strong and any(
-        e.marks.content and not a and not any(barred[p] for p in e.parents) for e, a in zip(elements, aside, strict=True)
-    )
-    blocks = [_Block()]
-    last: tuple[int, ...] | None = None
-    for piece, token in zip(found, ids.tolist(), strict=True):
-        if piece.tag:
-            if piece.tag.lstrip("/") in BLOCK:
-                blocks.append(_Block())
-            elif piece.tag == "br":
-                blocks[-1].add(" ", False, False)
-            continue
-        path = piece.path
-        if path != last:
-            inside = [e for e in path if elements[e].tag in CONTENT or (named and elements[e].marks.content and not aside[e])]
-            # a header of the article itself is part of it, a site's header is not
-            own = path[path.index(inside[-1]) + 1 :] if inside else path
-            kept = (bool(inside) or not (strong or named)) and not any(aside[e] and (not inside or elements[e].tag != "header") for e in own)
-            kept = kept and not (inside and any(barred[e] for e in path[: path.index(inside[-1])]))
-            last = path
-        if kept and (inside or piece.text.isspace() or token not in template):
-            blocks[-1].add(piece.text, bool(inside) and token in template, bool(path) and elements[path[-1]].tag in EMPHASIS)
-    lines = [(line, b.is_constant) for b in blocks if (line := b.line)]
-    return "\n".join([line for line, constant in lines if not constant] or [line for line, _ in lines])
+def _frames(each: DataFrame, valid: DataFrame) -> DataFrame:
+    """(host, sign) of the classes that are frames of distinct articles: see ``OWN_TEXTS``. ``sign`` is the token that
+    stands for its class."""
+    likely = valid.where((F.col("wanted") == INSIDE) & F.col("has_slot") & (F.col("pages") >= FRAME_PAGES))
+    likely = likely.select("host", "sign", "pages")
+    places = join_split(each.select("host", "page", F.col("token").alias("sign")), likely, ["host", "sign"])
+    texts = each.where(F.col("wanted") == INSIDE).select("host", "page", "token")
+    met = join_split(texts, places, ["host", "page"]).groupBy("host", "sign", "pages", "token").agg(F.count("*").alias("on"))
+    others = met.where(F.col("on") < F.col("pages")).groupBy("host", "sign").agg(F.count("*").alias("different"), F.sum("on").alias("all"))
+    return others.where(F.col("different") >= OWN_TEXTS * F.col("all")).select("host", "sign")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -328,16 +400,29 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     goes. Repeated rows get a row each; an empty table gives an empty result; other columns are ignored.
     """
     host, _, _ = split_url(F.col("url"))
-    hosted = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    hosted = hosted.withColumn("page", F.xxhash64("html"))
-    counted = hosted.where("html <> '' and host <> ''").select("host", "page", "html")
-    templates = cut(deduce_templates(counted), "templates")
-    met = join_split(hosted, templates, ["host", "page"], "left").select("page_id", "url", "html", "template")
+    known = F.when(host != "", F.xxhash64(host)).otherwise(F.lit(0).cast("long"))  # 0 for a url without a host
+    hosted = pages.select(
+        F.col("page_id").cast("string").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), known.alias("host")
+    ).withColumn("page", F.xxhash64("html"))
+    parsed = cut(hosted.mapInPandas(_parsed, PARSED), "parsed-pages")
+    templates = cut(deduce_templates(parsed), "templates")
+    kept = parsed.select("page_id", "url", "host", "page", "block", "text", "text_token", "text_kind")
+    marked = with_hit(kept, bitmap(templates, "host", "page"), F.col("host"), F.col("page"))
+    framed = join_split(marked.where("_hit").drop("_hit"), templates, ["host", "page"], "left")
+    plain = marked.where("not _hit").drop("_hit").withColumn("template", F.lit(None).cast("array<long>"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            templates = (frozenset() if t is None else frozenset(t.tolist()) for t in batch["template"])
-            texts = [main_text(page, template) for page, template in zip(batch["html"], templates, strict=True)]
-            yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
-
-    return met.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+            out = []
+            for blocks, texts, tokens, kinds, template in zip(
+                batch["block"], batch["text"], batch["text_token"], batch["text_kind"], batch["template"], strict=True
+            ):
+                found = [Text(b, t, k, m & 3, bool(m & 4), bool(m & 8)) for b, t, k, m in zip(blocks, texts, tokens, kinds, strict=True)]
+                out.append(assemble(found, frozenset() if template is None else frozenset(template.tolist())))
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": out, "n_chars": [len(t) for t in out]})
+
+    both = plain.select("page_id", "url", "block", "text", "text_token", "text_kind", "template").unionByName(
+        framed.select("page_id", "url", "block", "text", "text_token", "text_kind", "template")
+    )
+    found = both.mapInPandas(run, "page_id string, url string, text string, n_chars long")
+    return found.withColumn("page_id", F.col("page_id").cast("long"))
