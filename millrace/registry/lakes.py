@@ -117,7 +117,11 @@ def fresh(spark: SparkSession, sf: str, label: str, *names: str) -> Lake:
 
 
 def raw_days(spark, sf):
-    return list_days(spark, raw_lake(spark, sf, "trips").raw_entity("trips"))
+    """All trips by the day they were ordered, a folder each: thousands of days, listed by their names."""
+    root = scratch_dir(spark, "day-folders")
+    rows = load(spark, sf, "v_trips").select("trip_id", F.col("ingest_date").alias("date"))
+    rows.repartition(64, "date").write.partitionBy("date").json(root)
+    return list_days(spark, root)
 
 
 def jsonl_typed(spark, sf):
@@ -383,7 +387,7 @@ QUERIES = {
 FROM ({deduped_sql('trips')}) d WHERE {SILVER_SQL['trips']} GROUP BY status"""),
     ),
     "list_days": Query(
-        raw_days, oracle(f"SELECT DISTINCT batch_day AS date FROM ({batched_sql('trips')}) b")
+        raw_days, oracle("SELECT DISTINCT ingest_date AS date FROM {v_trips}")
     ),
     "jsonl_typed": Query(
         jsonl_typed,
