@@ -23,10 +23,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` written to shared storage and read again: lineage ends, executors may go."""
     path = scratch_dir(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -298,15 +298,16 @@ def main_text(page: str | None, template: frozenset[int]) -> str:
 
 
 PARSED = (
-    "page_id string, url string, host long, page long, block array<int>, text array<string>, text_token array<long>, text_kind array<int>,"
-    " token array<long>, n array<int>, wanted array<int>, before array<long>, after array<long>"
+    "page_id string, url string, host long, page long, block array<int>, text array<string>, text_at array<int>, text_kind array<int>,"
+    " token array<long>, n array<int>, wanted array<int>, before array<int>, after array<int>"
 )
+_LOW = (1 << 31) - 1  # of neighbours only their differences count
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """What is kept of each page: the texts that may be the article's; and for pages of a host the distinct tokens in the
     order of their first place, how often they occur, where they are such a text, and the texts before the first and
-    after the last occurrence."""
+    after the last occurrence. ``text_at`` is the place of a text's token among those."""
     for batch in batches:
         rows = []
         for page_id, url, host, number, page in batch[["page_id", "url", "host", "page", "html"]].itertuples(index=False, name=None):
@@ -314,9 +315,9 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             numbers = token_ids(found, elements)
             texts = candidates(found, elements, numbers)
             kinds = [t.where + 4 * t.emphasised + 8 * t.heading for t in texts]
-            row = (page_id, url, host, number, [t.block for t in texts], [t.text for t in texts], [t.token for t in texts], kinds)
+            row = (page_id, url, host, number, [t.block for t in texts], [t.text for t in texts])
             if not host or not found:
-                rows.append((*row, [], [], [], [], []))
+                rows.append((*row, [0 if t.token else -1 for t in texts], kinds, [], [], [], [], []))
                 continue
             ids = numbers.tolist()
             is_text = [not p.tag and not p.text.isspace() for p in found]
@@ -332,7 +333,9 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 near = token if text else near
             wanted = {t.token: t.where for t in texts}
             n = Counter(ids)
-            rows.append((*row, [*before], [n[t] for t in before], [wanted.get(t, 0) for t in before], [*before.values()], [after[t] for t in before]))
+            at = {token: k for k, token in enumerate(before)}
+            near = [[x & _LOW for x in before.values()], [after[t] & _LOW for t in before]]
+            rows.append((*row, [at[t.token] if t.token else -1 for t in texts], kinds, [*before], [n[t] for t in before], [wanted.get(t, 0) for t in before], *near))
         if rows:
             yield pd.DataFrame(rows, columns=[field.split()[0] for field in PARSED.split(", ")])
 
@@ -344,19 +347,20 @@ def deduce_templates(parsed: DataFrame) -> DataFrame:
     articles frames alone. A template has only texts of its page, so its size is bounded by that of the page; pages that
     hold none have no row.
     """
-    seen = parsed.where("size(token) > 0").dropDuplicates(["host", "page"])
     zipped = F.arrays_zip("token", "n", "wanted", "before", "after")
-    each = seen.select("host", "page", F.posexplode(zipped).alias("at", "t")).select("host", "page", "at", "t.*")
-    each = cut(each, "page-tokens")
+    each = parsed.select("host", "page", F.posexplode(zipped).alias("at", "t")).select("host", "page", "at", "t.*")
     vector = F.shiftrightunsigned(F.xxhash64("page", "n"), 24).cast("decimal(20,0)")
-    often = each.groupBy("host", "token").agg(F.count("*").alias("pages")).where(F.col("pages") >= MIN_PAGES).drop("pages")
-    tokens = join_split(each, often, ["host", "token"]).groupBy("host", "token").agg(
+    # most texts are on one page: a count of bare tokens first, so that only the others carry more into a shuffle
+    on = parsed.select("host", F.explode("token").alias("token")).groupBy("host", "token").agg(F.count("*").alias("n"))
+    often = bitmap(on.where(F.col("n") >= MIN_PAGES), "host", "token")
+    tokens = with_hit(each, often, F.col("host"), F.col("token")).where("_hit").groupBy("host", "token").agg(
         F.count("*").alias("pages"), F.sum("n").alias("total"), F.sum(vector).alias("vector"), F.max("wanted").alias("wanted"),
         F.min(F.struct("page", "at")).alias("first"), F.max("page").alias("last_page"),
         (F.min("before") != F.max("before")).alias("opens"), (F.min("after") != F.max("after")).alias("closes"),
     )
-    hosts = each.where("at = 0").groupBy("host").agg(F.count("*").alias("n_pages"))
-    shared = join_split(tokens.where(F.col("first.page") != F.col("last_page")), hosts, ["host"])
+    hosts = parsed.where("size(token) > 0").groupBy("host").agg(F.count("*").alias("n_pages"))
+    repeated = tokens.where((F.col("pages") >= MIN_PAGES) & (F.col("first.page") != F.col("last_page")))
+    shared = join_split(repeated, hosts, ["host"])
     # the first places are those on one page, as tokens of a class share their pages
     once = F.col("total") == F.col("pages")
     classes = shared.groupBy("host", "vector", "pages", "total", "n_pages").agg(
@@ -373,7 +377,8 @@ def deduce_templates(parsed: DataFrame) -> DataFrame:
     valid = cut(valid.select("host", "sign", "pages", "wanted", "texts", has_slot.alias("has_slot")), "classes")
     frames = _frames(each, valid).withColumn("is_frame", F.lit(True))
     constant = valid.join(frames, ["host", "sign"], "left").select("host", F.explode("texts").alias("token"), "is_frame")
-    held = join_split(each.where("wanted > 0").select("host", "page", "token", "wanted"), constant, ["host", "token"])
+    in_slots = with_hit(each.where("wanted > 0"), bitmap(constant, "host", "token"), F.col("host"), F.col("token")).where("_hit")
+    held = join_split(in_slots.select("host", "page", "token", "wanted"), constant, ["host", "token"])
     held = held.where((F.col("wanted") == OUTSIDE) | F.col("is_frame"))
     return held.groupBy("host", "page").agg(F.collect_set("token").alias("template"))
 
@@ -381,13 +386,17 @@ def deduce_templates(parsed: DataFrame) -> DataFrame:
 def _frames(each: DataFrame, valid: DataFrame) -> DataFrame:
     """(host, sign) of the classes that are frames of distinct articles: see ``OWN_TEXTS``. ``sign`` is the token that
     stands for its class."""
-    likely = valid.where((F.col("wanted") == INSIDE) & F.col("has_slot") & (F.col("pages") >= FRAME_PAGES))
-    likely = likely.select("host", "sign", "pages")
-    places = join_split(each.select("host", "page", F.col("token").alias("sign")), likely, ["host", "sign"])
-    texts = each.where(F.col("wanted") == INSIDE).select("host", "page", "token")
-    met = join_split(texts, places, ["host", "page"]).groupBy("host", "sign", "pages", "token").agg(F.count("*").alias("on"))
-    others = met.where(F.col("on") < F.col("pages")).groupBy("host", "sign").agg(F.count("*").alias("different"), F.sum("on").alias("all"))
-    return others.where(F.col("different") >= OWN_TEXTS * F.col("all")).select("host", "sign")
+    likely = valid.where((F.col("wanted") == INSIDE) & F.col("has_slot") & (F.col("pages") >= FRAME_PAGES)).select("host", "sign")
+    signs = with_hit(each, bitmap(likely, "host", "sign"), F.col("host"), F.col("token")).where("_hit")
+    places = join_split(signs.select("host", "page", F.col("token").alias("sign")), likely, ["host", "sign"]).distinct()
+    places = cut(places, "class-pages")  # equal pages count once
+    on_them = with_hit(each.where(F.col("wanted") == INSIDE), bitmap(places, "host", "page"), F.col("host"), F.col("page")).where("_hit")
+    texts = on_them.select("host", "page", "token").distinct()
+    met = join_split(texts, places, ["host", "page"]).groupBy("host", "sign", "token").agg(F.count("*").alias("on"))
+    sizes = places.groupBy("host", "sign").agg(F.count("*").alias("pages")).where(F.col("pages") >= FRAME_PAGES)
+    others = join_split(met, sizes, ["host", "sign"]).where(F.col("on") < F.col("pages"))
+    shares = others.groupBy("host", "sign").agg(F.count("*").alias("different"), F.sum("on").alias("all"))
+    return shares.where(F.col("different") >= OWN_TEXTS * F.col("all")).select("host", "sign")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -404,25 +413,26 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     hosted = pages.select(
         F.col("page_id").cast("string").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), known.alias("host")
     ).withColumn("page", F.xxhash64("html"))
-    parsed = cut(hosted.mapInPandas(_parsed, PARSED), "parsed-pages")
+    parsed = cut(hosted.mapInPandas(_parsed, PARSED), "parsed-pages", compression="zstd")
     templates = cut(deduce_templates(parsed), "templates")
-    kept = parsed.select("page_id", "url", "host", "page", "block", "text", "text_token", "text_kind")
-    marked = with_hit(kept, bitmap(templates, "host", "page"), F.col("host"), F.col("page"))
+    marked = with_hit(parsed.select("page_id", "url", "host", "page", "block", "text", "text_at", "text_kind", "token"), bitmap(templates, "host", "page"), F.col("host"), F.col("page"))
     framed = join_split(marked.where("_hit").drop("_hit"), templates, ["host", "page"], "left")
     plain = marked.where("not _hit").drop("_hit").withColumn("template", F.lit(None).cast("array<long>"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for blocks, texts, tokens, kinds, template in zip(
-                batch["block"], batch["text"], batch["text_token"], batch["text_kind"], batch["template"], strict=True
+            for blocks, texts, places, kinds, names, template in zip(
+                batch["block"], batch["text"], batch["text_at"], batch["text_kind"], batch["names"], batch["template"], strict=True
             ):
+                # without a template it is enough to tell words from spaces
+                tokens = [0 if k < 0 else 1 if template is None else int(names[k]) for k in places]
                 found = [Text(b, t, k, m & 3, bool(m & 4), bool(m & 8)) for b, t, k, m in zip(blocks, texts, tokens, kinds, strict=True)]
                 out.append(assemble(found, frozenset() if template is None else frozenset(template.tolist())))
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": out, "n_chars": [len(t) for t in out]})
 
-    both = plain.select("page_id", "url", "block", "text", "text_token", "text_kind", "template").unionByName(
-        framed.select("page_id", "url", "block", "text", "text_token", "text_kind", "template")
-    )
+    columns = ["page_id", "url", "block", "text", "text_at", "text_kind", "template"]
+    none = F.lit(None).cast("array<long>")
+    both = plain.select(*columns, none.alias("names")).unionByName(framed.select(*columns, F.col("token").alias("names")))
     found = both.mapInPandas(run, "page_id string, url string, text string, n_chars long")
     return found.withColumn("page_id", F.col("page_id").cast("long"))
