@@ -15,6 +15,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BITMAP_BITS = 1 << 23
 #: Bits that one row of a bitmap table holds; fixed by Spark's bitmap functions.
 ROW_BITS = 32768
+#: Rows that go to a Python worker at a time; texts may be long.
+BATCH_ROWS = 1_000
 #: A word hash table is emptied at this size, so that a worker's memory is bounded.
 HASH_TABLE_SIZE = 100_000
 
@@ -30,6 +32,11 @@ def cut(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker and the buffers before and behind it hold of whole texts, for the rest of the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def lower_ascii(text: Column | str) -> Column:
     """A-Z lower-cased, every other character as it is."""
     text = F.col(text) if isinstance(text, str) else text

@@ -94,14 +94,18 @@ def _short_seeds(words: np.ndarray, lengths: np.ndarray) -> list[tuple[int, np.n
 
 
 def _item_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The seeds of each item; its words stand beside the first one alone, so rows grow as its length does."""
     numbers = _Numbers()
 
     def batch(items: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for item_id, text in zip(items["item_id"], items["text"], strict=True):
             words = word_hashes(text, numbers)
+            first = len(rows)
             for h in seeds(words):
-                rows += [(item_id, len(words), at, x, words.view(np.int64)) for at, x in enumerate(h.view(np.int64).tolist())]
+                rows += [(item_id, len(words), at, x, None) for at, x in enumerate(h.view(np.int64).tolist())]
+            if len(rows) > first:
+                rows[first] = (*rows[first][:-1], words.view(np.int64))
         return pd.DataFrame(rows, columns=["item_id", "n_words", "item_at", "seed", "item_words"])
 
     return each_batch(batches, batch)
@@ -245,7 +249,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     hits = hits.select("doc_id", "region", F.col("hit.at").alias("at"), F.col("hit.seed").alias("seed"))
     placed = items.select("item_id", "item_at", "seed")
     met = join_split(hits, placed, ["seed"]).select("doc_id", "region", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"))
-    texts = items.select("item_id", "n_words", "item_words").dropDuplicates(["item_id", "item_words"])
+    texts = items.where("item_words is not null").select("item_id", "n_words", "item_words").dropDuplicates(["item_id", "item_words"])
     whole = met.distinct().join(regions.select("doc_id", "region", "words"), ["doc_id", "region"]).join(texts, "item_id")
     kind = "doc_id long, item_id long, first_word int, n_overlap int, n_agree int, n_words int"
     overlaps = whole.mapInPandas(_verify(similarity, min_words), kind)

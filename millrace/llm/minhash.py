@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    WordHashes, ascii_words, bitmap, cut, each_batch, join_split, mix, window_hashes, with_hit, without_ids,
+    WordHashes, ascii_words, bitmap, cut, each_batch, join_split, mix, small_batches, window_hashes, with_hit, without_ids,
 )
 from millrace.llm.components import connected_components
 
@@ -98,7 +98,8 @@ def _confirmed(docs: DataFrame, signed: DataFrame, pairs: DataFrame, percent: in
     """Pairs (a, b) that reach ``percent`` on their full shingle sets, after signatures have ruled out most others."""
     sig = signed.select("doc_id", "signature", "n_shingles")
     side = lambda c: sig.select(F.col("doc_id").alias(c), F.col("signature").alias(f"sig_{c}"), F.col("n_shingles").alias(f"n_{c}"))
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(
+    # a bucket's centre is in many pairs
+    sized = join_split(join_split(pairs, side("a"), ["a"]), side("b"), ["b"]).where(
         f"100L * least(n_a, n_b) >= {percent}L * greatest(n_a, n_b)"
     )
     likely = cut(
@@ -109,7 +110,7 @@ def _confirmed(docs: DataFrame, signed: DataFrame, pairs: DataFrame, percent: in
     wanted = with_hit(docs.select("doc_id", "text"), bitmap(ids, "doc_id"), F.col("doc_id")).where("_hit")
     sets = cut(wanted.select("doc_id", "text").mapInPandas(_sets, "doc_id long, shingles array<long>"), "shingle-sets")
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}"))
-    both = likely.join(side("b"), "b").join(side("a"), "a")
+    both = join_split(join_split(likely, side("b"), ["b"]), side("a"), ["a"])
     shared, total = F.size(F.array_intersect("set_a", "set_b")), F.size("set_a") + F.size("set_b")
     linked = both.where(100 * shared.cast("long") >= percent * (total - shared).cast("long"))
     return cut(linked.select("a", "b").distinct(), "confirmed-pairs")
@@ -184,6 +185,7 @@ def link_near_copies(docs: DataFrame, percent: int = 85) -> DataFrame:
     gives an empty result; other columns are ignored. Candidates come from ``BANDS`` bands, so a link at the threshold
     is missed with a chance of 3e-7.
     """
+    small_batches(docs.sparkSession)
     signed = cut(
         docs.select("doc_id", "text").mapInPandas(
             _signatures,

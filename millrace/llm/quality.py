@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import small_batches
 from millrace.llm.features import calibrate, held_out, training_sample
 
 #: Bound of the labelled rows that the model is fitted on.
@@ -167,6 +168,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     At most ``sample_rows`` labelled rows outside the held-out fold are learnt from. Null and empty texts are scored by
     the bias alone; without labels every score is 0.5. Repeated rows get a row each, an empty table an empty result.
     """
+    small_batches(docs.sparkSession)
     model = fit(training_sample(docs, labels, "quality", sample_rows))
     scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), score_column(model)(docs).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -174,6 +176,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that the classifier rejects. All columns stay."""
+    small_batches(docs.sparkSession)
     model = fit(training_sample(docs, labels, "quality", sample_rows))
     return docs.where(score_column(model)(docs) >= threshold)
 

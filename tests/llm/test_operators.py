@@ -11,6 +11,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -407,7 +408,6 @@ def test_byte_bpe_encodes_each_word_once_and_tells_two_walks_apart(spark, monkey
     monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", 2_000)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [r.text or "" for r in docs.collect()]
-    import pandas as pd
     import regex
     import tiktoken
 
@@ -431,6 +431,8 @@ def test_byte_bpe_encodes_each_word_once_and_tells_two_walks_apart(spark, monkey
     assert len(seen) == len(set(seen)) and set(seen) == {w for t in texts for w in find(t)}
 
     class Docs:  # a table whose second walk comes in another order
+        sparkSession = spark
+
         def __init__(self):
             self.orders = iter([docs, docs.orderBy("doc_id"), docs.orderBy("text")])
 
@@ -446,3 +448,14 @@ def test_byte_bpe_encodes_each_word_once_and_tells_two_walks_apart(spark, monkey
 
     with pytest.raises(Exception, match="in two ways"):
         byte_bpe.encode(Docs(), RANKS, public_tokenizers.PATTERN).count()
+
+
+def test_a_long_benchmark_item_is_sent_once(spark):
+    long = words(20_000, 77).split()
+    rows = next(decontaminate._item_rows(iter([pd.DataFrame({"item_id": [1], "text": [" ".join(long)]})])))
+    assert rows["item_words"].notna().sum() == 1 and len(rows) < 20 * len(long)
+    docs = table(spark, [(1, " ".join(["x", *long[300:420], "y"])), (2, words(300, 78)), (3, " ".join(long))])
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, None), (3, " ".join(long[5000:5040]))], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.first_word, r.n_overlap) for r in decontaminate.find_overlaps(docs, bench).collect())
+    assert [g for g in got if g[:2] in ((1, 1), (3, 1), (3, 3))] == got and got[1][:2] == (3, 1)
+    assert got[0][2] <= 1 and got[0][3] >= 120 and got[1][3] == 20_000 and got[2][3] >= 40
