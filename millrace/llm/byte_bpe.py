@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import small_batches
+from millrace.llm.common import give_back, small_batches
 
 #: Bytes of text after which a block is closed; a longer text is a block of its own.
 BLOCK_BYTES = 6_000_000
@@ -151,6 +151,8 @@ def _blocks(pattern: str, parts: int, want_words: bool):
                 if size >= BLOCK_BYTES or len(cutter.chunks) >= CHUNKS:
                     yield from close()
         yield from close()
+        cutter = None
+        give_back()
 
     return run
 
@@ -182,6 +184,8 @@ def _encode_words(path: str, pattern: str):
                 rows.append((block, part, digest, _pack(n.tobytes()), _pack(flat.tobytes())))
             if rows:
                 yield pd.DataFrame(rows, columns=["block", "part", "digest", "counts", "ids"])
+        known.clear()
+        give_back()
 
     return run
 

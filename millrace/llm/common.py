@@ -17,6 +17,8 @@ BITMAP_BITS = 1 << 23
 ROW_BITS = 32768
 #: Rows that go to a Python worker at a time; texts may be long.
 BATCH_ROWS = 1_000
+#: Bytes of a row group of a table written between steps.
+ROW_GROUP = 32 << 20
 #: A word hash table is emptied at this size, so that a worker's memory is bounded.
 HASH_TABLE_SIZE = 100_000
 
@@ -28,7 +30,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def cut(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` written to shared storage and read again: lineage ends, executors may go."""
     path = scratch_dir(df.sparkSession, f"llm-{label}")
-    df.write.options(**options).parquet(path)
+    # a writer holds a whole row group
+    df.write.options(**{"parquet.block.size": str(ROW_GROUP), **options}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -121,7 +124,22 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out + np.uint64(size))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its task, and its process counts by what it has ever taken."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it, others need not
+    if trim:
+        trim(0)
+
+
 def each_batch(batches: Iterator, fn) -> Iterator:
     for batch in batches:
         if len(batch):
             yield fn(batch)
+    give_back()

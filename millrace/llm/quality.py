@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import small_batches
+from millrace.llm.common import give_back, small_batches
 from millrace.llm.features import calibrate, held_out, training_sample
 
 #: Bound of the labelled rows that the model is fitted on.
@@ -153,6 +153,7 @@ def score_column(model: NbSvm):
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield shared.value.scores(texts)
+        give_back()
 
     def column(df: DataFrame):
         nonlocal shared
