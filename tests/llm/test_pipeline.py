@@ -1,6 +1,17 @@
 from __future__ import annotations
 
+import base64
+import hashlib
+import itertools
+import re
+
+import numpy as np
+import public_tokenizers
+import tiktoken
+
 import corpus_pipeline
+from millrace.llm import decontaminate
+from millrace.llm.common import cut
 
 
 def test_stages_keep_columns_and_leave_no_copies(spark):
@@ -24,3 +35,93 @@ def test_stages_on_an_empty_table(spark):
     empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def without_copies(rows):
+    last = {}
+    for i, t in rows:
+        norm = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        last[norm] = max(last.get(norm, i), i)
+    return set(last.values())
+
+
+def without_near(rows):
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    least = {i: i for i in sets}
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            x, y = sorted((root(a), root(b)))
+            least[y] = x
+    return {i for i in sets if root(i) == i}
+
+
+def overlaps(item, doc):
+    """Whether some stretch of the two, word beside word, agrees in 80 %, on every alignment."""
+    need = min(decontaminate.MIN_WORDS, len(item))
+    for start in range(1 - len(item), len(doc)):
+        low, high = max(0, -start), min(len(item), len(doc) - start)
+        same = item[low:high] == doc[start + low : start + high]
+        if same.sum() < 0.8 * need:
+            continue
+        total = np.concatenate([[0], np.cumsum(same)])
+        places = np.flatnonzero(same)
+        for a in places:
+            ends = places[places >= a + need - 1]
+            if (10 * (total[ends + 1] - total[a]) >= 8 * (ends + 1 - a)).any():
+                return True
+    return False
+
+
+def without_overlaps(rows, bench):
+    numbers = decontaminate._Numbers()
+    items = [w for t in bench if len(w := decontaminate.word_hashes(t, numbers))]
+    return {i for i, t in rows if not any(overlaps(item, decontaminate.word_hashes(t, numbers)) for item in items)}
+
+
+def test_stages_against_plain_python(spark):
+    sf = "/root/testdata/sf0.001"
+    bench = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    want = {
+        "exact dedup": without_copies, "MinHash near-dedup": without_near,
+        "benchmark decontamination": lambda rows: without_overlaps(rows, bench),
+    }
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    removed = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = [(r.doc_id, r.text) for r in docs.collect()]
+        docs = cut(stage(spark, docs, sf), "test")
+        after = {r.doc_id for r in docs.collect()}
+        removed[name] = len(before) - len(after)
+        if name in want:
+            assert after == want[name](before), name
+    assert all(removed.values())
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = {}
+    for r in docs.collect():
+        ids = library.encode_ordinary(r.text or "")
+        data = np.array(ids, "<u4").tobytes()
+        rows[r.doc_id] = (len(ids), hashlib.sha256(data).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest())
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, sf).collect()}
+    assert got == rows
+
+
+def test_stages_take_odd_rows_and_extra_columns(spark):
+    kind = "doc_id long, text string, lang string, source string, n_chars long, _hit int, _doc string, component_id long, ids binary"
+    rows = [(None, None), (None, "one two"), (1, None), (2, ""), (3, "word " * 3000), (3, "word " * 3000), (4, "Some text."), (4, "other text")]
+    docs = spark.createDataFrame([(i, t, None, None, None, 1, "x", 7, None) for i, t in rows], kind)
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        kept = stage(spark, docs, "/root/testdata/sf0.001")
+        assert kept.columns == docs.columns, name
+        ids = [r.doc_id for r in kept.collect()]
+        assert ids.count(None) >= 1 and {3, 4} <= set(ids), name
