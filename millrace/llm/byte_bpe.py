@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import give_back, small_batches
+from millrace.llm.common import give_back
 
 #: Bytes of text after which a block is closed; a longer text is a block of its own.
 BLOCK_BYTES = 6_000_000
@@ -223,7 +223,6 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     is walked twice, so it has to be a stored table or a narrow derivation of one; a result of shuffles is to be written
     first, or the blocks may differ, which raises. A part's words are those of some splits of the input.
     """
-    small_batches(docs.sparkSession)
     narrow = docs.select("doc_id", "text")
     parts = max(LEAST_PARTS, PARTS_PER_SPLIT * narrow.rdd.getNumPartitions())
     words = narrow.mapInPandas(_blocks(pattern, parts, True), "block long, part int, digest long, words binary")
