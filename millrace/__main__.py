@@ -24,7 +24,16 @@ from millrace.plans import (
 )
 from millrace.session import build_session, size_shuffles
 from millrace.sources import latest_runs, read_table
-from millrace.streaming import start_closed_days, start_demand, start_ingest, start_silver
+from millrace.streaming import (
+    compact_stream,
+    demand_with_late,
+    start_closed_days,
+    start_demand,
+    start_demand_late,
+    start_ingest,
+    start_silver,
+    vacuum_stream,
+)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -48,6 +57,10 @@ def parser() -> argparse.ArgumentParser:
     stream = jobs.add_parser("stream")
     stream.add_argument("--files-per-batch", type=int, help="most new files of a micro-batch")
     stream.add_argument("--keep-days", type=int, help="days whose survivors stay in the state; older ones are cleansed whole")
+    stream.add_argument("--keep-late", action="store_true", help="also count the trips that come late and keep their rows")
+    compact = jobs.add_parser("compact")
+    compact.add_argument("--day", action="append", help="default: all days")
+    compact.add_argument("--vacuum", action="store_true", help="delete the folders that earlier compactions have replaced, too")
     jobs.add_parser("runs")
     return top
 
@@ -82,6 +95,15 @@ def execute(spark, args) -> None:
                 start_closed_days(spark, lake, entity, args.keep_days, args.files_per_batch).awaitTermination()
         if ENTITIES["trips"] in entities:
             start_demand(spark, lake, files_per_batch=args.files_per_batch).awaitTermination()
+            if args.keep_late:
+                start_demand_late(spark, lake, files_per_batch=args.files_per_batch).awaitTermination()
+                demand_with_late(spark, lake).agg(F.sum("n_on_time").alias("on time"), F.sum("n_late").alias("late")).show()
+    elif args.job == "compact":
+        for entity in entities:
+            if args.vacuum:  # of what earlier calls have replaced; readers may still be at what this one replaces
+                print(f"{entity.name}: {vacuum_stream(spark, lake, entity)} folders deleted")
+            for name, days in compact_stream(spark, lake, entity, args.day).items():
+                print(f"{entity.name}, {name}: {len(days)} days compacted")
     else:
         runs = read_table(spark, lake.runs, RUNS_SCHEMA, lake.fmt, missing_ok=True)
         latest_runs(runs).show(truncate=False)

@@ -58,6 +58,12 @@ def filled(spark: SparkSession, paths: list[str]) -> list[str]:
         return [path for path, full in zip(paths, pool.map(lambda p: has_file(spark, p), paths), strict=True) if full]
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file, and the folders above it."""
+    files, target = _opened(spark, path)
+    files.create(target, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or a folder with all it holds; nothing happens if it is missing."""
     files, target = _opened(spark, path)

@@ -11,12 +11,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.files import delete, is_written, matching
 from millrace.lake import checked_day
+from millrace.sources.generations import DAY, MICRO_BATCH, covered_days, is_visible
 from millrace.sources.partitions import partition_values
 from millrace.sources.tables import LOG_FORMATS
 
-DAY = "ingest_date"
-MICRO_BATCH = "_micro_batch"
-
 
 def append_partitioned(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
     """Append, or write nothing when there are no rows. A repeated append doubles the rows."""
@@ -131,10 +129,12 @@ def withdraw_rows(
     if not days:
         return 0
     stored = StructType([*schema.fields, StructField(MICRO_BATCH, LongType(), True)])
+    covered = covered_days(spark, path)
+    current = F.lit(True) if covered is None else is_visible(covered)
 
     def earlier() -> DataFrame:  # listed anew each time, as files come and go
         rows = spark.read.format(fmt).schema(stored).load(path)
-        return rows.filter(F.col(DAY).isin(days) & (F.col(MICRO_BATCH) < batch_id))
+        return rows.filter(F.col(DAY).isin(days) & (F.col(MICRO_BATCH) < batch_id) & current)
 
     part = F.concat_ws("/", DAY, MICRO_BATCH)
     wanted = keys.select(*[F.col(c).alias(f"_{c}") for c in keys.columns])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.lake import checked_day
+from millrace.sources.generations import MICRO_BATCH, covered_days, is_visible
 
 # Formats that keep their own file list and cannot be read by partition folder.
 LOG_FORMATS = ("delta",)
@@ -31,7 +32,7 @@ def read_table(
     reader = spark.read.format(fmt)
     if fmt not in LOG_FORMATS:
         reader = reader.schema(schema)
-    return _load(spark, reader, path, schema, missing_ok)
+    return _current(spark, _load(spark, reader, path, schema, missing_ok), path, fmt)
 
 
 def on_day(df: DataFrame, day: str) -> DataFrame:
@@ -50,7 +51,7 @@ def read_table_day(
         return on_day(read_table(spark, path, schema, fmt, missing_ok=True), day)
     reader = spark.read.format(fmt).schema(schema).option("basePath", path)
     folder = f"{path}/ingest_date={checked_day(day)}"
-    return _load(spark, reader, folder, schema, missing_ok=True)
+    return _current(spark, _load(spark, reader, folder, schema, missing_ok=True), path, fmt)
 
 
 def latest_runs(runs: DataFrame, n: int = 20) -> DataFrame:
@@ -58,6 +59,14 @@ def latest_runs(runs: DataFrame, n: int = 20) -> DataFrame:
     return runs.orderBy(F.desc("run_at"), F.asc("id")).limit(n)
 
 
+def _current(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> DataFrame:
+    """A table of micro-batches without the folders that a compaction has replaced, or not yet ended."""
+    if fmt in LOG_FORMATS or MICRO_BATCH not in df.columns:
+        return df
+    covered = covered_days(spark, path)
+    return df if covered is None else df.filter(is_visible(covered))
+
+
 def _load(spark, reader, path, schema, missing_ok) -> DataFrame:
     try:
         return reader.load(path)

@@ -1,3 +1,4 @@
+from millrace.streaming.compaction import compact_days, compact_stream, vacuum, vacuum_stream
 from millrace.streaming.jobs import (
     demand_stream,
     ingest_stream,
@@ -7,13 +8,21 @@ from millrace.streaming.jobs import (
     start_ingest,
     start_silver,
 )
+from millrace.streaming.late import demand_with_late, late_rows, start_demand_late
 
 __all__ = [
+    "compact_days",
+    "compact_stream",
     "demand_stream",
+    "demand_with_late",
     "ingest_stream",
+    "late_rows",
     "silver_stream",
     "start_closed_days",
     "start_demand",
+    "start_demand_late",
     "start_ingest",
     "start_silver",
+    "vacuum",
+    "vacuum_stream",
 ]

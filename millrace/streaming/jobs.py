@@ -21,6 +21,7 @@ from millrace.operators.quality import invalid_rows, judge, valid_rows
 from millrace.operators.rides import demand
 from millrace.operators.stamps import with_audit, with_quarantine_reason, with_silver_stamp
 from millrace.sinks.tables import DAY, MICRO_BATCH, replace_micro_batch, withdraw_rows
+from millrace.sources.generations import forget
 from millrace.sources.jsonl import RAW_DAY
 from millrace.sources.tables import read_table
 
@@ -178,6 +179,7 @@ def start_closed_days(
         invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(rows), at))
         for path, new in ((lake.silver(entity.name), valid), (lake.quarantine(entity.name), invalid)):
             for day in days:
+                forget(session, path, day)
                 of_day = new.filter(F.col(DAY) == day).drop(DAY).withColumn(MICRO_BATCH, F.lit(CLOSED).cast("long"))
                 of_day.hint("rebalance").write.format(lake.fmt).mode("overwrite").partitionBy(MICRO_BATCH).save(f"{path}/{DAY}={day}")
         delete(session, staged)
