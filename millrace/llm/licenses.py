@@ -8,7 +8,7 @@ unique. Coverage is the share of the template's words that are aligned.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from importlib import resources
 from itertools import accumulate, combinations
 from collections import Counter
@@ -189,9 +189,10 @@ class Scanner:
             template = self.templates[name]
             spare = self._spare(template)
             known = [0, *accumulate(w in self.vocabularies[name] for w in found)]
+            reach, ends = self._reach(template), self._dense_ends(found, template)
             taken = -1
             for k in places:
-                if k <= taken:
+                if k <= taken or ends[min(k + reach, len(found))] == ends[k]:
                     continue
                 pairs: list[tuple[int, int]] = []
                 for q in self.keys[found[k]][name]:
@@ -204,29 +205,60 @@ class Scanner:
         return sorted(self._best(out), key=lambda x: (x[1], x[0]))
 
     def _best(self, hits: list[tuple[str, int, int, int, float]]) -> list[tuple[str, int, int, int, float]]:
-        """``hits`` without those that overlap a better one of a rival."""
+        """``hits`` without those that overlap a better one of a rival.
+
+        Hits of one template don't overlap, so those kept of it stand in order of their last words too.
+        """
         kept: dict[str, list[tuple[str, int, int, int, float]]] = {}
+
+        def beaten(name: str, first: int, last: int, coverage: float) -> bool:
+            for rival, others in kept.items():
+                if (name, rival) in self.rivals:
+                    for at in range(bisect_left(others, first, key=lambda x: x[2]), len(others)):
+                        if others[at][1] > last:
+                            break
+                        if coverage < others[at][4] or self.rivals[name, rival]:
+                            return True
+            return False
+
         for hit in sorted(hits, key=lambda x: (-x[3], -x[4], x[0], x[1])):
             name, first, last, _, coverage = hit
-            if not any(
-                other[1] <= last and first <= other[2] and (coverage < other[4] or self.rivals[name, rival])
-                for rival, others in kept.items() if (name, rival) in self.rivals for other in others
-            ):
-                kept.setdefault(name, []).append(hit)
+            if not beaten(name, first, last, coverage):
+                insort(kept.setdefault(name, []), hit, key=lambda x: x[1])
         return [hit for some in kept.values() for hit in some]
 
+    def _reach(self, template: list[str]) -> int:
+        return int(len(template) * self.stretch) + 1
+
     def _spare(self, template: list[str]) -> int:
-        return max(0, int(len(template) * self.stretch) + 1 - len(template))
+        return max(0, self._reach(template) - len(template))
+
+    def _dense_ends(self, found: list[str], template: list[str]) -> list[int]:
+        """How many of the windows that end before each place of the text could hold an occurrence.
+
+        A window of the longest stretch holds none unless it has enough of the template's words, each counted at most as
+        often as the template has it. No occurrence is lost by that: it aligns each word of either side once.
+        """
+        room, reach, needed = Counter(template), self._reach(template), self._needed(template)
+        ends, held = [0], 0
+        for end, w in enumerate(found):
+            if w in room:
+                held += room[w] > 0
+                room[w] -= 1
+            if end >= reach and found[end - reach] in room:
+                room[found[end - reach]] += 1
+                held -= room[found[end - reach]] > 0
+            ends.append(ends[-1] + (held >= needed))
+        return ends
 
     def _around(self, found: list[str], k: int, template: list[str], q: int, first: int, last: int) -> list[tuple[int, int]]:
         """Aligned places of words ``first`` to ``last`` with word ``k`` of the text on word ``q`` of the template.
 
         Both sides are aligned on their own, so that a copy before or after does not make the words of this one repeat.
         """
-        reach = int(len(template) * self.stretch) + 1
         before = [(p + first, b) for p, b in align(found[first:k], template[:q])]
         after = [(p + k + 1, b + q + 1) for p, b in align(found[k + 1 : last], template[q + 1 :])]
-        return self._densest([*before, (k, q), *after], len(before), reach)
+        return self._densest([*before, (k, q), *after], len(before), self._reach(template))
 
     @staticmethod
     def _densest(pairs: list[tuple[int, int]], key: int, reach: int) -> list[tuple[int, int]]:
