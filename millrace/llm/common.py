@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from millrace.session import scratch_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Bits of a key bitmap: 1 MiB in all, whatever the number of keys. More keys mean more false hits, never a wrong result.
-BITMAP_BITS = 1 << 23
+#: A key bitmap has at least so many bits for each distinct key, so that at most one other key in eight is a false hit.
+BITS_PER_KEY = 8
+#: Least and most bits of a key bitmap: 1 MiB and 32 MiB. It is broadcast, so there is none for more than 33 million keys.
+LEAST_BITS, MOST_BITS = 1 << 23, 1 << 28
 #: Bits that one row of a bitmap table holds; fixed by Spark's bitmap functions.
 ROW_BITS = 32768
 #: Rows that go to a Python worker at a time; texts may be long.
@@ -53,30 +56,63 @@ def join_split(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return spread(left).join(spread(right), [*keys, "_spread"], how).drop("_spread")
 
 
-def _bit(*keys: Column) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BITMAP_BITS))
+class KeyBits(NamedTuple):
+    """Rows (_row, _bits) of 4 KiB that hold a bit for every key, ``n_bits`` in all."""
 
+    rows: DataFrame
+    n_bits: int
 
-def bitmap(keys: DataFrame, *columns: str) -> DataFrame:
-    """At most ``BITMAP_BITS / ROW_BITS`` rows of 4 KiB with a bit set for every key: small enough to broadcast at any input."""
-    bits = keys.select(_bit(*(F.col(c) for c in columns)).alias("bit"))
-    return bits.groupBy(F.bitmap_bucket_number("bit").alias("_row")).agg(
+
+def n_bits_for(n_keys: int) -> int:
+    """A power of two, from ``LEAST_BITS`` on, with ``BITS_PER_KEY`` bits for each key."""
+    return max(LEAST_BITS, 1 << max(n_keys * BITS_PER_KEY - 1, 0).bit_length())
+
+
+def _bit(n_bits: int, *keys: Column) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(n_bits))
+
+
+def bitmap(keys: DataFrame, *columns: str) -> KeyBits | None:
+    """The bitmap of ``keys``, which are read twice: counted (about, without a shuffle of them), then set. None if there
+    are more than ``MOST_BITS`` have room for."""
+    hashed = keys.select(F.xxhash64(*columns).alias("key"))
+    n_bits = n_bits_for(hashed.agg(F.approx_count_distinct("key", 0.02)).first()[0])
+    if n_bits > MOST_BITS:
+        return None
+    bits = keys.select(_bit(n_bits, *(F.col(c) for c in columns)).alias("bit"))
+    rows = bits.groupBy(F.bitmap_bucket_number("bit").alias("_row")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits")
     )
+    return KeyBits(rows, n_bits)
 
 
-def with_hit(df: DataFrame, bits: DataFrame, *keys: Column, name: str = "_hit") -> DataFrame:
-    """Adds a boolean: false where the key is certainly not among the bitmap's. Rows and other columns stay."""
-    df = df.withColumn("_bit", _bit(*keys)).withColumn("_row", F.bitmap_bucket_number("_bit"))
+def with_hit(df: DataFrame, bits: KeyBits | None, *keys: Column, name: str = "_hit") -> DataFrame:
+    """Adds a boolean: false where the key is certainly not among the bitmap's; true throughout without a bitmap. Rows and
+    other columns stay."""
+    if bits is None:
+        return df.withColumn(name, F.lit(True))
+    df = df.withColumn("_bit", _bit(bits.n_bits, *keys)).withColumn("_row", F.bitmap_bucket_number("_bit"))
     byte = F.conv(F.hex(F.expr("substring(_bits, cast(bitmap_bit_position(_bit) div 8 as int) + 1, 1)")), 16, 10).cast("int")
     hit = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(_bit) % 8 as int))")) != 0, F.lit(False))
-    return df.join(F.broadcast(bits), "_row", "left").withColumn(name, hit).drop("_row", "_bit", "_bits")
+    return df.join(F.broadcast(bits.rows), "_row", "left").withColumn(name, hit).drop("_row", "_bit", "_bits")
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the rows of ``docs`` whose doc_id is in ``ids``, a written table; with a bitmap, of a few others too.
+
+    No text is shuffled for up to 33 million ids; beyond that the rows wanted are so many that they are joined.
+    """
+    texts, bits = docs.select("doc_id", "text"), bitmap(ids, "doc_id")
+    if bits is None:
+        return join_split(texts, ids.select("doc_id").distinct(), ["doc_id"], "left_semi")
+    return with_hit(texts, bits, F.col("doc_id")).where("_hit").select("doc_id", "text")
 
 
 def without_ids(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``dropped``; a null doc_id stays.
+    """Rows of ``docs`` whose doc_id is not in ``dropped``, a written table; a null doc_id stays.
 
-    Only rows that hit the bitmap of dropped ids go through a shuffle, the rest passes by.
+    Only rows that hit the bitmap of dropped ids go through a shuffle, the rest passes by. Beyond 33 million dropped ids
+    all rows do.
     """
     packed = docs.select("doc_id", F.struct("*").alias("_doc"))  # no name in docs can clash
     marked = with_hit(packed, bitmap(dropped, "doc_id"), F.col("doc_id"))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BITMAP_BITS, HASH_TABLE_SIZE, ROW_BITS, cut, each_batch, join_split, mix, without_ids
+from millrace.llm.common import HASH_TABLE_SIZE, MOST_BITS, ROW_BITS, cut, each_batch, join_split, mix, n_bits_for, without_ids
 
 #: Windows of 11 words of which a mask reads those marked 1. Fixed masks: wherever a fifth of the words of a stretch of 13 or
 #: more were replaced, or of a whole item of 11 or 12, one of them reads a window without replaced words.
@@ -32,7 +32,7 @@ SIMILARITY = 0.8
 #: ... and it has so many words, or the whole item if that is shorter.
 MIN_WORDS = 13
 #: Each seed sets three bits of the bitmap, from these places of its hash on.
-BIT_SHIFTS = (0, 20, 41)
+BIT_SHIFTS = (0, 18, 36)
 #: Texts are hashed together up to about so many words, as many short array steps would cost more than the work.
 GROUP_WORDS = 16_384
 WORD = re.compile(r"\w+")
@@ -113,9 +113,9 @@ def _item_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _held(bits: np.ndarray, seed: np.ndarray) -> np.ndarray:
     """Places of the seeds whose bits are all set."""
-    place = np.arange(len(seed))
+    place, mask = np.arange(len(seed)), np.uint64(len(bits) * 8 - 1)
     for shift in BIT_SHIFTS:
-        bit = (seed[place] >> np.uint64(shift)) & np.uint64(BITMAP_BITS - 1)
+        bit = (seed[place] >> np.uint64(shift)) & mask
         place = place[(bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
     return place
 
@@ -218,8 +218,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     digits in lower case. Wherever the replaced words stand, one of the masks reads only words that agree. Ties go to the first place. Null and empty texts overlap
     nothing, null ids neither; repeated rows count once. Empty tables give an empty result.
 
-    Seeds of the documents leave the scan only if their bit is set in a bitmap of the benchmark's seeds, which has the
-    same size for any benchmark; all else meets in shuffled joins, so a benchmark may be of any size.
+    Seeds of the documents leave the scan only if their bits are set in a bitmap of the benchmark's seeds: 1 to 32 MiB, by
+    their number. A benchmark of more than 33 million seeds has fewer bits for each, so more windows leave for nothing. All
+    else meets in shuffled joins, so a benchmark may be of any size.
     """
     spark = docs.sparkSession
     items = cut(
@@ -231,11 +232,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     sizes = items.groupBy("n_words").agg(F.count("*").alias("n")).toPandas()  # at most one row for each item length
     longest = max([SPAN, *sizes["n_words"]])
     short = np.array(sorted(n for n in sizes["n_words"] if n < SPAN), np.int64)
-    bit = lambda shift: F.shiftrightunsigned("seed", shift).bitwiseAND(F.lit(BITMAP_BITS - 1)) + 1  # noqa: E731  from 1
+    n_bits = min(MOST_BITS, n_bits_for(items.count()))
+    bit = lambda shift: F.shiftrightunsigned("seed", shift).bitwiseAND(F.lit(n_bits - 1)) + 1  # noqa: E731  from 1
     at = F.col("bit")
     rows = items.select(F.explode(F.array(*map(bit, BIT_SHIFTS))).alias("bit")).groupBy(F.bitmap_bucket_number(at).alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
-    bits = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for row, part in rows.collect():  # at most BITMAP_BITS / ROW_BITS rows of 4 KiB
+    bits = np.zeros(n_bits // 8, np.uint8)
+    for row, part in rows.collect():  # at most MOST_BITS / ROW_BITS rows of 4 KiB
         bits[(row - 1) * ROW_BITS // 8 : row * ROW_BITS // 8] = np.frombuffer(bytes(part), np.uint8)
     sent = spark.sparkContext.broadcast((bits, longest, short))
     regions = cut(

@@ -16,7 +16,8 @@ def exact_dedup(docs: DataFrame, digest_all: bool = False) -> DataFrame:
     Texts are equal when identical after lower-casing A-Z; null counts as empty. Of equal texts the largest doc_id
     stays. A first scan leaves length and prefix hash of each row. Lengths that occur once are settled, then pairs of
     length and prefix hash that occur once. The second scan hashes the full text of the surviving groups only: which
-    rows these are is told by a bitmap of fixed size, so neither scan moves a text. A false hit costs one hash.
+    rows these are is told by a bitmap of their keys, so neither scan moves a text. A false hit costs one hash; beyond 33
+    million groups, where there is no bitmap, every text is hashed.
 
     ``text_sha256`` is null where a text was settled before its full hash; ``digest_all`` fills it for every row.
     Rows that repeat a doc_id share its verdict and count in group_size. A row without doc_id stays only if its group
@@ -28,7 +29,7 @@ def exact_dedup(docs: DataFrame, digest_all: bool = False) -> DataFrame:
     narrow = cut(docs.select(keys[0].alias("n_bytes"), keys[1].alias("prefix")), "prefixes")
     shared = narrow.groupBy("n_bytes").agg(F.count("*").alias("n")).where("n > 1").select("n_bytes")
     groups = join_split(narrow, shared, ["n_bytes"], "left_semi").groupBy("n_bytes", "prefix").agg(F.count("*").alias("n"))
-    survivors = bitmap(groups.where("n > 1"), "n_bytes", "prefix")
+    survivors = bitmap(cut(groups.where("n > 1").select("n_bytes", "prefix"), "groups"), "n_bytes", "prefix")
 
     marked = with_hit(docs.select("doc_id", text.alias("text")), survivors, *keys)
     digest = F.sha2(lower_ascii("text").cast("binary"), 256)

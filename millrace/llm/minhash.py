@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    WordHashes, ascii_words, bitmap, cut, each_batch, join_split, mix, small_batches, window_hashes, with_hit, without_ids,
+    WordHashes, ascii_words, cut, each_batch, join_split, mix, small_batches, texts_of, window_hashes, without_ids,
 )
 from millrace.llm.components import connected_components
 
@@ -107,8 +107,7 @@ def _confirmed(docs: DataFrame, signed: DataFrame, pairs: DataFrame, percent: in
         "likely-pairs",
     )
     ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    wanted = with_hit(docs.select("doc_id", "text"), bitmap(ids, "doc_id"), F.col("doc_id")).where("_hit")
-    sets = cut(wanted.select("doc_id", "text").mapInPandas(_sets, "doc_id long, shingles array<long>"), "shingle-sets")
+    sets = cut(texts_of(docs, ids).mapInPandas(_sets, "doc_id long, shingles array<long>"), "shingle-sets")
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}"))
     both = join_split(join_split(likely, side("b"), ["b"]), side("a"), ["a"])
     shared, total = F.size(F.array_intersect("set_a", "set_b")), F.size("set_a") + F.size("set_b")
@@ -162,8 +161,7 @@ def _rare_rows(docs: DataFrame, split: DataFrame, percent: int) -> DataFrame:
     shingles of both in any common order. In order of frequency these are seldom those of a passage that many share.
     """
     ids = split.select(F.col("id").alias("doc_id"), "component").distinct()
-    wanted = with_hit(docs.select("doc_id", "text"), bitmap(ids, "doc_id"), F.col("doc_id")).where("_hit")
-    sets = wanted.select("doc_id", "text").mapInPandas(_sets, "doc_id long, shingles array<long>").join(ids, "doc_id")
+    sets = texts_of(docs, ids).mapInPandas(_sets, "doc_id long, shingles array<long>").join(ids, "doc_id")
     items = cut(
         sets.select(F.col("doc_id").alias("id"), "component", F.size("shingles").alias("n"), F.explode("shingles").alias("key")),
         "shingles",

@@ -459,3 +459,24 @@ def test_a_long_benchmark_item_is_sent_once(spark):
     got = sorted((r.doc_id, r.item_id, r.first_word, r.n_overlap) for r in decontaminate.find_overlaps(docs, bench).collect())
     assert [g for g in got if g[:2] in ((1, 1), (3, 1), (3, 3))] == got and got[1][:2] == (3, 1)
     assert got[0][2] <= 1 and got[0][3] >= 120 and got[1][3] == 20_000 and got[2][3] >= 40
+
+
+def test_key_bitmaps_grow_with_their_keys_and_lose_none(spark, monkeypatch):
+    from millrace.llm import common
+
+    assert common.n_bits_for(0) == common.n_bits_for(1 << 20) == 1 << 23
+    assert common.n_bits_for((1 << 20) + 1) == 1 << 24 and common.n_bits_for(1 << 25) == common.MOST_BITS
+    ids = spark.range(0, 3000, 3).withColumnRenamed("id", "doc_id")
+    docs = spark.range(3000).selectExpr("id doc_id", "cast(id as string) text", "1 _row", "2 _bit").unionAll(
+        spark.sql("select cast(null as bigint), 'x', 1, 2")
+    )
+    wanted = {i for i in range(3000) if i % 3 == 0}
+    for least, most in ((1 << 15, 1 << 28), (1 << 15, 1 << 12)):  # a bitmap that grew; too many keys for one
+        monkeypatch.setattr(common, "LEAST_BITS", least)
+        monkeypatch.setattr(common, "MOST_BITS", most)
+        assert (common.bitmap(ids, "doc_id") is None) == (most < least)
+        found = [row.doc_id for row in common.texts_of(docs, ids).collect()]
+        assert wanted <= set(found) and len(found) < 1400
+        left = common.without_ids(docs, ids)
+        assert left.columns == docs.columns
+        assert sorted((row.doc_id for row in left.collect()), key=str) == sorted([*({*range(3000)} - wanted), None], key=str)
