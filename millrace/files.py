@@ -58,6 +58,12 @@ def filled(spark: SparkSession, paths: list[str]) -> list[str]:
         return [path for path, full in zip(paths, pool.map(lambda p: has_file(spark, p), paths), strict=True) if full]
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    files, target = _opened(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Make an empty file, and the folders above it."""
     files, target = _opened(spark, path)

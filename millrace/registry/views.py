@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import scratch_dir
+from millrace.files import total_bytes
+from millrace.session import scratch_dir, size_reads, size_shuffles
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -135,6 +136,11 @@ FROM {supplier}""",
 }
 
 
+#: Test tables below this size are spread by a shuffle, as one may be a single row group, which one task reads alone.
+SPREAD_BELOW = 64 * 1024 * 1024
+#: Row groups of staged tables: what a task reads of one at least.
+ROW_GROUP_BYTES = 64 * 1024 * 1024
+
 _BUILT: dict[tuple, object] = {}
 
 
@@ -160,20 +166,38 @@ def once(build: Callable, spark: SparkSession, sf_dir: str, *args):
 def _stage(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Write a view as a table, as the operators expect plain columns.
 
-    Each test table is one file with a single row group, which one task reads alone; the staged
-    table is spread over all cores, as a table of any size would be.
+    A large table is written by the tasks that read it. A small one is spread over all cores by a hash of its rows: that
+    needs no sort of what a task reads, as dealing the rows out in turn does.
     """
     path = f"{scratch_dir(spark, 'views')}/{name}"
-    rows = _derived(spark, sf_dir, name)
-    rows.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    size_reads(spark)
+    rows = derived(spark, sf_dir, name)
+    if is_small(spark, sf_dir, name):
+        rows = spread(rows, spark.sparkContext.defaultParallelism)
+    rows.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    size_shuffles(spark, path, only_up=True)
     return path
 
 
-def _derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartition(parts, *rows.columns)
+
+
+def _tables(name: str) -> set[str]:
+    """The test tables that a view is made from."""
+    return {name} if name in TABLES else set().union(*(_tables(need) for need in _needs(VIEWS[name])))
+
+
+def is_small(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    """Whether all test tables behind a view are too small to be read by many tasks."""
+    return all(total_bytes(spark, f"{sf_dir}/{table}.parquet") < SPREAD_BELOW for table in _tables(name))
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in TABLES:
         return load(spark, sf_dir, name)
     text = VIEWS[name]
-    return spark.sql(text, **{need: _derived(spark, sf_dir, need) for need in _needs(text)})
+    return spark.sql(text, **{need: derived(spark, sf_dir, need) for need in _needs(text)})
 
 
 def oracle(body: str) -> str:

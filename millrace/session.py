@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -11,6 +13,18 @@ from pyspark.sql import functions as F
 
 PARTITION_BYTES = 256 * 1024 * 1024
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: What a task reads of files at most: their rows take ten times as much and more in a sort, of which several run at a time.
+SPLIT_BYTES = 32 * 1024 * 1024
+SPLITS = "spark.sql.files.maxPartitionBytes"
+#: Bytes of rows in memory for a byte of a file, by the end of its name; 1 for all others.
+EXPANDS = {".gz": 10, ".parquet": 10, ".orc": 10}
+#: State outside the heap, within one bound for all stores of an executor, of which only changes are written.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def settings(input_bytes: int | None = None) -> dict[str, str]:
@@ -28,10 +42,9 @@ def settings(input_bytes: int | None = None) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES // 2),
-        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        SPLITS: str(SPLIT_BYTES),
         "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        **STATE_STORE,
         "spark.ui.enabled": "false",
     }
     if input_bytes is not None:
@@ -44,22 +57,54 @@ def initial_partitions(input_bytes: int) -> int:
     return max(8, -(-input_bytes // PARTITION_BYTES))
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> None:
+def size_shuffles(spark: SparkSession, *paths: str, only_up: bool = False) -> None:
     """Size the session's first shuffles by the files below ``paths``; absent ones count as empty.
 
-    Only names and lengths are listed. A larger size that was set before, for jobs that run
-    beside this one, stays.
+    Only names and lengths are listed; compressed files count as the rows they hold. A larger size that was set before,
+    for jobs that run beside this one, stays; with ``only_up`` also the session's own number of shuffle partitions, if that
+    is enough. Reads are sized as well.
     """
+    size_reads(spark)
+    weight = F.lit(1)
+    for ending, factor in EXPANDS.items():
+        weight = F.when(F.col("path").endswith(ending), factor).otherwise(weight)
     total = 0
     for path in paths:
         try:
             files = spark.read.format("binaryFile").load(path)
-            total += files.agg(F.sum("length")).first()[0] or 0
+            total += files.agg(F.sum(F.col("length") * weight)).first()[0] or 0
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    wanted = max(initial_partitions(total), int(spark.conf.get(INITIAL_PARTITIONS, "1")))
-    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    wanted, before = initial_partitions(total), spark.conf.get(INITIAL_PARTITIONS, None)
+    if only_up and before is None and wanted <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return
+    spark.conf.set(INITIAL_PARTITIONS, str(max(wanted, int(before or 1))))
+
+
+def size_reads(spark: SparkSession) -> None:
+    """From now on a task reads ``SPLIT_BYTES`` of files at most; a smaller size that was set before stays."""
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if in_bytes(spark.conf.get(SPLITS)) > SPLIT_BYTES:
+        spark.conf.set(SPLITS, str(SPLIT_BYTES))
+
+
+def size_state(spark: SparkSession) -> None:
+    """State of the streams that start from now on is kept as ``STATE_STORE`` says, unless the session says otherwise."""
+    for key, value in STATE_STORE.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A setting of the session for as long as the block runs."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def build_session(
