@@ -26,8 +26,8 @@ from millrace.plans import (
 )
 from millrace.registry import Query
 from millrace.registry.tables import RECON_SQL, SILVER_SQL
-from millrace.registry.views import load, once, oracle
-from millrace.session import scratch_dir
+from millrace.registry.views import derived, is_small, load, once, oracle
+from millrace.session import SPLITS, scratch_dir, setting, size_shuffles
 from millrace.sinks import append_partitioned, replace_days, sample_rows, write_day_jsonl
 from millrace.sources import (
     latest_runs,
@@ -40,13 +40,24 @@ from millrace.sources import (
 
 ONE_DAY = "1997-03-01"
 RATINGS_DAY = "2024-01-01"
+#: Raw lines are delivered compressed; this many take some 10 MB then, and 100 MB and more as rows.
+LINES_PER_FILE = 250_000
+DELIVERY_SPLITS = 128 * 1024 * 1024
 EVENT_TIME = {"trips": "request_time", "payments": "payment_time", "ratings": "rated_at"}
 
 
 def batched(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """An entity's columns and the month it is delivered in."""
+    """An entity's columns and the month it is delivered in, straight from the test tables."""
     month = F.concat(F.substring("ingest_date", 1, 8), F.lit("01")).alias("batch_day")
-    return load(spark, sf, f"v_{name}").select(*ENTITIES[name].schema.names, month)
+    return derived(spark, sf, f"v_{name}").select(*ENTITIES[name].schema.names, month)
+
+
+def deliver(spark: SparkSession, sf: str, name: str, rows: DataFrame, lake: Lake, mode: str = "overwrite") -> None:
+    """Write ``batched`` rows as raw lines. There are some hundred months at most, so the tasks that read a large table
+    write it too; large splits keep files few."""
+    small = is_small(spark, sf, f"v_{name}")
+    with setting(spark, SPLITS, DELIVERY_SPLITS):
+        write_day_jsonl(rows, lake.raw_entity(name), "batch_day", mode, small, "gzip", LINES_PER_FILE)
 
 
 def batched_sql(name: str) -> str:
@@ -80,7 +91,7 @@ def _raw_lines(spark: SparkSession, sf: str, name: str) -> Lake:
         F.date_format(start, BATCH_LABEL).alias("batch_id"),
     )
     rows = batched(spark, sf, name).withColumn("_meta", meta)
-    write_day_jsonl(rows, lake.raw_entity(name), "batch_day")
+    deliver(spark, sf, name, rows, lake)
     return lake
 
 
@@ -192,14 +203,20 @@ def first_trips(spark, sf):
 
 
 def replace_idempotent(spark, sf):
-    """Three writes of all days, the last one without rows for one of them."""
-    path = scratch_dir(spark, "replace")
-    rows = dedupe(batched(spark, sf, "payments"), ["batch_day", "payment_id"], newest=PAYMENTS.newest)
-    rows = rows.withColumnRenamed("batch_day", "ingest_date")
+    """Three writes of all days, the last one without rows for one of them.
+
+    The rows are deduped and gathered by day once, so what is offered three times lies within a day already.
+    """
+    path, offered = scratch_dir(spark, "replace"), scratch_dir(spark, "offered")
     days = [row["date"] for row in raw_day_list(spark, sf)]
-    replace_days(spark, rows, path, days)
-    replace_days(spark, rows, path, days)
-    replace_days(spark, rows.filter(F.col("ingest_date") != ONE_DAY), path, days)
+    size_shuffles(spark, raw_lake(spark, sf, "payments").raw_entity("payments"), only_up=True)
+    best = dedupe(batched(spark, sf, "payments"), ["batch_day", "payment_id"], newest=PAYMENTS.newest)
+    best = best.withColumnRenamed("batch_day", "ingest_date")
+    replace_days(spark, best, offered, days)
+    rows = spark.read.schema(best.schema).parquet(offered)
+    replace_days(spark, rows, path, days, gather=False)
+    replace_days(spark, rows, path, days, gather=False)
+    replace_days(spark, rows.filter(F.col("ingest_date") != ONE_DAY), path, days, gather=False)
     stored = spark.read.schema(rows.schema).parquet(path)
     return stored.groupBy("ingest_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("fare_vnd").cast("bigint")).alias("fare_vnd")
@@ -298,7 +315,7 @@ def backfill_missing_day(spark, sf):
     run_range(spark, lake, *raw_span(spark, lake, "trips"), (TRIPS,))
     later = Lake(root=lake.root, raw=scratch_dir(spark, "missing-raw"))
     rows = batched(spark, sf, "trips").filter((F.col("batch_day") != ONE_DAY) & F.col("driver_id").isNotNull())
-    write_day_jsonl(rows, later.raw_entity("trips"), "batch_day")
+    deliver(spark, sf, "trips", rows, later)
     totals = run_range(spark, later, *raw_span(spark, lake, "trips"), (TRIPS,))
     status = latest_runs(read_table(spark, lake.runs, RUNS_SCHEMA), 1).first()["status"]
     return totals.drop("entity").filter("bronze_rows > 0").withColumn("status", F.lit(status))

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from millrace.entities import ENTITIES, PAYMENTS, TRIPS
 from millrace.lake import Lake
 from millrace.registry import Query
-from millrace.registry.lakes import batched, batched_sql, deduped_sql, fresh, passes_sql
+from millrace.registry.lakes import batched, batched_sql, deduped_sql, deliver, fresh, passes_sql
 from millrace.registry.tables import SILVER_SQL
 from millrace.registry.views import once, oracle
 from millrace.session import scratch_dir
-from millrace.sinks import write_day_jsonl
 from millrace.sources import read_table
 from millrace.sinks.tables import MICRO_BATCH
 from millrace.streaming import (
@@ -64,7 +63,7 @@ def delivered(spark: SparkSession, sf: str) -> Lake:
     rows = batched(spark, sf, "payments")
     for turn in range(3):
         part = F.pmod(F.crc32(F.concat_ws("-", "fare_vnd", "payment_time").cast("binary")), F.lit(3)) == turn
-        write_day_jsonl(rows.filter(part), lake.raw_entity("payments"), "batch_day", mode="append")
+        deliver(spark, sf, "payments", rows.filter(part), lake, mode="append")
         start_ingest(spark, lake, PAYMENTS).awaitTermination()
         start_silver(spark, lake, PAYMENTS).awaitTermination()
     return lake
@@ -108,7 +107,7 @@ def out_of_order(spark: SparkSession, sf: str) -> Lake:
     rows = batched(spark, sf, "trips")
     turn = F.coalesce((F.year("request_time") + 1) % 3, F.lit(0))
     for n in range(3):
-        write_day_jsonl(rows.filter(turn == n), lake.raw_entity("trips"), "batch_day", mode="append")
+        deliver(spark, sf, "trips", rows.filter(turn == n), lake, mode="append")
         start_ingest(spark, lake, TRIPS).awaitTermination()
         start_demand_late(spark, lake).awaitTermination()
     return lake
