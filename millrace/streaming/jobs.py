@@ -20,6 +20,7 @@ from millrace.operators.dedupe import dedupe, survivor, unpacked
 from millrace.operators.quality import invalid_rows, judge, valid_rows
 from millrace.operators.rides import demand
 from millrace.operators.stamps import with_audit, with_quarantine_reason, with_silver_stamp
+from millrace.session import size_reads, size_state
 from millrace.sinks.tables import DAY, MICRO_BATCH, replace_micro_batch, withdraw_rows
 from millrace.sources.generations import forget
 from millrace.sources.jsonl import RAW_DAY
@@ -56,6 +57,7 @@ def start_ingest(
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Land all new raw files in Bronze, each exactly once, then stop."""
+    size_reads(spark)
     return (
         ingest_stream(spark, lake, entity, source, files_per_batch)
         .writeStream.format(lake.fmt)
@@ -121,6 +123,8 @@ def start_silver(
     after a crash finds what was written down and goes on from there.
     """
     staging = lake.staging(entity.name)
+    size_reads(spark)
+    size_state(spark)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session, staged = batch.sparkSession, f"{staging}/stream/batch={batch_id}"
@@ -214,6 +218,8 @@ def start_demand(
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append every window that can no longer change to ``<root>/demand``, then stop."""
+    size_reads(spark)
+    size_state(spark)
     return (
         demand_stream(spark, lake, delay, files_per_batch)
         .writeStream.format(lake.fmt)
