@@ -40,7 +40,7 @@ from millrace.sources import (
 
 ONE_DAY = "1997-03-01"
 RATINGS_DAY = "2024-01-01"
-#: Raw lines are delivered compressed; this many take some 10 MB then, and 100 MB and more as rows.
+#: Raw lines are delivered compressed; a reader gets a whole file in one task, so files are bounded.
 LINES_PER_FILE = 250_000
 DELIVERY_SPLITS = 128 * 1024 * 1024
 EVENT_TIME = {"trips": "request_time", "payments": "payment_time", "ratings": "rated_at"}

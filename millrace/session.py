@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 PARTITION_BYTES = 256 * 1024 * 1024
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-#: What a task reads of files at most: their rows take ten times as much and more in a sort, of which several run at a time.
+#: What a task reads of files at most: their rows take many times as much in a sort, of which several run at a time.
 SPLIT_BYTES = 32 * 1024 * 1024
 SPLITS = "spark.sql.files.maxPartitionBytes"
-#: Bytes of rows in memory for a byte of a file, by the end of its name; 1 for all others.
+#: Bytes of rows in memory for a byte of a file, by the end of its name; 1 for all others. A rough guess, not a measure.
 EXPANDS = {".gz": 10, ".parquet": 10, ".orc": 10}
 #: State outside the heap, within one bound for all stores of an executor, of which only changes are written.
 STATE_STORE = {
