@@ -22,7 +22,7 @@ from millrace.operators.quality import PASSES, invalid_rows, judge, valid_rows
 from millrace.operators.stamps import with_audit, with_quarantine_reason, with_silver_stamp
 from millrace.sinks.runlog import days_done, log_run, log_runs
 from millrace.sinks.tables import append_partitioned, replace_day, replace_days
-from millrace.session import size_shuffles
+from millrace.session import size_shuffles, small_sorts
 from millrace.sources.jsonl import BAD_LINE, RAW_DAY, is_broken, is_damaged, raw_days, read_days, read_jsonl
 from millrace.sources.tables import LOG_FORMATS, read_table, read_table_day
 
@@ -261,7 +261,8 @@ def backfill_entity(
     )
     best, staged = checked_rows(bronze, entity, per_day=True), f"{lake.staging(entity.name)}/range-{uuid.uuid4().hex}"
     try:
-        best.write.parquet(staged)
+        with small_sorts(spark):
+            best.write.option("compression", "zstd").parquet(staged)
         judged = spark.read.schema(best.schema).parquet(staged)
         valid = with_silver_stamp(valid_rows(judged), at)
         invalid = with_quarantine_reason(with_silver_stamp(invalid_rows(judged), at))

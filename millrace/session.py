@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
+from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -16,6 +17,15 @@ INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 #: What a task reads of files at most: their rows take many times as much in a sort, of which several run at a time.
 SPLIT_BYTES = 32 * 1024 * 1024
 SPLITS = "spark.sql.files.maxPartitionBytes"
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+#: Within ``small_sorts``: what a task reads of files, what AQE merges shuffled rows up to (compressed, some four times as
+#: much in a sort), and shuffle partitions for one that ``size_shuffles`` asked for.
+SORT_SPLIT_BYTES = 8 * 1024 * 1024
+SORT_ADVISORY_BYTES = 16 * 1024 * 1024
+SORT_PARTS = 4
+#: Files of different days that a task writes at a time; beyond that it sorts its rows by day.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+OPEN_DAYS = 400
 #: Bytes of rows in memory for a byte of a file, by the end of its name; 1 for all others. A rough guess, not a measure.
 EXPANDS = {".gz": 10, ".parquet": 10, ".orc": 10}
 #: State outside the heap, within one bound for all stores of an executor, of which only changes are written.
@@ -41,7 +51,7 @@ def settings(input_bytes: int | None = None) -> dict[str, str]:
         "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES // 2),
+        ADVISORY: str(PARTITION_BYTES // 2),
         SPLITS: str(SPLIT_BYTES),
         "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
         **STATE_STORE,
@@ -84,11 +94,14 @@ def size_shuffles(spark: SparkSession, *paths: str, only_up: bool = False) -> No
 
 def size_reads(spark: SparkSession) -> None:
     """From now on a task reads ``SPLIT_BYTES`` of files at most; a smaller size that was set before stays."""
-    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    if in_bytes(spark.conf.get(SPLITS)) > SPLIT_BYTES:
+    if _bytes_of(spark, SPLITS) > SPLIT_BYTES:
         spark.conf.set(SPLITS, str(SPLIT_BYTES))
 
 
+def _bytes_of(spark: SparkSession, key: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+
+
 def size_state(spark: SparkSession) -> None:
     """State of the streams that start from now on is kept as ``STATE_STORE`` says, unless the session says otherwise."""
     for key, value in STATE_STORE.items():
@@ -96,15 +109,61 @@ def size_state(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+#: Of settings that blocks hold now, by session and key: how many blocks, and the value before the first of them.
+_HELD: dict[tuple[str, str], tuple[int, str | None]] = {}
+_HOLDING = Lock()
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
-    """A setting of the session for as long as the block runs."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(value))
+    """A setting of the session for as long as the block runs.
+
+    Jobs side by side share the session: the value before comes back when the last block that holds the key ends.
+    """
+    held = (spark._jsparkSession.sessionUUID(), key)
+    with _HOLDING:
+        blocks, before = _HELD.get(held, (0, None))
+        own = spark.conf.get(key, None)
+        _HELD[held] = (blocks + 1, before if blocks else own)
+        spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        with _HOLDING:
+            blocks, before = _HELD[held]
+            if blocks > 1:
+                _HELD[held] = (blocks - 1, before)
+                if own is not None:
+                    spark.conf.set(key, own)  # of the block around this one, or of one beside it
+            else:
+                del _HELD[held]
+                spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _unheld(spark: SparkSession, key: str) -> str | None:
+    """A setting as it is outside of all blocks."""
+    with _HOLDING:
+        blocks, before = _HELD.get((spark._jsparkSession.sessionUUID(), key), (0, None))
+        return before if blocks else spark.conf.get(key, None)
+
+
+def open_writers(spark: SparkSession):
+    """Within the block, tasks that write rows of many days keep a file of each open instead of sorting by day."""
+    return setting(spark, WRITERS, OPEN_DAYS)
+
+
+@contextmanager
+def small_sorts(spark: SparkSession) -> Iterator[None]:
+    """Within the block, what a task sorts of wide rows stays small, whatever the input's size: more tasks, no spill.
+
+    Smaller sizes that were set before stay.
+    """
+    parts = _unheld(spark, INITIAL_PARTITIONS) or spark.conf.get("spark.sql.shuffle.partitions")
+    with ExitStack() as held:
+        for key, most in ((SPLITS, SORT_SPLIT_BYTES), (ADVISORY, SORT_ADVISORY_BYTES)):
+            held.enter_context(setting(spark, key, min(most, _bytes_of(spark, key))))
+        held.enter_context(setting(spark, INITIAL_PARTITIONS, SORT_PARTS * int(parts)))
+        yield
 
 
 def build_session(

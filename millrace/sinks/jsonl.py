@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import setting
+from millrace.session import open_writers
 from millrace.sources.jsonl import RAW_DAY
 
 # Zone-less ISO text with every digit kept; the default format stops at milliseconds.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-#: Days that a task writes at a time; beyond that it sorts its rows by day.
-OPEN_DAYS = 400
-
-
 def write_day_jsonl(
     df: DataFrame,
     root: str,
@@ -34,7 +30,7 @@ def write_day_jsonl(
     rows = df.withColumnRenamed(day_column, RAW_DAY)
     if gather:
         rows = rows.hint("rebalance", F.col(RAW_DAY))
-    with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", OPEN_DAYS):
+    with open_writers(df.sparkSession):
         (
             rows.write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")

@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.files import delete, is_written, matching
 from millrace.lake import checked_day
+from millrace.session import open_writers
 from millrace.sources.generations import DAY, MICRO_BATCH, covered_days, is_visible
 from millrace.sources.partitions import partition_values
 from millrace.sources.tables import LOG_FORMATS
@@ -20,7 +21,8 @@ def append_partitioned(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
     """Append, or write nothing when there are no rows. A repeated append doubles the rows."""
     if df.isEmpty():
         return False
-    df.write.format(fmt).mode("append").partitionBy(DAY).save(path)
+    with open_writers(df.sparkSession):
+        df.write.format(fmt).mode("append").partitionBy(DAY).save(path)
     return True
 
 
@@ -55,7 +57,8 @@ def replace_days(
     """Make ``df`` the only content of the given days; other days stay, whatever ``df`` holds.
 
     ``gather`` brings each day's rows together before the write, so that a shuffled input does
-    not leave one file per task and day. AQE splits days that are too big for a task.
+    not leave one file per task and day. AQE splits days that are too big for a task. No task sorts
+    its rows by day: it keeps the files of its days open.
     """
     days = sorted({checked_day(day) for day in days})
     if not days:
@@ -71,13 +74,9 @@ def replace_days(
     # most one value per requested day, so the set stays as small as the request.
     written = Observation()
     rows = rows.observe(written, F.collect_set(DAY).alias("days"))
-    (
-        rows.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .save(path)
-    )
+    writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    with open_writers(spark):
+        writer.partitionBy(DAY).save(path)
     _clear_days(spark, path, set(days) - set(written.get["days"]))
 
 
@@ -101,13 +100,9 @@ def replace_micro_batch(
     written = Observation()
     rows = df.hint("rebalance", F.col(DAY)).withColumn(MICRO_BATCH, F.lit(batch_id).cast("long"))
     rows = rows.observe(written, F.collect_set(DAY).alias("days"))
-    (
-        rows.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY, MICRO_BATCH)
-        .save(path)
-    )
+    writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    with open_writers(spark):
+        writer.partitionBy(DAY, MICRO_BATCH).save(path)
     if not replayed:
         return
     days = written.get["days"]

@@ -3,11 +3,32 @@ from __future__ import annotations
 import gzip
 from pathlib import Path
 
+import pytest
 from conftest import plan, tuples
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
+from millrace.entities import PAYMENTS
+from millrace.lake import Lake
+from millrace.plans import run_range
 from millrace.registry import views
-from millrace.session import INITIAL_PARTITIONS, SPLIT_BYTES, SPLITS, STATE_STORE, size_reads, size_shuffles, size_state
-from millrace.sinks import write_day_jsonl
+from millrace.session import (
+    ADVISORY,
+    INITIAL_PARTITIONS,
+    OPEN_DAYS,
+    SORT_ADVISORY_BYTES,
+    SORT_SPLIT_BYTES,
+    SPLIT_BYTES,
+    SPLITS,
+    STATE_STORE,
+    WRITERS,
+    setting,
+    size_reads,
+    size_shuffles,
+    size_state,
+    small_sorts,
+)
+from millrace.sinks import append_partitioned, replace_days, replace_micro_batch, write_day_jsonl
 from millrace.sources import read_days
 
 
@@ -59,3 +80,71 @@ def test_a_plain_session_gets_small_splits_and_state_off_the_heap(spark):
     own.conf.set(SPLITS, "1m")
     size_reads(own)
     assert own.conf.get(SPLITS) == "1m"
+
+
+@pytest.fixture
+def writes(spark, monkeypatch):
+    """The settings at each write: open writers, splits, advisory size."""
+    seen = []
+    for name in ("save", "parquet"):
+        real = getattr(DataFrameWriter, name)
+
+        def write(self, path=None, *args, _real=real, _name=name, **options):
+            seen.append((path, *(spark.conf.get(key, None) for key in (WRITERS, SPLITS, ADVISORY))))
+            return _real(self, path, *args, **options)
+
+        monkeypatch.setattr(DataFrameWriter, name, write)
+    return seen
+
+
+def test_tables_by_day_are_written_without_a_sort(spark, tmp_path, writes):
+    days = ["2026-03-20", "2026-03-21"]
+    rows = spark.range(10).selectExpr("id", "concat('2026-03-2', id % 2) AS ingest_date")
+    append_partitioned(rows, str(tmp_path / "a"))
+    replace_days(spark, rows, str(tmp_path / "b"), days)
+    replace_days(spark, rows, str(tmp_path / "b"), days, gather=False)
+    replace_micro_batch(rows, str(tmp_path / "c"), 0)
+    assert [open_at_a_time for _, open_at_a_time, *_ in writes] == [str(OPEN_DAYS)] * 4
+    assert tuples(spark.read.parquet(str(tmp_path / "b")).select("id"), "id") == tuples(rows, "id")
+    assert spark.conf.get(WRITERS, None) is None
+
+
+def payments(spark, lake):
+    rows = spark.range(20).select(
+        F.concat(F.lit("PAY"), F.col("id") % 15).alias("payment_id"), F.lit("TRP1").alias("trip_id"),
+        F.lit("success").alias("payment_status"), F.lit("cash").alias("payment_method"),
+        F.col("id").cast("int").alias("final_amount_vnd"), F.lit("2026-03-21").alias("day"),
+    )
+    write_day_jsonl(rows, lake.raw_entity("payments"), "day")
+
+
+def test_a_backfill_sorts_little_at_a_time(spark, tmp_path, writes):
+    lake = Lake(root=str(tmp_path / "lake"), raw=str(tmp_path / "raw"))
+    payments(spark, lake)
+    before = [spark.conf.get(key, None) for key in (WRITERS, SPLITS, ADVISORY)]
+    counts = run_range(spark, lake, "2026-03-21", 1, (PAYMENTS,)).first()
+    assert (counts["bronze_rows"], counts["valid_rows"], counts["quarantine_rows"]) == (20, 15, 0)
+    (staged,) = [found for found in writes if "_staging" in found[0]]
+    assert int(staged[2]) <= SORT_SPLIT_BYTES and int(staged[3]) <= SORT_ADVISORY_BYTES
+    assert [spark.conf.get(key, None) for key in (WRITERS, SPLITS, ADVISORY)] == before
+
+
+def test_small_sorts_keep_smaller_sizes(spark):
+    own = spark.newSession()
+    own.conf.set(SPLITS, "1m")
+    own.conf.set(ADVISORY, "64m")
+    own.conf.set(INITIAL_PARTITIONS, "10")
+    with small_sorts(own), small_sorts(own):  # as two jobs side by side
+        assert own.conf.get(SPLITS) == str(2**20) and own.conf.get(ADVISORY) == str(SORT_ADVISORY_BYTES)
+        assert own.conf.get(INITIAL_PARTITIONS) == "40"
+    assert [own.conf.get(key) for key in (SPLITS, ADVISORY, INITIAL_PARTITIONS)] == ["1m", "64m", "10"]
+
+
+def test_a_setting_stays_as_long_as_a_job_beside_needs_it(spark):
+    first, second = setting(spark, WRITERS, 3), setting(spark, WRITERS, 3)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(WRITERS, None) == "3"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(WRITERS, None) is None
