@@ -6,7 +6,9 @@ sink's log, and Silver is partitioned by day, then micro-batch.
 
 from __future__ import annotations
 
+from contextlib import ExitStack, suppress
 from datetime import datetime, timezone
+from threading import Thread
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from millrace.operators.dedupe import dedupe, survivor, unpacked
 from millrace.operators.quality import invalid_rows, judge, valid_rows
 from millrace.operators.rides import demand
 from millrace.operators.stamps import with_audit, with_quarantine_reason, with_silver_stamp
-from millrace.session import size_reads, size_state
+from millrace.session import open_writers, size_reads, size_state
 from millrace.sinks.tables import DAY, MICRO_BATCH, replace_micro_batch, withdraw_rows
 from millrace.sources.generations import forget
 from millrace.sources.jsonl import RAW_DAY
@@ -58,15 +60,27 @@ def start_ingest(
 ) -> StreamingQuery:
     """Land all new raw files in Bronze, each exactly once, then stop."""
     size_reads(spark)
-    return (
+    writer = (
         ingest_stream(spark, lake, entity, source, files_per_batch)
         .writeStream.format(lake.fmt)
         .outputMode("append")
         .option("checkpointLocation", lake.checkpoint(f"ingest-{entity.name}"))
         .partitionBy("ingest_date")
         .trigger(availableNow=True)
-        .start(lake.bronze(entity.name))
     )
+    with ExitStack() as held:  # the file sink asks the session for its settings at every micro-batch
+        held.enter_context(open_writers(spark))
+        query = writer.start(lake.bronze(entity.name))
+        Thread(target=_release, args=(query, held.pop_all()), daemon=True).start()
+    return query
+
+
+def _release(query: StreamingQuery, held: ExitStack) -> None:
+    """Give settings back when a stream has ended, whatever its end."""
+    with suppress(Exception):  # raised where the caller waits for the stream
+        query.awaitTermination()
+    with suppress(Exception):  # no session any more
+        held.close()
 
 
 def silver_stream(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import time
 from pathlib import Path
 
 import pytest
@@ -29,6 +30,7 @@ from millrace.session import (
     small_sorts,
 )
 from millrace.sinks import append_partitioned, replace_days, replace_micro_batch, write_day_jsonl
+from millrace.streaming import start_ingest
 from millrace.sources import read_days
 
 
@@ -148,3 +150,17 @@ def test_a_setting_stays_as_long_as_a_job_beside_needs_it(spark):
     assert spark.conf.get(WRITERS, None) == "3"
     second.__exit__(None, None, None)
     assert spark.conf.get(WRITERS, None) is None
+
+
+def test_a_stream_lands_its_files_without_a_sort(spark, tmp_path):
+    lake = Lake(root=str(tmp_path / "lake"), raw=str(tmp_path / "raw"))
+    payments(spark, lake)
+    query = start_ingest(spark, lake, PAYMENTS)
+    assert spark.conf.get(WRITERS, None) == str(OPEN_DAYS)
+    query.awaitTermination()
+    assert spark.read.parquet(lake.bronze("payments")).count() == 20
+    for _ in range(100):
+        if spark.conf.get(WRITERS, None) is None:
+            break
+        time.sleep(0.1)
+    assert spark.conf.get(WRITERS, None) is None
