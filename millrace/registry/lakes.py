@@ -27,7 +27,7 @@ from millrace.plans import (
 from millrace.registry import Query
 from millrace.registry.tables import RECON_SQL, SILVER_SQL
 from millrace.registry.views import derived, is_small, load, once, oracle
-from millrace.session import SPLITS, scratch_dir, setting, size_shuffles
+from millrace.session import SPLITS, scratch_dir, setting, size_shuffles, small_sorts
 from millrace.sinks import append_partitioned, replace_days, sample_rows, write_day_jsonl
 from millrace.sources import (
     latest_runs,
@@ -43,6 +43,7 @@ RATINGS_DAY = "2024-01-01"
 #: Raw lines are delivered compressed; a reader gets a whole file in one task, so files are bounded.
 LINES_PER_FILE = 250_000
 DELIVERY_SPLITS = 128 * 1024 * 1024
+CODEC = "spark.sql.parquet.compression.codec"
 EVENT_TIME = {"trips": "request_time", "payments": "payment_time", "ratings": "rated_at"}
 
 
@@ -212,11 +213,13 @@ def replace_idempotent(spark, sf):
     size_shuffles(spark, raw_lake(spark, sf, "payments").raw_entity("payments"), only_up=True)
     best = dedupe(batched(spark, sf, "payments"), ["batch_day", "payment_id"], newest=PAYMENTS.newest)
     best = best.withColumnRenamed("batch_day", "ingest_date")
-    replace_days(spark, best, offered, days)
-    rows = spark.read.schema(best.schema).parquet(offered)
-    replace_days(spark, rows, path, days, gather=False)
-    replace_days(spark, rows, path, days, gather=False)
-    replace_days(spark, rows.filter(F.col("ingest_date") != ONE_DAY), path, days, gather=False)
+    with setting(spark, CODEC, "zstd"):
+        with small_sorts(spark):
+            replace_days(spark, best, offered, days)
+        rows = spark.read.schema(best.schema).parquet(offered)
+        replace_days(spark, rows, path, days, gather=False)
+        replace_days(spark, rows, path, days, gather=False)
+        replace_days(spark, rows.filter(F.col("ingest_date") != ONE_DAY), path, days, gather=False)
     stored = spark.read.schema(rows.schema).parquet(path)
     return stored.groupBy("ingest_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("fare_vnd").cast("bigint")).alias("fare_vnd")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.entities import PAYMENTS
 from millrace.lake import Lake
 from millrace.plans import run_range
-from millrace.registry import views
+from millrace.registry import lakes, views
 from millrace.session import (
     ADVISORY,
     INITIAL_PARTITIONS,
@@ -164,3 +164,18 @@ def test_a_stream_lands_its_files_without_a_sort(spark, tmp_path):
             break
         time.sleep(0.1)
     assert spark.conf.get(WRITERS, None) is None
+
+
+def test_replaced_days_come_from_small_sorts(spark, tmp_path, writes):
+    lines = spark.range(12).selectExpr(
+        "id % 10 AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "CAST(1 AS INT) AS l_linenumber",
+        "CAST(100 + id AS DOUBLE) AS l_extendedprice", "'A' AS l_returnflag", "CAST('1997-03-05' AS TIMESTAMP_NTZ) AS l_shipdate",
+    )
+    lines = lines.union(lines.limit(1).withColumn("l_shipdate", F.expr("CAST('1997-04-05' AS TIMESTAMP_NTZ)")))
+    lines.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    writes.clear()
+    found = lakes.replace_idempotent(spark, str(tmp_path)).collect()
+    assert [(row["ingest_date"], row["n"]) for row in found] == [("1997-04-01", 1)]
+    saved = [found for found in writes if "/offered-" in found[0] or "/replace-" in found[0]]
+    assert len(saved) == 4 and all(found[1] == str(OPEN_DAYS) for found in saved)
+    assert int(saved[0][2]) <= SORT_SPLIT_BYTES and int(saved[0][3]) <= SORT_ADVISORY_BYTES
