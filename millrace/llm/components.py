@@ -27,8 +27,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return least.select("a", F.col("m").alias("b")).unionByName(moved).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b", "a") % 999_983)).first())
+def _flat(edges: DataFrame) -> bool:
+    """Whether every node that points to another does so once, and to one that points to none: the edges are stars."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("up")).unionByName(edges.select(F.col("b").alias("id"), F.lit(0).alias("up")))
+    nodes = ends.groupBy("id").agg(F.sum("up").alias("ups"), F.count("*").alias("n"))
+    return nodes.where("ups > 1 or (ups = 1 and n > 1)").isEmpty()
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -36,17 +39,13 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Self-links, repeated links and links with a null end count for nothing (a node that has only those is not
     returned). Empty links give an empty table. Every round is written to shared storage, so lost executors cost one
-    round at most; rounds grow with the logarithm of the longest path.
+    round at most; rounds grow with the logarithm of the longest path. A result may be given again among the links of a
+    later call (id, component), which then takes no round for what it held already.
     """
     larger, smaller = F.greatest("a", "b"), F.least("a", "b")
     edges = links.where("a is not null and b is not null and a <> b")
     edges = cut(edges.select(larger.alias("a"), smaller.alias("b")).distinct(), "links")
-    before = _state(edges)
-    while before[0]:
+    while not _flat(edges):
         edges = cut(_small_star(cut(_large_star(edges), "large-star")), "small-star")
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)

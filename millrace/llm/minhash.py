@@ -11,6 +11,7 @@ components.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -129,9 +130,14 @@ def _centre_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return met.select(*_ordered(F.col("id"), F.col("centre"))).distinct(), met
 
 
-def _split_rows(rows: DataFrame, links: DataFrame) -> DataFrame:
+def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components (id, component) with ``links`` (a, b) added to those found before."""
+    before = [] if found is None else [found.select(F.col("id").alias("a"), F.col("component").alias("b"))]
+    return connected_components(reduce(DataFrame.unionByName, before, links))
+
+
+def _split_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Rows (key, id, component) of the buckets whose members lie in several components."""
-    found = connected_components(links)
     placed = join_split(rows, found, ["id"], "left").withColumn("component", F.coalesce("component", "id"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     return cut(join_split(placed, split.select("key"), ["key"], "left_semi"), "split-buckets")
@@ -199,19 +205,17 @@ def link_near_copies(docs: DataFrame, percent: int = 85) -> DataFrame:
     exploded = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
     shared = exploded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     rows = cut(join_split(exploded, shared, ["key"], "left_semi").distinct(), "shared-buckets")
-    links = None
+    found = None
     for _ in range(CENTRE_ROUNDS):
         pairs, rest = _centre_pairs(rows)
-        new = _confirmed(docs, reps, pairs, percent)
-        links = new if links is None else links.unionByName(new)
-        split = _split_rows(rest.select("key", "id"), links)
+        found = _joined(found, _confirmed(docs, reps, pairs, percent))
+        split = _split_rows(rest.select("key", "id"), found)
         if split.isEmpty():
             break
         rows = split.select("key", "id")
     else:
-        links = links.unionByName(_confirmed(docs, reps, _across(_rare_rows(docs, split, percent), percent), percent))
+        found = _joined(found, _confirmed(docs, reps, _across(_rare_rows(docs, split, percent), percent), percent))
 
-    found = connected_components(links)
     named = join_split(classes, found.withColumnRenamed("id", "rep"), ["rep"], "left")
     named = named.select(*same, F.coalesce("component", "rep").alias("component_id"))
     out = join_split(signed, named, same, "left")

@@ -163,6 +163,13 @@ def score_column(model: NbSvm):
     return column
 
 
+def learnt(docs: DataFrame, labels: DataFrame, sample_rows: int) -> NbSvm:
+    """The model of the training sample. The driver gives the sample's memory back at once, before the texts are scored."""
+    model = fit(training_sample(docs, labels, "quality", sample_rows))
+    give_back()
+    return model
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs`` (doc_id, text), learnt from ``labels`` (doc_id, quality).
 
@@ -170,7 +177,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     the bias alone; without labels every score is 0.5. Repeated rows get a row each, an empty table an empty result.
     """
     small_batches(docs.sparkSession)
-    model = fit(training_sample(docs, labels, "quality", sample_rows))
+    model = learnt(docs, labels, sample_rows)
     scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), score_column(model)(docs).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
@@ -178,6 +185,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
 def drop_low_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that the classifier rejects. All columns stay."""
     small_batches(docs.sparkSession)
-    model = fit(training_sample(docs, labels, "quality", sample_rows))
+    model = learnt(docs, labels, sample_rows)
     return docs.where(score_column(model)(docs) >= threshold)
 

@@ -16,6 +16,7 @@ import public_tokenizers
 import pytest
 
 from millrace.llm import byte_bpe, components, decontaminate, html_extract, licenses, minhash, quality, range_coder, token_file, toxicity
+from millrace.llm.common import cut as common_cut
 from millrace.llm.exact_dedup import drop_exact_copies, exact_dedup
 from millrace.llm.features import is_held_out
 from millrace.llm.queries import RULES
@@ -72,6 +73,40 @@ def test_components_of_a_path_a_star_and_nulls(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def counted_rounds(monkeypatch):
+    rounds = []
+
+    def cut(df, label, **options):
+        rounds.append(label)
+        return common_cut(df, label, **options)
+
+    monkeypatch.setattr(components, "cut", cut)
+    return rounds
+
+
+def test_components_take_no_round_for_what_was_found_before(spark, monkeypatch):
+    rounds = counted_rounds(monkeypatch)
+    stars = spark.createDataFrame([(10 * b, 10 * b + k) for b in range(3) for k in range(1, 6)] + [(12, 12), (None, 3)], "a long, b long")
+    found = components.connected_components(stars)
+    assert rounds == ["links"]
+    again = found.selectExpr("id as a", "component as b")
+    assert sorted(components.connected_components(again).collect()) == sorted(found.collect()) and rounds == ["links"] * 2
+    new = spark.createDataFrame([(14, 25)], "a long, b long")
+    joined = {r.id: r.component for r in components.connected_components(again.unionByName(new)).collect()}
+    assert joined == {10 * b + k: 0 if b == 0 else 10 for b in range(3) for k in range(6)}
+
+
+def test_near_copies_keep_components_between_their_rounds(spark, monkeypatch):
+    """Texts around one passage stay split after both centres and go on to the rare shingles; what the first centres have
+    linked takes one round at most, as a centre need not be the smallest, and none later."""
+    rounds = counted_rounds(monkeypatch)
+    rows = [(k, f"{words(20, 600 + k)} {words(90, 99)}") for k in range(30)]
+    rows += [(100 + k, f"{words(90, 700)} z{k}") for k in range(6)]
+    got = {r.doc_id: r.component_id for r in minhash.link_near_copies(table(spark, rows)).collect()}
+    assert got == {k: k for k in range(30)} | {100 + k: 100 for k in range(6)}
+    assert rounds.count("links") == 3 and rounds.count("large-star") <= 1
+
+
 def test_url_rules_and_aliases(spark):
     link = '<link rel="canonical" href="{}">'.format
     move = '<meta http-equiv="refresh" content="0; url={}">'.format
@@ -274,6 +309,18 @@ def test_classifiers_on_held_out_rows(spark, label, score):
     assert score(table(spark, []), labels).count() == 0
 
 
+def test_quality_gives_the_samples_memory_back_before_it_scores(spark, monkeypatch):
+    done = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda sample: (done.append("fit"), fit(sample))[1])
+    monkeypatch.setattr(quality, "give_back", lambda: done.append("give back"))
+    docs = table(spark, [(k, words(30, k)) for k in range(20)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    quality.drop_low_quality(docs, labels)
+    quality.score_quality(docs, labels)
+    assert done == ["fit", "give back"] * 2
+
+
 def test_machine_learns_a_meeting_of_terms():
     import pandas as pd
 
