@@ -1,12 +1,12 @@
 """Adaptive context-mixing range coder for token ids, many blocks at a time.
 
-A block is coded on its own: its model starts anew and its bytes carry their own end. All blocks of a call take the same
-step at the same time, one lane each, so a step is a handful of array operations. All arithmetic is on integers, hence
-coder and decoder agree on every machine.
+The blocks of a call take the same step at the same time, one lane each, so a step is a handful of array operations. They
+teach one model, hence it learns from all of them, and they are decoded together as well. Each block has its own bytes.
+All arithmetic is on integers, so coder and decoder agree on every machine.
 
 For each id an order-2 and an order-1 context name the id that last followed them. The chance that one of them is right
-is mixed from two adaptive estimates: by how often the contexts were right before, and by how the last ids went. An id
-that neither names is coded by an adaptive order-0 model in four steps of four bits.
+is mixed from two adaptive estimates: by how often the contexts were right before, and by how the lane's last ids went.
+An id that neither names is coded by an adaptive order-0 model, one that this doesn't hold by its 16 bits.
 """
 
 from __future__ import annotations
@@ -14,168 +14,251 @@ from __future__ import annotations
 import numpy as np
 
 ONE = 65536
-SLOTS_LOG2 = 12
-NODES = 1 + 16 + 256 + 4096
-#: No symbol of the order-0 model gets less than about this of 65536.
-FLOOR = 64
-#: Where an update pulls the 16 cumulative counts, by the symbol that came.
-_PULL = np.array([[k * FLOOR if k <= s else ONE - (16 - k) * FLOOR for k in range(16)] for s in range(16)], np.int32)
-_U32, _U16 = np.uint64(32), np.uint64(16)
+#: Slots of the order-2 contexts; an order-1 context has its own.
+SLOTS_LOG2 = 18
+#: The order-0 model is fitted anew after 1, 2, 4, ... steps, and after every so many.
+REFIT = 256
+#: Symbols of the order-0 model: an id that was named, the ids from 1 on, an id that the model doesn't hold.
+NAMED, ESCAPE = 0, ONE + 1
+#: What ``ESCAPE`` has at least, of 65536.
+LEAST_ESCAPE = 64
+#: States of the trust in both names (and whether they are the same), and of a lane's last hits.
+TRUSTS, PASTS = 32, 16
+#: The chances are fitted anew after so many steps; counts beyond the other, times 256, are cut by a quarter.
+RELEARN, MEMORY = 16, 1 << 23
+_U32, _U16, _ONE = np.uint64(32), np.uint64(16), np.uint64(1)
 _LOW = np.uint64(2**32 - 1)
 
 
+def _pack(start: np.ndarray, width: np.ndarray) -> np.ndarray:
+    return start.astype(np.uint64) << _U32 | width.astype(np.uint64)
+
+
+class _Order0:
+    """Shares of 65536 of the ids that came, in proportion to how often; what is left over is the escape's."""
+
+    def __init__(self) -> None:
+        self.counts = np.zeros(ONE, np.int64)
+        self.parts = np.zeros(ONE + 2, np.uint64)
+        self.parts[NAMED] = ONE
+        self.learn(np.zeros(0, np.int32))
+
+    def learn(self, ids: np.ndarray) -> None:
+        self.counts += np.bincount(ids.reshape(-1), minlength=ONE)
+        scale = ((ONE - LEAST_ESCAPE) << 20) // max(int(self.counts.sum()), 1)
+        width = self.counts * scale >> 20
+        held = np.flatnonzero(width)
+        end = np.cumsum(width[held])
+        taken = int(end[-1]) if len(end) else 0
+        self.parts[1:] = 0
+        self.parts[held + 1] = _pack(end - width[held], width[held])
+        self.parts[ESCAPE] = (taken << 32) + ONE - taken
+        self.found = np.repeat(np.append(held + 1, ESCAPE).astype(np.int32), np.append(width[held], ONE - taken))
+
+    def symbols(self, ids: np.ndarray) -> np.ndarray:
+        of_id = np.where(self.parts[1:ESCAPE] == 0, ESCAPE, np.arange(1, ESCAPE)).astype(np.int32)
+        return of_id.take(ids)
+
+
+class _Chances:
+    """Chances that the first and that the second named id is right, of 65536, mixed from two adaptive estimates: by the
+    trust in both names and by how a lane's last ids went. A cell of the mix is a pair of these."""
+
+    def __init__(self) -> None:
+        # of each row (all, first right, second right): how often, by trust and past; a chance of 1/8 to begin with
+        self.by_trust = np.full((3, TRUSTS, 1), 1 << 8, np.int64)
+        self.by_past = np.full((3, 1, PASTS), 1 << 8, np.int64)
+        self.by_trust[0], self.by_past[0] = 8 << 8, 8 << 8
+        self.lean = np.full((2, TRUSTS, PASTS), 128, np.int64)  # weight of the estimate by trust, of 256
+        self.mix()
+
+    def mix(self) -> None:
+        x = self.x = (self.by_trust[1:] << 16) // self.by_trust[0]
+        y = self.y = (self.by_past[1:] << 16) // self.by_past[0]
+        p = np.clip(y + ((x - y) * self.lean >> 8), 32, 61440)
+        b = np.maximum((p[1] >> 1) * (ONE - p[0]) >> 16, 1)
+        b[1::2] = 1  # both names are the same
+        edges = np.stack([np.zeros_like(b), p[0], p[0] + b, np.full_like(b, ONE)], axis=2).reshape(-1, 4)
+        self.first, self.both = edges[:, 1].astype(np.uint64), edges[:, 2].astype(np.uint64)
+        self.parts = _pack(edges[:, :3], np.diff(edges)).reshape(-1)  # by 3 times the cell and what comes
+
+    def learn(self, came: np.ndarray) -> None:
+        """What came in some steps: 3 times the cell and 0 if the first name was right, 1 if the second was, else 2."""
+        found = np.bincount(came, minlength=3 * TRUSTS * PASTS).reshape(TRUSTS, PASTS, 3)
+        came, right = found.sum(axis=2), np.moveaxis(found[:, :, :2], 2, 0)
+        off_x, off_y = (np.abs(came * e - (right << 16)) for e in (self.x, self.y))
+        self.lean += np.where(came > 0, np.where(off_x < off_y, 248, 8) - self.lean >> 4, 0)
+        for counts, axis in ((self.by_trust, 2), (self.by_past, 1)):
+            counts[0] += came.sum(axis=axis - 1, keepdims=True) << 8
+            counts[1:] += right.sum(axis=axis, keepdims=True) << 8
+            old = counts[0] > MEMORY
+            counts -= np.where(old, counts >> 2, 0)
+        self.mix()
+
+
 class _Encoder:
     def __init__(self, ids: np.ndarray) -> None:
-        lanes = len(ids)
-        self.ids, self.lane = ids, np.arange(lanes)
+        lanes, steps = ids.shape
+        self.ids = np.ascontiguousarray(ids.T, np.int32)
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-        self.out, self.at = np.zeros((lanes, 1024), np.uint32), np.zeros(lanes, np.int64)
+        # a step gives two words at most; what is not reached takes no memory
+        self.out = np.zeros((lanes, 2 * steps + 2), np.uint32)
+        self.first = np.arange(lanes) * self.out.shape[1]
+        self.at = self.first.copy()
+
+    def fitted(self, model: _Order0, step: int, end: int) -> None:
+        """Told whenever the order-0 model is fitted: it holds for the steps up to ``end``."""
+        self.model, self.begin = model, step
+        self.symbols = model.symbols(self.ids[step:end])
 
     def _emit(self, lane: np.ndarray, word: np.ndarray) -> None:
         at = self.at[lane]
-        if len(at) and at.max() >= self.out.shape[1]:
-            self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-        self.out[lane, at] = word
+        self.out.reshape(-1)[at] = word
         self.at[lane] = at + 1
 
-    def put(self, start: np.ndarray, width: np.ndarray) -> None:
-        r = self.range >> _U16
-        self.low += r * start.astype(np.uint64)
-        self.range = r * width.astype(np.uint64)
-        self.renew()
-
-    def renew(self) -> None:
-        few = np.flatnonzero(self.range <= _LOW)
-        if not len(few):
-            return
+    def _renew(self, few: np.ndarray) -> None:
         low, span = self.low[few], self.range[few]
-        astride = ((low ^ (low + span - np.uint64(1))) >> _U32) != 0
-        span = np.where(astride, np.uint64(2**32) - (low & _LOW), span)
-        self._emit(few, (low >> _U32).astype(np.uint32))
+        word = low >> _U32
+        astride = ((low + span - _ONE) >> _U32 != word).nonzero()[0]
+        if len(astride):
+            span[astride] = np.uint64(2**32) - (low[astride] & _LOW)
+        self._emit(few, word)
         self.low[few], self.range[few] = low << _U32, span << _U32
 
-    def choose(self, edges: tuple[np.ndarray, np.ndarray], truth: np.ndarray) -> np.ndarray:
-        a, b = edges
-        start = np.where(truth == 0, 0, np.where(truth == 1, a, a + b))
-        self.put(start, np.where(truth == 0, a, np.where(truth == 1, b, ONE - a - b)))
-        return truth
+    def _which(self, step, r, cell, chances, first, second):
+        truth = self.ids[step]
+        return truth == first, truth == second
+
+    def _symbol(self, step, r):
+        return self.symbols[step - self.begin]
+
+    def _plain(self, step, r, few):
+        return self.ids[step][few]
 
-    def symbol(self, counts: np.ndarray, live: np.ndarray, truth: np.ndarray) -> np.ndarray:
-        start = counts[self.lane, truth]
-        end = np.where(truth == 15, ONE, counts[self.lane, np.minimum(truth + 1, 15)])
-        self.put(np.where(live, start, 0), np.where(live, end - start, ONE))
-        return truth
+    def _fill(self, value, first, second, hit0, hit1, symbol):
+        pass
+
+    def _part(self, r: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        r >>= _U16
+        self.low += r * (parts >> _U32)
+        r *= parts & _LOW
+        return r
+
+    def step(self, step: int, cell, chances: _Chances, first, second):
+        """Codes an id by the chances of the named ones and the order-0 model. Returns it and which name was right, if any."""
+        hit0, hit1 = self._which(step, self.range >> _U16, cell, chances, first, second)
+        hit1 = hit1 > hit0
+        miss = ~(hit0 | hit1)
+        came = cell * 3 + (hit1 + 2 * miss)
+        r = self._part(self.range, chances.parts.take(came))
+        symbol = self._symbol(step, r >> _U16) * miss
+        self.range = r = self._part(r, self.model.parts.take(symbol))
+        few = (r <= _LOW).nonzero()[0]
+        if len(few):
+            self._renew(few)
+        value = self.ids[step]
+        self._fill(value, first, second, hit0, hit1, symbol)
+        few = (symbol == ESCAPE).nonzero()[0]
+        if len(few):
+            r = self.range[few] >> _U16
+            plain = self._plain(step, r, few)
+            self.low[few] += r * plain.astype(np.uint64)
+            self.range[few] = r
+            value[few] = plain
+            few = few[r <= _LOW]
+            if len(few):
+                self._renew(few)
+        return value, came, miss
 
     def finish(self) -> list[bytes]:
-        self._emit(self.lane, (self.low >> _U32).astype(np.uint32))
-        self._emit(self.lane, (self.low & _LOW).astype(np.uint32))
-        return [self.out[k, : self.at[k]].astype("<u4").tobytes() for k in self.lane]
+        every = np.arange(len(self.at))
+        self._emit(every, (self.low >> _U32).astype(np.uint32))
+        self._emit(every, (self.low & _LOW).astype(np.uint32))
+        return [row[:n].astype("<u4").tobytes() for row, n in zip(self.out, self.at - self.first, strict=True)]
 
 
 class _Decoder(_Encoder):
-    def __init__(self, blocks: list[bytes]) -> None:
-        super().__init__(np.zeros((len(blocks), 0), np.int64))
+    def __init__(self, blocks: list[bytes], length: int) -> None:
+        super().__init__(np.zeros((len(blocks), 0), np.int32))
+        self.ids = np.zeros((length, len(blocks)), np.int32)
         size = max(len(b) for b in blocks) // 4
         # a block that is cut short reads zeros past its end; its checksum tells
-        self.words = np.zeros((len(blocks), size + 2), np.uint64)
+        self.words = np.zeros((len(blocks), size + 2), np.uint32)
         for k, b in enumerate(blocks):
             self.words[k, : len(b) // 4] = np.frombuffer(b[: len(b) // 4 * 4], "<u4")
-        self.code = (self.words[:, 0] << _U32) | self.words[:, 1]
-        self.next = np.full(len(blocks), 2, np.int64)
+        self.code = (self.words[:, 0].astype(np.uint64) << _U32) | self.words[:, 1]
+        self.at = np.arange(len(blocks)) * (size + 2) + 2
+        self.last = (np.arange(len(blocks)) + 1) * (size + 2) - 1
+
+    def fitted(self, model: _Order0, step: int, end: int) -> None:
+        self.model = model
 
     def _emit(self, lane: np.ndarray, word: np.ndarray) -> None:
-        at = np.minimum(self.next[lane], self.words.shape[1] - 1)
-        self.code[lane] = (self.code[lane] << _U32) | self.words[lane, at]
-        self.next[lane] += 1
+        at = self.at[lane]
+        self.code[lane] = (self.code[lane] << _U32) | self.words.reshape(-1)[at]
+        self.at[lane] = np.minimum(at + 1, self.last[lane])
+
+    def _which(self, step, r, cell, chances, first, second):
+        off = self.code - self.low
+        return off < r * chances.first.take(cell), off < r * chances.both.take(cell)
 
-    def _value(self) -> np.ndarray:
-        return np.minimum((self.code - self.low) // (self.range >> _U16), np.uint64(ONE - 1)).astype(np.int64)
+    def _symbol(self, step, r):
+        return self.model.found.take(((self.code - self.low) // r).astype(np.int64), mode="clip")
 
-    def choose(self, edges: tuple[np.ndarray, np.ndarray], truth: None) -> np.ndarray:
-        a, b = edges
-        value = self._value()
-        return super().choose(edges, (value >= a).astype(np.int64) + (value >= a + b))
+    def _plain(self, step, r, few):
+        return np.minimum((self.code[few] - self.low[few]) // r, np.uint64(ONE - 1)).astype(np.int32)
 
-    def symbol(self, counts: np.ndarray, live: np.ndarray, truth: None) -> np.ndarray:
-        value = self._value()
-        found = (counts[:, 1:] <= value[:, None]).sum(axis=1)
-        return super().symbol(counts, live, np.where(live, found, 0))
+    def _fill(self, value, first, second, hit0, hit1, symbol):
+        # symbols are 0 where an id was named
+        value[:] = first * hit0 + second * hit1 + symbol - (symbol > 0)
 
 
-def _run(coder: _Encoder, lanes: int, steps: int, ids: np.ndarray | None) -> np.ndarray:
-    """The model; with ``ids`` (lanes, steps) it codes them, without it finds them. Returns the ids."""
-    lane = coder.lane
+def _run(coder: _Encoder, lanes: int, steps: int) -> np.ndarray:
+    """The model; a coder codes its ids by it, a decoder finds them. Returns the ids."""
     slots = 1 << SLOTS_LOG2
-    named = np.zeros((2, lanes * slots), np.uint16)  # the id that order 1 and order 2 name
-    trust = np.zeros((2, lanes * slots), np.uint8)  # how often in a row they were right, up to 3; 0 is also "never seen"
-    zero = np.tile(np.arange(16, dtype=np.uint16) * 4096, (lanes * NODES, 1))
-    seen = np.zeros(lanes * NODES, np.uint8)
-    by_trust = np.full((2, lanes * 32), 8192, np.int32)  # chance of a hit of the first and of the second named id
-    by_past = np.full((2, lanes * 16), 8192, np.int32)
-    lean = np.full((2, lanes), 128, np.int32)  # weight of by_trust in the mix, of 256
-    base, past = lane * slots, np.zeros(lanes, np.int64)
-    before = before2 = np.zeros(lanes, np.int64)
-    out = np.zeros((lanes, steps), np.int64)
+    named = np.zeros(ONE + slots, np.int32)  # by context: the id it names, times 4, and how often in a row it was right
+    chances, model, fitted, refit = _Chances(), _Order0(), 0, 0
+    past, before, older = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32), np.zeros(lanes, np.int64)
+    at, seen = np.zeros((2, lanes), np.int64), []
+    out = coder.ids
     for step in range(steps):
-        truth = None if ids is None else ids[:, step]
-        at1 = base + ((before * 40503) >> 4 & (slots - 1))
-        at2 = base + ((before * 40503 + before2 * 60493) >> 5 & (slots - 1))
-        t1, t2 = trust[0][at1].astype(np.int64), trust[1][at2].astype(np.int64)
-        id1, id2 = named[0][at1].astype(np.int64), named[1][at2].astype(np.int64)
-        swap = t1 > t2
-        first, second = np.where(swap, id1, id2), np.where(swap, id2, id1)
-        same = first == second
-        state = lane * 32 + (t2 * 4 + t1) * 2 + same
-        recent = lane * 16 + past
-        p = []
-        for k in (0, 1):
-            x, y, w = by_trust[k][state], by_past[k][recent], lean[k]
-            p.append((x * w + y * (256 - w)) >> 8)
-        a = np.clip(p[0], 32, 61440)
-        b = np.where(same, 1, np.clip(p[1], 32, 61440) * (ONE - a) >> 17).clip(1)
-        hit = None if truth is None else np.where(truth == first, 0, np.where((truth == second) & ~same, 1, 2))
-        hit = coder.choose((a, b), hit)
-        for k in (0, 1):
-            goal = np.where(hit == k, ONE - 1, 0)
-            x, y = by_trust[k][state], by_past[k][recent]
-            nearer = np.abs(goal - x) < np.abs(goal - y)
-            lean[k] += np.where(nearer, (248 - lean[k]) >> 4, (8 - lean[k]) >> 4)
-            by_trust[k][state] = x + ((goal - x) >> 4)
-            by_past[k][recent] = y + ((goal - y) >> 4)
-        live = hit == 2
-        value, node = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        # every id teaches the order-0 model, so that it knows those that were named as well
-        known = np.where(hit == 0, first, second) if truth is None else truth
-        for shift, offset in ((12, 0), (8, 1), (4, 17), (0, 273)):
-            row = lane * NODES + offset + node
-            counts = zero[row].astype(np.int32)
-            nibble = coder.symbol(counts, live, None if truth is None else truth >> shift & 15)
-            nibble = np.where(live, nibble, known >> shift & 15)
-            n = seen[row]
-            zero[row] = counts + ((_PULL[nibble] - counts) >> (n[:, None] + 2))
-            seen[row] = np.minimum(n + 1, 3)
-            value = value << 4 | nibble
-            node = node << 4 | nibble
-        out[:, step] = value
-        past = (past << 1 & 15) | (hit < 2)
-        for k, at, t, name in ((0, at1, t1, id1), (1, at2, t2, id2)):
-            right = name == value
-            trust[k][at] = np.where(right, np.minimum(t + 1, 3), t >> 1)
-            named[k][at] = np.where(right | (t > 1), name, value)
-        before2, before = before, value
-    return out
+        if step == refit:
+            model.learn(out[fitted:step])
+            fitted, refit = step, step + min(max(step, 1), REFIT)
+            coder.fitted(model, step, refit)
+        at[0] = before
+        hashed = at[0] * 40503
+        np.bitwise_and((hashed + older) >> 5, slots - 1, out=at[1])
+        at[1] += ONE
+        older = at[0] * 60493
+        entry = named.take(at)
+        trust, name = entry & 3, entry >> 2
+        swapped = (name[0] - name[1]) * (trust[0] > trust[1])
+        first, second = name[1] + swapped, name[0] - swapped
+        cell = (((trust[1] << 2) + trust[0] << 1) + (first == second) << 4) + past
+        value, came, miss = coder.step(step, cell, chances, first, second)
+        seen.append(came)
+        if len(seen) == RELEARN or step < 32:
+            chances.learn(np.concatenate(seen))
+            seen = []
+        past = (past << 1 & PASTS - 1) | ~miss
+        right = (name == value).astype(np.int32)
+        # lanes in the same context: the last one's entry stays, in coder and decoder alike
+        name = value + (name - value) * (trust > 1)
+        named[at] = (name << 2) + np.minimum(trust + right >> (right ^ 1), 3)
+        before = value
+    return out.T
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
-    """The bytes of each row of ``ids`` (blocks, ids of a block), values below 65536."""
-    ids = ids.astype(np.int64)
+    """The bytes of each row of ``ids`` (blocks, ids of a block), values below 65536. They are decoded together again."""
     coder = _Encoder(ids)
-    _run(coder, *ids.shape, ids)
+    _run(coder, *ids.shape)
     return coder.finish()
 
 
 def decode_blocks(blocks: list[bytes], length: int) -> np.ndarray:
-    """The ids of blocks of ``length`` ids each."""
+    """The ids of the blocks of one call of ``encode_blocks``, ``length`` each."""
     if not blocks:
-        return np.zeros((0, length), np.int64)
-    return _run(_Decoder(blocks), len(blocks), length, None)
+        return np.zeros((0, length), np.int32)
+    return _run(_Decoder(blocks, length), len(blocks), length)

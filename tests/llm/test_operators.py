@@ -9,6 +9,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -195,6 +196,61 @@ def test_range_coder_round_trip_and_gain():
     assert range_coder.decode_blocks([], 5).shape == (0, 5)
 
 
+def test_blocks_coded_together_take_few_bytes_and_little_time():
+    """Four steps an id and a model for each block took 14.3 bits and 6.6 microseconds an id here, now 9.6 and 1.4."""
+    rng = np.random.default_rng(8)
+    shares = rng.permutation(1 / np.arange(1, 3001))
+    ids = rng.choice(3000, (600, 128), p=shares / shares.sum()) * 16 + 5
+    begun = time.process_time()
+    blocks = range_coder.encode_blocks(ids)
+    assert (range_coder.decode_blocks(blocks, 128) == ids).all()
+    assert (time.process_time() - begun) / ids.size < 4e-6
+    assert sum(map(len, blocks)) * 8 / ids.size < 10.8
+
+
+def test_pieces_have_the_ids_of_whole_texts(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer, normalizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    rng = random.Random(5)
+    parts = [*"aB'1é×÷ßЖ中٣²½%$-_ \n\t\v\x00\x1c\x7f\x85\xa0\u2003\u3000\u0301👍", "'s", "don't", "'LL", "  ", "\né", "a\nb", "<|endoftext|>", " the"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(token_file, "KNOWN_PIECES", 500)
+    encoder = token_file.Ids(path)
+    assert encoder.byte_level
+    for whole in (False, True):
+        encoder.byte_level = not whole
+        for at in range(0, 6000, 700):
+            ids, counts = encoder.of(pa.array(texts)[at : at + 700])
+            assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want[at : at + 700]
+        assert len(encoder.known) < 2500 and len(encoder.older) < 2500
+    assert [len(x) for x in encoder.of(pa.array([], pa.string()))] == [0, 0]
+    ids, counts = encoder.of(pa.array(["", ""]))
+    assert len(ids) == 0 and counts.tolist() == [0, 0]
+    # another kind of tokenizer is not cut
+    library.normalizer = normalizers.Lowercase()
+    monkeypatch.setattr(Tokenizer, "from_file", lambda _: library)
+    assert not token_file.Ids(path).byte_level
+
+
+def test_ids_are_read_without_a_shuffle(spark, monkeypatch):
+    """Documents of several segments a file and blocks; the starts go to the segments, not the ids to the starts."""
+    rows = [(k, words(1 + k * 7 % 40, k)) for k in range(300)] + [(400, words(3000, 400))]
+    folder = scratch_dir(spark, "tokens")
+    token_file.write_token_files(table(spark, rows), folder, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    read = token_file.read_token_files(spark, folder)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan.split("MapInPandas")[0]
+    start = 0
+    for r in sorted(read.collect()):
+        assert r.start == start
+        start += len(r.ids) // 4
+
+
 def test_token_files(spark):
     from tokenizers import Tokenizer
 
