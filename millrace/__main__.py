@@ -56,7 +56,7 @@ def parser() -> argparse.ArgumentParser:
     reconcile.add_argument("--keys", action="store_true", help="count the keys that differ on every day, by digests")
     stream = jobs.add_parser("stream")
     stream.add_argument("--files-per-batch", type=int, help="most new files of a micro-batch")
-    stream.add_argument("--keep-days", type=int, help="days whose survivors stay in the state; older ones are cleansed whole")
+    stream.add_argument("--keep-days", type=int, help="days back from today whose new rows meet those sent out; older ones are cleansed whole")
     stream.add_argument("--keep-late", action="store_true", help="also count the trips that come late and keep their rows")
     compact = jobs.add_parser("compact")
     compact.add_argument("--day", action="append", help="default: all days")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 from millrace.files import delete, is_written, matching
 from millrace.lake import checked_day
 from millrace.session import open_writers
-from millrace.sources.generations import DAY, MICRO_BATCH, covered_days, is_visible
+from millrace.sources.generations import DAY, MICRO_BATCH
 from millrace.sources.partitions import partition_values
-from millrace.sources.tables import LOG_FORMATS
+from millrace.sources.tables import LOG_FORMATS, read_table_days
+
+#: Keys that are sent whole to every task; more are joined by a shuffle.
+FEW_KEYS = 200_000
 
 
 def append_partitioned(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
@@ -116,45 +120,46 @@ def withdraw_rows(
 ) -> int:
     """Take the rows of ``keys`` (day and key) out of the micro-batches before ``batch_id``; the number of parts rewritten.
 
-    Only the days of ``keys`` are read, first by their keys alone, and only the parts that hold one are written again.
-    What stays of those goes to ``staged`` first: if the job ends half-way, the next try finds it there and goes on.
+    Only the days of ``keys`` are listed and read, first by their keys alone, and only the parts that hold one are written
+    again. What stays of those goes to ``staged`` first: if the job ends half-way, the next try finds it there and goes on.
+    Up to ``FEW_KEYS`` are sent to the tasks that read the parts, so no row is shuffled; more meet the rows in a join.
     """
     spark = keys.sparkSession
-    days = [row[DAY] for row in keys.select(DAY).distinct().collect()]  # at most the days of a micro-batch
+    of_days = keys.groupBy(DAY).count().collect()  # at most the days of a micro-batch
+    days = [row[DAY] for row in of_days if row[DAY] is not None]
     if not days:
         return 0
+    few = sum(row["count"] for row in of_days) <= FEW_KEYS
     stored = StructType([*schema.fields, StructField(MICRO_BATCH, LongType(), True)])
-    covered = covered_days(spark, path)
-    current = F.lit(True) if covered is None else is_visible(covered)
 
     def earlier() -> DataFrame:  # listed anew each time, as files come and go
-        rows = spark.read.format(fmt).schema(stored).load(path)
-        return rows.filter(F.col(DAY).isin(days) & (F.col(MICRO_BATCH) < batch_id) & current)
+        return read_table_days(spark, path, stored, days, fmt).filter(F.col(MICRO_BATCH) < batch_id)
 
     part = F.concat_ws("/", DAY, MICRO_BATCH)
     wanted = keys.select(*[F.col(c).alias(f"_{c}") for c in keys.columns])
+    wanted = F.broadcast(wanted) if few else wanted
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys.columns])
-
-    def touched() -> list[str]:
-        found = earlier().select(*keys.columns, part.alias("part")).join(wanted, same, "left_semi").select("part").distinct()
-        return sorted(row["part"] for row in found.collect())  # folders of the days of one micro-batch
-
-    parts = touched()
-    if not is_written(spark, staged):
-        if not parts:
-            return 0
-        earlier().filter(part.isin(parts)).join(wanted, same, "left_anti").write.format(fmt).mode("overwrite").save(staged)
-    (
-        spark.read.format(fmt).schema(stored).load(staged).hint("rebalance", F.col(DAY))
-        .write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY, MICRO_BATCH)
-        .save(path)
-    )
-    for left in touched():  # parts of which nothing stays
-        day, number = left.split("/")
-        delete(spark, f"{path}/{DAY}={day}/{MICRO_BATCH}={number}")
+    found = earlier().select(*keys.columns, part.alias("part")).join(wanted, same, "left_semi").select("part").distinct()
+    parts = sorted(row["part"] for row in found.collect())  # folders of the days of one micro-batch
+    with open_writers(spark):
+        if not is_written(spark, staged):
+            if not parts:
+                return 0
+            stay = earlier().filter(part.isin(parts)).join(wanted, same, "left_anti")
+            stay = stay if few else stay.hint("rebalance", F.col(DAY), F.col(MICRO_BATCH))
+            stay.write.format(fmt).mode("overwrite").partitionBy(DAY, MICRO_BATCH).save(staged)
+        (
+            spark.read.format(fmt).schema(stored).load(staged)
+            .write.format(fmt)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DAY, MICRO_BATCH)
+            .save(path)
+        )
+    left = {tuple(unquote(x.split("=", 1)[1]) for x in name.rsplit("/", 2)[1:]) for name in matching(spark, f"{staged}/{DAY}=*/{MICRO_BATCH}=*")}
+    for day, number in (name.rsplit("/", 1) for name in parts):
+        if (day, number) not in left:  # nothing stays
+            delete(spark, f"{path}/{DAY}={day}/{MICRO_BATCH}={number}")
     return len(parts)
 
 

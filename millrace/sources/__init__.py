@@ -1,5 +1,5 @@
 from millrace.sources.jsonl import list_days, raw_days, read_days, read_jsonl
-from millrace.sources.tables import empty_table, latest_runs, on_day, read_table, read_table_day
+from millrace.sources.tables import empty_table, latest_runs, on_day, read_table, read_table_day, read_table_days
 
 __all__ = [
     "empty_table",
@@ -11,4 +11,5 @@ __all__ = [
     "read_jsonl",
     "read_table",
     "read_table_day",
+    "read_table_days",
 ]

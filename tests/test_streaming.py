@@ -263,3 +263,45 @@ def test_a_key_on_two_days_and_another_format(spark, tmp_path):
     assert read_table(spark, lake.quarantine("trips"), TRIPS.quarantine_schema, "orc").count() == 2
     assert reconcile_layers(spark, lake, TRIPS).count() == 0
     assert read_table_day(spark, lake.silver("trips"), TRIPS.silver_schema, DAY, "orc").count() == 2
+
+
+def test_rows_that_tie_in_time_are_settled_by_all_columns_over_micro_batches(spark, lake, tmp_path):
+    """Copies as new as those sent out, equal or not, with and without a time, a key, a fare."""
+    first = [paid(1, "08:00:00", fare_vnd=5), paid(2, "08:00:00", fare_vnd=5), paid(3, None, fare_vnd=5), paid(4, "08:00:00", fare_vnd=None), "{broken"]
+    second = [paid(1, "08:00:00", fare_vnd=4), paid(2, "08:00:00", fare_vnd=6), paid(3, None, fare_vnd=None), paid(4, "08:00:00", fare_vnd=9), "{broken"]
+    for name, lines in (("a.jsonl", first), ("b.jsonl", second), ("c.jsonl", first + second)):
+        deliver(spark, lake, lines, name)
+    batch = Lake(root=str(tmp_path / "batch"), raw=lake.raw)
+    run_range(spark, batch, DAY, 1, [PAYMENTS])
+    for name in ("silver", "quarantine"):
+        ours, theirs = (tuples(layer(spark, where, PAYMENTS, name), "ingest_date", *PAYMENTS.schema.names) for where in (lake, batch))
+        assert ours == theirs and ours
+    parts = spark.read.parquet(lake.silver("payments")).groupBy("_micro_batch").count()
+    assert {int(n): rows for n, rows in tuples(parts)} == {0: 2, 1: 2}  # of rows that are equal the one sent stays
+
+
+def test_the_tables_are_all_that_the_stream_knows(spark, lake):
+    """No state beside the tables; copies meet them in an adaptive session, so a day gets a file and not one per task."""
+    deliver(spark, lake, [paid(n, "08:00:00", fare_vnd=n) for n in range(200)], "a.jsonl")
+    deliver(spark, lake, [paid(n, "09:00:00", fare_vnd=n) for n in range(0, 400, 2)], "b.jsonl")
+    assert not exists(spark, f"{lake.checkpoint('silver-payments')}/state")
+    table = spark.read.parquet(lake.silver("payments"))
+    assert table.count() == 300 and len(table.inputFiles()) == 2
+    assert tuples(table.groupBy(F.col("_micro_batch").cast("int").alias("n")).count()) == [(0, 100), (1, 200)]
+
+
+def test_many_withdrawn_keys_meet_the_rows_in_a_join(spark, lake, monkeypatch):
+    monkeypatch.setattr(tables, "FEW_KEYS", 0)
+    deliver(spark, lake, [paid(n, "08:00:00", fare_vnd=n) for n in range(9)], "a.jsonl")
+    deliver(spark, lake, [paid(n, "09:00:00", fare_vnd=-n) for n in range(4)], "b.jsonl")
+    assert stored(spark, lake, "silver") == [(f"PAY{n:08d}", -n if n < 4 else n) for n in range(9)]
+
+
+def test_rows_without_a_day_are_read_by_their_folder(spark, tmp_path):
+    from millrace.sources import read_table_days
+
+    rows = spark.sql("SELECT * FROM VALUES (1, '2026-03-21'), (2, NULL), (3, '2026-03-22') AS t(id, ingest_date)")
+    rows.write.partitionBy("ingest_date").parquet(str(tmp_path / "t"))
+    found = read_table_days(spark, str(tmp_path / "t"), rows.schema, [None, DAY, "2026-03-29"])
+    assert tuples(found) == [(1, DAY), (2, None)] and len(found.inputFiles()) == 2
+    assert read_table_days(spark, str(tmp_path / "none"), rows.schema, [DAY]).count() == 0
