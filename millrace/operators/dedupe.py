@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, NumericType, TimestampType
 
 _RANK = "_rank"
+#: Bits of the map of keys that may repeat: half a million words of it at most are broadcast, as many as repeated keys set.
+REPEAT_BITS = 1 << 25
 
 
 def dedupe(
@@ -44,6 +46,25 @@ def dedupe(
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def dedupe_in_place(df: DataFrame, key: str | Sequence[str], newest: str | None = None) -> DataFrame:
+    """The rows of ``dedupe``, where most keys come once: only rows whose key may come again are shuffled.
+
+    Each map task sends the hashes of its keys; those that come again set bits of a map, and rows that miss it are alone
+    for certain and stay where they are. The more keys repeat, the more rows go through the dedupe, in the end all of them.
+    ``df`` is read three times, so it should be a table. Equal keys need equal hashes: text or whole numbers.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    hashed, bit = F.xxhash64(*keys), F.pmod("_hash", F.lit(REPEAT_BITS))
+    again = df.select(hashed.alias("_hash")).groupBy("_hash").count().filter("count > 1").select(bit.alias("_bit"))
+    one = F.expr("shiftleft(1L, cast(_bit % 64 as int))")
+    words = again.groupBy(F.shiftright("_bit", 6).alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    placed = df.withColumn("_hash", hashed).withColumn("_bit", bit).withColumn("_word", F.shiftright("_bit", 6))
+    repeats = F.coalesce(F.expr("bit_get(_bits, cast(_bit % 64 as int)) = 1"), F.lit(False))
+    marked = placed.join(F.broadcast(words), "_word", "left").select(*df.columns, repeats.alias("_repeats"))
+    alone = marked.filter(~F.col("_repeats")).drop("_repeats")
+    return alone.unionByName(dedupe(marked.filter("_repeats").drop("_repeats"), keys, newest=newest))
+
+
 def survivor(df: DataFrame, keys: Sequence[str], newest: str | None = None, last: Sequence[str] = ()) -> Column:
     """The row that ``dedupe`` would keep, as an aggregate: the least struct of all columns in the same order.
 

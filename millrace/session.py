@@ -26,6 +26,8 @@ SORT_PARTS = 4
 #: Files of different days that a task writes at a time; beyond that it sorts its rows by day.
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 OPEN_DAYS = 400
+#: Whether the shuffle files of a query go when it ends, instead of when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of rows in memory for a byte of a file, by the end of its name; 1 for all others. A rough guess, not a measure.
 EXPANDS = {".gz": 10, ".parquet": 10, ".orc": 10}
 #: State outside the heap, within one bound for all stores of an executor, of which only changes are written.
@@ -152,6 +154,11 @@ def open_writers(spark: SparkSession):
     return setting(spark, WRITERS, OPEN_DAYS)
 
 
+def brief_shuffles(spark: SparkSession):
+    """Within the block, the shuffle files of a write are deleted when it ends."""
+    return setting(spark, CLEANUP, "true")
+
+
 @contextmanager
 def small_sorts(spark: SparkSession) -> Iterator[None]:
     """Within the block, what a task sorts of wide rows stays small, whatever the input's size: more tasks, no spill.

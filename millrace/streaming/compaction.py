@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from millrace.entities import Entity
 from millrace.files import delete, folders, matching
 from millrace.lake import Lake, checked_day
-from millrace.sinks.tables import DAY, MICRO_BATCH
+from millrace.sinks.tables import COMPRESSION, DAY, MICRO_BATCH
 from millrace.sources.generations import begin, covered_days, generation, is_visible, publish
 from millrace.sources.tables import LOG_FORMATS
 
@@ -69,6 +69,7 @@ def compact_days(
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", COMPRESSION)
         .partitionBy(DAY, MICRO_BATCH)
         .save(path)
     )

@@ -23,8 +23,8 @@ from millrace.operators.dedupe import dedupe
 from millrace.operators.quality import PASSES, invalid_rows, judge, valid_rows
 from millrace.operators.rides import demand
 from millrace.operators.stamps import with_audit, with_quarantine_reason, with_silver_stamp
-from millrace.session import open_writers, size_reads, size_state, small_sorts
-from millrace.sinks.tables import DAY, MICRO_BATCH, replace_micro_batch, withdraw_rows
+from millrace.session import brief_shuffles, open_writers, size_reads, size_state, small_sorts
+from millrace.sinks.tables import COMPRESSION, DAY, MICRO_BATCH, replace_micro_batch, withdraw_rows
 from millrace.sources.generations import forget
 from millrace.sources.jsonl import RAW_DAY
 from millrace.sources.tables import read_table, read_table_days
@@ -67,6 +67,7 @@ def start_ingest(
         ingest_stream(spark, lake, entity, source, files_per_batch)
         .writeStream.format(lake.fmt)
         .outputMode("append")
+        .option("compression", COMPRESSION)
         .option("checkpointLocation", lake.checkpoint(f"ingest-{entity.name}"))
         .partitionBy("ingest_date")
         .trigger(availableNow=True)
@@ -156,8 +157,8 @@ def _judged(batch: DataFrame, batch_id: int, lake: Lake, entity: Entity, staged:
 
     def write(rows: DataFrame, path: str) -> None:
         writer = judge(rows, entity.rules).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        with small_sorts(spark), open_writers(spark):
-            writer.option("compression", "zstd").partitionBy(_STANDING).parquet(path)
+        with small_sorts(spark), open_writers(spark), brief_shuffles(spark):
+            writer.option("compression", COMPRESSION).partitionBy(_STANDING).parquet(path)
 
     def written(path: str, standing: str = "") -> DataFrame:
         """All rows, or those of a folder, which is opened alone so that Spark knows its size."""

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, tuples
-from millrace.operators.dedupe import dedupe, distinct_keys, repeated_keys
+from millrace.operators import dedupe as module
+from millrace.operators.dedupe import dedupe, dedupe_in_place, distinct_keys, repeated_keys
 
 
 def sample(spark, n=600, seed=5):
@@ -80,3 +81,25 @@ def test_composite_keys_and_repeats(spark):
     assert tuples(repeated_keys(df, ["k", "kind"])) == [("a", "x", 2), (None, "x", 2)]
     assert tuples(repeated_keys(df, "k", limit=2)) == [("a", 3)]
     assert distinct_keys(df, "k").count() == 2
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 25])
+def test_dedupe_in_place_keeps_the_rows_of_dedupe(spark, monkeypatch, bits):
+    """Null keys, copies that tie, copies that are equal; also with a map so small that nearly every key seems to repeat."""
+    monkeypatch.setattr(module, "REPEAT_BITS", bits)
+    rows = spark.sql(
+        """SELECT CASE WHEN id % 50 > 0 THEN string(id % 300) END AS k, string(id % 3) AS day,
+        CASE WHEN id % 5 > 0 THEN timestamp_seconds(id * 7919 % 13) END AS t, id % 7 AS v FROM range(500)"""
+    )
+    for key, newest in ((["day", "k"], "t"), ("k", "t"), ("k", None)):
+        want, found = tuples(dedupe(rows, key, newest=newest)), tuples(dedupe_in_place(rows, key, newest=newest))
+        assert found == want and found
+
+
+def test_dedupe_in_place_shuffles_no_row_whose_key_comes_once(spark, tmp_path):
+    spark.range(20_000).selectExpr("string(id % 19990) AS k", "sha2(string(id), 512) AS wide").write.parquet(str(tmp_path / "t"))
+    found = dedupe_in_place(spark.read.parquet(str(tmp_path / "t")), "k")
+    found.write.parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 19_990
+    before, after = plan(dedupe(spark.read.parquet(str(tmp_path / "t")), "k")), plan(found)
+    assert "hashpartitioning(_hash#" not in before and "hashpartitioning(_hash#" in after and "BroadcastHashJoin" in after

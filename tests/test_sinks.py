@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta
 from types import SimpleNamespace
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import tuples
 from millrace.entities import RUNS_SCHEMA
 from millrace.operators.stamps import with_audit, with_quarantine_reason, with_silver_stamp
-from millrace.session import scratch_dir, settings
+from millrace.session import CLEANUP, scratch_dir, settings
 from millrace.sinks import (
     append_partitioned,
     log_run,
@@ -188,3 +189,24 @@ def test_stale_days_are_cleared_without_a_job_each(spark, tmp_path):
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"stale-{n}"))
 
     assert jobs(2) == jobs(29)
+
+
+def test_a_write_of_many_days_leaves_no_shuffle_files(spark, tmp_path):
+    """They would stay until the driver collects its garbage, beside all tables of a backfill."""
+
+    def shuffled() -> set[str]:
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for k in range(files.size()) if (name := files.apply(k).getName()).startswith("shuffle_")}
+
+    rows = spark.range(5000).selectExpr("string(id) AS id", "concat('2026-03-2', id % 3) AS ingest_date")
+    before = shuffled()
+    replace_days(spark, rows.repartition(4, "id"), str(tmp_path / "t"), ["2026-03-20", "2026-03-21", "2026-03-22"])
+    replace_micro_batch(rows.repartition(4, "id"), str(tmp_path / "m"), 0)
+    until = time.time() + 10
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert spark.conf.get(CLEANUP) == "false"
+    for name in ("t", "m"):
+        assert spark.read.parquet(str(tmp_path / name)).count() == 5000
+        assert all(".zstd." in file for file in spark.read.parquet(str(tmp_path / name)).inputFiles())
